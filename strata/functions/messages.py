@@ -18,13 +18,18 @@ from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
 # The texts a missing value is written as in message bodies.
 NAN_TEXTS = ("NaN", '"NaN"')
+# Timestamps keep microseconds through a message (the default stops at millis).
+JSON_TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def parse_messages(df: DataFrame, schema: StructType | str, value_col: str = "value",
                    keep: list[str] | None = None) -> DataFrame:
     """Cast ``value_col`` to text, parse it as JSON with ``schema``, flatten."""
     parsed = F.from_json(F.col(value_col).cast("string"), schema,
-                         {"allowNonNumericNumbers": "true"}).alias("_msg")
+                         {"allowNonNumericNumbers": "true", **JSON_TIME_OPTIONS}).alias("_msg")
     keep = keep or []
     return df.select(*[F.col(c) for c in keep], parsed).select(*keep, "_msg.*")
 
@@ -60,7 +65,7 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def to_messages(df: DataFrame, value_col: str = "value", key_col: str | None = None) -> DataFrame:
     """One JSON object per row in ``value_col`` (and an optional message key)."""
     cols = [F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]),
-                      {"ignoreNullFields": "false"}).alias(value_col)]
+                      {"ignoreNullFields": "false", **JSON_TIME_OPTIONS}).alias(value_col)]
     if key_col:
         cols.insert(0, F.col(f"`{key_col}`").cast("string").alias("key"))
     return df.select(*cols)

@@ -1 +1,303 @@
-"""Sources and sinks checked by round trips (S, K, L1-L4)."""
+"""Sources and sinks checked by round trips (S1, S3-S7, S11, K1-K3, K6-K12,
+P18, P19, L1-L4).
+
+Each query writes data derived from the driver tables to a fresh folder under
+the shared checkpoint folder, reads it back through the operator under test
+and returns the result; the oracle is plain SQL over the source tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.functions.keys import KEY_PATTERN, KEY_PATTERN_UNESCAPED_DOTS
+from strata.functions.messages import nan_text_to_null, nan_to_null, parse_messages
+from strata.operators.sets import union_by_name
+from strata.plans import tpch_sources as src
+from strata.plans.layers import run_layers
+from strata.plans.models import clean_and_trusted
+from strata.plans.registry import register
+from strata.session import scratch_dir
+from strata.sinks.writers import (
+    copy_query_to_parquet,
+    load_unless_count,
+    write_csv,
+    write_messages,
+    write_parquet,
+)
+from strata.sources.catalog import parquet_to_table
+from strata.sources.files import (
+    LATIN_1,
+    Family,
+    _fs_and_path,
+    detect_encoding,
+    read_csv_skip_long_lines,
+    read_family,
+)
+
+P = KEY_PATTERN
+
+# Decorations (ours): city names with letters outside ASCII.
+CITIES = ["São Paulo", "Brasília", "Niterói"]
+ACCENTED = [" Conceição", " São João", " Ribeirão"]
+
+
+def _touch(spark, path: str) -> None:
+    """Create a zero-byte file (an empty member of a family)."""
+    _, fs, jpath = _fs_and_path(spark, path)
+    fs.create(jpath, True).close()
+
+
+# -- S1, S4, A5, K1: family scan with schema drift and an empty file -----------
+
+@register("csv_family_union", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+       CASE WHEN c_acctbal < 5000 THEN CAST(c_nationkey AS VARCHAR) END AS c_nationkey,
+       CASE WHEN c_acctbal >= 5000 THEN c_mktsegment END AS c_mktsegment,
+       {src.sql_pick(CITIES, 'c_custkey % 3')} AS cidade
+FROM customer
+""")
+def csv_family_union(spark, sf_dir):
+    """Two file groups with different columns plus an empty file, one family."""
+    root = scratch_dir(spark, "family")
+    c = src.table(spark, sf_dir, "customer").withColumn("cidade", src.pick(CITIES, F.col("c_custkey") % 3))
+    fam = Family(sep="|")
+    write_csv(c.where(F.col("c_acctbal") < 5000).select("c_custkey", "c_name", "c_nationkey", "cidade"),
+              root, sep=fam.sep, encoding=fam.encoding)
+    write_csv(c.where(~(F.col("c_acctbal") < 5000)).select("c_custkey", "c_name", "cidade", "c_mktsegment"),
+              root, sep=fam.sep, encoding=fam.encoding, mode="append")
+    _touch(spark, f"{root}/empty.csv")
+    return read_family(spark, root, fam)
+
+
+# -- S3: over-long lines skipped, short lines kept -----------------------------------
+
+@register("csv_skip_long_lines", """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderstatus <> 'P'
+""")
+def csv_skip_long_lines(spark, sf_dir):
+    root = scratch_dir(spark, "longlines")
+    o = src.table(spark, sf_dir, "orders")
+    fields = [F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus")]
+    line = (F.when(F.col("o_orderstatus") == "P", F.concat_ws("\t", *fields, F.col("o_orderpriority"), F.lit("extra")))
+            .when(F.col("o_orderstatus") == "F", F.concat_ws("\t", *fields))
+            .otherwise(F.concat_ws("\t", *fields, F.col("o_orderpriority"))))
+    o.select(line.alias("value")).write.mode("overwrite").text(root)
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
+    from pyspark.sql.types import _parse_datatype_string
+    return read_csv_skip_long_lines(spark, root, _parse_datatype_string(schema), sep="\t", header=False)
+
+
+# -- S5: reread with schema inference ----------------------------------------------
+
+@register("csv_infer_reread", """
+SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_size, p_retailprice FROM part
+""")
+def csv_infer_reread(spark, sf_dir):
+    root = scratch_dir(spark, "infer")
+    p = src.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    write_csv(p, root, sep=";", encoding=LATIN_1)
+    return read_family(spark, root, Family(sep=";"), infer=True)
+
+
+# -- S6, K2, K3: Parquet overwrite then append ---------------------------------------
+
+@register("parquet_overwrite_append", "SELECT * FROM orders")
+def parquet_overwrite_append(spark, sf_dir):
+    root = scratch_dir(spark, "append")
+    o = src.table(spark, sf_dir, "orders")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    write_parquet(o.where(early), root, mode="overwrite")
+    write_parquet(o.where(~early | F.col("o_orderdate").isNull()), root, mode="append")
+    return spark.read.parquet(root)
+
+
+# -- S7, K8, K9: Parquet glob to a named table, query copied to Parquet -----------------
+
+@register("parquet_glob_copy", """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem WHERE l_returnflag = 'R'
+""")
+def parquet_glob_copy(spark, sf_dir):
+    root = scratch_dir(spark, "glob")
+    li = src.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    write_parquet(li, f"{root}/raw/lineitem", partition_by=["l_returnflag"])
+    parquet_to_table(spark, f"{root}/raw/lineitem", "lineitem_raw", how="view")
+    copy_query_to_parquet(spark, "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity "
+                                 "FROM lineitem_raw WHERE l_returnflag = :flag", f"{root}/copy", {"flag": "R"})
+    return spark.read.parquet(f"{root}/copy")
+
+
+# -- K6: count-guarded load ---------------------------------------------------------------
+
+@register("count_guarded_load", src.BANKS_SQL)
+def count_guarded_load(spark, sf_dir):
+    """Load the table twice behind a count guard: the second load is skipped."""
+    target = scratch_dir(spark, "guarded")
+    banks = src.banks(spark, sf_dir)
+    expected = banks.count()
+
+    def count():
+        return spark.read.parquet(target).count()
+
+    def load():
+        write_parquet(banks, target, mode="append")
+
+    load_unless_count(count, expected, load)
+    load_unless_count(count, expected, load)
+    return spark.read.parquet(target)
+
+
+# -- L4, K10, P7, P21: SQL models source, clean, trusted -----------------------------------
+
+def _k_sql(expr: str, pattern: str = P) -> str:
+    return f"coalesce(upper(regexp_replace({expr}, '{pattern}', '', 'g')), '')"
+
+
+@register("models_banks_trusted", f"""
+SELECT *, {_k_sql('"Nome"')} AS campo_limpo FROM ({src.BANKS_SQL})
+""")
+def models_banks_trusted(spark, sf_dir):
+    src.banks(spark, sf_dir).createOrReplaceTempView("bancos_source")
+    return clean_and_trusted(spark, "bancos_source", "Nome", "bancos", how="parquet",
+                             root=scratch_dir(spark, "models"))
+
+
+@register("models_complaints_unescaped", f"""
+SELECT *, {_k_sql('"Instituição financeira"', KEY_PATTERN_UNESCAPED_DOTS)} AS campo_limpo
+FROM ({src.COMPLAINTS_SQL})
+""")
+def models_complaints_unescaped(spark, sf_dir):
+    """The complaints model uses the pattern with unescaped dots."""
+    src.complaints(spark, sf_dir).createOrReplaceTempView("reclamacoes_source")
+    return clean_and_trusted(spark, "reclamacoes_source", "Instituição financeira", "reclamacoes",
+                             how="view", pattern=KEY_PATTERN_UNESCAPED_DOTS)
+
+
+# -- S11: encoding detection per file, then decoding with the detected encoding ----------
+
+@register("encoding_detect", f"""
+SELECT family, encoding, CAST(count(*) AS BIGINT) AS row_count,
+       CAST(count(*) FILTER (WHERE c_custkey % 3 = 0) AS BIGINT) AS cedilla_rows
+FROM (SELECT 'latin1' AS family, 'ISO-8859-1' AS encoding, c_custkey FROM customer
+      UNION ALL SELECT 'utf8', 'UTF-8', c_custkey FROM customer)
+GROUP BY family, encoding
+""")
+def encoding_detect(spark, sf_dir):
+    root = scratch_dir(spark, "encodings")
+    c = src.table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.col("c_name"), src.pick(ACCENTED, F.col("c_custkey") % 3)).alias("nome"))
+    write_csv(c, f"{root}/latin1", sep=";", encoding=LATIN_1)
+    write_csv(c, f"{root}/utf8", sep=";", encoding="UTF-8")
+    frames = []
+    for family in ("latin1", "utf8"):
+        det = detect_encoding(spark, f"{root}/{family}")
+        # A family is UTF-8 only when all its files are.
+        enc = det.agg(F.min("encoding").alias("e")).first()["e"]
+        df = read_family(spark, f"{root}/{family}", Family(sep=";", encoding=enc))
+        frames.append(df.agg(F.count(F.lit(1)).cast("long").alias("row_count"),
+                             F.count(F.when(F.col("nome").contains("ç"), 1)).cast("long").alias("cedilla_rows"))
+                      .select(F.lit(family).alias("family"), F.lit(enc).alias("encoding"),
+                              "row_count", "cedilla_rows"))
+    return union_by_name(frames)
+
+
+# -- K11, K12, P18: rows to JSON messages and back ----------------------------------------
+
+EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+@register("json_messages_roundtrip", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def json_messages_roundtrip(spark, sf_dir):
+    root = scratch_dir(spark, "messages")
+    write_messages(src.table(spark, sf_dir, "events"), root, records_per_file=5000)
+    return parse_messages(spark.read.text(root), EVENT_SCHEMA)
+
+
+@register("parse_event_props", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+""")
+def parse_event_props(spark, sf_dir):
+    """Bytes (as a broker delivers them) to text to a typed struct to columns."""
+    e = src.table(spark, sf_dir, "events").select("event_id", F.encode("props", "UTF-8").alias("value"))
+    return parse_messages(e, "k int", keep=["event_id"])
+
+
+def _nan_body():
+    head = F.expr("substring(props, 1, length(props) - 1)")
+    return (F.when(F.col("event_type") == "error", F.lit('{"k": NaN, "tag": "NaN"}'))
+            .otherwise(F.concat(head, F.lit(', "tag": "'), F.col("event_type"), F.lit('"}'))))
+
+
+@register("parse_nan_bodies", """
+SELECT event_id,
+       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract(props, '$.k') AS DOUBLE) END AS k,
+       CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS tag
+FROM events
+""")
+def parse_nan_bodies(spark, sf_dir):
+    """Bare NaN and the text "NaN" in message bodies become null."""
+    e = src.table(spark, sf_dir, "events").select("event_id", _nan_body().alias("value"))
+    return nan_text_to_null(parse_messages(e, "k double, tag string", keep=["event_id"]))
+
+
+@register("nan_to_null_values", """
+SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value FROM events
+""")
+def nan_to_null_values(spark, sf_dir):
+    e = src.table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+    return nan_to_null(e)
+
+
+# -- L1, L2, L3: raw, trusted, delivery end to end ------------------------------------------
+
+def _txt(expr: str) -> str:
+    return f"CAST({expr} AS VARCHAR)"
+
+
+def _k_empty(expr: str) -> str:
+    return f"coalesce(upper(regexp_replace({expr}, '{P}', '', 'g')), '')"
+
+
+_LAYERS_SQL = f"""
+WITH b AS (SELECT {_txt('s_suppkey')} AS s_suppkey, "Segmento", {_txt('CAST("CNPJ" AS INTEGER)')} AS "CNPJ",
+                  "Nome", {_k_empty('"Nome"')} AS campo_limpo FROM ({src.BANKS_SQL})),
+     c AS (SELECT {_txt('l_orderkey')} AS l_orderkey, {_txt('l_linenumber')} AS l_linenumber,
+                  {_txt('"Ano"')} AS "Ano", "Trimestre", "Categoria", "Tipo",
+                  {_txt('CAST("CNPJ IF" AS INTEGER)')} AS "CNPJ_IF",
+                  "Instituição financeira" AS "Instituição_financeira",
+                  {_txt('"Índice"')} AS "Índice",
+                  {_txt('"Quantidade total de reclamações"')} AS "Quantidade_total_de_reclamações",
+                  {_txt('"Quantidade de clientes – CCS"')} AS "Quantidade_de_clientes___CCS",
+                  {_k_empty('"Instituição financeira"')} AS campo_limpo FROM ({src.COMPLAINTS_SQL})),
+     e AS (SELECT employer_name, {_txt('reviews_count')} AS reviews_count, {_txt('"Geral"')} AS "Geral",
+                  {_k_empty('employer_name')} AS campo_limpo FROM ({src.EMPLOYERS_SQL}))
+SELECT b.s_suppkey, b."Segmento", b."CNPJ", b."Nome", b.campo_limpo,
+       c.l_orderkey, c.l_linenumber, c."Ano", c."Trimestre", c."Categoria", c."Tipo", c."CNPJ_IF",
+       c."Instituição_financeira", c."Índice", c."Quantidade_total_de_reclamações",
+       c."Quantidade_de_clientes___CCS", e.employer_name, e.reviews_count, e."Geral"
+FROM b JOIN c ON b.campo_limpo = c.campo_limpo JOIN e ON b.campo_limpo = e.campo_limpo
+"""
+
+
+@register("layers_end_to_end", _LAYERS_SQL)
+def layers_end_to_end(spark, sf_dir):
+    """Families written as delimited files, then raw, trusted and delivery layers.
+
+    Employers come as two file groups with different columns (one lacks
+    ``CNPJ``, the other ``Segmento``); the delivery drops the employers'
+    copies of those columns, so the result carries the banks' values.
+    """
+    root = scratch_dir(spark, "layers")
+    families = {"Bancos": src.banks(spark, sf_dir), "Reclamacoes": src.complaints(spark, sf_dir)}
+    seps = {"Bancos": "\t", "Reclamacoes": ";", "Empregados": "|"}
+    for name, df in families.items():
+        write_csv(df, f"{root}/in/{name}", sep=seps[name], encoding=LATIN_1)
+    emp = src.employers(spark, sf_dir)
+    rich = F.col("Geral") >= 5000
+    write_csv(emp.where(rich).drop("CNPJ"), f"{root}/in/Empregados", sep="|", encoding=LATIN_1)
+    write_csv(emp.where(~rich).drop("Segmento"), f"{root}/in/Empregados", sep="|", encoding=LATIN_1, mode="append")
+    sources = {n: f"{root}/in/{n}" for n in ("Bancos", "Reclamacoes", "Empregados")}
+    return run_layers(spark, sources, f"{root}/out", fmt="csv", null_key="empty")

@@ -245,8 +245,8 @@ _SNAP_COLS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
 def _snapshots(spark, sf_dir):
     o = src.table(spark, sf_dir, "orders").select("o_orderkey", *_SNAP_COLS, "o_orderdate")
-    old = o.where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")).drop("o_orderdate")
-    new = (o.where(F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz")).drop("o_orderdate")
+    old = o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")).drop("o_orderdate")
+    new = (o.where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")).drop("o_orderdate")
            .withColumn("o_orderpriority",
                        F.when(F.col("o_orderstatus") == "P", F.lit("1-URGENT")).otherwise(F.col("o_orderpriority"))))
     return old, new
@@ -254,10 +254,10 @@ def _snapshots(spark, sf_dir):
 
 @register("orders_snapshot_diff", """
 WITH old AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
-             FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'),
+             FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
      new AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
                     CASE WHEN o_orderstatus = 'P' THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority
-             FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01')
+             FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01')
 SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey,
        CASE WHEN n.o_orderkey IS NULL THEN o.o_custkey ELSE n.o_custkey END AS o_custkey,
        CASE WHEN n.o_orderkey IS NULL THEN o.o_orderstatus ELSE n.o_orderstatus END AS o_orderstatus,
