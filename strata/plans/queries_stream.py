@@ -1 +1,139 @@
-"""Streaming enrichment (T, L5, L6)."""
+"""Streaming enrichment (S9, S10 re-aimed to files; P18, P19, J4-J6, T1-T4,
+K11, K13, K14, L5, L6).
+
+A producer writes one JSON message per source row to text files; a stream
+over those files (several micro-batches, ``availableNow``) parses, cleans,
+matches against a reference table and writes per-batch Parquet. The query
+result is everything the batches wrote.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.functions.keys import KEY_PATTERN, clean_key
+from strata.plans import tpch_sources as src
+from strata.plans.layers import trusted_frame
+from strata.plans.queries_joins import EVENT_SUFFIXES, STORED_SUFFIXES
+from strata.plans.registry import register
+from strata.session import scratch_dir
+from strata.sinks.writers import write_messages
+from strata.streaming.enrich import (
+    message_stream,
+    read_batches,
+    start_enrichment,
+    start_queue_enrichment,
+)
+
+P = KEY_PATTERN
+EVENT_MESSAGE_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, instituicao string"
+RECORDS_PER_FILE = 2000
+FILES_PER_BATCH = 4
+
+
+def _k(expr: str) -> str:
+    return f"upper(regexp_replace({expr}, '{P}', '', 'g'))"
+
+
+def _event_messages(spark, sf_dir):
+    e = src.table(spark, sf_dir, "events")
+    name = (F.when(F.col("event_type") == "error", F.lit(""))
+            .otherwise(F.concat(src.padded("customer#", F.col("user_id")),
+                                src.pick(EVENT_SUFFIXES, F.col("event_id") % 4))))
+    return e.select("event_id", "user_id", "event_type", "value", name.alias("instituicao"))
+
+
+def _reference(spark, sf_dir):
+    c = src.table(spark, sf_dir, "customer")
+    name = F.concat(F.col("c_name"), src.pick(STORED_SUFFIXES, F.col("c_custkey") % 3))
+    return c.select(clean_key(name).alias("campo_limpo"))
+
+
+def run_event_stream(spark, sf_dir, root: str | None = None):
+    """Produce event messages, run the enrichment stream to the end; return its folder."""
+    root = root or scratch_dir(spark, "stream")
+    write_messages(_event_messages(spark, sf_dir), f"{root}/in", records_per_file=RECORDS_PER_FILE)
+    q = start_enrichment(spark, message_stream(spark, f"{root}/in", FILES_PER_BATCH), EVENT_MESSAGE_SCHEMA,
+                         _reference(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", field="instituicao")
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return root
+
+
+_EVENTS_SQL = f"""SELECT event_id, user_id, event_type, value, instituicao,
+  CASE WHEN kk = '' THEN 'VAZIO' ELSE kk END AS campo_limpo
+FROM (SELECT *, {_k('instituicao')} AS kk FROM (
+  SELECT event_id, user_id, event_type, value,
+         CASE WHEN event_type = 'error' THEN '' ELSE 'customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0')
+              || {src.sql_pick(EVENT_SUFFIXES, 'event_id % 4')} END AS instituicao
+  FROM events))"""
+_REF_SQL = f"""SELECT strip_accents(lower(k)) AS m, min(k) AS stored FROM (
+  SELECT {_k("c_name || " + src.sql_pick(STORED_SUFFIXES, 'c_custkey % 3'))} AS k FROM customer)
+WHERE k IS NOT NULL GROUP BY 1"""
+
+
+@register("stream_enrichment", f"""
+WITH ev AS ({_EVENTS_SQL}), ref AS ({_REF_SQL})
+SELECT ev.event_id, ev.user_id, ev.event_type, ev.value, ev.instituicao, ref.stored AS campo_limpo
+FROM ev JOIN ref ON strip_accents(lower(ev.campo_limpo)) = ref.m
+""")
+def stream_enrichment(spark, sf_dir):
+    """Event messages matched against customers per micro-batch."""
+    root = run_event_stream(spark, sf_dir)
+    return read_batches(spark, f"{root}/out/matches")
+
+
+@register("stream_rejects", f"""
+WITH ev AS ({_EVENTS_SQL}), ref AS ({_REF_SQL})
+SELECT ev.* FROM ev WHERE NOT EXISTS (SELECT 1 FROM ref WHERE ref.m = strip_accents(lower(ev.campo_limpo)))
+""")
+def stream_rejects(spark, sf_dir):
+    """The messages of the same stream that matched no customer."""
+    root = run_event_stream(spark, sf_dir)
+    return read_batches(spark, f"{root}/out/rejects")
+
+
+# -- queue enrichment (L6) -------------------------------------------------------------
+
+COMPLAINT_MESSAGE_SCHEMA = (
+    "l_orderkey bigint, l_linenumber int, Ano int, Trimestre string, Categoria string, Tipo string, "
+    "`CNPJ IF` string, `Instituição financeira` string, `Índice` double, "
+    "`Quantidade total de reclamações` double, `Quantidade de clientes – CCS` double")
+
+
+def _complaint_messages(spark, sf_dir):
+    """Complaints with NaN for a zero index (the missing value of the queue bodies)."""
+    c = src.complaints(spark, sf_dir)
+    return c.withColumn("Índice", F.when(F.col("Índice") == 0, F.lit(float("nan"))).otherwise(F.col("Índice")))
+
+
+def _txt(expr: str) -> str:
+    return f"CAST({expr} AS VARCHAR)"
+
+
+@register("queue_enrichment", f"""
+WITH b AS (SELECT {_txt('s_suppkey')} AS s_suppkey, "Segmento", "CNPJ", "Nome",
+                  coalesce({_k('"Nome"')}, '') AS campo_limpo FROM ({src.BANKS_SQL})),
+     c AS (SELECT {_txt('l_orderkey')} AS l_orderkey, {_txt('l_linenumber')} AS l_linenumber,
+                  {_txt('"Ano"')} AS "Ano", "Trimestre", "Categoria", "Tipo", "CNPJ IF" AS "CNPJ_IF",
+                  "Instituição financeira" AS "Instituição_financeira",
+                  CASE WHEN "Índice" = 0 THEN NULL ELSE {_txt('"Índice"')} END AS "Índice",
+                  {_txt('"Quantidade total de reclamações"')} AS "Quantidade_total_de_reclamações",
+                  {_txt('"Quantidade de clientes – CCS"')} AS "Quantidade_de_clientes___CCS",
+                  {_k("coalesce(\"Instituição financeira\", 'nan')")} AS campo_limpo
+           FROM ({src.COMPLAINTS_SQL}))
+SELECT b.*, c.* EXCLUDE (campo_limpo) FROM b JOIN c USING (campo_limpo)
+""")
+def queue_enrichment(spark, sf_dir):
+    """Complaint messages in bounded batches, merged with the banks table."""
+    root = scratch_dir(spark, "queue")
+    write_messages(_complaint_messages(spark, sf_dir), f"{root}/in", records_per_file=50000)
+    banks = trusted_frame(src.banks(spark, sf_dir), "Nome", null_key="empty", as_text=True)
+    q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", FILES_PER_BATCH),
+                               COMPLAINT_MESSAGE_SCHEMA, banks, f"{root}/out", f"{root}/checkpoint",
+                               field="Instituição financeira")
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return read_batches(spark, f"{root}/out")
