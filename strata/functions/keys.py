@@ -81,17 +81,30 @@ def with_clean_key(
     null_key: str = "keep",
     missing: str = "raise",
     sentinel: str = BLANK_SENTINEL,
+    drop_null_keys: bool = False,
 ) -> DataFrame:
     """Add (or replace) the key column derived from ``field``.
 
     ``missing`` decides what happens when ``field`` is absent: ``raise`` (a
     ``ValueError``) or ``pass`` (the frame is returned unchanged).
+
+    ``drop_null_keys`` (for inputs of inner joins, where a null key never
+    matches) drops the rows whose key would be null, by a cheap filter on the
+    source column. The key is then declared not-null (a ``coalesce`` that
+    never fires), so the optimizer adds no not-null filter on the key of its
+    own; such a filter would evaluate the regular expression a second time
+    per row, below any repartition.
     """
     if field not in df.columns:
         if missing == "pass":
             return df
         raise ValueError(f"Column {field!r} is not present in the DataFrame")
-    return df.withColumn(out, clean_key(F.col(f"`{field}`"), pattern, null_key, sentinel))
+    src = F.col(f"`{field}`")
+    key = clean_key(src, pattern, null_key, sentinel)
+    if drop_null_keys and null_key in ("keep", "sentinel"):
+        df = df.where(src.isNotNull())
+        key = F.coalesce(key, F.lit(""))
+    return df.withColumn(out, key)
 
 
 def blank_to_sentinel(c: Column | str, sentinel: str = BLANK_SENTINEL) -> Column:

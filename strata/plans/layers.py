@@ -85,15 +85,19 @@ def trusted_layer(spark: SparkSession, raw_root: str, out_root: str, families: l
 
 
 def delivery_frame(frames: dict[str, DataFrame], naming_order=DELIVERY_ORDER,
-                   join_order: tuple[str, ...] = ("Bancos", "Empregados", "Reclamacoes"),
+                   join_order: tuple[str, ...] = ("Reclamacoes", "Bancos", "Empregados"),
                    name_rule: str = "unicode", drop: tuple[str, ...] = DELIVERY_DROP,
                    drop_suffix: str = "_y", strip: str = "_x",
                    rename: dict[str, str] | None = None) -> DataFrame:
     """Join the families on the key and shape the columns.
 
     Collision names follow ``naming_order`` (``_x`` for the earlier frame,
-    ``_y`` for the later); the joins run in ``join_order``: the two small
-    dimensions first, then the fact, which is then shuffled once.
+    ``_y`` for the later); the joins run in ``join_order``: the fact first,
+    then each dimension. A dimension measured under the broadcast threshold
+    is broadcast and the fact is not shuffled at all; a larger one makes a
+    sort-merge join, which shuffles the fact once on the key (the second
+    join reuses that partitioning). The fact itself is never the broadcast
+    side, since its size estimate grows with the data.
     """
     ordered = [frames[n] for n in naming_order]
     idx = {n: i for i, n in enumerate(naming_order)}

@@ -39,15 +39,15 @@ EMPLOYERS_K = f"SELECT *, {_k('employer_name')} AS campo_limpo FROM ({src.EMPLOY
 
 
 def banks_k(spark, sf_dir):
-    return with_clean_key(src.banks(spark, sf_dir), "Nome")
+    return with_clean_key(src.banks(spark, sf_dir), "Nome", drop_null_keys=True)
 
 
 def complaints_k(spark, sf_dir):
-    return with_clean_key(src.complaints(spark, sf_dir), "Instituição financeira")
+    return with_clean_key(src.complaints(spark, sf_dir), "Instituição financeira", drop_null_keys=True)
 
 
 def employers_k(spark, sf_dir):
-    return with_clean_key(src.employers(spark, sf_dir), "employer_name")
+    return with_clean_key(src.employers(spark, sf_dir), "employer_name", drop_null_keys=True)
 
 
 @register("join_banks_complaints", f"""

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.files import read_parquet_spread
+
 # Decorations (ours, not the source pipeline's): suffixes appended per row.
 BANK_SUFFIXES = ["", " S.A.", " - PRUDENCIAL", " LTDA", " S/A", " (conglomerado)", " DTVM/", " CCTVM"]
 COMPLAINT_SUFFIXES = [" S.A", "", " LTDA/", " - PRUDENCIAL", " SCFI", " BM", " S/A/", " CH/"]
@@ -37,7 +39,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; a large single-split file is spread over the cores."""
+    return read_parquet_spread(spark, f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: list[str], index: Column) -> Column:

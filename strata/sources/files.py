@@ -151,6 +151,34 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under a path (file system metadata only)."""
+    _, fs, jpath = _fs_and_path(spark, path)
+    return int(fs.getContentSummary(jpath).getLength())
+
+
+def spread(df: DataFrame, total_bytes: int, bytes_per_task: int = 1 << 20) -> DataFrame:
+    """Round-robin a scan over more tasks when it has fewer splits than its size warrants.
+
+    A big table stored as one unsplittable row group is read by one task, and
+    every narrow step after the scan (key cleaning, parsing) would run in that
+    task too. When the scan has fewer partitions than
+    ``min(default parallelism, bytes / bytes_per_task)`` it is repartitioned
+    to that many. On a cluster scan of many files this is a no-op. Filters
+    and column pruning still reach the scan (both pass through the
+    repartition).
+    """
+    sc = df.sparkSession.sparkContext
+    want = min(sc.defaultParallelism, max(1, total_bytes // bytes_per_task))
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
+def read_parquet_spread(spark: SparkSession, path: str, bytes_per_task: int = 1 << 20) -> DataFrame:
+    """``read.parquet`` followed by ``spread`` on the path's size."""
+    return spread(spark.read.parquet(path), path_bytes(spark, path), bytes_per_task)
+
+
 def detect_encoding(spark: SparkSession, path: str, fallback: str = LATIN_1,
                     extensions: tuple[str, ...] = (".csv", ".tsv")) -> DataFrame:
     """Per file: ``UTF-8`` when every line is valid UTF-8, else ``fallback``.
