@@ -125,25 +125,21 @@ def read_csv_skip_long_lines(spark: SparkSession, path: str | list[str], schema:
     """CSV read that drops lines with more fields than ``schema``.
 
     Lines with fewer fields are kept, the missing fields null (the behaviour of
-    skipping only over-long lines). Done with one trailing catch-all column:
-    a line is over-long exactly when that column is present.
+    skipping only over-long lines). Each line is read once as text (decoded
+    with ``encoding``); its fields are counted from the separators outside
+    quoted sections (so a trailing empty field counts), and kept lines are
+    parsed with ``from_csv``. One scan, all JVM-side, no row leaves its task.
     """
-    extra = "__extra_field__"
-    wide = StructType(list(schema.fields) + [StructField(extra, StringType(), True)])
-    # An unmatched null marker keeps a trailing empty field visible as '' in the
-    # catch-all column; real columns get the usual "empty is null" afterwards.
-    raw = (spark.read.schema(wide)
-           .options(sep=sep, header=str(header).lower(), encoding=encoding,
-                    nullValue="\u0001__null__\u0001", mode="PERMISSIVE")
-           .csv(path))
-    kept = raw.where(F.col(extra).isNull()).drop(extra)
-    cols = []
-    for f in schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, StringType):
-            c = F.when(c == F.lit(""), F.lit(None).cast("string")).otherwise(c)
-        cols.append(c.alias(f.name))
-    return kept.select(*cols)
+    if len(sep) != 1:
+        raise ValueError("sep must be one character")
+    lines = (spark.read.schema("line string")
+             .options(sep="\u0000", quote="", escape="", header=str(header).lower(), encoding=encoding)
+             .csv(path))
+    unquoted = F.regexp_replace(F.col("line"), '"[^"]*"', "")
+    n_sep = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit("")))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv(F.col("line"), ddl, {"sep": sep, "encoding": encoding}).alias("_row")
+    return lines.where(n_sep <= len(schema.fields) - 1).select(parsed).select("_row.*")
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
