@@ -19,6 +19,8 @@ from strata.plans.registry import register
 from strata.session import scratch_dir
 from strata.sinks.writers import write_messages
 from strata.streaming.enrich import (
+    MATCHED,
+    REJECTED,
     message_stream,
     read_batches,
     start_enrichment,
@@ -27,7 +29,10 @@ from strata.streaming.enrich import (
 
 P = KEY_PATTERN
 EVENT_MESSAGE_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, instituicao string"
-RECORDS_PER_FILE = 2000
+# The producer writes a fixed number of message files (one per task, in
+# parallel); the stream takes them a few at a time, so every run has several
+# micro-batches whatever the table size.
+MESSAGE_FILES = 16
 FILES_PER_BATCH = 4
 
 
@@ -52,7 +57,7 @@ def _reference(spark, sf_dir):
 def run_event_stream(spark, sf_dir, root: str | None = None):
     """Produce event messages, run the enrichment stream to the end; return its folder."""
     root = root or scratch_dir(spark, "stream")
-    write_messages(_event_messages(spark, sf_dir), f"{root}/in", records_per_file=RECORDS_PER_FILE)
+    write_messages(_event_messages(spark, sf_dir).repartition(MESSAGE_FILES), f"{root}/in")
     q = start_enrichment(spark, message_stream(spark, f"{root}/in", FILES_PER_BATCH), EVENT_MESSAGE_SCHEMA,
                          _reference(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", field="instituicao")
     q.awaitTermination()
@@ -81,7 +86,7 @@ FROM ev JOIN ref ON strip_accents(lower(ev.campo_limpo)) = ref.m
 def stream_enrichment(spark, sf_dir):
     """Event messages matched against customers per micro-batch."""
     root = run_event_stream(spark, sf_dir)
-    return read_batches(spark, f"{root}/out/matches")
+    return read_batches(spark, f"{root}/out", outcome=MATCHED)
 
 
 @register("stream_rejects", f"""
@@ -91,7 +96,7 @@ SELECT ev.* FROM ev WHERE NOT EXISTS (SELECT 1 FROM ref WHERE ref.m = strip_acce
 def stream_rejects(spark, sf_dir):
     """The messages of the same stream that matched no customer."""
     root = run_event_stream(spark, sf_dir)
-    return read_batches(spark, f"{root}/out/rejects")
+    return read_batches(spark, f"{root}/out", outcome=REJECTED)
 
 
 # -- queue enrichment (L6) -------------------------------------------------------------
@@ -128,7 +133,7 @@ SELECT b.*, c.* EXCLUDE (campo_limpo) FROM b JOIN c USING (campo_limpo)
 def queue_enrichment(spark, sf_dir):
     """Complaint messages in bounded batches, merged with the banks table."""
     root = scratch_dir(spark, "queue")
-    write_messages(_complaint_messages(spark, sf_dir), f"{root}/in", records_per_file=50000)
+    write_messages(_complaint_messages(spark, sf_dir).repartition(MESSAGE_FILES), f"{root}/in")
     banks = trusted_frame(src.banks(spark, sf_dir), "Nome", null_key="empty", as_text=True)
     q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", FILES_PER_BATCH),
                                COMPLAINT_MESSAGE_SCHEMA, banks, f"{root}/out", f"{root}/checkpoint",

@@ -164,9 +164,12 @@ def spread(df: DataFrame, total_bytes: int, bytes_per_task: int = 1 << 20) -> Da
     and column pruning still reach the scan (both pass through the
     repartition).
     """
-    sc = df.sparkSession.sparkContext
-    want = min(sc.defaultParallelism, max(1, total_bytes // bytes_per_task))
-    have = df.rdd.getNumPartitions()
+    try:
+        sc = df.sparkSession.sparkContext
+        want = min(sc.defaultParallelism, max(1, total_bytes // bytes_per_task))
+        have = df.rdd.getNumPartitions()  # planning only: a bare scan runs no job
+    except Exception:  # sessions without an RDD API: leave the scan as it is
+        return df
     return df.repartition(want) if have < want else df
 
 

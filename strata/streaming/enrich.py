@@ -5,12 +5,12 @@ a cluster) is parsed against a fixed schema, its name field cleaned to the
 key, and each micro-batch is matched against a reference table:
 
 - matches: rows whose key exists in the table, the key replaced by the stored
-  one (``lookup_replace``); rejects: the rest (``lookup_rejects``);
+  one (as ``lookup_replace``); rejects: the rest (as ``lookup_rejects``);
+  both come from one left join and one write, partitioned by ``outcome``;
 - each batch writes to ``.../batch_id=N`` with overwrite, so a batch replayed
   after a failure rewrites the same folder and nothing is duplicated;
 - the checkpoint records which batches are done; a restart on the same
-  checkpoint resumes after the last committed batch;
-- the batch is persisted while it feeds two outputs, so it is read once.
+  checkpoint resumes after the last committed batch.
 
 The reference table is reduced to one stored key per match key and written
 to shared storage once, before the stream starts; batches read that.
@@ -31,6 +31,8 @@ from strata.functions.names import cast_all_to_string, drop_columns, drop_suffix
 from strata.operators.joins import CI_AI, merge, natural_join, reference_keys
 
 BATCH_COLUMN = "batch_id"
+OUTCOME_COLUMN = "outcome"
+MATCHED, REJECTED = "matched", "rejected"
 
 
 # -- sources ---------------------------------------------------------------------
@@ -67,9 +69,13 @@ def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(batch_path(root, batch_id))
 
 
-def read_batches(spark: SparkSession, root: str, keep_batch_id: bool = False) -> DataFrame:
-    """All batches written so far, as one DataFrame."""
+def read_batches(spark: SparkSession, root: str, keep_batch_id: bool = False,
+                 outcome: str | None = None) -> DataFrame:
+    """All batches written so far, as one DataFrame (one outcome, if given:
+    a partition filter, so only that outcome's files are read)."""
     df = spark.read.parquet(root)
+    if outcome is not None:
+        df = df.where(F.col(OUTCOME_COLUMN) == outcome).drop(OUTCOME_COLUMN)
     return df if keep_batch_id else df.drop(BATCH_COLUMN)
 
 
@@ -85,29 +91,35 @@ def prepare_reference(table: DataFrame, path: str, key: str = KEY_COLUMN,
     return table.sparkSession.read.parquet(path)
 
 
-def _lookup(batch: DataFrame, ref: DataFrame, key: str, collation: str | None):
+def _classify(batch: DataFrame, ref: DataFrame, key: str, collation: str | None) -> DataFrame:
+    """Every batch row once, with ``outcome`` matched or rejected.
+
+    One left join against the reference (one row per match key, so no row
+    fans out); a matched row takes the stored key.
+    """
     match = F.collate(F.col(key), collation) if collation else F.col(key)
     ref_match = F.collate(F.col("_match"), collation) if collation else F.col("_match")
     probe = batch.withColumn("_m", match)
     r = ref.select(ref_match.alias("_m"), "_stored")
-    matches = (probe.join(r, "_m", "inner").withColumn(key, F.col("_stored"))
-               .select(*[F.col(f"`{c}`") for c in batch.columns]))
-    rejects = probe.join(r.select("_m"), "_m", "left_anti").select(*[F.col(f"`{c}`") for c in batch.columns])
-    return matches, rejects
+    hit = F.col("_stored").isNotNull()
+    cols = [(F.when(hit, F.col("_stored")).otherwise(F.col(key)).alias(key) if c == key else F.col(f"`{c}`"))
+            for c in batch.columns]
+    return (probe.join(r, "_m", "left")
+            .select(*cols, F.when(hit, F.lit(MATCHED)).otherwise(F.lit(REJECTED)).alias(OUTCOME_COLUMN)))
 
 
 def enrich_batch_fn(ref: DataFrame, out_root: str, field: str, key: str = KEY_COLUMN,
                     null_key: str = "sentinel", collation: str | None = CI_AI) -> Callable[[DataFrame, int], None]:
-    """``process_batch(df, batch_id)``: clean, look up, write matches and rejects."""
+    """``process_batch(df, batch_id)``: clean, look up, write matches and rejects.
+
+    One job per batch: the rows are classified by one join and written once,
+    partitioned by outcome, into the batch's own folder.
+    """
 
     def process_batch(df: DataFrame, batch_id: int) -> None:
-        cleaned = with_clean_key(df, field, key, null_key=null_key).persist()
-        try:
-            matches, rejects = _lookup(cleaned, ref, key, collation)
-            write_batch(matches, f"{out_root}/matches", batch_id)
-            write_batch(rejects, f"{out_root}/rejects", batch_id)
-        finally:
-            cleaned.unpersist()
+        cleaned = with_clean_key(df, field, key, null_key=null_key)
+        out = _classify(cleaned, ref, key, collation)
+        out.write.mode("overwrite").partitionBy(OUTCOME_COLUMN).parquet(batch_path(out_root, batch_id))
 
     return process_batch
 

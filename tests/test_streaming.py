@@ -45,20 +45,20 @@ def test_stream_batches_restart_without_duplicates(spark, scratch):
     write_file(f"{scratch}/in", "m2.json", [{"id": 5, "inst": None, "v": 5.0}])
     q = run(spark, scratch)
     assert progress_summary(q)["input_rows"] == 5
-    matches = {r["id"]: r["campo_limpo"] for r in read_batches(spark, f"{scratch}/out/matches").collect()}
+    matches = {r["id"]: r["campo_limpo"] for r in read_batches(spark, f"{scratch}/out", outcome="matched").collect()}
     # Accent- and case-blind lookup returns the stored key; a blank name
     # becomes the sentinel, which the table holds; null never matches.
     assert matches == {1: "BANCO AÇÃO", 3: "ITAU", 4: "VAZIO"}
-    rejects = sorted(r["id"] for r in read_batches(spark, f"{scratch}/out/rejects").collect())
+    rejects = sorted(r["id"] for r in read_batches(spark, f"{scratch}/out", outcome="rejected").collect())
     assert rejects == [2, 5]
-    batches = {r["batch_id"] for r in read_batches(spark, f"{scratch}/out/matches", keep_batch_id=True).collect()}
+    batches = {r["batch_id"] for r in read_batches(spark, f"{scratch}/out", keep_batch_id=True, outcome="matched").collect()}
     assert len(batches) >= 2
 
     # New data, same checkpoint: only the new file is processed.
     write_file(f"{scratch}/in", "m3.json", [{"id": 6, "inst": "Itau S/A", "v": 6.0}])
     q2 = run(spark, scratch)
     assert progress_summary(q2)["input_rows"] == 1
-    ids = sorted(r["id"] for r in read_batches(spark, f"{scratch}/out/matches").collect())
+    ids = sorted(r["id"] for r in read_batches(spark, f"{scratch}/out", outcome="matched").collect())
     assert ids == [1, 3, 4, 6]
 
 
@@ -68,8 +68,8 @@ def test_replayed_batch_is_idempotent(spark, scratch):
     fn = enrich_batch_fn(ref, f"{scratch}/out", "inst")
     fn(batch, 7)
     fn(batch, 7)  # the same batch again after a failure
-    assert read_batches(spark, f"{scratch}/out/matches").count() == 1
-    assert read_batches(spark, f"{scratch}/out/rejects").count() == 1
+    assert read_batches(spark, f"{scratch}/out", outcome="matched").count() == 1
+    assert read_batches(spark, f"{scratch}/out", outcome="rejected").count() == 1
 
 
 def test_queue_batch_merge_and_fallback(spark, scratch):
