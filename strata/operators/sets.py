@@ -27,14 +27,25 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
+def _distinct_keys(other: DataFrame, on: str | list[str] | Column) -> DataFrame:
+    """The other side reduced to its distinct join keys (map-side partial
+    aggregation); the semi/anti join reuses the aggregate's partitioning, so a
+    key repeated across many rows is shuffled once per task, not once per row."""
+    if isinstance(on, str):
+        on = [on]
+    if isinstance(on, list) and all(isinstance(c, str) for c in on):
+        return other.select(*[F.col(f"`{c}`") for c in on]).distinct()
+    return other
+
+
 def exists_in(df: DataFrame, other: DataFrame, on: str | list[str] | Column) -> DataFrame:
     """Rows of ``df`` with at least one partner in ``other`` (semi join)."""
-    return df.join(other, on, "left_semi")
+    return df.join(_distinct_keys(other, on), on, "left_semi")
 
 
 def missing_in(df: DataFrame, other: DataFrame, on: str | list[str] | Column) -> DataFrame:
     """Rows of ``df`` with no partner in ``other`` (anti join)."""
-    return df.join(other, on, "left_anti")
+    return df.join(_distinct_keys(other, on), on, "left_anti")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -53,9 +64,22 @@ def union_by_name(frames: list[DataFrame], as_text: bool = False) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def sort_by(df: DataFrame, *columns: str, ascending: bool | list[bool] = True) -> DataFrame:
-    """Global sort (range-partitioned by Spark, not gathered on one task)."""
-    return df.orderBy(*[F.col(f"`{c}`") for c in columns], ascending=ascending)
+def sort_by(df: DataFrame, *columns: str, ascending: bool | list[bool] = True,
+            tie_break: bool = True) -> DataFrame:
+    """Global sort, range-partitioned by Spark (never gathered on one task).
+
+    With ``tie_break`` the remaining columns are appended (ascending) to the
+    sort key. The order becomes total (the same on every run) and, above all,
+    a value shared by a third of the rows no longer maps to one range
+    partition: the range boundaries can fall inside it.
+    """
+    keys = list(columns)
+    asc = [ascending] * len(keys) if isinstance(ascending, bool) else list(ascending)
+    if tie_break:
+        rest = [c for c in df.columns if c not in keys]
+        keys += rest
+        asc += [True] * len(rest)
+    return df.orderBy(*[F.col(f"`{c}`") for c in keys], ascending=asc)
 
 
 def preview(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:

@@ -88,3 +88,19 @@ def test_join_size_matches_brute_force(spark):
     r = spark.createDataFrame(right, "k string")
     brute = sum(1 for (a,) in left for (b,) in right if a is not None and a == b)
     assert join_size(l, r, "k").first()["pairs"] == brute
+
+
+def test_hot_key_lookup_and_merge_match_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    # One key holds a third of the probe rows; the table repeats keys too.
+    probe = [(i, "HOT" if i % 3 == 0 else f"K{rnd.randint(0, 30)}") for i in range(600)]
+    table = [("HOT",)] * 5 + [(f"K{rnd.randint(0, 40)}",) for _ in range(60)]
+    p = spark.createDataFrame(probe, "id int, campo_limpo string")
+    t = spark.createDataFrame(table, "campo_limpo string")
+    keys = {k for (k,) in table}
+    got = rows(lookup_replace(p, t))
+    assert got == sorted((i, k) for i, k in probe if k in keys)  # no fan-out despite repeated table keys
+    assert rows(lookup_rejects(p, t)) == sorted((i, k) for i, k in probe if k not in keys)
+    pairs = merge(p, t.withColumn("n", t.campo_limpo)).count()
+    assert pairs == sum(1 for _, k in probe for (tk,) in table if tk == k)

@@ -65,3 +65,32 @@ def test_checks_on_empty_table_fail_not_crash(spark):
     df = spark.createDataFrame([], "Nome string")
     out = {r["check_name"]: r["passed"] for r in run_checks(df, ["row_count > 0", "min_length(Nome) >= 2"]).collect()}
     assert out == {"row_count > 0": False, "min_length(Nome) >= 2": False}
+
+
+def test_semi_anti_with_repeated_keys(spark):
+    from strata.operators.sets import exists_in, missing_in
+    c = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    o = spark.createDataFrame([(1,)] * 50 + [(3,)] * 2, "k int")
+    assert sorted(r[0] for r in exists_in(c, o, "k").collect()) == [1, 3]
+    assert [r[0] for r in missing_in(c, o, "k").collect()] == [2]
+
+
+def test_sort_by_hot_value_spreads_over_ranges(spark):
+    from pyspark.sql import functions as F
+    from strata.operators.sets import sort_by
+    # A third of the rows share one value of the sort column.
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("g"),
+                                  F.col("id").alias("v"))
+    # Small data: keep AQE from merging the range partitions back into one.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = sort_by(df, "g")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        no_tie = sort_by(df, "g", tie_break=False)
+        sizes_no_tie = [r["count"] for r in no_tie.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes_no_tie) >= 1000  # the hot value sits in one range
+    assert max(sizes) < 1000
+    rows = [tuple(r) for r in out.collect()]
+    assert rows == sorted(rows)
