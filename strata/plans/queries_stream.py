@@ -141,4 +141,4 @@ def queue_enrichment(spark, sf_dir):
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return read_batches(spark, f"{root}/out")
+    return read_batches(spark, f"{root}/out/batches")

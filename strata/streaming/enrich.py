@@ -162,16 +162,24 @@ def queue_batch_fn(reference: DataFrame, out_root: str, field: str, key: str = K
 def start_queue_enrichment(spark: SparkSession, source: DataFrame, schema: StructType | str,
                            reference: DataFrame, out_root: str, checkpoint: str, field: str,
                            key: str = KEY_COLUMN) -> StreamingQuery:
+    """Parse queue messages and merge each batch with the reference table.
+
+    The reference is written once to shared storage before the stream starts,
+    so batches read stored rows instead of recomputing it.
+    """
+    ref_path = f"{out_root}/_reference"
+    reference.write.mode("overwrite").parquet(ref_path)
+    ref = spark.read.parquet(ref_path)
     parsed = parse_messages(source, schema)
     return (parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .foreachBatch(queue_batch_fn(reference, out_root, field, key))
+            .foreachBatch(queue_batch_fn(ref, f"{out_root}/batches", field, key))
             .trigger(availableNow=True).start())
 
 
 # -- progress ----------------------------------------------------------------------------
 
 def progress_summary(query: StreamingQuery) -> dict:
-    """Batches run and rows read so far, and the rows of the latest batch."""
+    """Batches run and rows read so far, the latest batch, and source backlog metrics."""
     progress = query.recentProgress or []
     last = query.lastProgress or {}
     return {
@@ -179,4 +187,6 @@ def progress_summary(query: StreamingQuery) -> dict:
         "input_rows": sum(int(p.get("numInputRows", 0)) for p in progress),
         "last_batch_rows": int(last.get("numInputRows", 0)) if last else 0,
         "last_batch_id": last.get("batchId") if last else None,
+        # Per source: its own backlog figures (Kafka reports offsets behind latest).
+        "source_metrics": [src.get("metrics", {}) for src in last.get("sources", [])] if last else [],
     }
