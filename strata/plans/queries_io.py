@@ -220,7 +220,7 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
 """)
 def parse_event_props(spark, sf_dir):
     """Bytes (as a broker delivers them) to text to a typed struct to columns."""
-    e = src.table(spark, sf_dir, "events").select("event_id", F.encode("props", "UTF-8").alias("value"))
+    e = src.table(spark, sf_dir, "events", spread=True).select("event_id", F.encode("props", "UTF-8").alias("value"))
     return parse_messages(e, "k int", keep=["event_id"])
 
 
@@ -238,7 +238,7 @@ FROM events
 """)
 def parse_nan_bodies(spark, sf_dir):
     """Bare NaN and the text "NaN" in message bodies become null."""
-    e = src.table(spark, sf_dir, "events").select("event_id", _nan_body().alias("value"))
+    e = src.table(spark, sf_dir, "events", spread=True).select("event_id", _nan_body().alias("value"))
     return nan_text_to_null(parse_messages(e, "k double, tag string", keep=["event_id"]))
 
 

@@ -116,7 +116,7 @@ def columns_prefix_rename_drop(spark, sf_dir):
 
 
 def _named_complaints(spark, sf_dir):
-    c = src.complaints(spark, sf_dir)
+    c = src.complaints(spark, sf_dir, spread=False)
     return c.withColumn("12 meses", F.col("Ano"))
 
 
@@ -173,7 +173,7 @@ def _reference(spark, sf_dir):
 
 
 def _event_keys(spark, sf_dir):
-    e = src.table(spark, sf_dir, "events")
+    e = src.table(spark, sf_dir, "events", spread=True)
     name = (F.when(F.col("event_type") == "error", F.lit(""))
             .otherwise(F.concat(src.padded("customer#", F.col("user_id")),
                                 src.pick(EVENT_SUFFIXES, F.col("event_id") % 4))))

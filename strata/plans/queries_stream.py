@@ -109,7 +109,7 @@ COMPLAINT_MESSAGE_SCHEMA = (
 
 def _complaint_messages(spark, sf_dir):
     """Complaints with NaN for a zero index (the missing value of the queue bodies)."""
-    c = src.complaints(spark, sf_dir)
+    c = src.complaints(spark, sf_dir, spread=False)  # the producer repartitions anyway
     return c.withColumn("Índice", F.when(F.col("Índice") == 0, F.lit(float("nan"))).otherwise(F.col("Índice")))
 
 

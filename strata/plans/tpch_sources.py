@@ -38,9 +38,12 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; a large single-split file is spread over the cores."""
-    return read_parquet_spread(spark, f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. ``spread`` for inputs whose rows then go through a
+    CPU-heavy step (regular expressions, JSON): a large single-split file is
+    then read into as many tasks as its size warrants."""
+    path = f"{sf_dir}/{name}.parquet"
+    return read_parquet_spread(spark, path) if spread else spark.read.parquet(path)
 
 
 def pick(values: list[str], index: Column) -> Column:
@@ -84,8 +87,8 @@ FROM supplier
 
 # -- complaints (lineitem) ------------------------------------------------------
 
-def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def complaints(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem", spread)
     return li.select(
         F.col("l_orderkey"),
         F.col("l_linenumber"),
