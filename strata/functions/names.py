@@ -108,6 +108,8 @@ def cast_all_to_string(df: DataFrame) -> DataFrame:
 
 
 def fill_blank(df: DataFrame, value: str = "") -> DataFrame:
-    """Nulls in text columns become ``value``."""
-    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    return df.na.fill(value, subset=cols) if cols else df
+    """Nulls in text columns become ``value`` (names with dots or spaces are safe)."""
+    return df.select(*[
+        F.coalesce(F.col(f"`{f.name}`"), F.lit(value)).alias(f.name) if isinstance(f.dataType, StringType)
+        else F.col(f"`{f.name}`")
+        for f in df.schema.fields])

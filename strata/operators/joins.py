@@ -1,10 +1,14 @@
 """Joins on the cleaned key.
 
 All joins are plain DataFrame joins: Catalyst picks the strategy and AQE
-re-plans at runtime. A side is broadcast only when its measured size is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise the join is a
-sort-merge join whose skewed partitions AQE splits. No helper here collects
-rows or hints a broadcast of a side whose size is not bounded.
+re-plans at runtime. A broadcast is hinted only by ``broadcast_if_small``,
+after measuring an upper bound of the side's in-memory size; otherwise the
+planner's own size checks apply and beyond them the join is a sort-merge join
+whose skewed partitions AQE splits. No helper collects rows.
+
+A join under a collation (``collated_join``, ``lookup_*`` with a collation)
+always plans as a sort-merge join: Spark offers no hash join on collated keys,
+so both sides are shuffled once on the collation key.
 
 - ``merge``: equi-join with explicit collision suffixes (pandas-style ``_x`` /
   ``_y`` by default, ``('', '_1')`` for the tool that numbers duplicates).
@@ -26,10 +30,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from strata.functions.keys import KEY_COLUMN
 
 CI_AI = "UNICODE_CI_AI"
+# Broadcast limit when the session sets none: the in-memory bound of a side.
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 _SEMI_ANTI = {"semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti"}
 
 
@@ -199,3 +206,39 @@ def join_size(left: DataFrame, right: DataFrame, left_key: str, right_key: str |
     rc = right.groupBy(_q(right_key).alias("_k")).agg(F.count(F.lit(1)).alias("_nr"))
     return (lc.join(rc, "_k", "inner")
             .agg(F.coalesce(F.sum(F.col("_nl") * F.col("_nr")), F.lit(0)).cast("long").alias("pairs")))
+
+
+def size_bound_bytes(df: DataFrame) -> int:
+    """An upper bound of ``df``'s size as Spark rows in memory, measured.
+
+    One aggregation pass (row count and the byte length of every string or
+    binary value); meant for stored data such as a materialised dimension.
+    Per row: the null bitset and an 8-byte slot per field; per variable
+    value: its bytes rounded up to 8.
+    """
+    fields = df.schema.fields
+    var = [f.name for f in fields if isinstance(f.dataType, (StringType, BinaryType))]
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs += [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`")) + F.lit(7)), F.lit(0)).alias(f"_v{i}")
+             for i, c in enumerate(var)]
+    row = df.agg(*aggs).first()
+    per_row = 8 * ((len(fields) + 63) // 64) + 8 * len(fields)
+    return int(row["_rows"]) * per_row + sum(int(row[f"_v{i}"]) for i in range(len(var)))
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its measured size bound is under the limit, else ``df``.
+
+    The limit defaults to the session's
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (or 32 MB). Beyond it
+    the join stays a shuffle join, with AQE splitting skewed partitions.
+    """
+    if max_bytes is None:
+        conf = df.sparkSession.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+        try:
+            max_bytes = int(str(conf).lower().removesuffix("b")) if conf else DEFAULT_BROADCAST_BYTES
+        except ValueError:
+            max_bytes = DEFAULT_BROADCAST_BYTES
+    if max_bytes <= 0:
+        return df
+    return F.broadcast(df) if size_bound_bytes(df) <= max_bytes else df

@@ -28,7 +28,7 @@ from strata.functions.names import (
     rename_present,
     strip_suffix,
 )
-from strata.operators.joins import merge_chain
+from strata.operators.joins import broadcast_if_small, merge_chain
 from strata.sinks.writers import write_csv, write_jdbc, write_parquet
 from strata.sources.files import LATIN_1, family_for, read_family
 
@@ -109,10 +109,18 @@ def delivery_frame(frames: dict[str, DataFrame], naming_order=DELIVERY_ORDER,
     return rename_present(out, rename or {})
 
 
+FACT = "Reclamacoes"
+
+
 def delivery_layer(spark: SparkSession, trusted_root: str, out_path: str,
                    jdbc: dict | None = None, **shape) -> DataFrame:
-    """Read trusted Parquet, join, write Parquet once (and JDBC once if given)."""
+    """Read trusted Parquet, join, write Parquet once (and JDBC once if given).
+
+    Each dimension is broadcast only when its measured size (it is stored, so
+    one cheap pass) is under the broadcast limit; the fact never is.
+    """
     frames = {n: spark.read.parquet(f"{trusted_root}/{n}") for n in DELIVERY_ORDER}
+    frames = {n: (df if n == FACT else broadcast_if_small(df)) for n, df in frames.items()}
     df = delivery_frame(frames, **shape)
     write_parquet(df, out_path)
     result = spark.read.parquet(out_path)

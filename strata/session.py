@@ -18,10 +18,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A side is broadcast only when Spark has measured (AQE: at runtime, from
-    # shuffle statistics) that it is under this size; beyond it the join stays
-    # a sort-merge join, with skewed partitions split by AQE.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Planner broadcasts: statically only under Spark's default estimate
+    # (10 MB); at runtime (AQE, from measured shuffle sizes) under 32 MB, which
+    # is also the limit of strata's own measured `broadcast_if_small`. Beyond
+    # them a join stays a sort-merge join, skewed partitions split by AQE.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",

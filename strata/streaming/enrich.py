@@ -13,7 +13,8 @@ key, and each micro-batch is matched against a reference table:
   checkpoint resumes after the last committed batch.
 
 The reference table is reduced to one stored key per match key and written
-to shared storage once, before the stream starts; batches read that.
+to shared storage once, before the stream starts; batches read that. It is
+broadcast only when its measured size is under the broadcast limit.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql.types import StructType
 from strata.functions.keys import KEY_COLUMN, with_clean_key
 from strata.functions.messages import nan_text_to_null, parse_messages
 from strata.functions.names import cast_all_to_string, drop_columns, drop_suffixed, rename_all, strip_suffix
-from strata.operators.joins import CI_AI, merge, natural_join, reference_keys
+from strata.operators.joins import CI_AI, broadcast_if_small, merge, natural_join, reference_keys
 
 BATCH_COLUMN = "batch_id"
 OUTCOME_COLUMN = "outcome"
@@ -88,7 +89,7 @@ def prepare_reference(table: DataFrame, path: str, key: str = KEY_COLUMN,
     """
     ref = reference_keys(table, key, collation)
     ref.select(F.col("_match").cast("string").alias("_match"), "_stored").write.mode("overwrite").parquet(path)
-    return table.sparkSession.read.parquet(path)
+    return broadcast_if_small(table.sparkSession.read.parquet(path))
 
 
 def _classify(batch: DataFrame, ref: DataFrame, key: str, collation: str | None) -> DataFrame:
@@ -169,7 +170,7 @@ def start_queue_enrichment(spark: SparkSession, source: DataFrame, schema: Struc
     """
     ref_path = f"{out_root}/_reference"
     reference.write.mode("overwrite").parquet(ref_path)
-    ref = spark.read.parquet(ref_path)
+    ref = broadcast_if_small(spark.read.parquet(ref_path))
     parsed = parse_messages(source, schema)
     return (parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
             .foreachBatch(queue_batch_fn(ref, f"{out_root}/batches", field, key))

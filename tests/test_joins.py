@@ -104,3 +104,20 @@ def test_hot_key_lookup_and_merge_match_brute_force(spark):
     assert rows(lookup_rejects(p, t)) == sorted((i, k) for i, k in probe if k not in keys)
     pairs = merge(p, t.withColumn("n", t.campo_limpo)).count()
     assert pairs == sum(1 for _, k in probe for (tk,) in table if tk == k)
+
+
+def test_broadcast_only_under_measured_bound(spark):
+    from strata.operators.joins import broadcast_if_small, size_bound_bytes
+    df = spark.createDataFrame([(i, "x" * 100) for i in range(1000)], "k long, s string")
+    bound = size_bound_bytes(df)
+    assert bound >= 1000 * (16 + 8 + 100)  # slots, bitset and string bytes
+    small = broadcast_if_small(df, max_bytes=bound)
+    big = broadcast_if_small(df, max_bytes=bound - 1)
+    fact = spark.range(10).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in fact.join(small, "k")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fact.join(big, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    assert "SortMergeJoin" in plan

@@ -61,3 +61,12 @@ def test_text_and_blanks(spark):
     df = spark.createDataFrame([(1, None, 2.5)], "a int, b string, c double")
     out = fill_blank(cast_all_to_string(df))
     assert out.first().asDict() == {"a": "1", "b": "", "c": "2.5"}
+
+
+def test_edits_on_names_with_dots(spark):
+    df = spark.createDataFrame([(None, 1)], "`Banco S.A` string, `x.y` int")
+    out = fill_blank(cast_all_to_string(df))
+    assert out.columns == ["Banco S.A", "x.y"]
+    assert out.first()["Banco S.A"] == ""
+    assert drop_columns(out, ["x.y"]).columns == ["Banco S.A"]
+    assert rename_all(out, "unicode").columns == ["Banco_S_A", "x_y"]
