@@ -9,6 +9,7 @@ and returns the result; the oracle is plain SQL over the source tables.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.functions.keys import KEY_PATTERN, KEY_PATTERN_UNESCAPED_DOTS
 from strata.functions.messages import nan_text_to_null, nan_to_null, parse_messages
@@ -29,10 +30,10 @@ from strata.sources.catalog import parquet_to_table
 from strata.sources.files import (
     LATIN_1,
     Family,
-    _fs_and_path,
     detect_encoding,
     read_csv_skip_long_lines,
     read_family,
+    touch,
 )
 
 P = KEY_PATTERN
@@ -42,12 +43,6 @@ CITIES = ["São Paulo", "Brasília", "Niterói"]
 ACCENTED = [" Conceição", " São João", " Ribeirão"]
 
 
-def _touch(spark, path: str) -> None:
-    """Create a zero-byte file (an empty member of a family)."""
-    _, fs, jpath = _fs_and_path(spark, path)
-    fs.create(jpath, True).close()
-
-
 # -- S1, S4, A5, K1: family scan with schema drift and an empty file -----------
 
 @register("csv_family_union", f"""
@@ -66,7 +61,7 @@ def csv_family_union(spark, sf_dir):
               root, sep=fam.sep, encoding=fam.encoding)
     write_csv(c.where(~(F.col("c_acctbal") < 5000)).select("c_custkey", "c_name", "cidade", "c_mktsegment"),
               root, sep=fam.sep, encoding=fam.encoding, mode="append")
-    _touch(spark, f"{root}/empty.csv")
+    touch(spark, f"{root}/empty.csv")
     return read_family(spark, root, fam)
 
 
@@ -85,9 +80,9 @@ def csv_skip_long_lines(spark, sf_dir):
             .when(F.col("o_orderstatus") == "F", F.concat_ws("\t", *fields))
             .otherwise(F.concat_ws("\t", *fields, F.col("o_orderpriority"))))
     o.select(line.alias("value")).write.mode("overwrite").text(root)
-    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
-    from pyspark.sql.types import _parse_datatype_string
-    return read_csv_skip_long_lines(spark, root, _parse_datatype_string(schema), sep="\t", header=False)
+    schema = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
+                         StructField("o_orderstatus", StringType()), StructField("o_orderpriority", StringType())])
+    return read_csv_skip_long_lines(spark, root, schema, sep="\t", header=False)
 
 
 # -- S5: reread with schema inference ----------------------------------------------

@@ -1,7 +1,6 @@
 """Writers: CSV, Parquet, tables, JDBC and JSON messages."""
 
 from strata.sinks.writers import (
-    blank_sink_nans,
     copy_query_to_parquet,
     load_unless_count,
     save_table,

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.functions.messages import to_messages
 from strata.functions.names import cast_all_to_string, lower_name
@@ -127,13 +126,3 @@ def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str, key_col: str
     """One JSON message per row to a Kafka topic (needs the Kafka connector)."""
     (to_messages(df, key_col=key_col).write.format("kafka")
      .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())
-
-
-def blank_sink_nans(df: DataFrame) -> DataFrame:
-    """Alias kept next to the writers: NaN to null before a sink without NaN."""
-    from strata.functions.messages import nan_to_null
-    return nan_to_null(df)
-
-
-def stamp_batch(df: DataFrame, batch_id: int, column: str = "batch_id") -> DataFrame:
-    return df.withColumn(column, F.lit(batch_id).cast("long"))

@@ -12,4 +12,5 @@ from strata.sources.files import (
     read_csv_skip_long_lines,
     read_family,
     read_parquet,
+    touch,
 )

@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 LATIN_1 = "ISO-8859-1"
 
@@ -87,6 +87,12 @@ def read_header(spark: SparkSession, path: str, encoding: str, max_bytes: int =
         stream.close()
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create a zero-byte file (for example an empty member of a family)."""
+    _, fs, jpath = _fs_and_path(spark, path)
+    fs.create(jpath, True).close()
+
+
 # -- readers ---------------------------------------------------------------------
 
 def _reader(spark: SparkSession, fam: Family, infer: bool):

@@ -1,7 +1,6 @@
 """Key cleaning semantics and the four null-key policies."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from strata.functions.keys import (
     KEY_PATTERN_UNESCAPED_DOTS,

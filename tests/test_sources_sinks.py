@@ -3,7 +3,6 @@
 import os
 
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
