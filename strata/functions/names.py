@@ -15,31 +15,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+_NON_WORD = re.compile(r"\W")            # Python's \w: isalnum() or '_' (Unicode-aware)
+_NON_ASCII_WORD = re.compile(r"[^0-9A-Za-z_]")
+
+
 def unicode_name(name: str) -> str:
-    """Spaces and hyphens to '_'; any other non-alphanumeric to '_'.
+    """Every character that is not a letter, digit or '_' becomes '_'.
 
     Letters outside ASCII are kept (``Instituição financeira`` gives
     ``Instituição_financeira``).
     """
-    name = name.replace(" ", "_").replace("-", "_")
-    return "".join(c if c.isalnum() or c == "_" else "_" for c in name)
-
-
-_NOT_ASCII_WORD = re.compile(r"[^0-9a-zA-Z_]")
-_LEADING_DIGIT = re.compile(r"^\d")
+    return _NON_WORD.sub("_", name)
 
 
 def ascii_name(name: str, digit_prefix: str = "col_") -> str:
-    """Everything outside ``[0-9a-zA-Z_]`` to '_'; a leading digit gets a prefix."""
-    name = _NOT_ASCII_WORD.sub("_", name)
-    if _LEADING_DIGIT.match(name):
-        name = digit_prefix + name
-    return name
+    """Everything outside ``[0-9A-Za-z_]`` becomes '_'; a leading digit gets a prefix."""
+    name = _NON_ASCII_WORD.sub("_", name)
+    return digit_prefix + name if name[:1].isdigit() else name
 
 
 def lower_name(name: str) -> str:
-    """Drop everything but alphanumerics and '_', then lower-case."""
-    return "".join(c for c in name if c.isalnum() or c == "_").lower()
+    """Only letters, digits and '_' are kept, lower-cased."""
+    return _NON_WORD.sub("", name).lower()
 
 
 NAME_RULES: dict[str, Callable[[str], str]] = {

@@ -123,9 +123,24 @@ def read_family(spark: SparkSession, path: str, family: Family | str = DEFAULT_F
     for f in files:
         groups.setdefault(read_header(spark, f, fam.encoding), []).append(f)
     frames = [_reader(spark, fam, infer).csv(g) for g in groups.values()]
+    if infer and len(frames) > 1:
+        frames = _text_where_types_differ(frames)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _text_where_types_differ(frames: list[DataFrame]) -> list[DataFrame]:
+    """A column inferred with different types in different file groups becomes text."""
+    seen: dict[str, set] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            seen.setdefault(f.name, set()).add(f.dataType.simpleString())
+    mixed = {c for c, types in seen.items() if len(types) > 1}
+    if not mixed:
+        return frames
+    return [df.select(*[(F.col(f"`{c}`").cast("string").alias(c) if c in mixed else F.col(f"`{c}`"))
+                        for c in df.columns]) for df in frames]
+
+
 def read_csv_skip_long_lines(spark: SparkSession, path: str | list[str], schema: StructType,
                              sep: str = "\t", encoding: str = LATIN_1, header: bool = True) -> DataFrame:
     """CSV read that drops lines with more fields than ``schema``.

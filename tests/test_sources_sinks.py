@@ -126,3 +126,25 @@ def test_load_unless_count(spark, scratch):
 def test_text_table_types(spark):
     df = spark.createDataFrame([(1, "a")], "`CNPJ IF` int, Nome string")
     assert text_table_types(df) == "cnpjif VARCHAR(255), nome VARCHAR(255)"
+
+
+def test_family_inference_with_drifting_types(spark, scratch):
+    d = local(scratch)
+    with open(f"{d}/a.csv", "w") as f:
+        f.write("id;v\n1;10\n2;20\n")
+    with open(f"{d}/b.csv", "w") as f:
+        f.write("v;id;w\nx;3;1.5\n")
+    df = read_family(spark, d, Family(sep=";"), infer=True)
+    types = dict(df.dtypes)
+    assert types == {"id": "int", "v": "string", "w": "double"}
+    assert sorted((r["id"], r["v"]) for r in df.collect()) == [(1, "10"), (2, "20"), (3, "x")]
+
+
+def test_sql_model_replaces_existing_key(spark):
+    from strata.plans.models import clean_and_trusted
+    spark.createDataFrame([("Banco X S.A.", "old")], "Nome string, campo_limpo string") \
+        .createOrReplaceTempView("model_src")
+    out = clean_and_trusted(spark, "model_src", "Nome", "model_test")
+    assert out.columns == ["Nome", "campo_limpo"]
+    assert out.first()["campo_limpo"] == "BANCO X"
+    assert spark.table("model_test_clean").count() == 1
