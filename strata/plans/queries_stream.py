@@ -25,6 +25,7 @@ from strata.streaming.enrich import (
     read_batches,
     start_enrichment,
     start_queue_enrichment,
+    start_stream_static_join,
 )
 
 P = KEY_PATTERN
@@ -142,3 +143,33 @@ def queue_enrichment(spark, sf_dir):
     if q.exception():
         raise RuntimeError(str(q.exception()))
     return read_batches(spark, f"{root}/out/batches")
+
+
+# -- stream-static join (J6) ---------------------------------------------------------
+
+def _customer_dimension(spark, sf_dir):
+    """Customers keyed by their cleaned stored name, with segment and nation."""
+    c = src.table(spark, sf_dir, "customer")
+    name = F.concat(F.col("c_name"), src.pick(STORED_SUFFIXES, F.col("c_custkey") % 3))
+    return c.select(clean_key(name).alias("campo_limpo"), "c_custkey", "c_mktsegment", "c_nationkey")
+
+
+@register("stream_static_join", f"""
+WITH ev AS (SELECT event_id, user_id, event_type, value, instituicao, {_k('instituicao')} AS campo_limpo
+            FROM ({_EVENTS_SQL})),
+     c AS (SELECT {_k("c_name || " + src.sql_pick(STORED_SUFFIXES, 'c_custkey % 3'))} AS campo_limpo,
+                  c_custkey, c_mktsegment, c_nationkey FROM customer)
+SELECT ev.*, c.c_custkey, c.c_mktsegment, c.c_nationkey FROM ev JOIN c USING (campo_limpo)
+""")
+def stream_static_join(spark, sf_dir):
+    """Event messages joined, as a stream, with the customer table (exact key),
+    appended to a Parquet file sink (J6)."""
+    root = scratch_dir(spark, "stream-static")
+    write_messages(_event_messages(spark, sf_dir).repartition(MESSAGE_FILES), f"{root}/in")
+    q = start_stream_static_join(spark, message_stream(spark, f"{root}/in", FILES_PER_BATCH), EVENT_MESSAGE_SCHEMA,
+                                 _customer_dimension(spark, sf_dir), f"{root}/out", f"{root}/checkpoint",
+                                 field="instituicao")
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{root}/out")

@@ -138,6 +138,28 @@ def start_enrichment(spark: SparkSession, source: DataFrame, schema: StructType
     return w.start()
 
 
+# -- stream-static join straight to a file sink ---------------------------------------
+
+def start_stream_static_join(spark: SparkSession, source: DataFrame, schema: StructType | str,
+                             reference: DataFrame, out_path: str, checkpoint: str, field: str,
+                             key: str = KEY_COLUMN, null_key: str = "keep",
+                             available_now: bool = True) -> StreamingQuery:
+    """Parsed messages, keyed, inner-joined with a static table, appended to Parquet.
+
+    The file sink records each committed batch in its own log next to the
+    data, so a restart after a failure neither loses nor repeats a batch;
+    readers of ``out_path`` see only committed files. The reference side is
+    broadcast only under its measured size bound.
+    """
+    ref = broadcast_if_small(reference)
+    keyed = with_clean_key(parse_messages(source, schema), field, key, null_key=null_key, drop_null_keys=True)
+    joined = merge(keyed, ref, key, "inner")
+    w = (joined.writeStream.format("parquet").outputMode("append")
+         .option("path", out_path).option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
+
+
 # -- the queue variant -----------------------------------------------------------------
 
 def queue_batch_fn(reference: DataFrame, out_root: str, field: str, key: str = KEY_COLUMN,

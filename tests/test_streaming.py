@@ -85,3 +85,22 @@ def test_queue_batch_merge_and_fallback(spark, scratch):
     other = spark.createDataFrame([("S1", 9)], "Segmento string, n int")
     queue_batch_fn(banks, f"{scratch}/q2", "absent")(other, 0)
     assert read_batches(spark, f"{scratch}/q2").first()["n"] == "9"
+
+
+def test_stream_static_join_file_sink_restart(spark, scratch):
+    from strata.streaming.enrich import start_stream_static_join
+    dim = spark.createDataFrame([("ITAU", 1), ("BANCO AÇÃO", 2)], "campo_limpo string, seg int")
+
+    def go():
+        q = start_stream_static_join(spark, message_stream(spark, f"{scratch}/in", 1), SCHEMA, dim,
+                                     f"{scratch}/out", f"{scratch}/ckpt", field="inst")
+        q.awaitTermination()
+        assert q.exception() is None
+
+    write_file(f"{scratch}/in", "a.json", [{"id": 1, "inst": "Itau S.A.", "v": 1.0}, {"id": 2, "inst": None, "v": 2.0}])
+    write_file(f"{scratch}/in", "b.json", [{"id": 3, "inst": "Banco Ação", "v": 3.0}])
+    go()
+    write_file(f"{scratch}/in", "c.json", [{"id": 4, "inst": "ITAU - PRUDENCIAL", "v": 4.0}])
+    go()
+    got = sorted((r["id"], r["campo_limpo"], r["seg"]) for r in spark.read.parquet(f"{scratch}/out").collect())
+    assert got == [(1, "ITAU", 1), (3, "BANCO AÇÃO", 2), (4, "ITAU", 1)]
