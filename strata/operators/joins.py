@@ -242,3 +242,54 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
     if max_bytes <= 0:
         return df
     return F.broadcast(df) if size_bound_bytes(df) <= max_bytes else df
+
+
+SALT = "_salt"
+
+
+def hot_keys(df: DataFrame, key: str | list[str], min_rows: int) -> DataFrame:
+    """Keys held by at least ``min_rows`` rows (one aggregation, partial map-side)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return (df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= min_rows).select(*[_q(k) for k in keys]))
+
+
+def salt_hot_keys(fact: DataFrame, others: list[DataFrame], key: str | list[str], path: str,
+                  buckets: int = 16, min_rows: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
+    """Add a ``_salt`` join column that splits hot keys over ``buckets`` partitions.
+
+    A key is hot when it alone holds more rows of ``fact`` than one shuffle
+    partition's fair share (``min_rows``, by default rows / shuffle
+    partitions), so there are at most ``shuffle.partitions`` hot keys: a proven
+    bound, and the hot-key set (written once to ``path``) is broadcast.
+    Rows of ``fact`` with a hot key get a salt in ``[0, buckets)``; rows of the
+    other frames with a hot key are repeated once per salt; every other row
+    has salt 0. Joining on ``key + [_salt]`` then matches each pair exactly
+    once, whatever salt a fact row got, so a recomputed task stays correct.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    spark = fact.sparkSession
+    # One pass over the fact: per-key counts, stored (one row per distinct key).
+    (fact.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+     .write.mode("overwrite").parquet(f"{path}/counts"))
+    counts = spark.read.parquet(f"{path}/counts")
+    if min_rows is None:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+        min_rows = max(2, int(total) // max(1, parts))
+    counts.where(F.col("_n") >= min_rows).select(*[_q(k) for k in keys]) \
+        .write.mode("overwrite").parquet(f"{path}/hot")
+    hot = F.broadcast(spark.read.parquet(f"{path}/hot").withColumn("_hot", F.lit(True)))
+
+    def flagged(df: DataFrame) -> DataFrame:
+        return df.join(hot, keys, "left")
+
+    is_hot = F.col("_hot").isNotNull()
+    fact_s = (flagged(fact)
+              .withColumn(SALT, F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
+                          .otherwise(F.lit(0)).cast("int"))
+              .drop("_hot").select(*[_q(c) for c in fact.columns], SALT))
+    spread_salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    others_s = [flagged(o).withColumn(SALT, F.explode(spread_salts)).drop("_hot")
+                .select(*[_q(c) for c in o.columns], SALT) for o in others]
+    return fact_s, others_s

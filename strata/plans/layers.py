@@ -28,7 +28,7 @@ from strata.functions.names import (
     rename_present,
     strip_suffix,
 )
-from strata.operators.joins import broadcast_if_small, merge_chain
+from strata.operators.joins import SALT, broadcast_if_small, merge_chain, salt_hot_keys
 from strata.sinks.writers import write_csv, write_jdbc, write_parquet
 from strata.sources.files import LATIN_1, family_for, read_family
 
@@ -88,7 +88,8 @@ def delivery_frame(frames: dict[str, DataFrame], naming_order=DELIVERY_ORDER,
                    join_order: tuple[str, ...] = ("Reclamacoes", "Bancos", "Empregados"),
                    name_rule: str = "unicode", drop: tuple[str, ...] = DELIVERY_DROP,
                    drop_suffix: str = "_y", strip: str = "_x",
-                   rename: dict[str, str] | None = None) -> DataFrame:
+                   rename: dict[str, str] | None = None,
+                   salt_path: str | None = None, salt_buckets: int = 16) -> DataFrame:
     """Join the families on the key and shape the columns.
 
     Collision names follow ``naming_order`` (``_x`` for the earlier frame,
@@ -98,10 +99,26 @@ def delivery_frame(frames: dict[str, DataFrame], naming_order=DELIVERY_ORDER,
     sort-merge join, which shuffles the fact once on the key (the second
     join reuses that partitioning). The fact itself is never the broadcast
     side, since its size estimate grows with the data.
+
+    With ``salt_path`` hot keys of the fact (more rows than one shuffle
+    partition's share) are salted over ``salt_buckets`` partitions, for
+    dimensions too large to broadcast: AQE cannot split a skewed partition in
+    the second join of a chain, a salted join needs no such split.
     """
+    frames = dict(frames)
+    keys = [KEY_COLUMN]
+    if salt_path:
+        fact = join_order[0]
+        dims = [n for n in naming_order if n != fact]
+        frames[fact], salted = salt_hot_keys(frames[fact], [frames[n] for n in dims], KEY_COLUMN,
+                                             salt_path, salt_buckets)
+        frames.update(zip(dims, salted))
+        keys.append(SALT)
     ordered = [frames[n] for n in naming_order]
     idx = {n: i for i, n in enumerate(naming_order)}
-    joined = merge_chain(ordered, KEY_COLUMN, "inner", ("_x", "_y"), [idx[n] for n in join_order])
+    joined = merge_chain(ordered, keys, "inner", ("_x", "_y"), [idx[n] for n in join_order])
+    if salt_path:
+        joined = joined.drop(SALT)
     out = rename_all(joined, name_rule, on_duplicate="number")
     out = drop_suffixed(out, drop_suffix)
     out = drop_columns(out, drop)

@@ -25,6 +25,7 @@ from strata.operators.joins import (
 from strata.plans import tpch_sources as src
 from strata.plans.layers import delivery_frame
 from strata.plans.registry import register
+from strata.session import scratch_dir
 
 P = KEY_PATTERN
 
@@ -77,6 +78,25 @@ def delivery_three_way(spark, sf_dir):
     return delivery_frame(frames)
 
 
+@register("delivery_three_way_salted", f"""
+WITH b AS ({BANKS_K}), c AS ({COMPLAINTS_K}), e AS ({EMPLOYERS_K})
+SELECT b.s_suppkey, b."Segmento", b."CNPJ", b."Nome", b.campo_limpo,
+       c.l_orderkey, c.l_linenumber, c."Ano", c."Trimestre", c."Categoria", c."Tipo",
+       c."CNPJ IF" AS "CNPJ_IF",
+       c."Instituição financeira" AS "Instituição_financeira",
+       c."Índice",
+       c."Quantidade total de reclamações" AS "Quantidade_total_de_reclamações",
+       c."Quantidade de clientes – CCS" AS "Quantidade_de_clientes___CCS",
+       e.employer_name, e.reviews_count, e."Geral"
+FROM b JOIN c ON b.campo_limpo = c.campo_limpo JOIN e ON b.campo_limpo = e.campo_limpo
+""")
+def delivery_three_way_salted(spark, sf_dir):
+    """The delivery join with hot fact keys salted (the plan for large dimensions)."""
+    frames = {"Bancos": banks_k(spark, sf_dir), "Reclamacoes": complaints_k(spark, sf_dir),
+              "Empregados": employers_k(spark, sf_dir)}
+    return delivery_frame(frames, salt_path=scratch_dir(spark, "hot-keys"))
+
+
 @register("join_collision_suffixes", f"""
 WITH b AS ({BANKS_K}), e AS ({EMPLOYERS_K})
 SELECT b.s_suppkey, b."Segmento" AS "Segmento_x", b."CNPJ" AS "CNPJ_x", b."Nome" AS "Nome_x",

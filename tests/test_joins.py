@@ -121,3 +121,24 @@ def test_broadcast_only_under_measured_bound(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
     assert "SortMergeJoin" in plan
+
+
+def test_salted_chain_spreads_a_hot_key_and_matches_brute_force(spark, scratch):
+    from pyspark.sql import functions as F
+    from strata.operators.joins import SALT, merge_chain, salt_hot_keys
+    # A third of the fact rows carry one key; dimensions hold 1-2 rows per key.
+    fact_rows = [(i, "HOT" if i % 3 == 0 else f"K{i % 40}") for i in range(3000)]
+    d1_rows = [("HOT", "a"), ("HOT", "b")] + [(f"K{i}", f"v{i}") for i in range(40)]
+    d2_rows = [("HOT", 1.0)] + [(f"K{i}", float(i)) for i in range(0, 40, 2)]
+    fact = spark.createDataFrame(fact_rows, "id int, campo_limpo string")
+    d1 = spark.createDataFrame(d1_rows, "campo_limpo string, v string")
+    d2 = spark.createDataFrame(d2_rows, "campo_limpo string, w double")
+    f_s, (d1_s, d2_s) = salt_hot_keys(fact, [d1, d2], "campo_limpo", f"{scratch}/hot", buckets=8, min_rows=500)
+    out = merge_chain([f_s, d1_s, d2_s], ["campo_limpo", SALT], join_order=[0, 1, 2]).drop(SALT)
+    expected = sorted((i, k, v, w) for i, k in fact_rows for k1, v in d1_rows if k1 == k
+                      for k2, w in d2_rows if k2 == k)
+    assert sorted(tuple(r) for r in out.collect()) == expected
+    # The hot key's fact rows spread over all salts, evenly.
+    per_salt = {r[SALT]: r["count"] for r in f_s.where("campo_limpo = 'HOT'").groupBy(SALT).count().collect()}
+    assert len(per_salt) == 8 and max(per_salt.values()) - min(per_salt.values()) <= 8
+    assert f_s.where("campo_limpo <> 'HOT'").agg(F.max(SALT)).first()[0] == 0
