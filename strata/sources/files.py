@@ -9,6 +9,7 @@ unions the groups by name, a missing column being null.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 LATIN_1 = "ISO-8859-1"
+HEADER_THREADS = 16
 
 
 @dataclass(frozen=True)
@@ -120,8 +122,11 @@ def read_family(spark: SparkSession, path: str, family: Family | str = DEFAULT_F
     if not files:
         raise FileNotFoundError(f"no {fam.extensions} file with data under {path}")
     groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(read_header(spark, f, fam.encoding), []).append(f)
+    # Header reads are small I/O-bound file-system calls: issue them concurrently.
+    with ThreadPoolExecutor(max_workers=min(HEADER_THREADS, len(files))) as pool:
+        headers = list(pool.map(lambda f: read_header(spark, f, fam.encoding), files))
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
     frames = [_reader(spark, fam, infer).csv(g) for g in groups.values()]
     if infer and len(frames) > 1:
         frames = _text_where_types_differ(frames)
