@@ -49,6 +49,19 @@ def main(argv: list[str] | None = None) -> int:
     enr.add_argument("--out", required=True)
     enr.add_argument("--files-per-batch", type=int, default=None)
     enr.add_argument("--no-collation", action="store_true", help="exact instead of accent/case-blind match")
+    que = sub.add_parser("queue", help="queue messages merged batch by batch with a reference table")
+    que.add_argument("--messages", required=True)
+    que.add_argument("--schema", required=True)
+    que.add_argument("--reference", required=True, help="Parquet table holding the key column")
+    que.add_argument("--field", required=True)
+    que.add_argument("--out", required=True)
+    que.add_argument("--files-per-batch", type=int, default=None)
+    mod = sub.add_parser("models", help="SQL models source -> clean -> trusted over a Parquet source")
+    mod.add_argument("--source", required=True, help="Parquet path of the source table")
+    mod.add_argument("--field", required=True, help="name column the key is derived from")
+    mod.add_argument("--prefix", required=True, help="model names: PREFIX_clean, PREFIX_trusted")
+    mod.add_argument("--out", required=True, help="folder for the materialised models")
+    mod.add_argument("--unescaped-dots", action="store_true", help="the key pattern variant with bare dots")
     args = ap.parse_args(argv)
 
     spark = get_session(app_name=f"strata-{args.cmd}")
@@ -64,6 +77,21 @@ def main(argv: list[str] | None = None) -> int:
         rows = [r.asDict() for r in res.collect()]  # one row per check
         print(json.dumps(rows))
         return 0 if all(r["passed"] for r in rows) else 1
+    elif args.cmd == "queue":
+        from strata.streaming.enrich import message_stream, progress_summary, start_queue_enrichment
+        q = start_queue_enrichment(spark, message_stream(spark, args.messages, args.files_per_batch), args.schema,
+                                   spark.read.parquet(args.reference), args.out,
+                                   scratch_dir(spark, "queue-checkpoint"), field=args.field)
+        q.awaitTermination()
+        print(json.dumps(progress_summary(q), default=str))
+    elif args.cmd == "models":
+        from strata.functions.keys import KEY_PATTERN, KEY_PATTERN_UNESCAPED_DOTS
+        from strata.plans.models import clean_and_trusted
+        source = f"{args.prefix}_source"
+        spark.read.parquet(args.source).createOrReplaceTempView(source)
+        pattern = KEY_PATTERN_UNESCAPED_DOTS if args.unescaped_dots else KEY_PATTERN
+        out = clean_and_trusted(spark, source, args.field, args.prefix, how="parquet", root=args.out, pattern=pattern)
+        print(json.dumps({"trusted": f"{args.out}/{args.prefix}_trusted", "rows": out.count()}))
     else:
         from strata.streaming.enrich import message_stream, progress_summary, start_enrichment
         q = start_enrichment(spark, message_stream(spark, args.messages, args.files_per_batch), args.schema,

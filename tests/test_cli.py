@@ -35,3 +35,22 @@ def test_layers_command(spark, scratch, capsys):
     assert code == 0 and out["rows"] == 1
     assert {"Nome", "campo_limpo", "Instituição_financeira", "employer_name"} <= set(out["columns"])
     assert "Nome_y" not in out["columns"]
+
+
+def test_models_and_queue_commands(spark, scratch, capsys):
+    d = to_local_path(scratch)
+    spark.createDataFrame([("S1", "BANCO X S.A."), ("S2", None)], "Segmento string, Nome string") \
+        .write.parquet(f"{scratch}/banks")
+    assert main(["models", "--source", f"{scratch}/banks", "--field", "Nome", "--prefix", "bancos",
+                 "--out", f"{scratch}/models"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["rows"] == 2
+    trusted = spark.read.parquet(out["trusted"])
+    assert sorted(r["campo_limpo"] for r in trusted.collect()) == ["", "BANCO X"]
+    os.makedirs(f"{d}/msgs")
+    with open(f"{d}/msgs/m.json", "w") as f:
+        f.write('{"Instituição financeira": "Banco X - PRUDENCIAL", "n": NaN}\n{"Instituição financeira": "Y", "n": 1}\n')
+    assert main(["queue", "--messages", f"{d}/msgs", "--schema", "`Instituição financeira` string, n double",
+                 "--reference", out["trusted"], "--field", "Instituição financeira", "--out", f"{d}/q"]) == 0
+    rows = spark.read.parquet(f"{d}/q/batches").collect()
+    assert [(r["campo_limpo"], r["n"]) for r in rows] == [("BANCO X", None)]
