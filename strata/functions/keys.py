@@ -73,6 +73,25 @@ def clean_key(
     return key
 
 
+def policy_keys(source: Column | str, pattern: str = KEY_PATTERN,
+                sentinel: str = BLANK_SENTINEL) -> dict[str, Column]:
+    """The key under every null-key policy, from one regular-expression evaluation.
+
+    ``text`` keys a null name as ``upper(regexp_replace('nan', pattern, ''))``,
+    a constant that Catalyst folds; the other policies only post-process the
+    ``keep`` key.
+    """
+    src = _as_col(source).cast("string")
+    base = F.upper(F.regexp_replace(src, F.lit(pattern), F.lit("")))
+    null_text = F.upper(F.regexp_replace(F.lit(NULL_TEXT), F.lit(pattern), F.lit("")))
+    return {
+        "keep": base,
+        "empty": F.coalesce(base, F.lit("")),
+        "sentinel": F.when(base == F.lit(""), F.lit(sentinel)).otherwise(base),
+        "text": F.when(src.isNull(), null_text).otherwise(base),
+    }
+
+
 def with_clean_key(
     df: DataFrame,
     field: str,

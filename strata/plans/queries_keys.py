@@ -10,6 +10,7 @@ from strata.functions.keys import (
     NULL_KEY_POLICIES,
     case_insensitive,
     clean_key,
+    policy_keys,
 )
 from strata.plans import tpch_sources as src
 from strata.plans.registry import register
@@ -63,8 +64,8 @@ FROM k
 """)
 def key_null_policies(spark, sf_dir):
     c = src.clients(spark, sf_dir)
-    return c.select("c_custkey", "Nome",
-                    *[clean_key("Nome", null_key=p).alias(f"key_{p}") for p in NULL_KEY_POLICIES])
+    keys = policy_keys("Nome")
+    return c.select("c_custkey", "Nome", *[keys[p].alias(f"key_{p}") for p in NULL_KEY_POLICIES])
 
 
 def _orders_clients(spark, sf_dir):
@@ -75,8 +76,8 @@ def _orders_clients(spark, sf_dir):
 
 def _policy_keys(df):
     """(null_key, key) for every row and policy: one scan serves all four."""
-    pairs = F.array(*[F.struct(F.lit(p).alias("null_key"), clean_key("Nome", null_key=p).alias("k"))
-                      for p in NULL_KEY_POLICIES])
+    keys = policy_keys("Nome")
+    pairs = F.array(*[F.struct(F.lit(p).alias("null_key"), keys[p].alias("k")) for p in NULL_KEY_POLICIES])
     return df.select(F.inline(pairs))
 
 

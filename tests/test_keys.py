@@ -95,3 +95,14 @@ def test_blank_names_join_each_other_under_empty_only(spark):
         sizes[p] = join_size(l, r, "k").first()["pairs"]
     # keep: '' and A match; empty: null and '' all blank (2x2) plus A; text: NAN, '' and A.
     assert sizes == {"keep": 2, "empty": 5, "sentinel": 2, "text": 3}
+
+
+def test_policy_keys_equal_clean_key(spark):
+    from strata.functions.keys import policy_keys
+    names = [None, "", "GRUPO", "Banco X S.A.", "nan", "BANCO BMG"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    derived = policy_keys("n")
+    for p in ("keep", "empty", "sentinel", "text"):
+        a = [r[0] for r in df.select(derived[p]).collect()]
+        b = [r[0] for r in df.select(clean_key("n", null_key=p)).collect()]
+        assert a == b, p
