@@ -12,9 +12,13 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from strata.session import get_session
 
-    s = get_session("local[4]", "strata-tests", shuffle_partitions=4)
+    # Tests only: a cluster names its own warehouse (and checkpoint) folders.
+    s = get_session("local[4]", "strata-tests", shuffle_partitions=4,
+                    extra_conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="strata-warehouse-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
