@@ -37,6 +37,10 @@ def main(argv: list[str] | None = None) -> int:
     lay.add_argument("--root", required=True)
     lay.add_argument("--raw-format", default="csv", choices=["csv", "parquet"])
     lay.add_argument("--null-key", default="empty", choices=["keep", "empty", "sentinel", "text"])
+    lay.add_argument("--name-rule", default="unicode", choices=["unicode", "ascii", "lower"],
+                     help="delivery column names: keep letters, ASCII only, or lower-case")
+    lay.add_argument("--drop", action="append", default=None,
+                     help="delivery column to drop if present (repeatable; default the unnamed trailing column)")
     chk = sub.add_parser("checks", help="data-quality checks on a Parquet table")
     chk.add_argument("--table", required=True)
     chk.add_argument("--checks", required=True, help="file with one check per line, e.g. '- row_count = 112'")
@@ -67,7 +71,10 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(app_name=f"strata-{args.cmd}")
     if args.cmd == "layers":
         from strata.plans.layers import run_layers
-        out = run_layers(spark, _sources(args.source), args.root, args.raw_format, args.null_key)
+        shape = {"name_rule": args.name_rule}
+        if args.drop:
+            shape["drop"] = tuple(args.drop)
+        out = run_layers(spark, _sources(args.source), args.root, args.raw_format, args.null_key, **shape)
         print(json.dumps({"delivery": f"{args.root}/delivery", "rows": out.count(), "columns": out.columns}))
     elif args.cmd == "checks":
         from strata.operators.quality import run_checks

@@ -35,6 +35,13 @@ def test_layers_command(spark, scratch, capsys):
     assert code == 0 and out["rows"] == 1
     assert {"Nome", "campo_limpo", "Instituição_financeira", "employer_name"} <= set(out["columns"])
     assert "Nome_y" not in out["columns"]
+    code = main(["layers", "--source", f"Bancos={d}/in/Bancos", "--source", f"Reclamacoes={d}/in/Reclamacoes",
+                 "--source", f"Empregados={d}/in/Empregados", "--root", f"{d}/out2", "--name-rule", "lower",
+                 "--drop", "geral"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0
+    assert {"nome", "instituiçãofinanceira", "campo_limpo"} <= set(out["columns"])
+    assert not {"geral", "nome_x", "nome_y"} & set(out["columns"])
 
 
 def test_models_and_queue_commands(spark, scratch, capsys):
