@@ -148,3 +148,23 @@ def test_sql_model_replaces_existing_key(spark):
     assert out.columns == ["Nome", "campo_limpo"]
     assert out.first()["campo_limpo"] == "BANCO X"
     assert spark.table("model_test_clean").count() == 1
+
+
+def test_skip_long_lines_latin1(spark, scratch):
+    d = local(scratch)
+    with open(f"{d}/l.csv", "w", encoding="latin-1") as f:
+        f.write("nome;cidade\nConceição;São Paulo\nJoão;Niterói;extra\n")
+    schema = StructType([StructField("nome", StringType()), StructField("cidade", StringType())])
+    got = read_csv_skip_long_lines(spark, f"{d}/l.csv", schema, sep=";", encoding="ISO-8859-1")
+    assert [tuple(r) for r in got.collect()] == [("Conceição", "São Paulo")]
+
+
+def test_spread_only_when_a_scan_has_too_few_splits(spark, scratch):
+    from strata.sources.files import spread
+    write_parquet(spark.range(1000).coalesce(1), scratch)
+    one = spark.read.parquet(scratch)
+    assert one.rdd.getNumPartitions() == 1
+    assert spread(one, total_bytes=64 << 20).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(one, total_bytes=100).rdd.getNumPartitions() == 1  # small: left alone
+    many = spark.range(1000).repartition(8)
+    assert spread(many, total_bytes=64 << 20) is many
