@@ -6,9 +6,13 @@ after measuring an upper bound of the side's in-memory size; otherwise the
 planner's own size checks apply and beyond them the join is a sort-merge join
 whose skewed partitions AQE splits. No helper collects rows.
 
-A join under a collation (``collated_join``, ``lookup_*`` with a collation)
-always plans as a sort-merge join: Spark offers no hash join on collated keys,
-so both sides are shuffled once on the collation key.
+Spark has no hash join on collated keys (a collated equality plans as a
+sort-merge join that shuffles both sides). Collated lookups and inner
+collated joins therefore work on distinct keys: each side's distinct keys
+(partial aggregation) get a canonical member of their collation class (a
+window partitioned by the collated key), and the rows then join that small
+key map by plain binary equality, broadcast only under its measured bound.
+Exact, since the classes come from the same collation.
 
 - ``merge``: equi-join with explicit collision suffixes (pandas-style ``_x`` /
   ``_y`` by default, ``('', '_1')`` for the tool that numbers duplicates).
@@ -28,7 +32,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
@@ -133,11 +137,37 @@ def reference_keys(table: DataFrame, table_key: str = KEY_COLUMN,
             .groupBy("_match").agg(F.min("_stored").alias("_stored")))
 
 
+def _distinct_keys(df: DataFrame, column: str) -> DataFrame:
+    return df.select(_q(column).alias("_k")).where(F.col("_k").isNotNull()).distinct()
+
+
+def _small_table(df: DataFrame) -> DataFrame:
+    """Cut lineage into the shared checkpoint folder; broadcast under the measured bound."""
+    from strata.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return broadcast_if_small(df.checkpoint(eager=True))
+
+
+def stored_key_map(df: DataFrame, table: DataFrame, key: str, table_key: str, collation: str) -> DataFrame:
+    """``(_k, _stored)`` for each distinct key of ``df`` whose collation class
+    holds a key of ``table``; ``_stored`` is the smallest such table key."""
+    probe = _distinct_keys(df, key).withColumn("_ref", F.lit(False))
+    ref = _distinct_keys(table, table_key).withColumn("_ref", F.lit(True))
+    cls = Window.partitionBy(F.collate(F.col("_k"), collation))
+    stored = F.min(F.when(F.col("_ref"), F.col("_k"))).over(cls)
+    return (probe.unionByName(ref).withColumn("_stored", stored)
+            .where(~F.col("_ref") & F.col("_stored").isNotNull()).select("_k", "_stored"))
+
+
 def lookup_replace(df: DataFrame, table: DataFrame, key: str = KEY_COLUMN,
                    table_key: str | None = None, collation: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key exists in ``table``; the key becomes the stored one."""
-    ref = reference_keys(table, table_key or key, collation)
-    probe = df.withColumn("_match", _match(_q(key), collation))
+    if collation:
+        m = _small_table(stored_key_map(df, table, key, table_key or key, collation))
+        out = df.join(m, df[key] == m["_k"], "inner").withColumn(key, F.col("_stored"))
+        return out.select(*[_q(c) for c in df.columns])
+    ref = reference_keys(table, table_key or key)
+    probe = df.withColumn("_match", _q(key))
     out = probe.join(ref, "_match", "inner").withColumn(key, F.col("_stored"))
     return out.select(*[_q(c) for c in df.columns])
 
@@ -145,8 +175,11 @@ def lookup_replace(df: DataFrame, table: DataFrame, key: str = KEY_COLUMN,
 def lookup_rejects(df: DataFrame, table: DataFrame, key: str = KEY_COLUMN,
                    table_key: str | None = None, collation: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key has no match in ``table`` (null keys included)."""
-    ref = reference_keys(table, table_key or key, collation).select("_match")
-    probe = df.withColumn("_match", _match(_q(key), collation))
+    if collation:
+        m = _small_table(stored_key_map(df, table, key, table_key or key, collation).select("_k"))
+        return df.join(m, df[key] == m["_k"], "left_anti")
+    ref = reference_keys(table, table_key or key).select("_match")
+    probe = df.withColumn("_match", _q(key))
     return probe.join(ref, "_match", "left_anti").select(*[_q(c) for c in df.columns])
 
 
@@ -159,10 +192,26 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
 
 
 def collated_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
-                  how: str = "inner", collation: str = CI_AI) -> DataFrame:
-    """Join where keys compare under a collation (default: case and accent blind)."""
-    cond = F.collate(left[left_on], collation) == F.collate(right[right_on], collation)
-    return left.join(right, cond, how)
+                  how: str = "inner", collation: str = CI_AI, broadcast_right: bool = False) -> DataFrame:
+    """Join where keys compare under a collation (default: case and accent blind).
+
+    Inner joins go through a canonical key per collation class (see the
+    module notes), so each side joins a small key map by binary equality;
+    other join types use the collated condition directly. ``broadcast_right``
+    (for a right side already measured small, see ``is_small``) broadcasts it
+    in the final join, so the left side is never shuffled.
+    """
+    if how != "inner":
+        cond = F.collate(left[left_on], collation) == F.collate(right[right_on], collation)
+        return left.join(right, cond, how)
+    keys = _distinct_keys(left, left_on).unionByName(_distinct_keys(right, right_on)).distinct()
+    canon = _small_table(keys.withColumn(
+        "_canon", F.min("_k").over(Window.partitionBy(F.collate(F.col("_k"), collation)))))
+    lmap = canon.withColumnRenamed("_k", "_lk")
+    rmap = canon.withColumnRenamed("_k", "_rk")
+    lc = left.join(lmap, left[left_on] == lmap["_lk"], "inner").drop("_lk")
+    rc = right.join(rmap, right[right_on] == rmap["_rk"], "inner").drop("_rk")
+    return lc.join(F.broadcast(rc) if broadcast_right else rc, "_canon", "inner").drop("_canon")
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str | list[str],
@@ -226,12 +275,12 @@ def size_bound_bytes(df: DataFrame) -> int:
     return int(row["_rows"]) * per_row + sum(int(row[f"_v{i}"]) for i in range(len(var)))
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its measured size bound is under the limit, else ``df``.
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when ``df``'s measured size bound is under the broadcast limit.
 
     The limit defaults to the session's
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (or 32 MB). Beyond it
-    the join stays a shuffle join, with AQE splitting skewed partitions.
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (or 32 MB); a limit of
+    zero or less means never.
     """
     if max_bytes is None:
         conf = df.sparkSession.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
@@ -239,9 +288,16 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
             max_bytes = int(str(conf).lower().removesuffix("b")) if conf else DEFAULT_BROADCAST_BYTES
         except ValueError:
             max_bytes = DEFAULT_BROADCAST_BYTES
-    if max_bytes <= 0:
-        return df
-    return F.broadcast(df) if size_bound_bytes(df) <= max_bytes else df
+    return max_bytes > 0 and size_bound_bytes(df) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its measured size bound is under the limit, else ``df``.
+
+    Beyond the limit the join stays a shuffle join, with AQE splitting skewed
+    partitions.
+    """
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 SALT = "_salt"

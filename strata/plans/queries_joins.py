@@ -16,6 +16,7 @@ from strata.functions.names import (
 )
 from strata.operators.joins import (
     collated_join,
+    is_small,
     lookup_rejects,
     lookup_replace,
     merge,
@@ -255,7 +256,8 @@ def region_accent_join(spark, sf_dir):
     c = src.table(spark, sf_dir, "customer").select(
         "c_custkey", src.pick(src.REGION_LABELS, F.col("c_custkey") % 5).alias("region_label"))
     r = src.table(spark, sf_dir, "region")
-    return collated_join(c, r, "region_label", "r_name").select("c_custkey", "region_label", "r_regionkey", "r_name")
+    return (collated_join(c, r, "region_label", "r_name", broadcast_right=is_small(r))
+            .select("c_custkey", "region_label", "r_regionkey", "r_name"))
 
 
 # -- snapshot diff (J9) ------------------------------------------------------------
