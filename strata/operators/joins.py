@@ -6,8 +6,9 @@ after measuring an upper bound of the side's in-memory size; otherwise the
 planner's own size checks apply and beyond them the join is a sort-merge join
 whose skewed partitions AQE splits. No helper collects rows.
 
-Spark has no hash join on collated keys (a collated equality plans as a
-sort-merge join that shuffles both sides). Collated lookups and inner
+A join condition on ``collate()`` expressions plans as a sort-merge join
+that shuffles both sides (a join on collated columns hashes Spark's internal
+collation keys, but still shuffles a large side). Collated lookups and inner
 collated joins therefore work on distinct keys: each side's distinct keys
 (partial aggregation) get a canonical member of their collation class (a
 window partitioned by the collated key), and the rows then join that small
