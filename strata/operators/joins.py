@@ -8,8 +8,9 @@ whose skewed partitions AQE splits. No helper collects rows.
 
 A join condition on ``collate()`` expressions plans as a sort-merge join
 that shuffles both sides (a join on collated columns hashes Spark's internal
-collation keys, but still shuffles a large side). Collated lookups and inner
-collated joins therefore work on distinct keys: each side's distinct keys
+collation keys, but still shuffles a large side). Collated lookups broadcast
+the reference reduced to one row per class when that is measured small;
+otherwise, and for inner collated joins, they work on distinct keys: each side's distinct keys
 (partial aggregation) get a canonical member of their collation class (a
 window partitioned by the collated key), and the rows then join that small
 key map by plain binary equality, broadcast only under its measured bound.
@@ -144,9 +145,7 @@ def _distinct_keys(df: DataFrame, column: str) -> DataFrame:
 
 def _small_table(df: DataFrame) -> DataFrame:
     """Cut lineage into the shared checkpoint folder; broadcast under the measured bound."""
-    from strata.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return broadcast_if_small(df.checkpoint(eager=True))
+    return broadcast_if_small(_checkpointed(df))
 
 
 def stored_key_map(df: DataFrame, table: DataFrame, key: str, table_key: str, collation: str) -> DataFrame:
@@ -160,10 +159,33 @@ def stored_key_map(df: DataFrame, table: DataFrame, key: str, table_key: str, co
             .where(~F.col("_ref") & F.col("_stored").isNotNull()).select("_k", "_stored"))
 
 
+def _checkpointed(df: DataFrame) -> DataFrame:
+    from strata.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _small_reference(table: DataFrame, table_key: str, collation: str) -> DataFrame | None:
+    """The table reduced to one row per collation class, if measured small."""
+    ref = _checkpointed(reference_keys(table, table_key, collation))
+    return ref if is_small(ref) else None
+
+
 def lookup_replace(df: DataFrame, table: DataFrame, key: str = KEY_COLUMN,
                    table_key: str | None = None, collation: str | None = None) -> DataFrame:
-    """Rows of ``df`` whose key exists in ``table``; the key becomes the stored one."""
+    """Rows of ``df`` whose key exists in ``table``; the key becomes the stored one.
+
+    Under a collation the table is first reduced to one row per collation
+    class; when that is measured small it is broadcast and joined on the
+    collated key (a hash join on collation keys, ``df`` not shuffled),
+    otherwise ``df``'s distinct keys go through the canonical key map.
+    """
     if collation:
+        ref = _small_reference(table, table_key or key, collation)
+        if ref is not None:
+            probe = df.withColumn("_match", F.collate(_q(key), collation))
+            out = probe.join(F.broadcast(ref), "_match", "inner").withColumn(key, F.col("_stored"))
+            return out.select(*[_q(c) for c in df.columns])
         m = _small_table(stored_key_map(df, table, key, table_key or key, collation))
         out = df.join(m, df[key] == m["_k"], "inner").withColumn(key, F.col("_stored"))
         return out.select(*[_q(c) for c in df.columns])
@@ -177,6 +199,11 @@ def lookup_rejects(df: DataFrame, table: DataFrame, key: str = KEY_COLUMN,
                    table_key: str | None = None, collation: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key has no match in ``table`` (null keys included)."""
     if collation:
+        ref = _small_reference(table, table_key or key, collation)
+        if ref is not None:
+            probe = df.withColumn("_match", F.collate(_q(key), collation))
+            return (probe.join(F.broadcast(ref.select("_match")), "_match", "left_anti")
+                    .select(*[_q(c) for c in df.columns]))
         m = _small_table(stored_key_map(df, table, key, table_key or key, collation).select("_k"))
         return df.join(m, df[key] == m["_k"], "left_anti")
     ref = reference_keys(table, table_key or key).select("_match")

@@ -142,3 +142,18 @@ def test_salted_chain_spreads_a_hot_key_and_matches_brute_force(spark, scratch):
     per_salt = {r[SALT]: r["count"] for r in f_s.where("campo_limpo = 'HOT'").groupBy(SALT).count().collect()}
     assert len(per_salt) == 8 and max(per_salt.values()) - min(per_salt.values()) <= 8
     assert f_s.where("campo_limpo <> 'HOT'").agg(F.max(SALT)).first()[0] == 0
+
+
+def test_collated_lookup_large_reference_path_matches(spark):
+    # A zero broadcast limit forces the distinct-key path; results must not change.
+    events = spark.createDataFrame([(1, "ACAO"), (2, "acão"), (3, "NONE"), (4, None)], "id int, campo_limpo string")
+    table = spark.createDataFrame([("AÇÃO",), ("ação",), ("OTHER",)], "campo_limpo string")
+    small = rows(lookup_replace(events, table, collation="UNICODE_CI_AI"))
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = rows(lookup_replace(events, table, collation="UNICODE_CI_AI"))
+        large_rej = rows(lookup_rejects(events, table, collation="UNICODE_CI_AI").fillna("-"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+    assert small == large == [(1, "AÇÃO"), (2, "AÇÃO")]
+    assert large_rej == [(3, "NONE"), (4, "-")]
