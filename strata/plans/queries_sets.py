@@ -48,6 +48,18 @@ def customers_without_orders(spark, sf_dir):
     return missing_in(c, o, "c_custkey")
 
 
+@register("orders_without_lineitems", """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+""")
+def orders_without_lineitems(spark, sf_dir):
+    """Anti join against the largest table (A2): its keys are made distinct
+    map-side first, so the shuffle carries one row per order key and task."""
+    o = src.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    li = src.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return missing_in(o, li, "o_orderkey")
+
+
 @register("distinct_event_types", "SELECT DISTINCT event_type FROM events")
 def distinct_event_types(spark, sf_dir):
     """Distinct of one column (A4)."""
