@@ -8,6 +8,7 @@ from strata.operators.joins import (
     merge,
     merge_chain,
     natural_join,
+    repeated_key,
     snapshot_diff,
 )
 from strata.operators.quality import Check, parse_check, run_checks

@@ -242,15 +242,40 @@ def collated_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str
     return lc.join(F.broadcast(rc) if broadcast_right else rc, "_canon", "inner").drop("_canon")
 
 
+def repeated_key(df: DataFrame, key: str | list[str]) -> tuple | None:
+    """A non-null key value held by more than one row of ``df``, or None.
+
+    One aggregation over the key columns only (partial, map-side); at most one
+    row reaches the driver.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    not_null = reduce(lambda a, b: a & b, [_q(k).isNotNull() for k in keys])
+    rep = (df.where(not_null).groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > 1).limit(1).collect())
+    return tuple(rep[0][k] for k in keys) if rep else None
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str | list[str],
-                  compare: list[str] | None = None, flag: str = "flagfield") -> DataFrame:
+                  compare: list[str] | None = None, flag: str = "flagfield",
+                  check_unique: bool = True) -> DataFrame:
     """Compare two snapshots on ``key``.
 
     ``flag`` is ``new`` (key only in ``new``), ``deleted`` (only in ``old``),
     ``identical`` (all compared values null-safe equal) or ``changed``. Values
     come from ``new``, or from ``old`` for deleted rows. One full outer join.
+
+    The key must identify one row per snapshot: a key repeated on both sides
+    would make the join emit every pair of its rows. ``check_unique`` verifies
+    this first (``repeated_key`` on each side) and raises on a repeated key;
+    turn it off only when the sources guarantee unique keys.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if check_unique:
+        for side, df in (("old", old), ("new", new)):
+            dup = repeated_key(df, keys)
+            if dup is not None:
+                raise ValueError(f"snapshot_diff: key {keys} repeats in the {side} snapshot, e.g. {dup}; "
+                                 "a diff needs a key that identifies one row per snapshot")
     compare = compare or [c for c in new.columns if c not in keys]
     o = old.select(*[_q(k) for k in keys],
                    *[_q(c).alias(f"_o{i}") for i, c in enumerate(compare)],

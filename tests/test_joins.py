@@ -11,6 +11,7 @@ from strata.operators.joins import (
     merge,
     merge_chain,
     natural_join,
+    repeated_key,
     snapshot_diff,
 )
 
@@ -78,6 +79,20 @@ def test_snapshot_diff_flags(spark):
     assert rows(same_null) == [(3, None, "identical")]
 
 
+def test_snapshot_diff_refuses_a_repeated_key(spark):
+    # One key holds a third of the rows of both snapshots: the full outer join
+    # would emit all pairs of its rows, so the diff refuses before joining.
+    old = spark.createDataFrame([(0 if i % 3 == 0 else i, "a") for i in range(90)], "k int, v string")
+    new = spark.createDataFrame([(0 if i % 3 == 0 else i, "b") for i in range(90)], "k int, v string")
+    with pytest.raises(ValueError, match="repeats in the old snapshot"):
+        snapshot_diff(old, new, "k")
+    # Null keys never match each other, so repeated nulls are allowed.
+    nulls = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "k int, v string")
+    assert repeated_key(nulls, "k") is None
+    out = {tuple(r) for r in snapshot_diff(nulls, nulls.where("k = 1"), "k").collect()}
+    assert out == {(None, "a", "deleted"), (None, "b", "deleted"), (1, "c", "identical")}
+
+
 def test_join_size_matches_brute_force(spark):
     import random
     rnd = random.Random(7)
