@@ -19,6 +19,7 @@ broadcast only when its measured size is under the broadcast limit.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,11 +86,34 @@ def prepare_reference(table: DataFrame, path: str, key: str = KEY_COLUMN,
     """One stored key per match key, written once to shared storage.
 
     The match key is stored as plain text and re-collated when read, so the
-    files carry no collation metadata.
+    files carry no collation metadata. It is broadcast when its measured size
+    bound is under the broadcast limit.
+
+    Matched on exact keys (``collation=None``), the reference is saved as a
+    table bucketed on the match key, with as many buckets as shuffle
+    partitions (so the join keeps its partitioning): when it is too large to
+    broadcast, each batch's join shuffles the batch only, never the reference.
+    """
+    spark = table.sparkSession
+    ref = reference_keys(table, key, collation).select(F.col("_match").cast("string").alias("_match"), "_stored")
+    if collation is None:
+        return broadcast_if_small(save_bucketed(ref, path, "_match"))
+    ref.write.mode("overwrite").parquet(path)
+    return broadcast_if_small(spark.read.parquet(path))
+
+
+def save_bucketed(df: DataFrame, path: str, column: str, buckets: int | None = None) -> DataFrame:
+    """``df`` saved at ``path`` as a catalog table bucketed and sorted on ``column``.
+
+    ``buckets`` defaults to ``spark.sql.shuffle.partitions``: Spark reuses a
+    bucketed side's partitioning in a join only when it has at least that many.
     """
-    ref = reference_keys(table, key, collation)
-    ref.select(F.col("_match").cast("string").alias("_match"), "_stored").write.mode("overwrite").parquet(path)
-    return broadcast_if_small(table.sparkSession.read.parquet(path))
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"strata_bucketed_{uuid.uuid4().hex[:12]}"
+    (df.write.mode("overwrite").bucketBy(buckets, column).sortBy(column)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
 
 
 def _classify(batch: DataFrame, ref: DataFrame, key: str, collation: str | None) -> DataFrame:

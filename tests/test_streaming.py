@@ -104,3 +104,27 @@ def test_stream_static_join_file_sink_restart(spark, scratch):
     go()
     got = sorted((r["id"], r["campo_limpo"], r["seg"]) for r in spark.read.parquet(f"{scratch}/out").collect())
     assert got == [(1, "ITAU", 1), (3, "BANCO AÇÃO", 2), (4, "ITAU", 1)]
+
+
+def test_large_exact_reference_is_bucketed_so_batches_shuffle_alone(spark, scratch):
+    """Exact keys and a reference over the broadcast bound: the reference is a
+    bucketed table, so a batch's join shuffles the batch only."""
+    from strata.functions.keys import with_clean_key
+    from strata.streaming.enrich import _classify
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        ref = prepare_reference(reference(spark), f"{scratch}/ref", collation=None)
+        batch = spark.createDataFrame([(1, "ITAU S.A.", 1.0), (2, "Banco Ação S.A.", 2.0), (3, "Itau", 3.0)],
+                                      SCHEMA)
+        out = _classify(with_clean_key(batch, "inst", null_key="sentinel"), ref, "campo_limpo", None)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = sorted((r["id"], r["campo_limpo"], r["outcome"]) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    # Exact keys: the upper-cased 'ITAU' and 'BANCO AÇÃO' match; no accent folding needed here.
+    assert rows == [(1, "ITAU", "matched"), (2, "BANCO AÇÃO", "matched"), (3, "ITAU", "matched")]
