@@ -167,14 +167,18 @@ def start_enrichment(spark: SparkSession, source: DataFrame, schema: StructType
 def start_stream_static_join(spark: SparkSession, source: DataFrame, schema: StructType | str,
                              reference: DataFrame, out_path: str, checkpoint: str, field: str,
                              key: str = KEY_COLUMN, null_key: str = "keep",
-                             available_now: bool = True) -> StreamingQuery:
+                             available_now: bool = True, reference_path: str | None = None) -> StreamingQuery:
     """Parsed messages, keyed, inner-joined with a static table, appended to Parquet.
 
     The file sink records each committed batch in its own log next to the
     data, so a restart after a failure neither loses nor repeats a batch;
     readers of ``out_path`` see only committed files. The reference side is
-    broadcast only under its measured size bound.
+    broadcast only under its measured size bound. With ``reference_path`` it
+    is first saved there as a table bucketed on the key, so when it is too
+    large to broadcast each batch's join shuffles the batch only.
     """
+    if reference_path is not None:
+        reference = save_bucketed(reference, reference_path, key)
     ref = broadcast_if_small(reference)
     keyed = with_clean_key(parse_messages(source, schema), field, key, null_key=null_key, drop_null_keys=True)
     joined = merge(keyed, ref, key, "inner")

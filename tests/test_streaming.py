@@ -128,3 +128,27 @@ def test_large_exact_reference_is_bucketed_so_batches_shuffle_alone(spark, scrat
     assert plan.count("Exchange hashpartitioning") == 1
     # Exact keys: the upper-cased 'ITAU' and 'BANCO AÇÃO' match; no accent folding needed here.
     assert rows == [(1, "ITAU", "matched"), (2, "BANCO AÇÃO", "matched"), (3, "ITAU", "matched")]
+
+
+def test_stream_static_join_with_bucketed_reference(spark, scratch):
+    from strata.streaming.enrich import start_stream_static_join
+    dim = spark.createDataFrame([("ITAU", 1), ("BANCO AÇÃO", 2)], "campo_limpo string, seg int")
+    write_file(f"{scratch}/in", "a.json", [{"id": 1, "inst": "Itau S.A.", "v": 1.0}, {"id": 2, "inst": None, "v": 2.0}])
+    write_file(f"{scratch}/in", "b.json", [{"id": 3, "inst": "Banco Ação", "v": 3.0}])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = start_stream_static_join(spark, message_stream(spark, f"{scratch}/in", 1), SCHEMA, dim,
+                                     f"{scratch}/out", f"{scratch}/ckpt", field="inst",
+                                     reference_path=f"{scratch}/dim")
+        q.awaitTermination()
+        assert q.exception() is None
+        plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+    final = plan.split("== Initial Plan ==")[0]  # AQE prints the final plan first
+    assert "SortMergeJoin" in final and "Bucketed: true" in final
+    assert final.count("Exchange hashpartitioning") == 1
+    got = sorted((r["id"], r["campo_limpo"], r["seg"]) for r in spark.read.parquet(f"{scratch}/out").collect())
+    assert got == [(1, "ITAU", 1), (3, "BANCO AÇÃO", 2)]
