@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 from strata.functions.keys import KEY_COLUMN, with_clean_key
 from strata.functions.messages import nan_text_to_null, parse_messages
 from strata.functions.names import cast_all_to_string, drop_columns, drop_suffixed, rename_all, strip_suffix
-from strata.operators.joins import CI_AI, broadcast_if_small, merge, natural_join, reference_keys
+from strata.operators.joins import CI_AI, broadcast_if_small, is_small, merge, natural_join, reference_keys
 
 BATCH_COLUMN = "batch_id"
 OUTCOME_COLUMN = "outcome"
@@ -89,17 +89,26 @@ def prepare_reference(table: DataFrame, path: str, key: str = KEY_COLUMN,
     files carry no collation metadata. It is broadcast when its measured size
     bound is under the broadcast limit.
 
-    Matched on exact keys (``collation=None``), the reference is saved as a
-    table bucketed on the match key, with as many buckets as shuffle
-    partitions (so the join keeps its partitioning): when it is too large to
-    broadcast, each batch's join shuffles the batch only, never the reference.
+    Matched on exact keys (``collation=None``), a reference too large to
+    broadcast is saved again as a table bucketed on the match key, with as
+    many buckets as shuffle partitions (so the join keeps its partitioning):
+    each batch's join then shuffles the batch only, never the reference.
     """
-    spark = table.sparkSession
     ref = reference_keys(table, key, collation).select(F.col("_match").cast("string").alias("_match"), "_stored")
-    if collation is None:
-        return broadcast_if_small(save_bucketed(ref, path, "_match"))
-    ref.write.mode("overwrite").parquet(path)
-    return broadcast_if_small(spark.read.parquet(path))
+    return stored_reference(ref, path, "_match" if collation is None else None)
+
+
+def stored_reference(df: DataFrame, path: str, bucket_on: str | None = None) -> DataFrame:
+    """``df`` written to ``path`` and measured: broadcast under the bound; else,
+    with ``bucket_on``, saved again bucketed on that column (only then, so a
+    small reference pays no bucketed write)."""
+    df.write.mode("overwrite").parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    if is_small(stored):
+        return F.broadcast(stored)
+    if bucket_on is not None:
+        return save_bucketed(stored, f"{path}_bucketed", bucket_on)
+    return stored
 
 
 def save_bucketed(df: DataFrame, path: str, column: str, buckets: int | None = None) -> DataFrame:
@@ -216,11 +225,11 @@ def start_queue_enrichment(spark: SparkSession, source: DataFrame, schema: Struc
     """Parse queue messages and merge each batch with the reference table.
 
     The reference is written once to shared storage before the stream starts,
-    so batches read stored rows instead of recomputing it.
+    so batches read stored rows instead of recomputing it; when it holds the
+    key and is too large to broadcast, it is saved bucketed on the key, so
+    batches do not shuffle it again.
     """
-    ref_path = f"{out_root}/_reference"
-    reference.write.mode("overwrite").parquet(ref_path)
-    ref = broadcast_if_small(spark.read.parquet(ref_path))
+    ref = stored_reference(reference, f"{out_root}/_reference", key if key in reference.columns else None)
     parsed = parse_messages(source, schema)
     return (parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
             .foreachBatch(queue_batch_fn(ref, f"{out_root}/batches", field, key))
