@@ -172,3 +172,13 @@ def test_collated_lookup_large_reference_path_matches(spark):
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
     assert small == large == [(1, "AÇÃO"), (2, "AÇÃO")]
     assert large_rej == [(3, "NONE"), (4, "-")]
+
+
+def test_repeated_key_on_composite_keys(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, None, 3), (1, None, 4), (2, "a", 5)],
+                               "k1 int, k2 string, v int")
+    # (1, NULL) twice never matches in a join, so it is no repeat.
+    assert repeated_key(df, ["k1", "k2"]) is None
+    dup = df.unionByName(spark.createDataFrame([(2, "a", 6)], "k1 int, k2 string, v int"))
+    assert repeated_key(dup, ["k1", "k2"]) == (2, "a")
+    assert repeated_key(df, "k1") == (1,)
