@@ -318,14 +318,18 @@ def size_bound_bytes(df: DataFrame) -> int:
     Per row: the null bitset and an 8-byte slot per field; per variable
     value: its bytes rounded up to 8.
     """
-    fields = df.schema.fields
-    var = [f.name for f in fields if isinstance(f.dataType, (StringType, BinaryType))]
+    var = var_columns(df)
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`")) + F.lit(7)), F.lit(0)).alias(f"_v{i}")
              for i, c in enumerate(var)]
     row = df.agg(*aggs).first()
-    per_row = 8 * ((len(fields) + 63) // 64) + 8 * len(fields)
-    return int(row["_rows"]) * per_row + sum(int(row[f"_v{i}"]) for i in range(len(var)))
+    return int(row["_rows"]) * _fixed_row_bytes(df) + sum(int(row[f"_v{i}"]) for i in range(len(var)))
+
+
+def _fixed_row_bytes(df: DataFrame) -> int:
+    """Bytes of a row without its variable-length values: null bitset and slots."""
+    n = len(df.schema.fields)
+    return 8 * ((n + 63) // 64) + 8 * n
 
 
 def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
@@ -341,7 +345,20 @@ def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
             max_bytes = int(str(conf).lower().removesuffix("b")) if conf else DEFAULT_BROADCAST_BYTES
         except ValueError:
             max_bytes = DEFAULT_BROADCAST_BYTES
-    return max_bytes > 0 and size_bound_bytes(df) <= max_bytes
+    if max_bytes <= 0:
+        return False
+    if var_columns(df):
+        # Rows times the fixed bytes per row is a lower bound of the size; on
+        # stored Parquet the row count comes from file footers, so a large
+        # table is rejected without reading its strings.
+        if df.count() * _fixed_row_bytes(df) > max_bytes:
+            return False
+    return size_bound_bytes(df) <= max_bytes
+
+
+def var_columns(df: DataFrame) -> list[str]:
+    """Names of the string and binary columns."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:

@@ -122,12 +122,17 @@ def test_hot_key_lookup_and_merge_match_brute_force(spark):
 
 
 def test_broadcast_only_under_measured_bound(spark):
-    from strata.operators.joins import broadcast_if_small, size_bound_bytes
+    from strata.operators.joins import broadcast_if_small, is_small, size_bound_bytes
     df = spark.createDataFrame([(i, "x" * 100) for i in range(1000)], "k long, s string")
     bound = size_bound_bytes(df)
     assert bound >= 1000 * (16 + 8 + 100)  # slots, bitset and string bytes
     small = broadcast_if_small(df, max_bytes=bound)
     big = broadcast_if_small(df, max_bytes=bound - 1)
+    # Under rows times the fixed row bytes the early exit decides (no string
+    # pass); between that and the bound the full measure decides.
+    assert not is_small(df, max_bytes=1000 * 24 - 1)
+    assert not is_small(df, max_bytes=1000 * 24 + 1)
+    assert is_small(df, max_bytes=bound)
     fact = spark.range(10).withColumnRenamed("id", "k")
     assert "BroadcastHashJoin" in fact.join(small, "k")._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
