@@ -4,12 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from strata.plans import tpch_sources
+from strata.plans import registry, tpch_sources
 from tests.conftest import SF_SMALL
 from tools.oracle_check import _digest, duck_rows, spark_rows
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# The library's own queries; tests/llm covers those of strata/llm.
+QUERIES = registry.QUERIES
+ORACLE = registry.ORACLE
 
 
 @pytest.fixture(scope="module")
