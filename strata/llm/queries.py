@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from strata.llm.chat import format_conversations, loss_text, parse_turns
 from strata.llm.common import text_or_empty
 from strata.llm.exact_dedup import exact_dedup, squeezed
+from strata.llm.packing import pack
+from strata.llm.secrets import base_spans, kind_count, scan_secrets, span_string
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -91,3 +93,28 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(F.encode(squeezed(text_or_empty("text")), "UTF-8"), 256)
     return exact_dedup(docs.withColumn("text_sha256", digest)).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query()
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document; a source is an owner, its language a repository."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    out = scan_secrets(docs, F.concat_ws("/", "source", "lang"), F.col("source"))
+    spans = F.col("spans")
+    return out.select("doc_id", *[kind_count(spans, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                      F.sha2(span_string(base_spans(spans)), 256).alias("base_sha256"),
+                      span_string(spans).alias("spans"), "n_live", "n_example")
+
+
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack(docs, vocabulary_path()).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
