@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.llm.chat import format_conversations, loss_text, parse_turns
 from strata.llm.common import text_or_empty
 from strata.llm.exact_dedup import exact_dedup, squeezed
+from strata.llm.neardup import near_duplicates
 from strata.llm.packing import pack
 from strata.llm.secrets import base_spans, kind_count, scan_secrets, span_string
 
@@ -118,3 +119,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pack(docs, vocabulary_path()).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query()
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate component (three words, 85 %)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, words=3, percent=85).select(
+        "doc_id", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
