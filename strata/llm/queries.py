@@ -11,6 +11,7 @@ from strata.llm.chat import format_conversations, loss_text, parse_turns
 from strata.llm.common import text_or_empty
 from strata.llm.exact_dedup import exact_dedup, squeezed
 from strata.llm.neardup import near_duplicates
+from strata.llm.ngram_lm import score_texts
 from strata.llm.packing import pack
 from strata.llm.secrets import base_spans, kind_count, scan_secrets, span_string
 
@@ -128,3 +129,12 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, words=3, percent=85).select(
         "doc_id", "n_shingles", "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+@query()
+def op1_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log-probability under the model of the training fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    return score_texts(docs, ~held_out).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
