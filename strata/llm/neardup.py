@@ -140,7 +140,7 @@ def _prune_pairs(percent: int, bounds):
     return run
 
 
-def _block_pairs(percent: int, rows: int, bands: int, bounds, most: int = 400_000):
+def _block_pairs(percent: int, rows: int, bands: int, bounds, most: int = 50_000):
     """Blocks of bucket members, sorted by block, to pairs of different
     components that may be links. A pair is handled in its first common band."""
     def pairs_of(t: pa.Table) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.ann import search
 from strata.llm.chat import format_conversations, loss_text, parse_turns
 from strata.llm.common import text_or_empty
 from strata.llm.exact_dedup import exact_dedup, squeezed
@@ -138,3 +139,9 @@ def op1_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
     return score_texts(docs, ~held_out).select(
         "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query()
+def op9_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every 20th vector, among all others."""
+    return search(table(spark, sf_dir, "embeddings"), every=20, k=20)
