@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from strata.llm.common import col, store
 
 PIVOTS = 512          # fitted on at most 4 * PIVOTS rows with the smallest id hashes
-POSTED = 128          # pivots under which a vector is posted
-ASKED = 64            # lists that a query reads
+POSTED = 256          # pivots under which a vector is posted
+ASKED = 96            # lists that a query reads
 SHARE = 0.10          # part of a shard that is reranked, best footrule first
-LEAST = 1000          # but at least so many
+LEAST = 1000          # but at least so many, and on while the answer changes
 SHARD_ROWS = 16_384
 QUERY_ROWS = 4_096
 
@@ -96,7 +96,9 @@ def _search(n_pivots: int, k: int, asked: int, share: float, least: int):
             by = np.argsort(posted.ravel(), kind="stable")
             vectors, ranks = (by // depth).astype(np.int32), (by % depth).astype(np.int16)
             first = np.searchsorted(posted.ravel()[by], np.arange(n_pivots + 1))
-            take = min(len(ids), max(least, int(np.ceil(share * len(ids)))))
+            take = max(least, int(np.ceil(share * len(ids))), k + 1)
+            top = depth * asked
+            kind = np.int16 if top < 2 ** 15 else np.int32
             for q, qv, own in zip(queries["vec_id"].to_pylist(), rows(queries, "v", np.float64),
                                   rows(queries, "asked", np.uint16)[:, :asked], strict=True):
                 # Footrule with absent pivots at rank `depth`, as gain over that.
@@ -104,18 +106,22 @@ def _search(n_pivots: int, k: int, asked: int, share: float, least: int):
                 for rank, pivot in enumerate(own.tolist()):
                     a, b = first[pivot], first[pivot + 1]
                     gain[vectors[a:b]] += (depth - rank) - np.abs(ranks[a:b] - rank)
-                if take < len(ids):
-                    # Ties in footrule go to the smaller id.
-                    edge = np.partition(gain, len(gain) - take)[len(gain) - take]
-                    sure = np.flatnonzero(gain > edge)
-                    near = np.concatenate([sure, np.flatnonzero(gain == edge)[:take - len(sure)]])
-                else:
-                    near = np.arange(len(ids))
-                near = np.sort(near)
-                # Component by component: equal vectors get equal scores.
-                score = np.zeros(len(near))
-                for d in range(len(v)):
-                    score += v[d, near] * qv[d]
+                # Best footrule first, ties to the smaller id. Reranking goes on
+                # as long as the last candidates changed the answer.
+                ranked = np.argsort(top - gain.astype(kind), kind="stable")
+                near, score, done = np.empty(0, np.int64), np.empty(0), 0
+                while done < len(ids):
+                    upto = take if not done else done + max(least, take) // 2
+                    more = ranked[done:upto]
+                    # Component by component: equal vectors get equal scores.
+                    fresh = np.zeros(len(more))
+                    for d in range(len(v)):
+                        fresh += v[d, more] * qv[d]
+                    if done and (fresh < np.partition(score, -(k + 1))[-(k + 1)]).all():
+                        break
+                    near, score, done = np.concatenate([near, more]), np.concatenate([score, fresh]), upto
+                by_id = np.argsort(near)
+                near, score = near[by_id], score[by_id]
                 best = np.argsort(-score, kind="stable")[:k + 1]
                 found = [every[first_member[i]:last_member[i]] for i in near[best].tolist()]
                 score = np.repeat(score[best], [len(x) for x in found])
