@@ -97,7 +97,8 @@ def _profile(order: int, buckets: int):
         block = table["block"][0].as_py()
         for k, positions, keys in _grams(seq, at, order):
             own = np.sort(keys[train[positions]])
-            distinct = np.unique(keys)
+            distinct = np.sort(keys)
+            distinct = distinct[np.concatenate([[True], distinct[1:] != distinct[:-1]])]
             counts = (np.searchsorted(own, distinct, "right") - np.searchsorted(own, distinct)).astype(np.uint32)
             bucket = _bucket(distinct, buckets)
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]).tolist()
@@ -124,7 +125,9 @@ def _total(table: pa.Table) -> pa.Table:
         part = table.take(pa.array(rows))
         keys = [_unpack(x.as_py(), KEY_BYTES.get(k, 6)) for x in part["keys"]]
         counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in part["counts"]])
-        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        every = np.concatenate(keys)
+        first, at = _distinct(every)
+        distinct = every[first]
         total = np.bincount(at, weights=counts).astype(np.int64)
         if k == 1:
             words = distinct != start
@@ -139,81 +142,76 @@ def _total(table: pa.Table) -> pa.Table:
                     names=["block", "bucket", "gram", "counts", "v", "n"])
 
 
-class Automaton:
-    """Backoff automaton of one block's n-grams.
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One position of each distinct key, keys ascending, and each key's number."""
+    order = np.argsort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
 
-    States are the known histories (0 is the empty one). ``arcs`` maps
-    state * width + word to an arc with weight and target; state 0 has its
-    arcs in arrays by word; every other state has a failure arc.
+class Automaton:
+    """Backoff automaton of one block's n-grams, laid over the block's texts.
+
+    The states are the n-grams shorter than the order that training has seen
+    (and the empty one): after a token, the automaton is in the longest of
+    them that ends there. ``arc[k]`` has, for every position, the weight of
+    the arc that reads its token from a state of ``k`` words, or NaN where
+    that state has no such arc; ``failure[k]`` the weight of the failure arc
+    that leaves the state of ``k`` words ending there for its last ``k - 1``.
     """
 
     def __init__(self, seq, at, order, counts, v, n, mu):
-        below_p = below_c = below_at = below_state = None
-        arcs: dict[int, int] = {}
-        weight: list[float] = []
-        target: list[int] = []
-        fail, fail_weight = [0], [0.0]
+        self.at, self.arc, self.failure, self.length = at, [], [], np.zeros(len(seq), np.int8)
+        below_p = below_c = below_at = None
         for k, positions, keys in _grams(seq, at, order):
-            distinct, first, gram_at = np.unique(keys, return_index=True, return_inverse=True)
-            where = positions[first]
-            c = counts[k]
-            slot = np.zeros(len(seq), np.int64)
-            slot[positions] = gram_at
+            first, number = _distinct(keys)
+            where, c = positions[first], counts[k]
+            slot = np.zeros(len(seq), np.int32)
+            slot[positions] = number
             if k == 1:
                 p = (c + 1.0) / (n + v + 1.0)
-                self.word = slot
-                self.width = len(distinct)
-                self.count = c
-                state = np.where(c > 0, np.arange(1, len(distinct) + 1), 0) if order > 1 else np.zeros(len(distinct), int)
-                self.root_weight, self.root_target = np.log10(p), state
-                fail += [0] * len(distinct)
-                fail_weight += np.log10(mu / (c + mu)).tolist()
+                self.known = (c > 0)[slot]
+                arc = np.log10(p)[slot]
             else:
-                history, suffix = below_at[where - 1], below_at[where]
-                p = (c + mu * below_p[suffix]) / (below_c[history] + mu)
-                known = c > 0
-                if k < order:
-                    base = len(fail)
-                    state = np.where(known, base + np.arange(len(distinct)), below_state[suffix])
-                    fail += below_state[suffix].tolist()
-                    fail_weight += np.log10(mu / (c + mu)).tolist()
-                else:
-                    state = below_state[suffix]
-                pick = np.flatnonzero(known)
-                names = below_state[history[pick]] * self.width + self.word[where[pick]]
-                arcs.update(zip(names.tolist(), range(len(weight), len(weight) + len(pick)), strict=True))
-                weight += np.log10(p[pick]).tolist()
-                target += state[pick].tolist()
-            below_p, below_c, below_at, below_state = p, c, slot, state
-        self.arcs, self.weight, self.target = arcs, weight, target
-        self.fail, self.fail_weight = fail, fail_weight
-
-    def traverse(self, words: list[int], state: int) -> float:
-        """Log10-probability of ``words`` read from left to right."""
-        get, width, weight, target = self.arcs.get, self.width, self.weight, self.target
-        fail, fail_weight, root_weight, root_target = self.fail, self.fail_weight, self._rw, self._rt
-        total = 0.0
-        for w in words:
-            arc = get(state * width + w) if state else None
-            while arc is None and state:
-                total += fail_weight[state]
-                state = fail[state]
-                arc = get(state * width + w) if state else None
-            if arc is None:
-                total += root_weight[w]
-                state = root_target[w]
-            else:
-                total += weight[arc]
-                state = target[arc]
-        return total
-
-    def scores(self, at: np.ndarray) -> np.ndarray:
-        self._rw, self._rt = self.root_weight.tolist(), self.root_target.tolist()
-        out = np.empty(len(at) - 1)
-        for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
-            start, *words = self.word[a:b].tolist()
-            out[i] = self.traverse(words, self._rt[start])
-        return out
+                p = (c + mu * below_p[below_at[where]]) / (below_c[below_at[where - 1]] + mu)
+                weight = np.where(c > 0, np.log10(p), np.nan)
+                arc = np.full(len(seq), np.nan)
+                arc[positions] = weight[number]
+            self.arc.append(arc)
+            if k < order:
+                failure = np.full(len(seq), 0.0)
+                failure[positions] = np.log10(mu / (c + mu))[number]
+                self.failure.append(failure)
+                self.length[positions[(c > 0)[number]]] = k
+            below_p, below_c, below_at = p, c, slot
+
+    def traverse(self) -> np.ndarray:
+        """Log10-probability of every text, read from left to right.
+
+        All texts and positions are read at once: the state before a token is
+        the state after the token before it, which the automaton knows
+        without the score so far. Each reads its token by an arc, or takes
+        failure arcs until a state has one; the empty state always has.
+        """
+        score = np.zeros(len(self.length))
+        state = np.empty_like(self.length)
+        state[1:] = self.length[:-1]
+        todo = np.ones(len(state), bool)
+        todo[self.at[:-1]] = False  # START is where texts begin, no token
+        for k in range(len(self.arc) - 1, -1, -1):
+            here = np.flatnonzero(todo & (state == k))
+            arc = self.arc[k][here]
+            reads = ~np.isnan(arc)
+            score[here[reads]] += arc[reads]
+            todo[here[reads]] = False
+            if k:
+                fails = here[~reads]
+                score[fails] += self.failure[k - 1][fails - 1]
+                state[fails] = k - 1
+        return np.add.reduceat(score, self.at[:-1])
 
 
 def _score(order: int, buckets: int, v: int, n: int, mu: float):
@@ -227,15 +225,13 @@ def _score(order: int, buckets: int, v: int, n: int, mu: float):
             counts[k] = (np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in rows["counts"]])
                          if rows.num_rows else np.empty(0, np.int64))
         automaton = Automaton(seq, at, order, counts, v, n, mu)
-        scored = np.ones(len(seq), bool)
-        scored[at[:-1]] = False
-        known = (automaton.count[automaton.word] > 0) & scored
-        base = np.where(scored, automaton.root_weight[automaton.word], 0.0)
+        known, base = automaton.known, automaton.arc[0].copy()
+        known[at[:-1]], base[at[:-1]] = False, 0.0
         first = at[:-1]
         return pa.table({
             "id": docs["id"], "train": docs["train"], "n_tokens": pa.array(np.diff(at) - 1),
             "n_known": pa.array(np.add.reduceat(known, first, dtype=np.int64)),
-            "base_score": pa.array(np.add.reduceat(base, first)), "score": pa.array(automaton.scores(at))})
+            "base_score": pa.array(np.add.reduceat(base, first)), "score": pa.array(automaton.traverse())})
     return run
 
 
