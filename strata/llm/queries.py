@@ -15,6 +15,7 @@ from strata.llm.neardup import near_duplicates
 from strata.llm.ngram_lm import score_texts
 from strata.llm.packing import pack
 from strata.llm.secrets import base_spans, kind_count, scan_secrets, span_string
+from strata.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -145,3 +146,14 @@ def op1_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found of every 20th vector, among all others."""
     return search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, learned from the training fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    scored = score_toxicity(docs, labels, ~held_out)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_abuse", "n_quoted")
