@@ -6,9 +6,11 @@ and the pair is dropped as soon as the posterior chance that its similarity
 reaches the threshold falls below the miss probability; survivors are
 confirmed on their full shingle sets.
 
-No bucket is expanded into all its pairs: every member is first compared with
-the bucket's centre, links are closed into components, and only members of
-different components are compared further, in blocks.
+No bucket is expanded into all its pairs. Every member is first compared with
+the bucket's centre, and links are closed into components. Nodes of one home
+(the smallest centre of their buckets) that are in different components are
+then compared in blocks inside tasks, which return links only; pairs of
+different homes and components are compared bucket by bucket.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -141,13 +144,13 @@ def _prune_pairs(percent: int, bounds):
 
 
 def _block_pairs(percent: int, rows: int, bands: int, bounds, most: int = 50_000):
-    """Blocks of bucket members, sorted by block, to pairs of different
-    components that may be links. A pair is handled in its first common band."""
+    """Blocks of bucket members, sorted by block, to pairs of different homes
+    and components that may be links. A pair is handled in its first common band."""
     def pairs_of(t: pa.Table) -> Iterator[pa.RecordBatch]:
         block = t["block"].to_numpy()
         node, comp, n = t["node"].to_numpy(), t["comp"].to_numpy(), t["n"].to_numpy()
         band, side, cross = t["band"].to_numpy(), t["side"].to_numpy(), t["cross"].to_numpy()
-        centre = t["center"].to_numpy()
+        centre, home = t["center"].to_numpy(), t["home"].to_numpy()
         sig = np.concatenate([_signature_rows(c) for c in t["sig"].chunks])
         keys = band_keys(sig, rows, bands)
         start = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
@@ -161,6 +164,7 @@ def _block_pairs(percent: int, rows: int, bands: int, bounds, most: int = 50_000
             right = left + 1 + np.arange(len(left)) - (upto[left] - upto[lo])
             lo = hi
             ok = comp[left] != comp[right]
+            ok &= home[left] != home[right]
             ok &= ~cross[left] | (side[left] != side[right])
             ok &= 100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])
             # Compared with the centre already.
@@ -189,29 +193,75 @@ def _block_pairs(percent: int, rows: int, bands: int, bounds, most: int = 50_000
     return run
 
 
+def _sets(nodes: pa.ChunkedArray, texts: pa.ChunkedArray, k: int) -> dict[int, np.ndarray]:
+    """Shingle sets by node."""
+    members: dict[int, np.ndarray] = {}
+    for batch in pa.table({"node": nodes, "text": texts}).to_batches():
+        for part in slices(batch, 1):
+            sets, at = shingle_sets(part.column(1), k)
+            for node, a, b in zip(part.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                members[node] = sets[a:b]
+    return members
+
+
+def _linked(a: np.ndarray, b: np.ndarray, members: dict[int, np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of nodes are links on their full sets."""
+    order = np.argsort(a, kind="stable")
+    linked = np.zeros(len(a), bool)
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(a[order])) + 1, [len(a)]])
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if hi == lo:
+            continue
+        own = members[int(a[order[lo]])]
+        others = [members[int(x)] for x in b[order[lo:hi]]]
+        sizes = np.array([len(x) for x in others])
+        every = np.concatenate(others)
+        found = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+        both = np.add.reduceat(found, np.concatenate([[0], np.cumsum(sizes)[:-1]]), dtype=np.int64)
+        linked[order[lo:hi]] = 100 * both >= percent * (len(own) + sizes - both)
+    return linked
+
+
 def _confirm(k: int, percent: int):
     """Pairs and texts of one group to the pairs that are links on full sets."""
     def run(pairs: pa.Table, texts: pa.Table) -> pa.Table:
-        members: dict[int, np.ndarray] = {}
-        for batch in texts.select(["node", "text"]).to_batches():
-            for part in slices(batch, 1):
-                sets, at = shingle_sets(part.column(1), k)
-                for node, a, b in zip(part.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-                    members[node] = sets[a:b]
+        members = _sets(texts["node"], texts["text"], k)
         a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
-        order = np.argsort(a, kind="stable")
-        linked = np.zeros(len(a), bool)
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(a[order])) + 1, [len(a)]])
-        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if hi == lo:
-                continue
-            own = members[int(a[order[lo]])]
-            others = [members[int(x)] for x in b[order[lo:hi]]]
-            sizes = np.array([len(x) for x in others])
-            every = np.concatenate(others)
-            found = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
-            both = np.add.reduceat(found, np.concatenate([[0], np.cumsum(sizes)[:-1]]), dtype=np.int64)
-            linked[order[lo:hi]] = 100 * both >= percent * (len(own) + sizes - both)
+        linked = _linked(a, b, members, percent)
+        return pa.table({"a": pa.array(a[linked]), "b": pa.array(b[linked])})
+    return run
+
+
+def _within_homes(k: int, percent: int, bounds, most: int = 50_000):
+    """Blocks of nodes of one home to the links between their components."""
+    def run(t: pa.Table) -> pa.Table:
+        order = np.argsort(t["block"].to_numpy(), kind="stable")
+        block = t["block"].to_numpy()[order]
+        node, comp, n = (t[c].to_numpy()[order] for c in ("node", "comp", "n"))
+        cross, side = (t[c].to_numpy()[order] for c in ("cross", "side"))
+        sig = np.concatenate([_signature_rows(c) for c in t["sig"].chunks])[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]]).tolist()
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            rows = np.arange(lo, hi)
+            left, right = (rows[side[lo:hi] == 0], rows[side[lo:hi] == 1]) if cross[lo] else (rows, rows)
+            step = max(1, most // max(1, len(right)))
+            for i in range(0, len(left), step):
+                a, b = (x.ravel() for x in np.meshgrid(left[i:i + step], right, indexing="ij"))
+                ok = comp[a] != comp[b]
+                if not cross[lo]:
+                    ok &= a < b
+                ok &= 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+                a, b = a[ok], b[ok]
+                keep = survivors(sig, a, b, bounds)
+                if len(keep):
+                    found.append((node[a[keep]], node[b[keep]]))
+        if not found:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        needed = pc.is_in(t["node"], value_set=pa.array(np.unique(np.concatenate([a, b]))))
+        texts = t.select(["node", "text"]).filter(needed)
+        linked = _linked(a, b, _sets(texts["node"], texts["text"], k), percent)
         return pa.table({"a": pa.array(a[linked]), "b": pa.array(b[linked])})
     return run
 
@@ -285,7 +335,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         n_groups = pairs.count() // PAIRS_PER_GROUP + 1
         dealt = store(located.select("a", "b", F.pmod(F.xxhash64(F.least("ca", "cb"), F.greatest("ca", "cb")),
                                                       F.lit(n_groups)).alias("g")), f"{label}-dealt")
-        need = dealt.select(F.col("g").alias("h"), F.explode(F.array("a", "b")).alias("node")).distinct()
+        need = (dealt.select(F.col("g").alias("h"), F.col("a").alias("node"))
+                .union(dealt.select("g", "b")).distinct())
         return store(dealt.groupBy("g").cogroup(need.join(texts, "node").groupBy("h"))
                      .applyInArrow(_confirm(words, percent), "a long, b long"), f"{label}-links")
 
@@ -298,22 +349,54 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     links = confirm(likely, "near-star")
     comps = connected_components(links, "near-star")
 
-    # What is left: members of one bucket in different components.
-    placed = store(members.join(broadcast_rows(comps), "node", "left")
-                   .withColumn("comp", F.coalesce("component", "node")).drop("component"), "near-placed")
-    open_keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .where("lo != hi").select("key"))
+    # Nodes of one home in different components. The core of a home is its
+    # centre's component; core nodes need no comparison with each other.
+    side = broadcast_rows(comps)
+    placed = homes.join(side, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    placed = placed.join(side.select(F.col("node").alias("home"), F.col("component").alias("core")), "home", "left")
+    placed = store(placed.withColumn("core", F.col("comp") == F.coalesce("core", "home")), "near-placed")
+    counts = store(placed.groupBy("home").agg(F.count_if("core").alias("cores"), F.count_if(~F.col("core")).alias("outer"),
+                                              F.count(F.lit(1)).alias("size")).where("outer > 0"), "near-counts")
+    cores, outer = F.ceil(F.col("cores") / BLOCK), F.ceil(F.col("outer") / BLOCK)
+    mine = F.pmod(F.xxhash64("node"), F.when(F.col("core"), cores).otherwise(outer))
+
+    def place(kind, first, second, side, cross):
+        return F.struct(F.xxhash64("home", F.lit(kind), first, second).alias("block"),
+                        side.cast("int").alias("side"), cross.alias("cross"))
+
+    def upto(n):
+        return F.sequence(F.lit(0).cast("long"), n - 1)
+
+    # Block kinds: a core chunk with an outer chunk, or two outer chunks.
+    with_outer = F.transform(upto(outer), lambda p: place(0, F.col("mine"), p, F.lit(0), F.lit(True)))
+    with_core = F.transform(upto(cores), lambda c: place(0, c, F.col("mine"), F.lit(1), F.lit(True)))
+    both_outer = F.transform(upto(outer), lambda p: place(
+        1, F.least(F.col("mine"), p), F.greatest(F.col("mine"), p), F.col("mine") > p, F.col("mine") != p))
+    blocks = (join_groups(placed, counts, ["home"], "size", placed.count()).withColumn("mine", mine)
+              .withColumn("at", F.explode(F.when(F.col("core"), with_outer).otherwise(F.concat(with_core, both_outer))))
+              .select("at.*", "node", "comp"))
+    blocks = store(blocks, "near-blocks")
+    n_groups = blocks.count() // PAIRS_PER_GROUP + 1
+    inside = (blocks.join(sigs, "node").join(texts, "node")
+              .withColumn("g", F.pmod("block", F.lit(n_groups))).groupBy("g")
+              .applyInArrow(_within_homes(words, percent, bounds), "a long, b long"))
+    same = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    comps = connected_components(same.unionByName(store(inside, "near-inside")), "near-homes")
+
+    # Members of one bucket with different homes, in different components.
+    located = members.join(broadcast_rows(homes), "node").join(broadcast_rows(comps), "node", "left")
+    located = store(located.withColumn("comp", F.coalesce("component", "node")).drop("component"), "near-located")
+    open_keys = (located.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+                                            F.min("home").alias("h0"), F.max("home").alias("h1"))
+                 .where("c0 != c1 and h0 != h1").select("key"))
     parts = F.ceil(F.col("members") / BLOCK)
-    mine = F.pmod(F.xxhash64("node"), parts)
-    blocks = (placed.join(open_keys, "key").withColumn("mine", mine)
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    blocks = (located.join(open_keys, "key").withColumn("mine", F.pmod(F.xxhash64("node"), parts))
+              .withColumn("other", F.explode(upto(parts)))
               .select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"),
-                      "band", "node", "comp", "center", F.col("mine").alias("side"),
-                      (F.col("mine") != F.col("other")).alias("_own"), "members"))
-    # Block (i, j), i != j, holds chunk i and chunk j; block (i, i) holds chunk i.
-    blocks = blocks.withColumnRenamed("_own", "cross")
+                      "band", "node", "comp", "center", "home", F.col("mine").alias("side"),
+                      (F.col("mine") != F.col("other")).alias("cross")))
     ready = (blocks.join(sigs, "node").repartition("block").sortWithinPartitions("block")
-             .select("block", "band", "node", "comp", "center", "side", "cross", "n", "sig"))
+             .select("block", "band", "node", "comp", "center", "home", "side", "cross", "n", "sig"))
     rest = store(ready.mapInArrow(_block_pairs(percent, n_rows, n_bands, bounds), "a long, b long"), "near-rest")
     more = confirm(rest, "near-rest")
     final = connected_components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more),
