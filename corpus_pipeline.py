@@ -1,25 +1,80 @@
-"""Corpus preparation pipeline (stages follow as their operators land)."""
+"""Corpus preparation: five stages from documents to packed training sequences.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all its predecessor
+kept. All but the last return the columns of ``documents``; other columns of
+the input are not passed on. A null or empty text is never toxic, never a near
+duplicate and holds no secret; of several empty texts exact dedup keeps one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.llm.common import store
 from strata.llm.exact_dedup import exact_dedup
+from strata.llm.neardup import near_duplicates
+from strata.llm.packing import pack
+from strata.llm.queries import vocabulary_path
+from strata.llm.secrets import redacted, scan_secrets
+from strata.llm.toxicity import score_toxicity
 
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+TOXIC = 0.3
+
+# Learning, MinHash and tokenisation have no counterpart in SQL; the stages
+# are tested against brute-force versions.
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored under TOXIC by a model of the labelled training fold
+    (labels of documents that are not among ``docs`` are not used)."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    train = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2
+    scored = score_toxicity(docs.select(*DOC_COLUMNS), labels, train, keep_text=True)
+    return scored.where(F.col("score") < TOXIC).select(*DOC_COLUMNS)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one document stays."""
-    return exact_dedup(docs, keep_text=True).where("kept").select(*docs.columns)
+    """One document of each group of texts equal up to white space."""
+    return exact_dedup(docs.select(*DOC_COLUMNS), keep_text=True).where("kept").select(*DOC_COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (five words, 0.8)."""
+    return near_duplicates(docs.select(*DOC_COLUMNS), words=5, percent=80, keep_text=True).where("kept").select(
+        *DOC_COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets that are no widely copied examples replaced."""
+    scanned = scan_secrets(docs.select(*DOC_COLUMNS), F.concat_ws("/", "source", "lang"), F.col("source"),
+                           keep_text=True)
+    text = redacted(F.col("text"), F.col("spans"))
+    changed = scanned.withColumn("_clean", text)
+    return changed.select("doc_id", F.col("_clean").alias("text"), "lang", "source",
+                          F.when(F.col("_clean") == F.col("text"), F.col("n_chars"))
+                          .otherwise(F.coalesce(F.length("_clean").cast("long"), F.col("n_chars"))).alias("n_chars"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces placed in sequences of at most 2048 ids."""
+    return pack(docs.select(*DOC_COLUMNS), vocabulary_path())
 
 
-STAGES = [("exact_dedup", drop_exact_copies)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
+    ("secret scan", redact_secrets),
+    ("packing", pack_sequences),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other, each result written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)
