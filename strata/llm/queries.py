@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm import pieces
 from strata.llm.ann import search
 from strata.llm.chat import format_conversations, loss_text, parse_turns
 from strata.llm.common import text_or_empty
@@ -157,3 +158,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(docs, labels, ~held_out)
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_abuse", "n_quoted")
+
+
+@query()
+def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again; null counts as empty."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", text_or_empty("text").alias("text"))
+    model = vocabulary_path("piece_bpe_32k.model")
+    coded = pieces.decode(pieces.encode(docs, model), model)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+                        F.crc32("ids").alias("ids_crc32"),
+                        F.sha2(F.encode(F.col("decoded"), "UTF-8"), 256).alias("decoded_sha256"),
+                        (F.col("decoded") == F.col("text")).alias("restored"))

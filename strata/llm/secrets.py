@@ -70,8 +70,9 @@ def scan_secrets(docs: DataFrame, repo: Column, owner: Column, id_col: str = "do
     ``spans`` is an array of ``(start, kind, end, n_owners, n_repos)`` sorted
     by start, then kind (an index into KINDS), positions in code points. A
     value is an ``example`` if at least ``example_owners`` owners hold it and
-    ``live`` if one owner holds all its occurrences and it has at least
-    LIVE_DISTINCT distinct characters; other values get no span of their own.
+    ``live`` if one owner holds all its occurrences and it looks random: at
+    least LIVE_DISTINCT distinct characters, a letter and a digit among them.
+    Other values get no span of their own.
 
     Edge cases: null or empty texts have no spans; a null repository or owner
     counts as one of its own; repeated rows each get their spans (and are no
@@ -90,7 +91,8 @@ def scan_secrets(docs: DataFrame, repo: Column, owner: Column, id_col: str = "do
                    .select("_x_row", "_x_repo", "_x_owner", F.col("f.value_start").alias("_x_start"),
                            F.col("f.end").alias("_x_end"),
                            F.unhex(F.sha2(F.col("f.value"), 256)).alias("_x_hash"),
-                           (F.size(F.array_distinct(F.split(F.col("f.value"), ""))) >= LIVE_DISTINCT)
+                           ((F.size(F.array_distinct(F.split(F.col("f.value"), ""))) >= LIVE_DISTINCT)
+                            & F.col("f.value").rlike("[A-Za-z]") & F.col("f.value").rlike("[0-9]"))
                            .alias("_x_random")).distinct(), "secret-values")
     holders = values.groupBy("_x_hash", "_x_repo", "_x_owner").agg(F.count(F.lit(1)).alias("n"))
     groups = store(holders.groupBy("_x_hash").agg(F.sum("n").alias("_x_n"),
@@ -138,12 +140,14 @@ def kind_count(spans: Column, kind: str) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """``text`` with every candidate value that is no example replaced by ``mark``.
+    """``text`` with assignments, access keys and live values replaced by
+    ``mark``, except those that overlap an example.
 
-    Overlapping spans become one mark; a span inside an example stays.
+    Overlapping spans become one mark. Long hexadecimal or decimal runs that
+    are neither assigned nor live stay.
     """
     examples = F.filter(spans, lambda s: s["kind"] == KINDS.index("example"))
-    cut = F.filter(spans, lambda s: (s["kind"] < 4) & ~F.exists(
+    cut = F.filter(spans, lambda s: s["kind"].isin(0, 1, 3) & ~F.exists(
         examples, lambda e: (s["start"] <= e["end"]) & (e["start"] <= s["end"])))
 
     def step(acc, s):
