@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +91,8 @@ def band_keys(sig: np.ndarray, rows: int, bands: int) -> np.ndarray:
     return key
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
+def signature_column(rows: np.ndarray) -> pa.Array:
+    """Rows of a matrix as binary values."""
     width = rows.shape[1] * rows.itemsize
     flat = np.ascontiguousarray(rows)
     offsets = np.arange(len(rows) + 1, dtype=np.int32) * width
@@ -114,7 +116,7 @@ def _sign(passed: int, k: int):
                 sets, at = shingle_sets(part.column(part.num_columns - 1), k)
                 h1, h2 = set_digests(sets, at)
                 columns = [*part.columns[:passed], pa.array(np.diff(at)), pa.array(h1.view(np.int64)),
-                           pa.array(h2.view(np.int64)), _binary(minhash(sets, at, N_HASHES))]
+                           pa.array(h2.view(np.int64)), signature_column(minhash(sets, at, N_HASHES))]
                 names = [*batch.schema.names[:passed], "n_shingles", "_x_h1", "_x_h2", "_x_sig"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
     return run
@@ -193,12 +195,12 @@ def _block_pairs(percent: int, rows: int, bands: int, bounds, most: int = 50_000
     return run
 
 
-def _sets(nodes: pa.ChunkedArray, texts: pa.ChunkedArray, k: int) -> dict[int, np.ndarray]:
+def _sets(nodes: pa.ChunkedArray, texts: pa.ChunkedArray, make_sets) -> dict[int, np.ndarray]:
     """Shingle sets by node."""
     members: dict[int, np.ndarray] = {}
     for batch in pa.table({"node": nodes, "text": texts}).to_batches():
         for part in slices(batch, 1):
-            sets, at = shingle_sets(part.column(1), k)
+            sets, at = make_sets(part.column(1))
             for node, a, b in zip(part.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
                 members[node] = sets[a:b]
     return members
@@ -222,17 +224,17 @@ def _linked(a: np.ndarray, b: np.ndarray, members: dict[int, np.ndarray], percen
     return linked
 
 
-def _confirm(k: int, percent: int):
+def _confirm(make_sets, percent: int):
     """Pairs and texts of one group to the pairs that are links on full sets."""
     def run(pairs: pa.Table, texts: pa.Table) -> pa.Table:
-        members = _sets(texts["node"], texts["text"], k)
+        members = _sets(texts["node"], texts["text"], make_sets)
         a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
         linked = _linked(a, b, members, percent)
         return pa.table({"a": pa.array(a[linked]), "b": pa.array(b[linked])})
     return run
 
 
-def _within_homes(k: int, percent: int, bounds, most: int = 50_000):
+def _within_homes(make_sets, percent: int, bounds, most: int = 50_000):
     """Blocks of nodes of one home to the links between their components."""
     def run(t: pa.Table) -> pa.Table:
         order = np.argsort(t["block"].to_numpy(), kind="stable")
@@ -261,102 +263,57 @@ def _within_homes(k: int, percent: int, bounds, most: int = 50_000):
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         needed = pc.is_in(t["node"], value_set=pa.array(np.unique(np.concatenate([a, b]))))
         texts = t.select(["node", "text"]).filter(needed)
-        linked = _linked(a, b, _sets(texts["node"], texts["text"], k), percent)
+        linked = _linked(a, b, _sets(texts["node"], texts["text"], make_sets), percent)
         return pa.table({"a": pa.array(a[linked]), "b": pa.array(b[linked])})
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text", miss: float = MISS, keep_text: bool = False) -> DataFrame:
-    """One row per input row: its columns without the text (with it if
-    ``keep_text``), ``n_shingles``, ``component_id`` and ``kept``.
-
-    A text's set is its distinct ``words``-word shingles, lower-cased A-Z,
-    words ``[^\\x20\\x09-\\x0D]+``; with fewer words the whole sequence is the
-    one shingle. Texts are linked when 100 * intersection >= percent * union;
-    ``component_id`` is the smallest id reachable over links, and one row of
-    each component is kept, the one with that id.
+def link_components(members: DataFrame, sigs: DataFrame, texts: DataFrame, make_sets, percent: int, n_rows: int,
+                    n_bands: int, bounds: list[tuple[int, int]], label: str) -> DataFrame:
+    """Components ``(node, component)`` of the links among bucket members.
 
-    Edge cases: null, empty and blank texts have no shingles, are linked with
-    nothing and are kept; null ids come after all others; of rows equal in id
-    and text one is kept; an empty table gives an empty result; input columns
-    named like an added column are replaced.
+    ``members``: ``(key, band, node, center, members)`` of buckets with several
+    nodes; ``sigs``: ``(node, n, sig)`` and ``texts``: ``(node, text)`` of those
+    nodes; ``make_sets`` turns texts into sorted distinct hashes. Two nodes are
+    linked when 100 * intersection >= percent * union of their sets.
     """
-    threshold = percent / 100
-    n_rows, n_bands = banding(threshold, miss)
-    bounds = least_matches(threshold, miss)
-    carried = extras(docs, ADDED, [id_col, text_col])
-    passed = [id_col, *carried, *([text_col] if keep_text else [])]
-    rid = F.xxhash64(col(id_col), col(text_col))
-    fields = [docs.schema[c] for c in passed]
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [
-        T.StructField("_x_rid", T.LongType()), T.StructField("n_shingles", T.LongType()),
-        T.StructField("_x_h1", T.LongType()), T.StructField("_x_h2", T.LongType()),
-        T.StructField("_x_sig", T.BinaryType())])
-    rows = store(docs.select(*[col(c) for c in passed], rid.alias("_x_rid"), col(text_col).cast("string").alias("_x_text"))
-                 .mapInArrow(_sign(len(passed) + 1, words), schema)
-                 .withColumn("_x_row", F.monotonically_increasing_id()), "near-rows")
-
-    # Nodes: classes of equal shingle sets. The larger the class, the smaller
-    # its number, so that buckets choose much-copied texts as centres.
-    first = F.struct(col(id_col).isNull().alias("n"), col(id_col).alias("i"), F.col("_x_row").alias("r"))
-    classes = (rows.where("n_shingles > 0").groupBy("_x_h1", "_x_h2", "n_shingles")
-               .agg(F.count(F.lit(1)).alias("_x_n"), F.min(first).alias("_x_first"),
-                    F.min_by(F.struct("_x_rid", "_x_sig"), "_x_row").alias("rep")))
-    weight = F.lit(63) - F.floor(F.log2("_x_n"))
-    nodes = store(classes.select("_x_h1", "_x_h2", "_x_n", "_x_first", F.col("n_shingles").alias("n"),
-                                 F.col("rep._x_rid").alias("rid"), F.col("rep._x_sig").alias("sig"),
-                                 (F.shiftleft(weight.cast("long"), 57) + F.monotonically_increasing_id()).alias("node")),
-                  "near-nodes")
-
-    # Buckets with several nodes, their members and their centre.
-    banded = nodes.select("node", "sig").mapInArrow(_bands(n_rows, n_bands), "key long, band int, node long")
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("center"))
-    members = store(banded.join(shared.where("members > 1"), "key"), "near-members")
-    sigs = nodes.select("node", "n", "sig")
-
-    # Texts of one row per node that shares a bucket.
-    wanted = store(members.select("node").distinct().join(nodes.select("node", "rid"), "node"), "near-wanted")
-    texts = store(docs.select(rid.alias("rid"), col(text_col).cast("string").alias("text"))
-                  .join(broadcast_rows(wanted), "rid").dropDuplicates(["node"]).select("node", "text"), "near-texts")
-
     # Nodes are dealt to chunks of nodes with the same centre, pairs to pairs of
     # chunks, so that a text travels once for many pairs.
-    homes = store(members.groupBy("node").agg(F.min("center").alias("home")), "near-homes")
-    sizes = store(homes.groupBy("home").agg(F.count(F.lit(1)).alias("size")), "near-sizes")
+    homes = store(members.groupBy("node").agg(F.min("center").alias("home")), f"{label}-homes")
+    sizes = store(homes.groupBy("home").agg(F.count(F.lit(1)).alias("size")), f"{label}-sizes")
     chunk = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / 128)))
     chunks = store(join_groups(homes, sizes, ["home"], "size", homes.count()).select("node", chunk.alias("chunk")),
-                   "near-chunks")
+                   f"{label}-chunks")
 
-    def confirm(pairs: DataFrame, label: str) -> DataFrame:
+    def confirm(pairs: DataFrame, name: str) -> DataFrame:
         side = broadcast_rows(chunks)
         located = (pairs.join(side.select(F.col("node").alias("a"), F.col("chunk").alias("ca")), "a")
                    .join(side.select(F.col("node").alias("b"), F.col("chunk").alias("cb")), "b"))
         n_groups = pairs.count() // PAIRS_PER_GROUP + 1
         dealt = store(located.select("a", "b", F.pmod(F.xxhash64(F.least("ca", "cb"), F.greatest("ca", "cb")),
-                                                      F.lit(n_groups)).alias("g")), f"{label}-dealt")
+                                                      F.lit(n_groups)).alias("g")), f"{label}-{name}-dealt")
         need = (dealt.select(F.col("g").alias("h"), F.col("a").alias("node"))
                 .union(dealt.select("g", "b")).distinct())
         return store(dealt.groupBy("g").cogroup(need.join(texts, "node").groupBy("h"))
-                     .applyInArrow(_confirm(words, percent), "a long, b long"), f"{label}-links")
+                     .applyInArrow(_confirm(make_sets, percent), "a long, b long"), f"{label}-{name}-links")
 
     # Every member against its buckets' centres.
     stars = members.where("node != center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
     signed = (stars.join(sigs.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
               .join(sigs.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b"))
     likely = store(signed.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_prune_pairs(percent, bounds),
-                                                                             "a long, b long"), "near-stars")
-    links = confirm(likely, "near-star")
-    comps = connected_components(links, "near-star")
+                                                                             "a long, b long"), f"{label}-stars")
+    links = confirm(likely, "star")
+    comps = connected_components(links, f"{label}-star")
 
     # Nodes of one home in different components. The core of a home is its
     # centre's component; core nodes need no comparison with each other.
     side = broadcast_rows(comps)
     placed = homes.join(side, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
     placed = placed.join(side.select(F.col("node").alias("home"), F.col("component").alias("core")), "home", "left")
-    placed = store(placed.withColumn("core", F.col("comp") == F.coalesce("core", "home")), "near-placed")
+    placed = store(placed.withColumn("core", F.col("comp") == F.coalesce("core", "home")), f"{label}-placed")
     counts = store(placed.groupBy("home").agg(F.count_if("core").alias("cores"), F.count_if(~F.col("core")).alias("outer"),
-                                              F.count(F.lit(1)).alias("size")).where("outer > 0"), "near-counts")
+                                              F.count(F.lit(1)).alias("size")).where("outer > 0"), f"{label}-counts")
     cores, outer = F.ceil(F.col("cores") / BLOCK), F.ceil(F.col("outer") / BLOCK)
     mine = F.pmod(F.xxhash64("node"), F.when(F.col("core"), cores).otherwise(outer))
 
@@ -375,17 +332,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     blocks = (join_groups(placed, counts, ["home"], "size", placed.count()).withColumn("mine", mine)
               .withColumn("at", F.explode(F.when(F.col("core"), with_outer).otherwise(F.concat(with_core, both_outer))))
               .select("at.*", "node", "comp"))
-    blocks = store(blocks, "near-blocks")
+    blocks = store(blocks, f"{label}-blocks")
     n_groups = blocks.count() // PAIRS_PER_GROUP + 1
     inside = (blocks.join(sigs, "node").join(texts, "node")
               .withColumn("g", F.pmod("block", F.lit(n_groups))).groupBy("g")
-              .applyInArrow(_within_homes(words, percent, bounds), "a long, b long"))
+              .applyInArrow(_within_homes(make_sets, percent, bounds), "a long, b long"))
     same = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    comps = connected_components(same.unionByName(store(inside, "near-inside")), "near-homes")
+    comps = connected_components(same.unionByName(store(inside, f"{label}-inside")), f"{label}-homes")
 
     # Members of one bucket with different homes, in different components.
     located = members.join(broadcast_rows(homes), "node").join(broadcast_rows(comps), "node", "left")
-    located = store(located.withColumn("comp", F.coalesce("component", "node")).drop("component"), "near-located")
+    located = store(located.withColumn("comp", F.coalesce("component", "node")).drop("component"), f"{label}-located")
     open_keys = (located.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                                             F.min("home").alias("h0"), F.max("home").alias("h1"))
                  .where("c0 != c1 and h0 != h1").select("key"))
@@ -397,10 +354,67 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
                       (F.col("mine") != F.col("other")).alias("cross")))
     ready = (blocks.join(sigs, "node").repartition("block").sortWithinPartitions("block")
              .select("block", "band", "node", "comp", "center", "home", "side", "cross", "n", "sig"))
-    rest = store(ready.mapInArrow(_block_pairs(percent, n_rows, n_bands, bounds), "a long, b long"), "near-rest")
-    more = confirm(rest, "near-rest")
-    final = connected_components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more),
-                                 "near-final")
+    rest = store(ready.mapInArrow(_block_pairs(percent, n_rows, n_bands, bounds), "a long, b long"), f"{label}-rest")
+    more = confirm(rest, "rest")
+    return connected_components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more),
+                                 f"{label}-final")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text", miss: float = MISS, keep_text: bool = False) -> DataFrame:
+    """One row per input row: its columns without the text (with it if
+    ``keep_text``), ``n_shingles``, ``component_id`` and ``kept``.
+
+    A text's set is its distinct ``words``-word shingles, lower-cased A-Z,
+    words ``[^\\x20\\x09-\\x0D]+``; with fewer words the whole sequence is the
+    one shingle. Texts are linked when 100 * intersection >= percent * union;
+    ``component_id`` is the smallest id reachable over links, and one row of
+    each component is kept, the one with that id.
+
+    Edge cases: null, empty and blank texts have no shingles, are linked with
+    nothing and are kept; null ids come after all others; of rows equal in id
+    and text one is kept; an empty table gives an empty result; input columns
+    named like an added column are replaced.
+    """
+    threshold = percent / 100
+    n_rows, n_bands = banding(threshold, miss)
+    bounds = least_matches(threshold, miss)
+    carried = extras(docs, ADDED, [id_col, text_col])
+    passed = [id_col, *carried, *([text_col] if keep_text else [])]
+    rid = F.xxhash64(col(id_col), col(text_col))
+    fields = [docs.schema[c] for c in passed]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [
+        T.StructField("_x_rid", T.LongType()), T.StructField("n_shingles", T.LongType()),
+        T.StructField("_x_h1", T.LongType()), T.StructField("_x_h2", T.LongType()),
+        T.StructField("_x_sig", T.BinaryType())])
+    rows = store(docs.select(*[col(c) for c in passed], rid.alias("_x_rid"), col(text_col).cast("string").alias("_x_text"))
+                 .mapInArrow(_sign(len(passed) + 1, words), schema)
+                 .withColumn("_x_row", F.monotonically_increasing_id()), "near-rows")
+
+    # Nodes: classes of equal shingle sets. The larger the class, the smaller
+    # its number, so that buckets choose much-copied texts as centres.
+    first = F.struct(col(id_col).isNull().alias("n"), col(id_col).alias("i"), F.col("_x_row").alias("r"))
+    classes = (rows.where("n_shingles > 0").groupBy("_x_h1", "_x_h2", "n_shingles")
+               .agg(F.count(F.lit(1)).alias("_x_n"), F.min(first).alias("_x_first"),
+                    F.min_by(F.struct("_x_rid", "_x_sig"), "_x_row").alias("rep")))
+    weight = F.lit(63) - F.floor(F.log2("_x_n"))
+    nodes = store(classes.select("_x_h1", "_x_h2", "_x_n", "_x_first", F.col("n_shingles").alias("n"),
+                                 F.col("rep._x_rid").alias("rid"), F.col("rep._x_sig").alias("sig"),
+                                 (F.shiftleft(weight.cast("long"), 57) + F.monotonically_increasing_id()).alias("node")),
+                  "near-nodes")
+
+    # Buckets with several nodes, their members and their centre.
+    banded = nodes.select("node", "sig").mapInArrow(_bands(n_rows, n_bands), "key long, band int, node long")
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("center"))
+    members = store(banded.join(shared.where("members > 1"), "key"), "near-members")
+
+    # Texts of one row per node that shares a bucket.
+    wanted = store(members.select("node").distinct().join(nodes.select("node", "rid"), "node"), "near-wanted")
+    texts = store(docs.select(rid.alias("rid"), col(text_col).cast("string").alias("text"))
+                  .join(broadcast_rows(wanted), "rid").dropDuplicates(["node"]).select("node", "text"), "near-texts")
+
+    sigs = nodes.select("node", "n", "sig")
+    final = link_components(members, sigs, texts, partial(shingle_sets, k=words), percent, n_rows, n_bands, bounds, "near")
 
     # Back to rows: node -> component -> its first row.
     labelled = store(nodes.select("_x_h1", "_x_h2", "_x_n", "_x_first", "node")

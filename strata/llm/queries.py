@@ -12,6 +12,7 @@ from strata.llm.ann import search
 from strata.llm.chat import format_conversations, loss_text, parse_turns
 from strata.llm.common import text_or_empty
 from strata.llm.exact_dedup import exact_dedup, squeezed
+from strata.llm.linededup import dedup_lines
 from strata.llm.neardup import near_duplicates
 from strata.llm.ngram_lm import score_texts
 from strata.llm.packing import pack
@@ -170,3 +171,9 @@ def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.crc32("ids").alias("ids_crc32"),
                         F.sha2(F.encode(F.col("decoded"), "UTF-8"), 256).alias("decoded_sha256"),
                         (F.col("decoded") == F.col("text")).alias("restored"))
+
+
+@query()
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every non-empty line of every document with its component."""
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
