@@ -16,7 +16,7 @@ from strata.llm.linededup import dedup_lines
 from strata.llm.neardup import near_duplicates
 from strata.llm.ngram_lm import score_texts
 from strata.llm.packing import pack
-from strata.llm.secrets import base_spans, kind_count, scan_secrets, span_string
+from strata.llm.secrets import ASSIGN, base_spans, kind_count, scan_secrets, span_string
 from strata.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,7 +101,55 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-@query()
+OP7_ORACLE = """
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents
+), m AS (
+  SELECT doc_id, owner, 0 AS kind, string_split_regex(t, '%(assign)s') AS gaps,
+         regexp_extract_all(t, '%(assign)s', 0) AS hits, regexp_extract_all(t, '%(assign)s', 1) AS vals FROM d
+  UNION ALL
+  SELECT doc_id, owner, 1, string_split_regex(t, 'AKIA[A-Z0-9]{14,}'),
+         regexp_extract_all(t, 'AKIA[A-Z0-9]{14,}'), regexp_extract_all(t, 'AKIA[A-Z0-9]{14,}') FROM d
+  UNION ALL
+  SELECT doc_id, owner, 2, string_split_regex(t, '[0-9a-f]{16,}'),
+         regexp_extract_all(t, '[0-9a-f]{16,}'), regexp_extract_all(t, '[0-9a-f]{16,}') FROM d
+), i AS (
+  SELECT *, unnest(range(1, len(hits) + 1)) AS n FROM m
+), f AS (
+  SELECT doc_id, owner, kind, vals[n] AS value,
+         list_sum(list_transform(gaps[1:n], lambda x: length(x)))
+           + list_sum(list_transform(hits[1:n], lambda x: length(x))) AS stop,
+         stop - length(hits[n]) AS start
+  FROM i WHERE kind > 0 OR length(vals[n]) >= 12
+), v AS (
+  SELECT DISTINCT doc_id, owner, value, stop - length(value) AS start, stop FROM f
+), g AS (
+  SELECT value, count(DISTINCT owner) AS owners FROM v GROUP BY value
+), j AS (
+  SELECT doc_id, CASE WHEN owners >= 3 THEN 4 WHEN owners = 1
+           AND len(list_distinct(string_split(value, ''))) >= 8
+           AND regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9]') THEN 3 END AS kind, start, stop
+  FROM v JOIN g USING (value)
+), s AS (
+  SELECT doc_id, kind, start, stop FROM f
+  UNION ALL SELECT doc_id, kind, start, stop FROM j WHERE kind IS NOT NULL
+), n AS (
+  SELECT *, ['assign', 'access', 'hex', 'live', 'example'][kind + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM s
+), a AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+         count(*) FILTER (kind = 2) AS n_hex, string_agg(span, ',' ORDER BY start, kind, stop) FILTER (kind < 3) AS base,
+         string_agg(span, ',' ORDER BY start, kind, stop) AS spans,
+         count(*) FILTER (kind = 3) AS n_live, count(*) FILTER (kind = 4) AS n_example
+  FROM n GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM d LEFT JOIN a USING (doc_id)
+""" % {"assign": ASSIGN.replace("'", "''")}
+
+
+@query(OP7_ORACLE)
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of every document; a source is an owner, its language a repository."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
