@@ -32,7 +32,7 @@ from strata.llm.neardup import (
     link_components,
     signature_column,
 )
-from strata.llm.words import _A, U, minhash, mixed, slices
+from strata.llm.words import _A, U, minhash, minhash_factors, minhash_value, mixed, slices
 
 CHARS = 8             # characters of a shingle
 PERCENT = 80          # shared shingles of two linked lines, of all their shingles
@@ -45,61 +45,76 @@ def n_bands(percent: int, rows: int = BAND_ROWS, miss: float = MISS) -> int:
     return math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows))
 
 
-def char_shingles(lines: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each line's ``k``-character shingles (repeats included), one
-    after the other, and the lines' first positions.
+def char_shingles(lines: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(hashes, first, last)``: line i's ``k``-character shingles (repeats
+    included) are ``hashes[first[i]:last[i]]``.
 
-    A shorter line is one shingle, an empty one has none.
+    A shorter line is one shingle, the line itself; an empty one has none.
     """
-    lines = lines.cast(pa.binary())
-    if not len(lines):
-        return np.empty(0, U), np.zeros(1, np.int64)
-    offsets = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset:lines.offset + len(lines) + 1].astype(np.int64)
-    data = np.frombuffer(lines.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
-    offsets = offsets - offsets[0]
-    # A character's code is its bytes; characters begin at lead bytes.
-    lead = np.flatnonzero((data & 0xC0) != 0x80)
-    first = np.searchsorted(lead, offsets)
-    width = np.diff(np.append(lead, len(data)))
-    code = data[lead].astype(np.uint64)
-    for extra in range(1, 4):
-        wide = np.flatnonzero(width > extra)
-        if len(wide):
-            code[wide] = (code[wide] << U(8)) | data[lead[wide] + extra]
-    n = np.diff(first)
-    counts = np.where(n >= k, n - k + 1, np.minimum(n, 1))
-    at = np.concatenate([[0], np.cumsum(counts)])
-    # Rolling polynomial over characters, then mixed.
-    power = 1
-    h = np.zeros(max(0, len(code) - k + 1), np.uint64)
-    for j in range(k - 1, -1, -1):
-        if len(h):
-            h += code[j:j + len(h)] * U(power)
-        power = power * int(_A) % 2 ** 64
-    line = np.repeat(np.arange(len(n)), counts)
-    start = first[line] + np.arange(at[-1]) - at[line]
-    out = np.empty(at[-1], U)
-    whole = n[line] >= k
-    out[whole] = h[start[whole]]
-    for i in np.flatnonzero((n > 0) & (n < k)).tolist():
+    lines = pa.concat_arrays([lines.cast(pa.string())])
+    n = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
+    data = lines.buffers()[2]
+    size = pc.sum(pc.binary_length(lines)).as_py() or 0
+    code = np.frombuffer((data.to_pybytes()[:size] if size else b"").decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
+    start = np.concatenate([[0], np.cumsum(n)])
+    # Polynomial over k characters, put together from windows of 1, 2, 4, ...
+    power, width, window, h, have = int(_A) % 2 ** 64, 1, code, None, 0
+    while True:
+        if k & width:
+            if h is None:
+                h, have = window, width
+            else:
+                m = max(0, len(code) - have - width + 1)
+                # The window just built comes first: weighted by what follows.
+                h = window[:m] * U(pow(int(_A), have, 2 ** 64)) + h[width:width + m]
+                have += width
+        if 2 * width > k:
+            break
+        m = max(0, len(code) - 2 * width + 1)
+        window = window[:m] * U(power) + window[width:width + m]
+        power, width = power * power % 2 ** 64, 2 * width
+    short = np.flatnonzero((n > 0) & (n < k))
+    extra = np.empty(len(short), np.uint64)
+    for j, i in enumerate(short.tolist()):
         value = int(n[i])
-        for c in code[first[i]:first[i + 1]].tolist():
+        for c in code[start[i]:start[i + 1]].tolist():
             value = (value * int(_A) + c) % 2 ** 64
-        out[at[i]] = value
-    return mixed(out), at
+        extra[j] = value
+    hashes = mixed(np.concatenate([h, extra]))
+    first, last = start[:-1].copy(), start[:-1] + np.maximum(0, n - k + 1)
+    first[short] = len(h) + np.arange(len(short))
+    last[short] = first[short] + 1
+    return hashes, first, last
+
+
+def line_minhash(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, n_hashes: int) -> np.ndarray:
+    """16-bit MinHash values of each line's shingles (zeros for none)."""
+    sig = np.zeros((len(first), n_hashes), np.uint16)
+    full = np.flatnonzero(last > first)
+    full = full[np.argsort(first[full], kind="stable")]
+    low = (hashes >> U(32)).astype(np.uint32)
+    factors = minhash_factors(n_hashes)
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(first[full] // 50_000)) + 1, [len(full)]])
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        if b <= a:
+            continue
+        rows = full[a:b]
+        lo, hi = first[rows[0]], last[rows[-1]]
+        # Starts and ends in turn: what lies between two lines is skipped.
+        edges = np.column_stack([first[rows], last[rows]]).ravel()[:-1] - lo
+        block = low[lo:hi]
+        buf = np.empty_like(block)
+        for j in range(n_hashes):
+            np.multiply(block, factors[j], out=buf)
+            sig[rows, j] = minhash_value(np.minimum.reduceat(buf, edges)[::2])
+    return sig
 
 
 def line_sets(lines: pa.Array, k: int = CHARS) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingles of each line and the lines' first positions."""
-    out, at = char_shingles(lines, k)
-    out = out.copy()
-    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-        if b - a > 1:
-            out[a:b].sort()
-    keep = np.ones(len(out), bool)
-    keep[1:] = out[1:] != out[:-1]
-    keep[at[:-1][np.diff(at) > 0]] = True
-    return out[keep], np.concatenate([[0], np.cumsum(keep)])[at]
+    hashes, first, last = char_shingles(lines, k)
+    parts = [np.unique(hashes[a:b]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+    return (np.concatenate(parts) if parts else np.empty(0, U)), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
 
 
 def _banded(k: int, rows: int, bands: int):
@@ -114,7 +129,7 @@ def _banded(k: int, rows: int, bands: int):
                 if not len(lines):
                     continue
                 node = np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in lines.to_pylist()), np.uint64, len(lines))
-                sig = minhash(*char_shingles(lines, k), rows * bands)
+                sig = line_minhash(*char_shingles(lines, k), rows * bands)
                 key = band_keys(sig, rows, bands)
                 offsets = np.arange(len(lines) + 1, dtype=np.int32) * bands
                 yield pa.RecordBatch.from_arrays(

@@ -90,10 +90,20 @@ def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return out[keep], np.concatenate([[0], np.cumsum(keep)])[at]
 
 
+def minhash_factors(n_hashes: int) -> np.ndarray:
+    """Odd multipliers, one a permutation; fewer are a prefix of more."""
+    return np.random.default_rng(20240501).integers(1 << 20, 1 << 31, n_hashes, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+def minhash_value(least: np.ndarray) -> np.ndarray:
+    """16 bits of a minimum (minima of large sets are small, so hashed)."""
+    return (least * np.uint32(2654435761)) >> np.uint32(16)
+
+
 def minhash(sets: np.ndarray, at: np.ndarray, n_hashes: int) -> np.ndarray:
     """16-bit MinHash values, one row per set (zeros for an empty set)."""
     sig = np.zeros((len(at) - 1, n_hashes), np.uint16)
-    factors = np.random.default_rng(20240501).integers(1 << 20, 1 << 31, n_hashes, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    factors = minhash_factors(n_hashes)
     full = np.flatnonzero(np.diff(at) > 0)
     if not len(full):
         return sig
@@ -109,8 +119,7 @@ def minhash(sets: np.ndarray, at: np.ndarray, n_hashes: int) -> np.ndarray:
         buf = np.empty_like(block)
         for j in range(n_hashes):
             np.multiply(block, factors[j], out=buf)
-            least = np.minimum.reduceat(buf, rel)
-            sig[full[a:b], j] = (least * np.uint32(2654435761)) >> np.uint32(16)
+            sig[full[a:b], j] = minhash_value(np.minimum.reduceat(buf, rel))
     return sig
 
 
