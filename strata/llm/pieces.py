@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +28,23 @@ UNKNOWN_PENALTY = 10.0
 REMEMBERED = 500_000   # segments a worker remembers (forgotten all at once)
 
 
+class Remembered(dict):
+    """Ids by segment, searched when first asked for."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, segment: str) -> tuple[int, ...]:
+        v = self.vocabulary
+        if len(segment) > v.window:
+            return tuple(chain.from_iterable(v.search(segment)))
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[segment] = tuple(v.whole(segment))
+        return found
+
+
 class Vocabulary:
     """Pieces and scores of a model file, and the search over them."""
 
@@ -58,7 +76,7 @@ class Vocabulary:
         late = any(SPACE in p.lstrip(SPACE) for p in self.pieces)
         body = f"[^{re.escape(alone)}]+" if late else f"{SPACE}*[^{SPACE}{re.escape(alone)}]+|{SPACE}+"
         self.segment = re.compile(f"{body}|[{re.escape(alone)}]" if alone else body, re.DOTALL)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Remembered(self)
 
     def _ids(self, text: str, start: int, end: int, piece: int) -> list[int]:
         if piece >= 0:
@@ -85,6 +103,36 @@ class Vocabulary:
             if best[i + 1] is None or total > best[i + 1]:
                 best[i + 1], start[i + 1], piece[i + 1] = total, i, -1
 
+    def whole(self, text: str) -> list[int]:
+        """``search`` for a text that fits the window: nothing to commit early."""
+        get, longest, unknown = self.table.get, self.longest, self.unknown_score
+        n = len(text)
+        low = float("-inf")
+        best, start, piece = [0.0] + [low] * n, [0] * (n + 1), [-1] * (n + 1)
+        for i in range(n):
+            score, single = best[i], False
+            for end in range(i + 1, min(n, i + longest) + 1):
+                hit = get(text[i:end])
+                if hit is None:
+                    break
+                if hit[0] >= 0:
+                    single = single or end == i + 1
+                    total = score + hit[1]
+                    if total > best[end]:
+                        best[end], start[end], piece[end] = total, i, hit[0]
+            if not single and score + unknown > best[i + 1]:
+                best[i + 1], start[i + 1], piece[i + 1] = score + unknown, i, -1
+        out: list[int] = []
+        p = n
+        while p:
+            if piece[p] >= 0:
+                out.append(piece[p])
+            else:
+                out.extend(reversed(self._ids(text, start[p], p, -1)))
+            p = start[p]
+        out.reverse()
+        return out
+
     def search(self, text: str) -> Iterator[list[int]]:
         """Committed ids of ``text``, one list a commit. Ties go to the piece
         that starts earlier, that is, to the longer last piece."""
@@ -131,20 +179,10 @@ class Vocabulary:
         return ahead.pop()
 
     def encode(self, text: str) -> array:
-        ids = array("I")
         if not text:
-            return ids
-        known = self.known
-        for segment in self.segment.findall(SPACE + text.replace(" ", SPACE)):
-            found = known.get(segment)
-            if found is None:
-                found = tuple(i for part in self.search(segment) for i in part)
-                if len(segment) <= 64:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[segment] = found
-            ids.extend(found)
-        return ids
+            return array("I")
+        segments = self.segment.findall(SPACE + text.replace(" ", SPACE))
+        return array("I", chain.from_iterable(map(self.known.__getitem__, segments)))
 
     def decode(self, ids: Iterable[int]) -> str:
         text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
