@@ -20,6 +20,9 @@ HEAVY = 2000
 # Rows of fixed width (8-byte keys and values) that may be broadcast.
 BROADCAST_ROWS = 1_000_000
 
+ARROW_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = 8_000_000
+
 
 def col(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -37,11 +40,21 @@ def lower_ascii(c: Column) -> Column:
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
-    Cuts lineage: a lost executor costs a reread of the written files.
+    Cuts lineage: a lost executor costs a reread of the written files. While
+    the write runs, batches for Python hold at most ARROW_BYTES, so that long
+    texts do not add up to large ones.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(ARROW_CONF, None)
+    spark.conf.set(ARROW_CONF, str(ARROW_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(ARROW_CONF)
+        else:
+            spark.conf.set(ARROW_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
