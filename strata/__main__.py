@@ -4,10 +4,11 @@
         --source Empregados=PATH --root OUT [--raw-format csv|parquet] [--null-key empty]
     python -m strata checks --table PATH --checks FILE [--blank-is-missing]
     python -m strata enrich --messages DIR --schema DDL --reference PATH \\
-        --field NAME --out DIR [--files-per-batch N] [--no-collation]
+        --field NAME --out DIR [--checkpoint DIR] [--files-per-batch N] [--no-collation]
 
-Paths are any Hadoop paths (local, HDFS, object stores). Scratch and stream
-checkpoints go under the session's ``spark.checkpoint.dir``.
+Paths are any Hadoop paths (local, HDFS, object stores). A stream's checkpoint
+is ``OUT/_checkpoint`` unless given: running the command again goes on after
+the last committed batch.
 """
 
 from __future__ import annotations
@@ -16,16 +17,29 @@ import argparse
 import json
 import sys
 
-from strata.session import get_session, scratch_dir
+from strata.session import get_session
 
 
-def _sources(pairs: list[str]) -> dict[str, str]:
+def _pairs(option: str, pairs: list[str] | None) -> dict[str, str]:
     out = {}
-    for p in pairs:
-        name, _, path = p.partition("=")
-        if not path:
-            raise SystemExit(f"--source wants FAMILY=PATH, got {p!r}")
-        out[name] = path
+    for p in pairs or []:
+        name, _, value = p.partition("=")
+        if not value:
+            raise SystemExit(f"{option} wants FAMILY=VALUE, got {p!r}")
+        out[name] = value
+    return out
+
+
+def _families(seps: dict[str, str], encodings: dict[str, str]) -> dict:
+    from dataclasses import replace
+
+    from strata.sources.files import family_for
+
+    out = {}
+    for name in seps.keys() | encodings.keys():
+        fam = family_for(name)
+        out[name] = replace(fam, sep=seps.get(name, fam.sep).replace("\\t", "\t"),
+                            encoding=encodings.get(name, fam.encoding))
     return out
 
 
@@ -36,11 +50,15 @@ def main(argv: list[str] | None = None) -> int:
     lay.add_argument("--source", action="append", required=True, help="FAMILY=PATH (Bancos, Reclamacoes, Empregados)")
     lay.add_argument("--root", required=True)
     lay.add_argument("--raw-format", default="csv", choices=["csv", "parquet"])
-    lay.add_argument("--null-key", default="empty", choices=["keep", "empty", "sentinel", "text"])
+    lay.add_argument("--null-key", default="keep", choices=["keep", "empty", "sentinel", "text"])
     lay.add_argument("--name-rule", default="unicode", choices=["unicode", "ascii", "lower"],
                      help="delivery column names: keep letters, ASCII only, or lower-case")
     lay.add_argument("--drop", action="append", default=None,
                      help="delivery column to drop if present (repeatable; default the unnamed trailing column)")
+    lay.add_argument("--sep", action="append", help="FAMILY=SEPARATOR of the source files (repeatable)")
+    lay.add_argument("--encoding", action="append", help="FAMILY=ENCODING of the source files (default: detected)")
+    lay.add_argument("--raw-encoding", default="ISO-8859-1", help="encoding of the raw CSV layer")
+    lay.add_argument("--key-field", action="append", help="FAMILY=COLUMN the key is derived from (repeatable)")
     chk = sub.add_parser("checks", help="data-quality checks on a Parquet table")
     chk.add_argument("--table", required=True)
     chk.add_argument("--checks", required=True, help="file with one check per line, e.g. '- row_count = 112'")
@@ -51,6 +69,7 @@ def main(argv: list[str] | None = None) -> int:
     enr.add_argument("--reference", required=True, help="Parquet table holding the key column")
     enr.add_argument("--field", required=True, help="message field the key is derived from")
     enr.add_argument("--out", required=True)
+    enr.add_argument("--checkpoint", default=None, help="stream checkpoint (default: OUT/_checkpoint)")
     enr.add_argument("--files-per-batch", type=int, default=None)
     enr.add_argument("--no-collation", action="store_true", help="exact instead of accent/case-blind match")
     que = sub.add_parser("queue", help="queue messages merged batch by batch with a reference table")
@@ -59,6 +78,7 @@ def main(argv: list[str] | None = None) -> int:
     que.add_argument("--reference", required=True, help="Parquet table holding the key column")
     que.add_argument("--field", required=True)
     que.add_argument("--out", required=True)
+    que.add_argument("--checkpoint", default=None, help="stream checkpoint (default: OUT/_checkpoint)")
     que.add_argument("--files-per-batch", type=int, default=None)
     mod = sub.add_parser("models", help="SQL models source -> clean -> trusted over a Parquet source")
     mod.add_argument("--source", required=True, help="Parquet path of the source table")
@@ -74,7 +94,9 @@ def main(argv: list[str] | None = None) -> int:
         shape = {"name_rule": args.name_rule}
         if args.drop:
             shape["drop"] = tuple(args.drop)
-        out = run_layers(spark, _sources(args.source), args.root, args.raw_format, args.null_key, **shape)
+        out = run_layers(spark, _pairs("--source", args.source), args.root, args.raw_format, args.null_key,
+                         families=_families(_pairs("--sep", args.sep), _pairs("--encoding", args.encoding)),
+                         encoding=args.raw_encoding, key_fields=_pairs("--key-field", args.key_field), **shape)
         print(json.dumps({"delivery": f"{args.root}/delivery", "rows": out.count(), "columns": out.columns}))
     elif args.cmd == "checks":
         from strata.operators.quality import run_checks
@@ -88,9 +110,9 @@ def main(argv: list[str] | None = None) -> int:
         from strata.streaming.enrich import message_stream, progress_summary, start_queue_enrichment
         q = start_queue_enrichment(spark, message_stream(spark, args.messages, args.files_per_batch), args.schema,
                                    spark.read.parquet(args.reference), args.out,
-                                   scratch_dir(spark, "queue-checkpoint"), field=args.field)
+                                   args.checkpoint or f"{args.out}/_checkpoint", field=args.field)
         q.awaitTermination()
-        print(json.dumps(progress_summary(q), default=str))
+        print(json.dumps(progress_summary(q, spark, f"{args.out}/batches"), default=str))
     elif args.cmd == "models":
         from strata.functions.keys import KEY_PATTERN, KEY_PATTERN_UNESCAPED_DOTS
         from strata.plans.models import clean_and_trusted
@@ -102,10 +124,11 @@ def main(argv: list[str] | None = None) -> int:
     else:
         from strata.streaming.enrich import message_stream, progress_summary, start_enrichment
         q = start_enrichment(spark, message_stream(spark, args.messages, args.files_per_batch), args.schema,
-                             spark.read.parquet(args.reference), args.out, scratch_dir(spark, "enrich-checkpoint"),
+                             spark.read.parquet(args.reference), args.out,
+                             args.checkpoint or f"{args.out}/_checkpoint",
                              field=args.field, collation=None if args.no_collation else "UNICODE_CI_AI")
         q.awaitTermination()
-        print(json.dumps(progress_summary(q), default=str))
+        print(json.dumps(progress_summary(q, spark, args.out), default=str))
     return 0
 
 

@@ -22,6 +22,7 @@ from strata.streaming.enrich import (
     MATCHED,
     REJECTED,
     message_stream,
+    progress_totals,
     read_batches,
     start_enrichment,
     start_queue_enrichment,
@@ -30,11 +31,10 @@ from strata.streaming.enrich import (
 
 P = KEY_PATTERN
 EVENT_MESSAGE_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, instituicao string"
-# The producer writes a fixed number of message files (one per task, in
-# parallel); the stream takes them a few at a time, so every run has several
-# micro-batches whatever the table size.
-MESSAGE_FILES = 16
-FILES_PER_BATCH = 4
+# Messages are written by the tasks that scan the table, so many a file; the
+# stream takes files up to so many bytes a micro-batch.
+RECORDS_PER_FILE = 20_000
+BYTES_PER_BATCH = 4_000_000
 
 
 def _k(expr: str) -> str:
@@ -58,8 +58,8 @@ def _reference(spark, sf_dir):
 def run_event_stream(spark, sf_dir, root: str | None = None):
     """Produce event messages, run the enrichment stream to the end; return its folder."""
     root = root or scratch_dir(spark, "stream")
-    write_messages(_event_messages(spark, sf_dir).repartition(MESSAGE_FILES), f"{root}/in")
-    q = start_enrichment(spark, message_stream(spark, f"{root}/in", FILES_PER_BATCH), EVENT_MESSAGE_SCHEMA,
+    write_messages(_event_messages(spark, sf_dir), f"{root}/in", RECORDS_PER_FILE)
+    q = start_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=BYTES_PER_BATCH), EVENT_MESSAGE_SCHEMA,
                          _reference(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", field="instituicao")
     q.awaitTermination()
     if q.exception():
@@ -100,6 +100,17 @@ def stream_rejects(spark, sf_dir):
     return read_batches(spark, f"{root}/out", outcome=REJECTED)
 
 
+@register("stream_progress", """
+SELECT CAST(count(*) AS BIGINT) AS input_rows, true AS batches_gapless FROM events
+""")
+def stream_progress(spark, sf_dir):
+    """Rows read by all batches of the event stream, and whether the batches
+    are numbered without gaps (T5)."""
+    totals = progress_totals(spark, f"{run_event_stream(spark, sf_dir)}/out")
+    return totals.agg(F.sum("input_rows").alias("input_rows"),
+                      (F.max("batch_id") + 1 == F.count_distinct("batch_id")).alias("batches_gapless"))
+
+
 # -- queue enrichment (L6) -------------------------------------------------------------
 
 COMPLAINT_MESSAGE_SCHEMA = (
@@ -110,7 +121,7 @@ COMPLAINT_MESSAGE_SCHEMA = (
 
 def _complaint_messages(spark, sf_dir):
     """Complaints with NaN for a zero index (the missing value of the queue bodies)."""
-    c = src.complaints(spark, sf_dir, spread=False)  # the producer repartitions anyway
+    c = src.complaints(spark, sf_dir)
     return c.withColumn("Índice", F.when(F.col("Índice") == 0, F.lit(float("nan"))).otherwise(F.col("Índice")))
 
 
@@ -134,9 +145,9 @@ SELECT b.*, c.* EXCLUDE (campo_limpo) FROM b JOIN c USING (campo_limpo)
 def queue_enrichment(spark, sf_dir):
     """Complaint messages in bounded batches, merged with the banks table."""
     root = scratch_dir(spark, "queue")
-    write_messages(_complaint_messages(spark, sf_dir).repartition(MESSAGE_FILES), f"{root}/in")
+    write_messages(_complaint_messages(spark, sf_dir), f"{root}/in", RECORDS_PER_FILE)
     banks = trusted_frame(src.banks(spark, sf_dir), "Nome", null_key="empty", as_text=True)
-    q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", FILES_PER_BATCH),
+    q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=BYTES_PER_BATCH),
                                COMPLAINT_MESSAGE_SCHEMA, banks, f"{root}/out", f"{root}/checkpoint",
                                field="Instituição financeira")
     q.awaitTermination()
@@ -145,6 +156,26 @@ def queue_enrichment(spark, sf_dir):
     return read_batches(spark, f"{root}/out/batches")
 
 
+@register("queue_without_key", f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, "Segmento", "CNPJ", "Nome", CAST(l_orderkey AS VARCHAR) AS l_orderkey,
+       CAST(l_linenumber AS VARCHAR) AS l_linenumber
+FROM ({src.BANKS_SQL}) JOIN (SELECT "CNPJ IF" AS "CNPJ", l_orderkey, l_linenumber FROM ({src.COMPLAINTS_SQL})) USING ("CNPJ")
+""")
+def queue_without_key(spark, sf_dir):
+    """Queue messages without the name field: batches are merged on all shared
+    columns instead of the key (P5)."""
+    root = scratch_dir(spark, "queue-no-key")
+    c = src.complaints(spark, sf_dir).select(F.col("CNPJ IF").alias("CNPJ"), "l_orderkey", "l_linenumber")
+    write_messages(c, f"{root}/in", RECORDS_PER_FILE)
+    q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=BYTES_PER_BATCH),
+                               "CNPJ string, l_orderkey bigint, l_linenumber int", src.banks(spark, sf_dir),
+                               f"{root}/out", f"{root}/checkpoint", field="Instituição financeira")
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return read_batches(spark, f"{root}/out/batches")
+
+
 # -- stream-static join (J6) ---------------------------------------------------------
 
 def _customer_dimension(spark, sf_dir):
@@ -165,8 +196,8 @@ def stream_static_join(spark, sf_dir):
     """Event messages joined, as a stream, with the customer table (exact key),
     appended to a Parquet file sink (J6)."""
     root = scratch_dir(spark, "stream-static")
-    write_messages(_event_messages(spark, sf_dir).repartition(MESSAGE_FILES), f"{root}/in")
-    q = start_stream_static_join(spark, message_stream(spark, f"{root}/in", FILES_PER_BATCH), EVENT_MESSAGE_SCHEMA,
+    write_messages(_event_messages(spark, sf_dir), f"{root}/in", RECORDS_PER_FILE)
+    q = start_stream_static_join(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=BYTES_PER_BATCH), EVENT_MESSAGE_SCHEMA,
                                  _customer_dimension(spark, sf_dir), f"{root}/out", f"{root}/checkpoint",
                                  field="instituicao")
     q.awaitTermination()

@@ -10,7 +10,9 @@ key, and each micro-batch is matched against a reference table:
 - each batch writes to ``.../batch_id=N`` with overwrite, so a batch replayed
   after a failure rewrites the same folder and nothing is duplicated;
 - the checkpoint records which batches are done; a restart on the same
-  checkpoint resumes after the last committed batch.
+  checkpoint resumes after the last committed batch;
+- each batch also writes its number of input rows to ``.../_progress``, so
+  totals cover every batch ever run, over restarts.
 
 The reference table is reduced to one stored key per match key and written
 to shared storage once, before the stream starts; batches read that. It is
@@ -19,7 +21,7 @@ broadcast only when its measured size is under the broadcast limit.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,23 +32,28 @@ from pyspark.sql.types import StructType
 from strata.functions.keys import KEY_COLUMN, with_clean_key
 from strata.functions.messages import nan_text_to_null, parse_messages
 from strata.functions.names import cast_all_to_string, drop_columns, drop_suffixed, rename_all, strip_suffix
-from strata.operators.joins import CI_AI, broadcast_if_small, is_small, merge, natural_join, reference_keys
+from strata.operators.joins import CI_AI, is_small, merge, natural_join, reference_keys
 
 BATCH_COLUMN = "batch_id"
 OUTCOME_COLUMN = "outcome"
 MATCHED, REJECTED = "matched", "rejected"
+PROGRESS = "_progress"
 
 
 # -- sources ---------------------------------------------------------------------
 
-def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                   max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of message lines (column ``value``) from text files.
 
-    ``max_files_per_trigger`` bounds each micro-batch (the queue's batch size).
+    Each micro-batch (the queue's batch size) is bounded by a number of files
+    or by their bytes, not by both.
     """
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return r.load(path)
 
 
@@ -71,6 +78,14 @@ def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(batch_path(root, batch_id))
 
 
+def write_progress(batch: DataFrame, root: str, batch_id: int) -> None:
+    """Write the batch's number of input rows to ``{root}/_progress``, in this
+    batch's own folder (counting reads the batch's messages, no more)."""
+    rows = batch.count()
+    (batch.sparkSession.range(1).coalesce(1).select(F.lit(rows).cast("long").alias("input_rows"))
+     .write.mode("overwrite").parquet(batch_path(f"{root}/{PROGRESS}", batch_id)))
+
+
 def read_batches(spark: SparkSession, root: str, keep_batch_id: bool = False,
                  outcome: str | None = None) -> DataFrame:
     """All batches written so far, as one DataFrame (one outcome, if given:
@@ -112,15 +127,17 @@ def stored_reference(df: DataFrame, path: str, bucket_on: str | None = None) ->
 
 
 def save_bucketed(df: DataFrame, path: str, column: str, buckets: int | None = None) -> DataFrame:
-    """``df`` saved at ``path`` as a catalog table bucketed and sorted on ``column``.
+    """``df`` saved at ``path`` as a catalog table bucketed and sorted on
+    ``column``, one file a bucket.
 
     ``buckets`` defaults to ``spark.sql.shuffle.partitions``: Spark reuses a
     bucketed side's partitioning in a join only when it has at least that many.
+    The table's name follows from the path, so a restart replaces it.
     """
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"strata_bucketed_{uuid.uuid4().hex[:12]}"
-    (df.write.mode("overwrite").bucketBy(buckets, column).sortBy(column)
+    name = f"strata_bucketed_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+    (df.repartition(buckets, column).write.mode("overwrite").bucketBy(buckets, column).sortBy(column)
      .option("path", path).saveAsTable(name))
     return spark.table(name)
 
@@ -154,6 +171,7 @@ def enrich_batch_fn(ref: DataFrame, out_root: str, field: str, key: str = KEY_CO
         cleaned = with_clean_key(df, field, key, null_key=null_key)
         out = _classify(cleaned, ref, key, collation)
         out.write.mode("overwrite").partitionBy(OUTCOME_COLUMN).parquet(batch_path(out_root, batch_id))
+        write_progress(df, out_root, batch_id)
 
     return process_batch
 
@@ -181,14 +199,12 @@ def start_stream_static_join(spark: SparkSession, source: DataFrame, schema: Str
 
     The file sink records each committed batch in its own log next to the
     data, so a restart after a failure neither loses nor repeats a batch;
-    readers of ``out_path`` see only committed files. The reference side is
-    broadcast only under its measured size bound. With ``reference_path`` it
-    is first saved there as a table bucketed on the key, so when it is too
-    large to broadcast each batch's join shuffles the batch only.
+    readers of ``out_path`` see only committed files. The reference is stored
+    at ``reference_path`` (default: next to the output) and broadcast only
+    under its measured size bound; beyond it, it is saved again bucketed on
+    the key, so each batch's join shuffles the batch only.
     """
-    if reference_path is not None:
-        reference = save_bucketed(reference, reference_path, key)
-    ref = broadcast_if_small(reference)
+    ref = stored_reference(reference, reference_path or f"{out_path}_reference", key)
     keyed = with_clean_key(parse_messages(source, schema), field, key, null_key=null_key, drop_null_keys=True)
     joined = merge(keyed, ref, key, "inner")
     w = (joined.writeStream.format("parquet").outputMode("append")
@@ -205,16 +221,18 @@ def queue_batch_fn(reference: DataFrame, out_root: str, field: str, key: str = K
     with the reference (on the key, or on all shared columns when the key is
     missing), ``_y`` and listed columns dropped, ``_x`` stripped, all text."""
 
-    def process_batch(df: DataFrame, batch_id: int) -> None:
-        body = nan_text_to_null(df)
-        body = with_clean_key(body, field, key, null_key="text", missing="pass")
+    def shape(rows: DataFrame) -> DataFrame:
+        body = with_clean_key(nan_text_to_null(rows), field, key, null_key="text", missing="pass")
         if key in body.columns and key in reference.columns:
             merged = merge(reference, body, key, "inner")
         else:
             merged = natural_join(reference, body)
         out = rename_all(merged, "unicode", on_duplicate="number")
-        out = strip_suffix(drop_columns(drop_suffixed(out, "_y"), drop), "_x")
-        write_batch(cast_all_to_string(out), out_root, batch_id)
+        return cast_all_to_string(strip_suffix(drop_columns(drop_suffixed(out, "_y"), drop), "_x"))
+
+    def process_batch(df: DataFrame, batch_id: int) -> None:
+        write_batch(shape(df), out_root, batch_id)
+        write_progress(df, out_root, batch_id)
 
     return process_batch
 
@@ -238,13 +256,20 @@ def start_queue_enrichment(spark: SparkSession, source: DataFrame, schema: Struc
 
 # -- progress ----------------------------------------------------------------------------
 
-def progress_summary(query: StreamingQuery) -> dict:
-    """Batches run and rows read so far, the latest batch, and source backlog metrics."""
-    progress = query.recentProgress or []
+def progress_totals(spark: SparkSession, root: str) -> DataFrame:
+    """``(batch_id, input_rows)`` of every batch that was ever written under
+    ``root``, over all restarts."""
+    return spark.read.schema(f"input_rows long, {BATCH_COLUMN} long").parquet(f"{root}/{PROGRESS}")
+
+
+def progress_summary(query: StreamingQuery, spark: SparkSession, root: str) -> dict:
+    """Batches written and rows read under ``root`` so far (all of them, over
+    restarts), and from the running query its latest batch and backlog."""
+    totals = progress_totals(spark, root).agg(F.count(F.lit(1)), F.coalesce(F.sum("input_rows"), F.lit(0))).first()
     last = query.lastProgress or {}
     return {
-        "batches": len(progress),
-        "input_rows": sum(int(p.get("numInputRows", 0)) for p in progress),
+        "batches": int(totals[0]),
+        "input_rows": int(totals[1]),
         "last_batch_rows": int(last.get("numInputRows", 0)) if last else 0,
         "last_batch_id": last.get("batchId") if last else None,
         # Per source: its own backlog figures (Kafka reports offsets behind latest).

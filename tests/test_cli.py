@@ -61,3 +61,27 @@ def test_models_and_queue_commands(spark, scratch, capsys):
                  "--reference", out["trusted"], "--field", "Instituição financeira", "--out", f"{d}/q"]) == 0
     rows = spark.read.parquet(f"{d}/q/batches").collect()
     assert [(r["campo_limpo"], r["n"]) for r in rows] == [("BANCO X", None)]
+
+
+def test_streams_go_on_after_the_last_batch(spark, scratch, capsys):
+    """Run again with another batch size, and with new files: every message once."""
+    d = to_local_path(scratch)
+    spark.createDataFrame([("BANCO X",)], "campo_limpo string").write.parquet(f"{scratch}/ref")
+    os.makedirs(f"{d}/msgs")
+
+    def put(*numbers):
+        for i in numbers:
+            with open(f"{d}/msgs/m{i}.json", "w") as f:
+                f.write(json.dumps({"id": i, "nome": "Banco X S.A."}) + "\n")
+
+    put(*range(6))
+    for command, batches in (("enrich", f"{d}/enrich"), ("queue", f"{d}/queue/batches")):
+        args = [command, "--messages", f"{d}/msgs", "--schema", "id bigint, nome string", "--reference",
+                f"{scratch}/ref", "--field", "nome", "--out", f"{d}/{command}"]
+        assert main([*args, "--files-per-batch", "1"]) == 0
+        assert main([*args, "--files-per-batch", "3"]) == 0
+        put(6 if command == "enrich" else 7)
+        assert main([*args, "--files-per-batch", "3"]) == 0
+        total = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+        ids = sorted(int(r["id"]) for r in spark.read.parquet(batches).collect())
+        assert ids == sorted(set(ids)) and len(ids) == total["input_rows"] == (7 if command == "enrich" else 8)

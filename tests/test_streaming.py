@@ -44,7 +44,7 @@ def test_stream_batches_restart_without_duplicates(spark, scratch):
                                             {"id": 4, "inst": "", "v": 4.0}])
     write_file(f"{scratch}/in", "m2.json", [{"id": 5, "inst": None, "v": 5.0}])
     q = run(spark, scratch)
-    assert progress_summary(q)["input_rows"] == 5
+    assert progress_summary(q, spark, f"{scratch}/out")["input_rows"] == 5
     matches = {r["id"]: r["campo_limpo"] for r in read_batches(spark, f"{scratch}/out", outcome="matched").collect()}
     # Accent- and case-blind lookup returns the stored key; a blank name
     # becomes the sentinel, which the table holds; null never matches.
@@ -57,7 +57,7 @@ def test_stream_batches_restart_without_duplicates(spark, scratch):
     # New data, same checkpoint: only the new file is processed.
     write_file(f"{scratch}/in", "m3.json", [{"id": 6, "inst": "Itau S/A", "v": 6.0}])
     q2 = run(spark, scratch)
-    assert progress_summary(q2)["input_rows"] == 1
+    assert progress_summary(q2, spark, f"{scratch}/out")["input_rows"] == 6
     ids = sorted(r["id"] for r in read_batches(spark, f"{scratch}/out", outcome="matched").collect())
     assert ids == [1, 3, 4, 6]
 
@@ -152,3 +152,35 @@ def test_stream_static_join_with_bucketed_reference(spark, scratch):
     assert final.count("Exchange hashpartitioning") == 1
     got = sorted((r["id"], r["campo_limpo"], r["seg"]) for r in spark.read.parquet(f"{scratch}/out").collect())
     assert got == [(1, "ITAU", 1), (3, "BANCO AÇÃO", 2)]
+
+
+def test_totals_cover_more_batches_than_spark_keeps(spark, scratch):
+    for i in range(6):
+        write_file(f"{scratch}/in", f"m{i}.json", [{"id": i, "inst": "Itau S.A.", "v": 1.0}])
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        q = run(spark, scratch, files_per_batch=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    summary = progress_summary(q, spark, f"{scratch}/out")
+    assert (summary["batches"], summary["input_rows"]) == (6, 6)
+
+
+def test_an_empty_batch_counts_zero_rows(spark, scratch):
+    ref = prepare_reference(reference(spark), f"{scratch}/ref")
+    enrich_batch_fn(ref, f"{scratch}/out", "inst")(spark.createDataFrame([], SCHEMA), 0)
+    from strata.streaming.enrich import progress_totals
+
+    assert [tuple(r) for r in progress_totals(spark, f"{scratch}/out").select("batch_id", "input_rows").collect()] == [(0, 0)]
+
+
+def test_bucketed_reference_one_file_a_bucket_and_one_table(spark, scratch):
+    from strata.streaming.enrich import save_bucketed
+
+    df = spark.range(1000).selectExpr("concat('K', id) AS campo_limpo").repartition(8)
+    names = lambda: {t.name for t in spark.catalog.listTables() if t.name.startswith("strata_bucketed_")}
+    before = names()
+    for _ in range(2):
+        save_bucketed(df, f"{scratch}/bucketed", "campo_limpo", buckets=4)
+    files = [f for f in os.listdir(to_local_path(f"{scratch}/bucketed")) if f.startswith("part-")]
+    assert len(files) == 4 and len(names() - before) == 1
