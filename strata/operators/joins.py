@@ -6,15 +6,9 @@ after measuring an upper bound of the side's in-memory size; otherwise the
 planner's own size checks apply and beyond them the join is a sort-merge join
 whose skewed partitions AQE splits. No helper collects rows.
 
-A join condition on ``collate()`` expressions plans as a sort-merge join
-that shuffles both sides (a join on collated columns hashes Spark's internal
-collation keys, but still shuffles a large side). Collated lookups broadcast
-the reference reduced to one row per class when that is measured small;
-otherwise, and for inner collated joins, they work on distinct keys: each side's distinct keys
-(partial aggregation) get a canonical member of their collation class (a
-window partitioned by the collated key), and the rows then join that small
-key map by plain binary equality, broadcast only under its measured bound.
-Exact, since the classes come from the same collation.
+Collated lookups and joins compare collated columns directly: a plain
+equi-join on the collation keys, lazy, with one shuffle a side (none of the
+large side when the planner, or AQE from measured sizes, broadcasts the other).
 
 - ``merge``: equi-join with explicit collision suffixes (pandas-style ``_x`` /
   ``_y`` by default, ``('', '_1')`` for the tool that numbers duplicates).
@@ -34,9 +28,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType, VariantType
 
 from strata.functions.keys import KEY_COLUMN
 
@@ -139,58 +133,19 @@ def reference_keys(table: DataFrame, table_key: str = KEY_COLUMN,
             .groupBy("_match").agg(F.min("_stored").alias("_stored")))
 
 
-def _distinct_keys(df: DataFrame, column: str) -> DataFrame:
-    return df.select(_q(column).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-
-
-def _small_table(df: DataFrame) -> DataFrame:
-    """Cut lineage into the shared checkpoint folder; broadcast under the measured bound."""
-    return broadcast_if_small(_checkpointed(df))
-
-
-def stored_key_map(df: DataFrame, table: DataFrame, key: str, table_key: str, collation: str) -> DataFrame:
-    """``(_k, _stored)`` for each distinct key of ``df`` whose collation class
-    holds a key of ``table``; ``_stored`` is the smallest such table key."""
-    probe = _distinct_keys(df, key).withColumn("_ref", F.lit(False))
-    ref = _distinct_keys(table, table_key).withColumn("_ref", F.lit(True))
-    cls = Window.partitionBy(F.collate(F.col("_k"), collation))
-    stored = F.min(F.when(F.col("_ref"), F.col("_k"))).over(cls)
-    return (probe.unionByName(ref).withColumn("_stored", stored)
-            .where(~F.col("_ref") & F.col("_stored").isNotNull()).select("_k", "_stored"))
-
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    from strata.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def _small_reference(table: DataFrame, table_key: str, collation: str) -> DataFrame | None:
-    """The table reduced to one row per collation class, if measured small."""
-    ref = _checkpointed(reference_keys(table, table_key, collation))
-    return ref if is_small(ref) else None
+def _probe(df: DataFrame, table: DataFrame, key: str, table_key: str | None,
+           collation: str | None) -> tuple[DataFrame, DataFrame]:
+    return df.withColumn("_match", _match(_q(key), collation)), reference_keys(table, table_key or key, collation)
 
 
 def lookup_replace(df: DataFrame, table: DataFrame, key: str = KEY_COLUMN,
                    table_key: str | None = None, collation: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key exists in ``table``; the key becomes the stored one.
 
-    Under a collation the table is first reduced to one row per collation
-    class; when that is measured small it is broadcast and joined on the
-    collated key (a hash join on collation keys, ``df`` not shuffled),
-    otherwise ``df``'s distinct keys go through the canonical key map.
+    The table is reduced to one row per match key (per collation class, under
+    a collation), so no row fans out. Lazy: no job runs while it is built.
     """
-    if collation:
-        ref = _small_reference(table, table_key or key, collation)
-        if ref is not None:
-            probe = df.withColumn("_match", F.collate(_q(key), collation))
-            out = probe.join(F.broadcast(ref), "_match", "inner").withColumn(key, F.col("_stored"))
-            return out.select(*[_q(c) for c in df.columns])
-        m = _small_table(stored_key_map(df, table, key, table_key or key, collation))
-        out = df.join(m, df[key] == m["_k"], "inner").withColumn(key, F.col("_stored"))
-        return out.select(*[_q(c) for c in df.columns])
-    ref = reference_keys(table, table_key or key)
-    probe = df.withColumn("_match", _q(key))
+    probe, ref = _probe(df, table, key, table_key, collation)
     out = probe.join(ref, "_match", "inner").withColumn(key, F.col("_stored"))
     return out.select(*[_q(c) for c in df.columns])
 
@@ -198,17 +153,8 @@ def lookup_replace(df: DataFrame, table: DataFrame, key: str = KEY_COLUMN,
 def lookup_rejects(df: DataFrame, table: DataFrame, key: str = KEY_COLUMN,
                    table_key: str | None = None, collation: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key has no match in ``table`` (null keys included)."""
-    if collation:
-        ref = _small_reference(table, table_key or key, collation)
-        if ref is not None:
-            probe = df.withColumn("_match", F.collate(_q(key), collation))
-            return (probe.join(F.broadcast(ref.select("_match")), "_match", "left_anti")
-                    .select(*[_q(c) for c in df.columns]))
-        m = _small_table(stored_key_map(df, table, key, table_key or key, collation).select("_k"))
-        return df.join(m, df[key] == m["_k"], "left_anti")
-    ref = reference_keys(table, table_key or key).select("_match")
-    probe = df.withColumn("_match", _q(key))
-    return probe.join(ref, "_match", "left_anti").select(*[_q(c) for c in df.columns])
+    probe, ref = _probe(df, table, key, table_key, collation)
+    return probe.join(ref.select("_match"), "_match", "left_anti").select(*[_q(c) for c in df.columns])
 
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -223,23 +169,13 @@ def collated_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str
                   how: str = "inner", collation: str = CI_AI, broadcast_right: bool = False) -> DataFrame:
     """Join where keys compare under a collation (default: case and accent blind).
 
-    Inner joins go through a canonical key per collation class (see the
-    module notes), so each side joins a small key map by binary equality;
-    other join types use the collated condition directly. ``broadcast_right``
-    (for a right side already measured small, see ``is_small``) broadcasts it
-    in the final join, so the left side is never shuffled.
+    ``broadcast_right`` (for a right side already measured small, see
+    ``is_small``) broadcasts it, so the left side is never shuffled.
     """
-    if how != "inner":
-        cond = F.collate(left[left_on], collation) == F.collate(right[right_on], collation)
-        return left.join(right, cond, how)
-    keys = _distinct_keys(left, left_on).unionByName(_distinct_keys(right, right_on)).distinct()
-    canon = _small_table(keys.withColumn(
-        "_canon", F.min("_k").over(Window.partitionBy(F.collate(F.col("_k"), collation)))))
-    lmap = canon.withColumnRenamed("_k", "_lk")
-    rmap = canon.withColumnRenamed("_k", "_rk")
-    lc = left.join(lmap, left[left_on] == lmap["_lk"], "inner").drop("_lk")
-    rc = right.join(rmap, right[right_on] == rmap["_rk"], "inner").drop("_rk")
-    return lc.join(F.broadcast(rc) if broadcast_right else rc, "_canon", "inner").drop("_canon")
+    lk, rk = F.collate(_q(left_on), collation), F.collate(_q(right_on), collation)
+    lc, rc = left.withColumn("_ck_left", lk), right.withColumn("_ck_right", rk)
+    rc = F.broadcast(rc) if broadcast_right else rc
+    return lc.join(rc, F.col("_ck_left") == F.col("_ck_right"), how).drop("_ck_left", "_ck_right")
 
 
 def repeated_key(df: DataFrame, key: str | list[str]) -> tuple | None:
@@ -262,39 +198,45 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str | list[str],
 
     ``flag`` is ``new`` (key only in ``new``), ``deleted`` (only in ``old``),
     ``identical`` (all compared values null-safe equal) or ``changed``. Values
-    come from ``new``, or from ``old`` for deleted rows. One full outer join.
-
-    The key must identify one row per snapshot: a key repeated on both sides
-    would make the join emit every pair of its rows. ``check_unique`` verifies
-    this first (``repeated_key`` on each side) and raises on a repeated key;
-    turn it off only when the sources guarantee unique keys.
+    come from ``new``, or from ``old`` for deleted rows. ``compare`` defaults
+    to the columns that the snapshots share; a column that only one has must
+    be named or dropped by the caller.
+
+    Both snapshots are unioned with a side mark and grouped by key once, so
+    each is shuffled once and no pair of rows is ever built. The key must
+    identify one row per snapshot: with ``check_unique`` the job fails on a
+    repeated key (the larger row would win otherwise). Null keys match
+    nothing; their rows are new or deleted each.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if compare is None:
+        only = sorted((set(old.columns) ^ set(new.columns)) - set(keys))
+        if only:
+            raise ValueError(f"snapshot_diff: columns {only} are in one snapshot only; name the columns to compare")
+        compare = [c for c in new.columns if c not in keys]
+
+    def side(df: DataFrame, is_new: bool) -> DataFrame:
+        return df.select(*[_q(k) for k in keys], F.lit(is_new).alias("_new"),
+                         F.struct(F.lit(0).alias("_0"), *[_q(c).alias(f"v{i}") for i, c in enumerate(compare)]).alias("_v"))
+
+    both = side(old, False).unionByName(side(new, True))
+    known = reduce(lambda a, b: a & b, [_q(k).isNotNull() for k in keys])
+    is_new, v = F.col("_new"), F.col("_v")
+    grouped = (both.where(known).groupBy(*[_q(k) for k in keys])
+               .agg(F.count_if(~is_new).alias("_no"), F.count_if(is_new).alias("_nn"),
+                    F.max(F.when(~is_new, v)).alias("_o"), F.max(F.when(is_new, v)).alias("_n")))
+    flag_col = (F.when(F.col("_nn") == 0, F.lit("deleted")).when(F.col("_no") == 0, F.lit("new"))
+                .when(F.col("_o").eqNullSafe(F.col("_n")), F.lit("identical")).otherwise(F.lit("changed")))
     if check_unique:
-        for side, df in (("old", old), ("new", new)):
-            dup = repeated_key(df, keys)
-            if dup is not None:
-                raise ValueError(f"snapshot_diff: key {keys} repeats in the {side} snapshot, e.g. {dup}; "
-                                 "a diff needs a key that identifies one row per snapshot")
-    compare = compare or [c for c in new.columns if c not in keys]
-    o = old.select(*[_q(k) for k in keys],
-                   *[_q(c).alias(f"_o{i}") for i, c in enumerate(compare)],
-                   F.lit(True).alias("_in_old"))
-    n = new.select(*[_q(k) for k in keys],
-                   *[_q(c).alias(f"_n{i}") for i, c in enumerate(compare)],
-                   F.lit(True).alias("_in_new"))
-    j = o.join(n, on=keys, how="full_outer")
-    same = reduce(lambda a, b: a & b,
-                  [F.col(f"_o{i}").eqNullSafe(F.col(f"_n{i}")) for i in range(len(compare))],
-                  F.lit(True))
-    gone = F.col("_in_new").isNull()
-    flag_col = (F.when(gone, F.lit("deleted"))
-                .when(F.col("_in_old").isNull(), F.lit("new"))
-                .when(same, F.lit("identical"))
-                .otherwise(F.lit("changed")))
-    values = [F.when(gone, F.col(f"_o{i}")).otherwise(F.col(f"_n{i}")).alias(c)
-              for i, c in enumerate(compare)]
-    return j.select(*[_q(k) for k in keys], *values, flag_col.alias(flag))
+        named = F.concat_ws(", ", *[_q(k).cast("string") for k in keys])
+        which = F.when(F.col("_no") > 1, F.lit("old")).otherwise(F.lit("new"))
+        flag_col = F.when((F.col("_no") > 1) | (F.col("_nn") > 1), F.raise_error(F.concat(
+            F.lit("snapshot_diff: key ("), named, F.lit(") repeats in the "), which, F.lit(" snapshot")))).otherwise(flag_col)
+    matched = grouped.select(*[_q(k) for k in keys], F.coalesce("_n", "_o").alias("_v"), flag_col.alias("_flag"))
+    alone = both.where(~known).select(*[_q(k) for k in keys], "_v",
+                                      F.when(is_new, F.lit("new")).otherwise(F.lit("deleted")).alias("_flag"))
+    return matched.unionByName(alone).select(
+        *[_q(k) for k in keys], *[F.col(f"_v.v{i}").alias(c) for i, c in enumerate(compare)], F.col("_flag").alias(flag))
 
 
 def join_size(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
@@ -310,14 +252,17 @@ def join_size(left: DataFrame, right: DataFrame, left_key: str, right_key: str |
             .agg(F.coalesce(F.sum(F.col("_nl") * F.col("_nr")), F.lit(0)).cast("long").alias("pairs")))
 
 
-def size_bound_bytes(df: DataFrame) -> int:
-    """An upper bound of ``df``'s size as Spark rows in memory, measured.
+def size_bound_bytes(df: DataFrame) -> int | None:
+    """An upper bound of ``df``'s size as Spark rows in memory, measured; None
+    for frames with nested columns, whose size this does not bound.
 
     One aggregation pass (row count and the byte length of every string or
     binary value); meant for stored data such as a materialised dimension.
-    Per row: the null bitset and an 8-byte slot per field; per variable
-    value: its bytes rounded up to 8.
+    Per row: the null bitset and an 8-byte slot per field (16 more for a long
+    decimal); per variable value: its bytes rounded up to 8.
     """
+    if nested_columns(df):
+        return None
     var = var_columns(df)
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`")) + F.lit(7)), F.lit(0)).alias(f"_v{i}")
@@ -328,24 +273,32 @@ def size_bound_bytes(df: DataFrame) -> int:
 
 def _fixed_row_bytes(df: DataFrame) -> int:
     """Bytes of a row without its variable-length values: null bitset and slots."""
-    n = len(df.schema.fields)
-    return 8 * ((n + 63) // 64) + 8 * n
+    fields = df.schema.fields
+    long_decimals = sum(isinstance(f.dataType, DecimalType) and f.dataType.precision > 18 for f in fields)
+    return 8 * ((len(fields) + 63) // 64) + 8 * len(fields) + 16 * long_decimals
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's ``spark.sql.adaptive.autoBroadcastJoinThreshold`` in bytes,
+    read by Spark's own rules for sizes; DEFAULT_BROADCAST_BYTES if unset."""
+    conf = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    if conf is None:
+        return DEFAULT_BROADCAST_BYTES
+    text = str(conf).strip()
+    if text.startswith("-"):
+        return -1
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
 def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
     """True when ``df``'s measured size bound is under the broadcast limit.
 
-    The limit defaults to the session's
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (or 32 MB); a limit of
-    zero or less means never.
+    The limit defaults to ``broadcast_limit``; a limit of zero or less means
+    never, and so do nested columns.
     """
     if max_bytes is None:
-        conf = df.sparkSession.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
-        try:
-            max_bytes = int(str(conf).lower().removesuffix("b")) if conf else DEFAULT_BROADCAST_BYTES
-        except ValueError:
-            max_bytes = DEFAULT_BROADCAST_BYTES
-    if max_bytes <= 0:
+        max_bytes = broadcast_limit(df.sparkSession)
+    if max_bytes <= 0 or nested_columns(df):
         return False
     if var_columns(df):
         # Rows times the fixed bytes per row is a lower bound of the size; on
@@ -361,6 +314,11 @@ def var_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
 
 
+def nested_columns(df: DataFrame) -> list[str]:
+    """Names of the columns whose values hold other values."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))]
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its measured size bound is under the limit, else ``df``.
 
@@ -373,25 +331,21 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
 SALT = "_salt"
 
 
-def hot_keys(df: DataFrame, key: str | list[str], min_rows: int) -> DataFrame:
-    """Keys held by at least ``min_rows`` rows (one aggregation, partial map-side)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return (df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= min_rows).select(*[_q(k) for k in keys]))
-
-
 def salt_hot_keys(fact: DataFrame, others: list[DataFrame], key: str | list[str], path: str,
-                  buckets: int = 16, min_rows: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
-    """Add a ``_salt`` join column that splits hot keys over ``buckets`` partitions.
-
-    A key is hot when it alone holds more rows of ``fact`` than one shuffle
-    partition's fair share (``min_rows``, by default rows / shuffle
-    partitions), so there are at most ``shuffle.partitions`` hot keys: a proven
-    bound, and the hot-key set (written once to ``path``) is broadcast.
-    Rows of ``fact`` with a hot key get a salt in ``[0, buckets)``; rows of the
-    other frames with a hot key are repeated once per salt; every other row
-    has salt 0. Joining on ``key + [_salt]`` then matches each pair exactly
-    once, whatever salt a fact row got, so a recomputed task stays correct.
+                  target_rows: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
+    """Add a ``_salt`` join column that splits hot keys into even parts.
+
+    A key is hot when it alone holds more than ``target_rows`` rows of
+    ``fact`` (by default the share of one shuffle partition, rows /
+    partitions, so there are fewer hot keys than partitions); it gets
+    ``ceil(rows / target_rows)`` salts. The hot keys with their salts are
+    written once to ``path`` and broadcast only when measured small.
+
+    A fact row's salt is a hash of all its columns, so a recomputed task gives
+    every row the same salt whatever the order of its input (equal rows share
+    one). Rows of the other frames with a hot key are repeated once per salt;
+    every other row has salt 0. Joining on ``key + [_salt]`` then matches each
+    pair exactly once.
     """
     keys = [key] if isinstance(key, str) else list(key)
     spark = fact.sparkSession
@@ -399,23 +353,20 @@ def salt_hot_keys(fact: DataFrame, others: list[DataFrame], key: str | list[str]
     (fact.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
      .write.mode("overwrite").parquet(f"{path}/counts"))
     counts = spark.read.parquet(f"{path}/counts")
-    if min_rows is None:
+    if target_rows is None:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-        min_rows = max(2, int(total) // max(1, parts))
-    counts.where(F.col("_n") >= min_rows).select(*[_q(k) for k in keys]) \
-        .write.mode("overwrite").parquet(f"{path}/hot")
-    hot = F.broadcast(spark.read.parquet(f"{path}/hot").withColumn("_hot", F.lit(True)))
-
-    def flagged(df: DataFrame) -> DataFrame:
-        return df.join(hot, keys, "left")
-
-    is_hot = F.col("_hot").isNotNull()
-    fact_s = (flagged(fact)
-              .withColumn(SALT, F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
-                          .otherwise(F.lit(0)).cast("int"))
-              .drop("_hot").select(*[_q(c) for c in fact.columns], SALT))
-    spread_salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    others_s = [flagged(o).withColumn(SALT, F.explode(spread_salts)).drop("_hot")
+        total = int(counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
+        target_rows = max(1, -(-total // max(1, parts)))
+    (counts.where(F.col("_n") > target_rows)
+     .select(*[_q(k) for k in keys], F.ceil(F.col("_n") / F.lit(target_rows)).cast("int").alias("_salts"))
+     .write.mode("overwrite").parquet(f"{path}/hot"))
+    hot = broadcast_if_small(spark.read.parquet(f"{path}/hot"))
+    salts = F.coalesce("_salts", F.lit(1))
+    hashed = [_q(f.name) for f in fact.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    fact_s = (fact.join(hot, keys, "left")
+              .withColumn(SALT, F.pmod(F.xxhash64(*hashed), salts).cast("int"))
+              .select(*[_q(c) for c in fact.columns], SALT))
+    others_s = [o.join(hot, keys, "left")
+                .withColumn(SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
                 .select(*[_q(c) for c in o.columns], SALT) for o in others]
     return fact_s, others_s

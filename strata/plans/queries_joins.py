@@ -60,7 +60,7 @@ def join_banks_complaints(spark, sf_dir):
     return merge(banks_k(spark, sf_dir), complaints_k(spark, sf_dir), "campo_limpo", "inner")
 
 
-@register("delivery_three_way", f"""
+_DELIVERY_SQL = f"""
 WITH b AS ({BANKS_K}), c AS ({COMPLAINTS_K}), e AS ({EMPLOYERS_K})
 SELECT b.s_suppkey, b."Segmento", b."CNPJ", b."Nome", b.campo_limpo,
        c.l_orderkey, c.l_linenumber, c."Ano", c."Trimestre", c."Categoria", c."Tipo",
@@ -71,7 +71,10 @@ SELECT b.s_suppkey, b."Segmento", b."CNPJ", b."Nome", b.campo_limpo,
        c."Quantidade de clientes – CCS" AS "Quantidade_de_clientes___CCS",
        e.employer_name, e.reviews_count, e."Geral"
 FROM b JOIN c ON b.campo_limpo = c.campo_limpo JOIN e ON b.campo_limpo = e.campo_limpo
-""")
+"""
+
+
+@register("delivery_three_way", _DELIVERY_SQL)
 def delivery_three_way(spark, sf_dir):
     """Banks, complaints and employers joined on the key; ``_y`` dropped, ``_x`` stripped."""
     frames = {"Bancos": banks_k(spark, sf_dir), "Reclamacoes": complaints_k(spark, sf_dir),
@@ -79,18 +82,7 @@ def delivery_three_way(spark, sf_dir):
     return delivery_frame(frames)
 
 
-@register("delivery_three_way_salted", f"""
-WITH b AS ({BANKS_K}), c AS ({COMPLAINTS_K}), e AS ({EMPLOYERS_K})
-SELECT b.s_suppkey, b."Segmento", b."CNPJ", b."Nome", b.campo_limpo,
-       c.l_orderkey, c.l_linenumber, c."Ano", c."Trimestre", c."Categoria", c."Tipo",
-       c."CNPJ IF" AS "CNPJ_IF",
-       c."Instituição financeira" AS "Instituição_financeira",
-       c."Índice",
-       c."Quantidade total de reclamações" AS "Quantidade_total_de_reclamações",
-       c."Quantidade de clientes – CCS" AS "Quantidade_de_clientes___CCS",
-       e.employer_name, e.reviews_count, e."Geral"
-FROM b JOIN c ON b.campo_limpo = c.campo_limpo JOIN e ON b.campo_limpo = e.campo_limpo
-""")
+@register("delivery_three_way_salted", _DELIVERY_SQL)
 def delivery_three_way_salted(spark, sf_dir):
     """The delivery join with hot fact keys salted (the plan for large dimensions)."""
     frames = {"Bancos": banks_k(spark, sf_dir), "Reclamacoes": complaints_k(spark, sf_dir),
@@ -137,7 +129,7 @@ def columns_prefix_rename_drop(spark, sf_dir):
 
 
 def _named_complaints(spark, sf_dir):
-    c = src.complaints(spark, sf_dir, spread=False)
+    c = src.complaints(spark, sf_dir)
     return c.withColumn("12 meses", F.col("Ano"))
 
 
@@ -194,7 +186,7 @@ def _reference(spark, sf_dir):
 
 
 def _event_keys(spark, sf_dir):
-    e = src.table(spark, sf_dir, "events", spread=True)
+    e = src.table(spark, sf_dir, "events")
     name = (F.when(F.col("event_type") == "error", F.lit(""))
             .otherwise(F.concat(src.padded("customer#", F.col("user_id")),
                                 src.pick(EVENT_SUFFIXES, F.col("event_id") % 4))))

@@ -21,8 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.files import read_parquet_spread
-
 # Decorations (ours, not the source pipeline's): suffixes appended per row.
 BANK_SUFFIXES = ["", " S.A.", " - PRUDENCIAL", " LTDA", " S/A", " (conglomerado)", " DTVM/", " CCTVM"]
 COMPLAINT_SUFFIXES = [" S.A", "", " LTDA/", " - PRUDENCIAL", " SCFI", " BM", " S/A/", " CH/"]
@@ -38,12 +36,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table. ``spread`` for inputs whose rows then go through a
-    CPU-heavy step (regular expressions, JSON): a large single-split file is
-    then read into as many tasks as its size warrants."""
-    path = f"{sf_dir}/{name}.parquet"
-    return read_parquet_spread(spark, path) if spread else spark.read.parquet(path)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: list[str], index: Column) -> Column:
@@ -64,6 +59,8 @@ def padded(prefix: str, key: Column, width: int = 9) -> Column:
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
 
 
+# The source files' column names, used in the families below.
+
 # -- banks (supplier) ---------------------------------------------------------
 
 def banks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +84,8 @@ FROM supplier
 
 # -- complaints (lineitem) ------------------------------------------------------
 
-def complaints(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread)
+def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey"),
         F.col("l_linenumber"),

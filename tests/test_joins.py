@@ -80,12 +80,12 @@ def test_snapshot_diff_flags(spark):
 
 
 def test_snapshot_diff_refuses_a_repeated_key(spark):
-    # One key holds a third of the rows of both snapshots: the full outer join
-    # would emit all pairs of its rows, so the diff refuses before joining.
+    # One key holds a third of the rows of both snapshots: no pair of its rows
+    # is built, the job fails naming the key.
     old = spark.createDataFrame([(0 if i % 3 == 0 else i, "a") for i in range(90)], "k int, v string")
     new = spark.createDataFrame([(0 if i % 3 == 0 else i, "b") for i in range(90)], "k int, v string")
-    with pytest.raises(ValueError, match="repeats in the old snapshot"):
-        snapshot_diff(old, new, "k")
+    with pytest.raises(Exception, match=r"key \(0\) repeats in the old snapshot"):
+        snapshot_diff(old, new, "k").collect()
     # Null keys never match each other, so repeated nulls are allowed.
     nulls = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "k int, v string")
     assert repeated_key(nulls, "k") is None
@@ -153,14 +153,14 @@ def test_salted_chain_spreads_a_hot_key_and_matches_brute_force(spark, scratch):
     fact = spark.createDataFrame(fact_rows, "id int, campo_limpo string")
     d1 = spark.createDataFrame(d1_rows, "campo_limpo string, v string")
     d2 = spark.createDataFrame(d2_rows, "campo_limpo string, w double")
-    f_s, (d1_s, d2_s) = salt_hot_keys(fact, [d1, d2], "campo_limpo", f"{scratch}/hot", buckets=8, min_rows=500)
+    f_s, (d1_s, d2_s) = salt_hot_keys(fact, [d1, d2], "campo_limpo", f"{scratch}/hot", target_rows=125)
     out = merge_chain([f_s, d1_s, d2_s], ["campo_limpo", SALT], join_order=[0, 1, 2]).drop(SALT)
     expected = sorted((i, k, v, w) for i, k in fact_rows for k1, v in d1_rows if k1 == k
                       for k2, w in d2_rows if k2 == k)
     assert sorted(tuple(r) for r in out.collect()) == expected
-    # The hot key's fact rows spread over all salts, evenly.
+    # 1000 rows of the hot key over ceil(1000 / 125) salts, about evenly.
     per_salt = {r[SALT]: r["count"] for r in f_s.where("campo_limpo = 'HOT'").groupBy(SALT).count().collect()}
-    assert len(per_salt) == 8 and max(per_salt.values()) - min(per_salt.values()) <= 8
+    assert len(per_salt) == 8 and max(per_salt.values()) <= 2 * 125
     assert f_s.where("campo_limpo <> 'HOT'").agg(F.max(SALT)).first()[0] == 0
 
 
@@ -187,3 +187,55 @@ def test_repeated_key_on_composite_keys(spark):
     dup = df.unionByName(spark.createDataFrame([(2, "a", 6)], "k1 int, k2 string, v int"))
     assert repeated_key(dup, ["k1", "k2"]) == (2, "a")
     assert repeated_key(df, "k1") == (1,)
+
+
+def test_salt_does_not_depend_on_row_order(spark, scratch):
+    from strata.operators.joins import salt_hot_keys
+    fact_rows = [(i, "HOT" if i % 2 else f"K{i % 40}") for i in range(2000)]
+    fact = spark.createDataFrame(fact_rows, "id int, campo_limpo string")
+    salts = []
+    for n, df in enumerate((fact, fact.orderBy("id", ascending=False), fact.repartition(7))):
+        salted, _ = salt_hot_keys(df, [], "campo_limpo", f"{scratch}/order{n}", target_rows=100)
+        salts.append({r["id"]: r["_salt"] for r in salted.collect()})
+    assert salts[0] == salts[1] == salts[2] and len(set(salts[0].values())) == 10
+
+
+def test_broadcast_limit_reads_units_and_nested_rows_are_never_small(spark):
+    from strata.operators.joins import broadcast_limit, is_small, size_bound_bytes
+    wide = spark.createDataFrame([(i, [1.0] * 100) for i in range(10)], "k long, v array<double>")
+    assert size_bound_bytes(wide) is None and not is_small(wide, 1 << 40)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "1MB")
+    try:
+        assert broadcast_limit(spark) == 1 << 20
+        assert not is_small(spark.range(1 << 17)) and is_small(spark.range(1 << 10))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "100k")
+        assert broadcast_limit(spark) == 100 << 10
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_collated_joins_and_diff_are_lazy_and_shuffle_each_side_once(spark):
+    left = spark.createDataFrame([(1, "ACAO")], "id int, campo_limpo string").repartition(3)
+    right = spark.createDataFrame([("AÇÃO",)], "campo_limpo string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    try:
+        found = lookup_replace(left, right, collation="UNICODE_CI_AI")
+        joined = collated_join(left, right.withColumnRenamed("campo_limpo", "n"), "campo_limpo", "n")
+        diff = snapshot_diff(left, left, "id")
+        assert exchanges(found) <= 3 and exchanges(joined) == 2 and exchanges(diff) == 1
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    assert rows(found) == [(1, "AÇÃO")]
+
+
+def test_snapshot_diff_names_columns_of_one_side(spark):
+    a = spark.createDataFrame([(1, "x", 2)], "k int, v string, extra int")
+    with pytest.raises(ValueError, match="extra"):
+        snapshot_diff(a, a.drop("extra"), "k")
+    assert rows(snapshot_diff(a, a.drop("extra"), "k", ["v"])) == [(1, "x", "identical")]
