@@ -46,6 +46,31 @@ NAME_RULES: dict[str, Callable[[str], str]] = {
 }
 
 
+def allot_names(wanted: Iterable[str], on_duplicate: str = "raise") -> list[str]:
+    """Names without duplicates, compared without case as Spark's writers do.
+
+    A name that is taken raises, or with ``on_duplicate='number'`` gets the
+    first free of ``_1``, ``_2``, ...; names that nobody disputes keep theirs.
+    """
+    wanted = list(wanted)
+    taken: set[str] = set()
+    numbered = []
+    for i, n in enumerate(wanted):
+        if n.lower() not in taken:
+            taken.add(n.lower())
+        elif on_duplicate == "raise":
+            raise ValueError(f"column name {n!r} occurs twice after renaming")
+        else:
+            numbered.append(i)
+    for i in numbered:
+        k = 1
+        while f"{wanted[i]}_{k}".lower() in taken:
+            k += 1
+        wanted[i] = f"{wanted[i]}_{k}"
+        taken.add(wanted[i].lower())
+    return wanted
+
+
 def rename_all(df: DataFrame, rule: str | Callable[[str], str], on_duplicate: str = "raise") -> DataFrame:
     """Apply a name rule to every column.
 
@@ -53,19 +78,7 @@ def rename_all(df: DataFrame, rule: str | Callable[[str], str], on_duplicate: st
     by default this raises; ``on_duplicate='number'`` appends ``_1``, ``_2``.
     """
     fn = NAME_RULES[rule] if isinstance(rule, str) else rule
-    new = [fn(c) for c in df.columns]
-    seen: dict[str, int] = {}
-    out = []
-    for n in new:
-        if n in seen:
-            if on_duplicate == "raise":
-                raise ValueError(f"column name {n!r} occurs twice after renaming")
-            seen[n] += 1
-            n = f"{n}_{seen[n]}"
-        else:
-            seen[n] = 0
-        out.append(n)
-    return df.toDF(*out)
+    return df.toDF(*allot_names([fn(c) for c in df.columns], on_duplicate))
 
 
 def prefix_columns(df: DataFrame, prefix: str, columns: Iterable[str]) -> DataFrame:
@@ -94,9 +107,13 @@ def drop_suffixed(df: DataFrame, suffix: str = "_y") -> DataFrame:
     return df.drop(*[c for c in df.columns if c.endswith(suffix)])
 
 
-def strip_suffix(df: DataFrame, suffix: str = "_x") -> DataFrame:
-    """Remove ``suffix`` from the end of names (only at the end)."""
-    return df.toDF(*[c[: -len(suffix)] if c.endswith(suffix) else c for c in df.columns])
+def strip_suffix(df: DataFrame, suffix: str = "_x", on_duplicate: str = "number") -> DataFrame:
+    """Remove ``suffix`` from the end of names (only at the end).
+
+    A stripped name that is taken is numbered, or raises with
+    ``on_duplicate='raise'``.
+    """
+    return df.toDF(*allot_names([c[: -len(suffix)] if c.endswith(suffix) else c for c in df.columns], on_duplicate))
 
 
 def cast_all_to_string(df: DataFrame) -> DataFrame:
@@ -104,9 +121,12 @@ def cast_all_to_string(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
-def fill_blank(df: DataFrame, value: str = "") -> DataFrame:
-    """Nulls in text columns become ``value`` (names with dots or spaces are safe)."""
+def fill_blank(df: DataFrame, value: str = "", keep: Iterable[str] = ()) -> DataFrame:
+    """Nulls in text columns become ``value`` (names with dots or spaces are
+    safe), except in the columns ``keep``."""
+    keep = set(keep)
     return df.select(*[
-        F.coalesce(F.col(f"`{f.name}`"), F.lit(value)).alias(f.name) if isinstance(f.dataType, StringType)
+        F.coalesce(F.col(f"`{f.name}`"), F.lit(value)).alias(f.name)
+        if isinstance(f.dataType, StringType) and f.name not in keep
         else F.col(f"`{f.name}`")
         for f in df.schema.fields])

@@ -5,13 +5,16 @@ shared storage. A layer is therefore a restart point: a lost executor or a
 failed later layer never re-runs an earlier one, and lineage stays short.
 
 - raw:      family scan (separator and encoding per family, union by name),
-            written as ``;``-separated latin-1 CSV or as Parquet.
-- trusted:  reread (with type inference for CSV), key derived from the
-            family's name field, optionally everything as text with blanks
-            for nulls, written as Parquet.
+            written as ``;``-separated CSV or as Parquet, all text.
+- trusted:  reread as text (with type inference if asked), key derived from
+            the family's name field, optionally everything as text with
+            blanks for nulls, written as Parquet.
 - delivery: the three families joined on the key with explicit collision
             names, columns renamed and dropped, written as Parquet (and, if
             asked, once to a JDBC table).
+
+A blank name gives a null key by default (``keep``), which joins nothing;
+``empty`` makes it the key '', which joins every other blank one.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from strata.functions.names import (
 )
 from strata.operators.joins import SALT, broadcast_if_small, merge_chain, salt_hot_keys
 from strata.sinks.writers import write_csv, write_jdbc, write_parquet
-from strata.sources.files import LATIN_1, family_for, read_family
+from strata.sources.files import LATIN_1, Family, family_for, read_family
 
 # The name field each family's key is derived from.
 KEY_FIELDS = {"Bancos": "Nome", "Empregados": "employer_name", "Reclamacoes": "Instituição financeira"}
@@ -40,56 +43,66 @@ DELIVERY_ORDER = ("Bancos", "Reclamacoes", "Empregados")
 DELIVERY_DROP = ("Unnamed__14", "_c14")
 
 
-def raw_layer(spark: SparkSession, sources: dict[str, str], out_root: str,
-              fmt: str = "csv") -> dict[str, DataFrame]:
-    """Read each family folder and write it to ``{out_root}/{family}``."""
+def raw_layer(spark: SparkSession, sources: dict[str, str], out_root: str, fmt: str = "csv",
+              families: dict[str, Family] | None = None, encoding: str = LATIN_1) -> dict[str, DataFrame]:
+    """Read each family folder and write it to ``{out_root}/{family}``.
+
+    ``families`` says how a family's files are written where that differs from
+    ``family_for`` (known separators, encoding detected). The CSV is written
+    in ``encoding``; a value or name it cannot hold fails the job.
+    """
     out = {}
     for name, path in sources.items():
-        df = read_family(spark, path, family_for(name))
+        df = read_family(spark, path, (families or {}).get(name) or family_for(name))
         target = f"{out_root}/{name}"
         if fmt == "csv":
-            write_csv(df, target, sep=";", encoding=LATIN_1)
-            out[name] = spark.read.options(sep=";", header="true", encoding=LATIN_1).csv(target)
+            write_csv(df, target, sep=";", encoding=encoding)
+            out[name] = spark.read.options(sep=";", header="true", encoding=encoding).csv(target)
         else:
             write_parquet(df, target)
             out[name] = spark.read.parquet(target)
     return out
 
 
-def trusted_frame(df: DataFrame, field: str, null_key: str = "empty", as_text: bool = True,
+def trusted_frame(df: DataFrame, field: str, null_key: str = "keep", as_text: bool = True,
                   pattern: str = KEY_PATTERN, missing: str = "raise") -> DataFrame:
-    """Key column added; with ``as_text`` all columns text and nulls blank."""
+    """Key column added; with ``as_text`` all columns text and nulls blank
+    (a null key stays null under ``keep``)."""
     out = with_clean_key(df, field, KEY_COLUMN, pattern, null_key, missing)
     if as_text:
-        out = fill_blank(cast_all_to_string(out))
+        out = fill_blank(cast_all_to_string(out), keep=[KEY_COLUMN] if null_key == "keep" else [])
     return out
 
 
 def trusted_layer(spark: SparkSession, raw_root: str, out_root: str, families: list[str],
-                  fmt: str = "csv", null_key: str = "empty", as_text: bool = True,
+                  fmt: str = "csv", null_key: str = "keep", as_text: bool = True,
                   key_fields: dict[str, str] | None = None,
-                  bucket_count: int | None = None, table_prefix: str = "trusted_") -> dict[str, DataFrame]:
+                  bucket_count: int | None = None, table_prefix: str = "trusted_",
+                  encoding: str = LATIN_1, infer: bool = False) -> dict[str, DataFrame]:
     """Reread the raw output, derive the key, write Parquet.
 
+    CSV is reread as text, so identifiers keep their leading zeros; ``infer``
+    derives types instead. ``key_fields`` overrides KEY_FIELDS per family.
+
     With ``bucket_count`` each family is instead saved as a catalog table
-    ``{table_prefix}{family}``, bucketed and sorted on the key: later joins of
-    these tables on the key (``delivery_from_tables``) read matching buckets
-    side by side, with no shuffle and no sort.
+    ``{table_prefix}{family}``, bucketed and sorted on the key, one file a
+    bucket: later joins of these tables on the key (``delivery_from_tables``)
+    read matching buckets side by side, with no shuffle and no sort.
     """
-    fields = key_fields or KEY_FIELDS
+    fields = KEY_FIELDS | (key_fields or {})
     out = {}
     for name in families:
         src = f"{raw_root}/{name}"
         if fmt == "csv":
-            raw = (spark.read.options(sep=";", header="true", encoding=LATIN_1, inferSchema="true")
+            raw = (spark.read.options(sep=";", header="true", encoding=encoding, inferSchema=str(infer).lower())
                    .csv(src))
         else:
             raw = spark.read.parquet(src)
         df = trusted_frame(raw, fields[name], null_key, as_text)
         if bucket_count:
             table = f"{table_prefix}{name}"
-            (df.write.mode("overwrite").bucketBy(bucket_count, KEY_COLUMN).sortBy(KEY_COLUMN)
-             .saveAsTable(table))
+            (df.repartition(bucket_count, KEY_COLUMN).write.mode("overwrite")
+             .bucketBy(bucket_count, KEY_COLUMN).sortBy(KEY_COLUMN).saveAsTable(table))
             out[name] = spark.table(table)
         else:
             write_parquet(df, f"{out_root}/{name}")
@@ -102,7 +115,7 @@ def delivery_frame(frames: dict[str, DataFrame], naming_order=DELIVERY_ORDER,
                    name_rule: str = "unicode", drop: tuple[str, ...] = DELIVERY_DROP,
                    drop_suffix: str = "_y", strip: str = "_x",
                    rename: dict[str, str] | None = None,
-                   salt_path: str | None = None, salt_buckets: int = 16) -> DataFrame:
+                   salt_path: str | None = None) -> DataFrame:
     """Join the families on the key and shape the columns.
 
     Collision names follow ``naming_order`` (``_x`` for the earlier frame,
@@ -114,7 +127,7 @@ def delivery_frame(frames: dict[str, DataFrame], naming_order=DELIVERY_ORDER,
     side, since its size estimate grows with the data.
 
     With ``salt_path`` hot keys of the fact (more rows than one shuffle
-    partition's share) are salted over ``salt_buckets`` partitions, for
+    partition's share) are split by salts in proportion to their rows, for
     dimensions too large to broadcast: AQE cannot split a skewed partition in
     the second join of a chain, a salted join needs no such split.
     """
@@ -123,8 +136,7 @@ def delivery_frame(frames: dict[str, DataFrame], naming_order=DELIVERY_ORDER,
     if salt_path:
         fact = join_order[0]
         dims = [n for n in naming_order if n != fact]
-        frames[fact], salted = salt_hot_keys(frames[fact], [frames[n] for n in dims], KEY_COLUMN,
-                                             salt_path, salt_buckets)
+        frames[fact], salted = salt_hot_keys(frames[fact], [frames[n] for n in dims], KEY_COLUMN, salt_path)
         frames.update(zip(dims, salted))
         keys.append(SALT)
     ordered = [frames[n] for n in naming_order]
@@ -174,8 +186,10 @@ def delivery_from_tables(spark: SparkSession, tables: dict[str, str], out_path:
 
 
 def run_layers(spark: SparkSession, sources: dict[str, str], root: str, fmt: str = "csv",
-               null_key: str = "empty", **shape) -> DataFrame:
+               null_key: str = "keep", families: dict[str, Family] | None = None, encoding: str = LATIN_1,
+               key_fields: dict[str, str] | None = None, infer: bool = False, **shape) -> DataFrame:
     """raw, trusted, delivery in sequence under ``root``."""
-    raw_layer(spark, sources, f"{root}/raw", fmt)
-    trusted_layer(spark, f"{root}/raw", f"{root}/trusted", list(sources), fmt, null_key)
+    raw_layer(spark, sources, f"{root}/raw", fmt, families, encoding)
+    trusted_layer(spark, f"{root}/raw", f"{root}/trusted", list(sources), fmt, null_key,
+                  key_fields=key_fields, encoding=encoding, infer=infer)
     return delivery_layer(spark, f"{root}/trusted", f"{root}/delivery", **shape)

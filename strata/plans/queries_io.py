@@ -22,6 +22,7 @@ from strata.session import scratch_dir
 from strata.sinks.writers import (
     copy_query_to_parquet,
     load_unless_count,
+    text_rows,
     write_csv,
     write_messages,
     write_parquet,
@@ -30,7 +31,7 @@ from strata.sources.catalog import parquet_to_table
 from strata.sources.files import (
     LATIN_1,
     Family,
-    detect_encoding,
+    family_encoding,
     read_csv_skip_long_lines,
     read_family,
     touch,
@@ -65,6 +66,22 @@ def csv_family_union(spark, sf_dir):
     return read_family(spark, root, fam)
 
 
+@register("csv_nested_folders", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority
+FROM orders
+""")
+def csv_nested_folders(spark, sf_dir):
+    """Files at several depths below one prefix, with two headers."""
+    root = scratch_dir(spark, "nested")
+    o = src.table(spark, sf_dir, "orders")
+    full = o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    write_csv(full.where("o_orderstatus = 'O'").drop("o_orderstatus"), f"{root}/2024/01", sep=";")
+    write_csv(full.where("o_orderstatus = 'P'").drop("o_orderstatus"), f"{root}/2024/02/late", sep=";")
+    write_csv(full.where("o_orderstatus = 'F'").drop("o_orderstatus", "o_orderpriority"), f"{root}/old", sep=";")
+    return read_family(spark, root, Family(sep=";"))
+
+
 # -- S3: over-long lines skipped, short lines kept -----------------------------------
 
 @register("csv_skip_long_lines", """
@@ -112,15 +129,17 @@ def parquet_overwrite_append(spark, sf_dir):
 # -- S7, K8, K9: Parquet glob to a named table, query copied to Parquet -----------------
 
 @register("parquet_glob_copy", """
-SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem WHERE l_returnflag = 'R'
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
 """)
 def parquet_glob_copy(spark, sf_dir):
+    """A glob over several folders becomes a managed table, copied whole."""
     root = scratch_dir(spark, "glob")
     li = src.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
-    write_parquet(li, f"{root}/raw/lineitem", partition_by=["l_returnflag"])
-    parquet_to_table(spark, f"{root}/raw/lineitem", "lineitem_raw", how="view")
-    copy_query_to_parquet(spark, "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity "
-                                 "FROM lineitem_raw WHERE l_returnflag = :flag", f"{root}/copy", {"flag": "R"})
+    write_parquet(li, f"{root}/raw", partition_by=["l_returnflag"])
+    name = f"lineitem_raw_{root.rsplit('-', 1)[-1]}"
+    parquet_to_table(spark, f"{root}/raw/l_returnflag=*/*.parquet", name, how="table")
+    copy_query_to_parquet(spark, f"SELECT l_orderkey, l_linenumber, l_quantity FROM {name}", f"{root}/copy")
+    spark.sql(f"DROP TABLE {name}")
     return spark.read.parquet(f"{root}/copy")
 
 
@@ -187,9 +206,7 @@ def encoding_detect(spark, sf_dir):
     write_csv(c, f"{root}/utf8", sep=";", encoding="UTF-8")
     frames = []
     for family in ("latin1", "utf8"):
-        det = detect_encoding(spark, f"{root}/{family}")
-        # A family is UTF-8 only when all its files are.
-        enc = det.agg(F.min("encoding").alias("e")).first()["e"]
+        enc = family_encoding(spark, f"{root}/{family}")
         df = read_family(spark, f"{root}/{family}", Family(sep=";", encoding=enc))
         frames.append(df.agg(F.count(F.lit(1)).cast("long").alias("row_count"),
                              F.count(F.when(F.col("nome").contains("ç"), 1)).cast("long").alias("cedilla_rows"))
@@ -215,7 +232,7 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
 """)
 def parse_event_props(spark, sf_dir):
     """Bytes (as a broker delivers them) to text to a typed struct to columns."""
-    e = src.table(spark, sf_dir, "events", spread=True).select("event_id", F.encode("props", "UTF-8").alias("value"))
+    e = src.table(spark, sf_dir, "events").select("event_id", F.encode("props", "UTF-8").alias("value"))
     return parse_messages(e, "k int", keep=["event_id"])
 
 
@@ -233,7 +250,7 @@ FROM events
 """)
 def parse_nan_bodies(spark, sf_dir):
     """Bare NaN and the text "NaN" in message bodies become null."""
-    e = src.table(spark, sf_dir, "events", spread=True).select("event_id", _nan_body().alias("value"))
+    e = src.table(spark, sf_dir, "events").select("event_id", _nan_body().alias("value"))
     return nan_text_to_null(parse_messages(e, "k double, tag string", keep=["event_id"]))
 
 
@@ -246,33 +263,48 @@ def nan_to_null_values(spark, sf_dir):
     return nan_to_null(e)
 
 
+@register("database_text_rows", """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_type = 'error' THEN NULL
+       ELSE CAST(value AS VARCHAR) END AS value, event_type FROM events
+""")
+def database_text_rows(spark, sf_dir):
+    """What the all-text database sink inserts: NaN as null, the rest as text (K4, K7)."""
+    e = src.table(spark, sf_dir, "events").select("event_id", F.when(
+        F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")).alias("value"), "event_type")
+    return text_rows(e)
+
+
 # -- L1, L2, L3: raw, trusted, delivery end to end ------------------------------------------
 
 def _txt(expr: str) -> str:
     return f"CAST({expr} AS VARCHAR)"
 
 
-def _k_empty(expr: str) -> str:
-    return f"coalesce(upper(regexp_replace({expr}, '{P}', '', 'g')), '')"
+def _key(expr: str) -> str:
+    return f"upper(regexp_replace({expr}, '{P}', '', 'g'))"
+
+
+# Decorations (ours): a character that latin-1 lacks, in some values.
+DASH = " – matriz"
 
 
 _LAYERS_SQL = f"""
-WITH b AS (SELECT {_txt('s_suppkey')} AS s_suppkey, "Segmento", {_txt('CAST("CNPJ" AS INTEGER)')} AS "CNPJ",
-                  "Nome", {_k_empty('"Nome"')} AS campo_limpo FROM ({src.BANKS_SQL})),
+WITH b AS (SELECT {_txt('s_suppkey')} AS s_suppkey, "Segmento", "CNPJ",
+                  "Nome", {_key('"Nome"')} AS campo_limpo FROM ({src.BANKS_SQL})),
      c AS (SELECT {_txt('l_orderkey')} AS l_orderkey, {_txt('l_linenumber')} AS l_linenumber,
                   {_txt('"Ano"')} AS "Ano", "Trimestre", "Categoria", "Tipo",
-                  {_txt('CAST("CNPJ IF" AS INTEGER)')} AS "CNPJ_IF",
+                  "CNPJ IF" AS "CNPJ_IF",
                   "Instituição financeira" AS "Instituição_financeira",
                   {_txt('"Índice"')} AS "Índice",
                   {_txt('"Quantidade total de reclamações"')} AS "Quantidade_total_de_reclamações",
                   {_txt('"Quantidade de clientes – CCS"')} AS "Quantidade_de_clientes___CCS",
-                  {_k_empty('"Instituição financeira"')} AS campo_limpo FROM ({src.COMPLAINTS_SQL})),
-     e AS (SELECT employer_name, {_txt('reviews_count')} AS reviews_count, {_txt('"Geral"')} AS "Geral",
-                  {_k_empty('employer_name')} AS campo_limpo FROM ({src.EMPLOYERS_SQL}))
+                  {_key('"Instituição financeira"')} AS campo_limpo FROM ({src.COMPLAINTS_SQL})),
+     e AS (SELECT employer_name, {_txt('reviews_count')} AS reviews_count, {_txt('"Geral"')} AS "Geral", "Nome" || '{DASH}' AS "Alta_liderança",
+                  {_key('employer_name')} AS campo_limpo FROM ({src.EMPLOYERS_SQL}))
 SELECT b.s_suppkey, b."Segmento", b."CNPJ", b."Nome", b.campo_limpo,
        c.l_orderkey, c.l_linenumber, c."Ano", c."Trimestre", c."Categoria", c."Tipo", c."CNPJ_IF",
        c."Instituição_financeira", c."Índice", c."Quantidade_total_de_reclamações",
-       c."Quantidade_de_clientes___CCS", e.employer_name, e.reviews_count, e."Geral"
+       c."Quantidade_de_clientes___CCS", e.employer_name, e.reviews_count, e."Geral", e."Alta_liderança"
 FROM b JOIN c ON b.campo_limpo = c.campo_limpo JOIN e ON b.campo_limpo = e.campo_limpo
 """
 
@@ -281,18 +313,19 @@ FROM b JOIN c ON b.campo_limpo = c.campo_limpo JOIN e ON b.campo_limpo = e.campo
 def layers_end_to_end(spark, sf_dir):
     """Families written as delimited files, then raw, trusted and delivery layers.
 
-    Employers come as two file groups with different columns (one lacks
-    ``CNPJ``, the other ``Segmento``); the delivery drops the employers'
-    copies of those columns, so the result carries the banks' values.
+    Banks are latin-1; complaints (a column name with a dash outside latin-1)
+    and employers (accents, and that dash in a value) are UTF-8, told apart by
+    detection. Employers come as two file groups with different columns (one
+    lacks ``CNPJ``, the other ``Segmento``); the delivery drops the employers'
+    copies of those columns, so the result carries the banks' values. Leading
+    zeros of ``CNPJ`` survive, and blank names join nothing.
     """
     root = scratch_dir(spark, "layers")
-    families = {"Bancos": src.banks(spark, sf_dir), "Reclamacoes": src.complaints(spark, sf_dir)}
-    seps = {"Bancos": "\t", "Reclamacoes": ";", "Empregados": "|"}
-    for name, df in families.items():
-        write_csv(df, f"{root}/in/{name}", sep=seps[name], encoding=LATIN_1)
-    emp = src.employers(spark, sf_dir)
+    write_csv(src.banks(spark, sf_dir), f"{root}/in/Bancos", sep="\t", encoding=LATIN_1)
+    write_csv(src.complaints(spark, sf_dir), f"{root}/in/Reclamacoes", sep=";", encoding="UTF-8")
+    emp = src.employers(spark, sf_dir).withColumn("Alta liderança", F.concat("Nome", F.lit(DASH)))
     rich = F.col("Geral") >= 5000
-    write_csv(emp.where(rich).drop("CNPJ"), f"{root}/in/Empregados", sep="|", encoding=LATIN_1)
-    write_csv(emp.where(~rich).drop("Segmento"), f"{root}/in/Empregados", sep="|", encoding=LATIN_1, mode="append")
+    write_csv(emp.where(rich).drop("CNPJ"), f"{root}/in/Empregados", sep="|", encoding="UTF-8")
+    write_csv(emp.where(~rich).drop("Segmento"), f"{root}/in/Empregados", sep="|", encoding="UTF-8", mode="append")
     sources = {n: f"{root}/in/{n}" for n in ("Bancos", "Reclamacoes", "Empregados")}
-    return run_layers(spark, sources, f"{root}/out", fmt="csv", null_key="empty")
+    return run_layers(spark, sources, f"{root}/out", fmt="csv", encoding="UTF-8")

@@ -11,6 +11,7 @@ from strata.operators.sets import (
     distinct_values,
     exists_in,
     first_match,
+    is_empty,
     missing_in,
     preview,
     sort_by,
@@ -48,6 +49,28 @@ def customers_without_orders(spark, sf_dir):
     return missing_in(c, o, "c_custkey")
 
 
+@register("customers_without_failed_orders", """
+SELECT c_custkey, c_name FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P')
+""")
+def customers_without_failed_orders(spark, sf_dir):
+    """Anti join with a filtered right side; some customers remain (A2)."""
+    c = src.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    o = src.table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
+    return missing_in(c, o, "c_custkey")
+
+
+@register("tables_empty", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) = 0 AS is_empty FROM {t}" for t in ("orders", "lineitem", "events"))
+    + " UNION ALL SELECT 'orders_before_1900', count(*) = 0 FROM orders WHERE o_orderdate < TIMESTAMP '1900-01-01'")
+def tables_empty(spark, sf_dir):
+    """Emptiness test that stops at the first row (A3)."""
+    frames = {t: src.table(spark, sf_dir, t) for t in ("orders", "lineitem", "events")}
+    frames["orders_before_1900"] = frames["orders"].where(F.col("o_orderdate") < F.lit("1900-01-01").cast("timestamp_ntz"))
+    rows = [(name, bool(is_empty(df))) for name, df in frames.items()]
+    return spark.createDataFrame(rows, "table_name string, is_empty boolean")
+
+
 @register("orders_without_lineitems", """
 SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)

@@ -10,20 +10,53 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField
 
-from strata.functions.messages import to_messages
+from strata.functions.messages import nan_to_null, to_messages
 from strata.functions.names import cast_all_to_string, lower_name
 from strata.sources.files import LATIN_1
 
+# Spark's error conditions for a table or path that is not there
+# (the last: a folder without any data file).
+NOT_FOUND = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = LATIN_1,
               header: bool = True, mode: str = "overwrite") -> None:
-    """Delimited text (the raw layer's format)."""
+    """Delimited text (the raw layer's format).
+
+    Nothing is written with replacement characters: a column name or a value
+    that ``encoding`` cannot hold fails the write, naming the column and the
+    value. Values are checked by the tasks that write them.
+    """
+    if encoding.upper() not in ("UTF-8", "UTF8"):
+        for c in df.columns:
+            try:
+                c.encode(encoding)
+            except UnicodeEncodeError as e:
+                raise ValueError(f"column name {c!r} cannot be written as {encoding}") from e
+        df = df.select(*[_encodable(f, encoding) for f in df.schema.fields])
     (df.write.mode(mode).options(sep=sep, encoding=encoding, header=str(header).lower())
      .csv(path))
 
 
+def _encodable(f: StructField, encoding: str) -> Column:
+    c = F.col(f"`{f.name}`")
+    if not isinstance(f.dataType, StringType):
+        return c
+    # Round trip through the encoding; '?' stands for what it cannot hold.
+    kept = F.decode(F.encode(F.regexp_replace(c, _OUTSIDE.get(encoding.upper(), "(?!)"), "?"), encoding), encoding)
+    message = F.concat(F.lit(f"column {f.name}: cannot be written as {encoding}: "), c)
+    return F.when(c.isNull() | (kept == c), c).otherwise(F.raise_error(message)).alias(f.name)
+
+
+# Characters outside the single-byte encodings.
+_OUTSIDE = {"ISO-8859-1": r"[^\u0000-\u00ff]", "US-ASCII": r"[^\u0000-\u007f]"}
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> None:
     """Parquet, ``overwrite`` or ``append``."""
@@ -62,7 +95,13 @@ def copy_query_to_parquet(spark: SparkSession, query: str, path: str, args: dict
 
 def text_table_types(df: DataFrame, width: int = 255, name_rule: Callable[[str], str] = lower_name) -> str:
     """``createTableColumnTypes`` value declaring every column as VARCHAR(width)."""
-    return ", ".join(f"{name_rule(c)} VARCHAR({width})" for c in df.columns)
+    names = [name_rule(c).replace("`", "``") for c in df.columns]
+    return ", ".join(f"`{c}` VARCHAR({width})" for c in names)
+
+
+def text_rows(df: DataFrame) -> DataFrame:
+    """What an all-text table gets: NaN as null, every column as text."""
+    return cast_all_to_string(nan_to_null(df))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
@@ -73,14 +112,20 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
 
     ``mode='append'`` creates the table if missing and inserts;
     ``mode='overwrite'`` drops and recreates it. With ``as_text`` every
-    column is cast to string and declared VARCHAR(width). ``num_partitions``
-    bounds concurrent connections.
+    column is cast to string (NaN as null) and declared VARCHAR(width).
+    ``num_partitions`` bounds concurrent connections.
+
+    A JDBC append is not atomic: a task that fails after some batches and is
+    run again inserts those rows again. Where that matters, overwrite, or
+    append to a staging table and move its rows in the database.
     """
     out = df
     if name_rule:
         out = out.toDF(*[name_rule(c) for c in out.columns])
     if as_text:
-        out = cast_all_to_string(out)
+        out = text_rows(out)
+    else:
+        out = nan_to_null(out)
     w = (out.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
          .option("batchsize", batchsize))
     if as_text:
@@ -96,11 +141,15 @@ def load_unless_count(target_count: Callable[[], int], expected: int, load: Call
     """Run ``load`` unless the target already holds ``expected`` rows.
 
     Returns True when it loaded. ``target_count`` is an action on the target
-    (a ``count()``), ``load`` a write; both run as Spark jobs.
+    (a ``count()``), ``load`` a write; both run as Spark jobs. Only a target
+    that does not exist (yet) counts as empty; any other failure is raised,
+    since loading after it could repeat every row.
     """
     try:
         current = target_count()
-    except Exception:  # a missing target counts as empty
+    except AnalysisException as e:
+        if e.getCondition() not in NOT_FOUND:
+            raise
         current = 0
     if current == expected:
         return False

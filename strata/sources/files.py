@@ -1,16 +1,17 @@
 """Delimited file families, Parquet, and encoding detection.
 
-A *family* is a folder of delimited files with one separator and one
-encoding. Files of a family may carry different columns (schema drift). The
-reader groups files by their header line, reads each group with one CSV scan
-(so the plan grows with the number of distinct headers, not of files) and
-unions the groups by name, a missing column being null.
+A *family* is a folder tree of delimited files with one separator and one
+encoding. Files of a family may carry different columns (schema drift). One
+job finds the header of every file; files are grouped by header, each group
+is read with one CSV scan (so the plan grows with the number of distinct
+headers, not of files) and the groups are unioned by name, a missing column
+being null.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 LATIN_1 = "ISO-8859-1"
-HEADER_THREADS = 16
+DETECT = "detect"
 
 
 @dataclass(frozen=True)
 class Family:
-    """How the files of one family are written."""
+    """How the files of one family are written.
+
+    ``encoding`` may be DETECT: UTF-8 when every file of the family is valid
+    UTF-8, else latin-1.
+    """
 
     sep: str
     encoding: str = LATIN_1
@@ -33,20 +38,20 @@ class Family:
 
 
 # Separator per source family (banks tab, employer reviews pipe,
-# complaints and anything else semicolon), all read as latin-1.
+# complaints and anything else semicolon).
 FAMILIES = {
-    "Bancos": Family(sep="\t"),
-    "Empregados": Family(sep="|"),
-    "Reclamacoes": Family(sep=";"),
+    "Bancos": Family(sep="\t", encoding=DETECT),
+    "Empregados": Family(sep="|", encoding=DETECT),
+    "Reclamacoes": Family(sep=";", encoding=DETECT),
 }
-DEFAULT_FAMILY = Family(sep=";")
+DEFAULT_FAMILY = Family(sep=";", encoding=DETECT)
 
 
 def family_for(name: str) -> Family:
     return FAMILIES.get(name, DEFAULT_FAMILY)
 
 
-# -- file listing and headers (driver metadata only, through Hadoop FS) --------
+# -- file listing -----------------------------------------------------------------
 
 def _fs_and_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -55,38 +60,44 @@ def _fs_and_path(spark: SparkSession, path: str):
     return jvm, fs, jpath
 
 
-def list_files(spark: SparkSession, path: str, extensions: tuple[str, ...] = (".csv", ".tsv"),
-               skip_empty: bool = True) -> list[str]:
-    """Files directly under ``path`` (or ``path`` itself) ending in an extension.
+def _line_reader(spark: SparkSession, extensions: tuple[str, ...], encoding: str):
+    """A reader of whole lines of every file below a folder, at any depth,
+    whose name ends in one of ``extensions`` (Spark lists the tree itself)."""
+    glob = "*{" + ",".join(extensions) + "}"
+    return (spark.read.schema("line string")
+            .options(sep="\u0000", quote="", escape="", header="false", encoding=encoding,
+                     recursiveFileLookup="true", pathGlobFilter=glob))
+
+
+def list_files(spark: SparkSession, path: str, extensions: tuple[str, ...] = (".csv", ".tsv")) -> list[str]:
+    """Files below ``path``, at any depth, that end in an extension and hold data."""
+    _, fs, jpath = _fs_and_path(spark, path)
+    if not fs.exists(jpath):
+        return []
+    found = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*{" + ",".join(extensions) + "}") \
+        .format("binaryFile").load(path).where("length > 0").select("path")
+    return sorted(r["path"] for r in found.collect())
+
+
+def header_groups(spark: SparkSession, path: str, fam: Family) -> list[tuple[str, list[str]]]:
+    """``(header line, files)`` of a folder tree, found in one job.
 
-    Zero-byte files are skipped (they hold no header and no rows).
+    A file's header is its first line that is not blank; files without one
+    (empty or blank) are in no group. One row per distinct header reaches the
+    driver, with the file names that the scans are planned with.
     """
     _, fs, jpath = _fs_and_path(spark, path)
     if not fs.exists(jpath):
         return []
-    status = fs.getFileStatus(jpath)
-    entries = [status] if status.isFile() else list(fs.listStatus(jpath))
-    out = []
-    for st in entries:
-        name = st.getPath().getName()
-        if not st.isFile() or not name.endswith(tuple(extensions)):
-            continue
-        if skip_empty and st.getLen() == 0:
-            continue
-        out.append(st.getPath().toString())
-    return sorted(out)
-
-
-def read_header(spark: SparkSession, path: str, encoding: str, max_bytes: int = 1 << 20) -> str:
-    """The first line of a file, decoded (reads at most ``max_bytes``)."""
-    jvm, fs, jpath = _fs_and_path(spark, path)
-    stream = fs.open(jpath)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding), max_bytes)
-        line = reader.readLine()
-        return line or ""
-    finally:
-        stream.close()
+    lines = (_line_reader(spark, fam.extensions, fam.encoding).csv(path)
+             .select("line", F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("n"))
+             .where(F.trim(F.coalesce("line", F.lit(""))) != ""))
+    # Rows of one split keep their order, splits of one file their start.
+    first = lines.groupBy("file").agg(F.min_by("line", F.struct("start", "n")).alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return sorted(((r["header"], list(r["files"])) for r in groups), key=lambda g: g[1][0])
 
 
 def touch(spark: SparkSession, path: str) -> None:
@@ -104,30 +115,31 @@ def _reader(spark: SparkSession, fam: Family, infer: bool):
     return r.options(**fam.options)
 
 
+def with_encoding(spark: SparkSession, path: str, fam: Family) -> Family:
+    """``fam`` with its encoding detected if that is asked for."""
+    if fam.encoding != DETECT:
+        return fam
+    return replace(fam, encoding=family_encoding(spark, path, extensions=fam.extensions))
+
+
 def read_family(spark: SparkSession, path: str, family: Family | str = DEFAULT_FAMILY,
                 schema: StructType | str | None = None, infer: bool = False) -> DataFrame:
-    """Read every ``.csv``/``.tsv`` file of a folder as one DataFrame.
+    """Read every ``.csv``/``.tsv`` file below a folder as one DataFrame.
 
     - ``schema`` given: one scan of all files with that schema (positional);
       an empty file yields no row.
     - otherwise: files are grouped by header; each group is one scan, all
       text unless ``infer``; the groups are unioned by name.
     """
-    fam = family_for(family) if isinstance(family, str) else family
-    files = list_files(spark, path, fam.extensions)
+    fam = with_encoding(spark, path, family_for(family) if isinstance(family, str) else family)
     if schema is not None:
-        if not files:
-            return spark.createDataFrame([], schema)
-        return _reader(spark, fam, False).schema(schema).csv(files)
-    if not files:
+        glob = "*{" + ",".join(fam.extensions) + "}"
+        return (_reader(spark, fam, False).options(recursiveFileLookup="true", pathGlobFilter=glob)
+                .schema(schema).csv(path))
+    groups = header_groups(spark, path, fam)
+    if not groups:
         raise FileNotFoundError(f"no {fam.extensions} file with data under {path}")
-    groups: dict[str, list[str]] = {}
-    # Header reads are small I/O-bound file-system calls: issue them concurrently.
-    with ThreadPoolExecutor(max_workers=min(HEADER_THREADS, len(files))) as pool:
-        headers = list(pool.map(lambda f: read_header(spark, f, fam.encoding), files))
-    for f, h in zip(files, headers):
-        groups.setdefault(h, []).append(f)
-    frames = [_reader(spark, fam, infer).csv(g) for g in groups.values()]
+    frames = [_reader(spark, fam, infer).csv(files) for _, files in groups]
     if infer and len(frames) > 1:
         frames = _text_where_types_differ(frames)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -154,14 +166,17 @@ def read_csv_skip_long_lines(spark: SparkSession, path: str | list[str], schema:
     skipping only over-long lines). Each line is read once as text (decoded
     with ``encoding``); its fields are counted from the separators outside
     quoted sections (so a trailing empty field counts), and kept lines are
-    parsed with ``from_csv``. One scan, all JVM-side, no row leaves its task.
+    parsed with ``from_csv``. A quoted section starts with a quote at the
+    start of a field; any other quote is an ordinary character. One scan, all
+    JVM-side, no row leaves its task.
     """
     if len(sep) != 1:
         raise ValueError("sep must be one character")
     lines = (spark.read.schema("line string")
              .options(sep="\u0000", quote="", escape="", header=str(header).lower(), encoding=encoding)
              .csv(path))
-    unquoted = F.regexp_replace(F.col("line"), '"[^"]*"', "")
+    at_start = f"(^|{re.escape(sep)})"
+    unquoted = F.regexp_replace(F.col("line"), at_start + '"(?:[^"]|"")*"', "$1")
     n_sep = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit("")))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = F.from_csv(F.col("line"), ddl, {"sep": sep, "encoding": encoding}).alias("_row")
@@ -173,37 +188,6 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total bytes under a path (file system metadata only)."""
-    _, fs, jpath = _fs_and_path(spark, path)
-    return int(fs.getContentSummary(jpath).getLength())
-
-
-def spread(df: DataFrame, total_bytes: int, bytes_per_task: int = 1 << 20) -> DataFrame:
-    """Round-robin a scan over more tasks when it has fewer splits than its size warrants.
-
-    A big table stored as one unsplittable row group is read by one task, and
-    every narrow step after the scan (key cleaning, parsing) would run in that
-    task too. When the scan has fewer partitions than
-    ``min(default parallelism, bytes / bytes_per_task)`` it is repartitioned
-    to that many. On a cluster scan of many files this is a no-op. Filters
-    and column pruning still reach the scan (both pass through the
-    repartition).
-    """
-    try:
-        sc = df.sparkSession.sparkContext
-        want = min(sc.defaultParallelism, max(1, total_bytes // bytes_per_task))
-        have = df.rdd.getNumPartitions()  # planning only: a bare scan runs no job
-    except Exception:  # sessions without an RDD API: leave the scan as it is
-        return df
-    return df.repartition(want) if have < want else df
-
-
-def read_parquet_spread(spark: SparkSession, path: str, bytes_per_task: int = 1 << 20) -> DataFrame:
-    """``read.parquet`` followed by ``spread`` on the path's size."""
-    return spread(spark.read.parquet(path), path_bytes(spark, path), bytes_per_task)
-
-
 def detect_encoding(spark: SparkSession, path: str, fallback: str = LATIN_1,
                     extensions: tuple[str, ...] = (".csv", ".tsv")) -> DataFrame:
     """Per file: ``UTF-8`` when every line is valid UTF-8, else ``fallback``.
@@ -212,12 +196,18 @@ def detect_encoding(spark: SparkSession, path: str, fallback: str = LATIN_1,
     their original bytes, so the test is split across tasks like any scan and
     no file is loaded whole.
     """
-    files = list_files(spark, path, extensions)
-    if not files:
+    _, fs, jpath = _fs_and_path(spark, path)
+    if not fs.exists(jpath):
         return spark.createDataFrame([], "path string, encoding string")
-    lines = (spark.read.options(sep="\u0000", quote="", header="false", encoding=LATIN_1)
-             .schema("line string").csv(files)
-             .select(F.input_file_name().alias("path"), "line"))
+    lines = _line_reader(spark, extensions, LATIN_1).csv(path).select(F.input_file_name().alias("path"), "line")
     valid = F.is_valid_utf8(F.encode(F.coalesce(F.col("line"), F.lit("")), LATIN_1))
     return (lines.groupBy("path").agg(F.bool_and(valid).alias("_utf8"))
             .select("path", F.when(F.col("_utf8"), F.lit("UTF-8")).otherwise(F.lit(fallback)).alias("encoding")))
+
+
+def family_encoding(spark: SparkSession, path: str, fallback: str = LATIN_1,
+                    extensions: tuple[str, ...] = (".csv", ".tsv")) -> str:
+    """``UTF-8`` when every file of the family is valid UTF-8, else ``fallback``."""
+    all_utf8 = detect_encoding(spark, path, fallback, extensions).agg(
+        F.bool_and(F.col("encoding") == "UTF-8")).first()[0]
+    return "UTF-8" if all_utf8 or all_utf8 is None else fallback

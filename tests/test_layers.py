@@ -6,9 +6,9 @@ from strata.plans.layers import delivery_frame, delivery_from_tables, raw_layer,
 from strata.session import to_local_path
 
 FILES = [
-    ("Bancos", "\t", "Segmento\tCNPJ\tNome", ["S1\t1\tBANCO X S.A.", "S2\t2\tBANCO Y", "S3\t3\tGRUPO Z"]),
+    ("Bancos", "\t", "Segmento\tCNPJ\tNome", ["S1\t00000001\tBANCO X S.A.", "S2\t00000002\tBANCO Y", "S3\t00000003\tGRUPO Z", "S4\t4\t"]),
     ("Reclamacoes", ";", "Ano;Instituição financeira;Índice",
-     ["2021;BANCO X - PRUDENCIAL;1", "2021;BANCO X;2", "2021;BANCO Y LTDA;3", "2021;OUTRO;4"]),
+     ["2021;BANCO X - PRUDENCIAL;1", "2021;BANCO X;2", "2021;BANCO Y LTDA;3", "2021;OUTRO;4", "2021;;5"]),
     ("Empregados", "|", "employer_name|Nome|Segmento|Geral", ["Banco X|BANCO X|S9|4.1", "Banco Y|BANCO Y|S8|3.0"]),
 ]
 
@@ -60,4 +60,6 @@ def test_parquet_raw_layer_delivers_the_same_rows(spark, scratch):
         return sorted(tuple(r) for r in df.select(*[f"`{c}`" for c in cols]).collect())
 
     assert rows(via_csv) == rows(via_parquet)
+    # Blank names join nothing, identifiers keep their zeros.
     assert len(rows(via_csv)) == 3
+    assert {r["CNPJ"] for r in via_csv.collect()} == {"00000001", "00000002"}

@@ -70,3 +70,13 @@ def test_edits_on_names_with_dots(spark):
     assert out.first()["Banco S.A"] == ""
     assert drop_columns(out, ["x.y"]).columns == ["Banco S.A"]
     assert rename_all(out, "unicode").columns == ["Banco_S_A", "x_y"]
+
+
+def test_numbered_names_never_repeat(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "`a b` int, a_b int, a_b_1 int, `A B` int")
+    out = rename_all(df, "unicode", on_duplicate="number").columns
+    assert out == ["a_b", "a_b_2", "a_b_1", "A_B_3"]
+    shared = spark.createDataFrame([(1, 2, 3)], "campo_limpo int, Seg_x int, Seg int")
+    assert strip_suffix(shared, "_x").columns == ["campo_limpo", "Seg", "Seg_1"]
+    with pytest.raises(ValueError):
+        strip_suffix(shared, "_x", on_duplicate="raise")

@@ -3,14 +3,19 @@
 import os
 
 import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.messages import nan_text_to_null, nan_to_null, parse_messages
+from strata.functions.names import lower_name
 from strata.session import to_local_path
 from strata.sinks.writers import (
     load_unless_count,
     save_table,
+    text_rows,
     text_table_types,
     write_csv,
     write_messages,
@@ -18,6 +23,7 @@ from strata.sinks.writers import (
 )
 from strata.sources.catalog import list_tables, parquet_to_table
 from strata.sources.files import (
+    DETECT,
     Family,
     detect_encoding,
     list_files,
@@ -125,7 +131,7 @@ def test_load_unless_count(spark, scratch):
 
 def test_text_table_types(spark):
     df = spark.createDataFrame([(1, "a")], "`CNPJ IF` int, Nome string")
-    assert text_table_types(df) == "cnpjif VARCHAR(255), nome VARCHAR(255)"
+    assert text_table_types(df) == "`cnpjif` VARCHAR(255), `nome` VARCHAR(255)"
 
 
 def test_family_inference_with_drifting_types(spark, scratch):
@@ -159,12 +165,77 @@ def test_skip_long_lines_latin1(spark, scratch):
     assert [tuple(r) for r in got.collect()] == [("Conceição", "São Paulo")]
 
 
-def test_spread_only_when_a_scan_has_too_few_splits(spark, scratch):
-    from strata.sources.files import spread
-    write_parquet(spark.range(1000).coalesce(1), scratch)
-    one = spark.read.parquet(scratch)
-    assert one.rdd.getNumPartitions() == 1
-    assert spread(one, total_bytes=64 << 20).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(one, total_bytes=100).rdd.getNumPartitions() == 1  # small: left alone
-    many = spark.range(1000).repartition(8)
-    assert spread(many, total_bytes=64 << 20) is many
+def test_family_reads_every_depth_with_one_job_for_headers(spark, scratch):
+    d = local(scratch)
+    for i in range(120):
+        folder = f"{d}/y{i % 3}/m{i % 5}"
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/f{i}.csv", "w") as f:
+            f.write(("\n\n" if i % 4 == 0 else "") + ("a;b\n" if i % 2 else "b;a;c\n") + f"{i};x{';z' * (1 - i % 2)}\n")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        df = read_family(spark, d, Family(sep=";"))
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+    assert sorted(df.columns) == ["a", "b", "c"] and df.count() == 120
+    assert jobs <= 12  # listing, headers, schemas of two groups: not a job or call a file
+    assert len(list_files(spark, d)) == 120
+
+
+def test_csv_write_refuses_what_the_encoding_lacks(spark, scratch):
+    df = spark.createDataFrame([("BANCO – X", 1), (None, 2)], "nome string, n int")
+    with pytest.raises(Exception, match="column nome: cannot be written as ISO-8859-1: BANCO – X"):
+        write_csv(df, f"{scratch}/a")
+    with pytest.raises(ValueError, match="clientes – CCS"):
+        write_csv(df.withColumnRenamed("nome", "clientes – CCS"), f"{scratch}/b")
+    write_csv(df, f"{scratch}/c", encoding="UTF-8")
+    back = read_family(spark, f"{scratch}/c", Family(sep=";", encoding=DETECT))
+    assert {r["nome"] for r in back.collect()} == {"BANCO – X", None}
+
+
+def test_guarded_load_raises_on_a_failing_count():
+    loaded = []
+
+    def broken():
+        raise TimeoutError("no answer")
+
+    with pytest.raises(TimeoutError):
+        load_unless_count(broken, 3, lambda: loaded.append(1))
+    assert not loaded
+
+
+def test_text_table_types_parse(spark):
+    df = spark.createDataFrame([(1, "a", 2.0)], "`Instituição financeira` int, `12 meses` string, `a``b` double")
+    for rule in (lower_name, lambda c: c):
+        ddl = text_table_types(df, name_rule=rule)
+        parsed = StructType.fromDDL(ddl)
+        assert [f.name for f in parsed.fields] == [rule(c) for c in df.columns]
+
+
+def test_text_rows_have_no_nan(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, 1.5)], "k int, v double")
+    assert sorted(tuple(r) for r in text_rows(df).collect()) == [("1", None), ("2", "1.5")]
+
+
+FIELD = st.one_of(st.text("xy 5", max_size=4), st.text('xy"', min_size=1, max_size=4).filter(lambda t: t[0] != '"'),
+                  st.text("xy\t", max_size=4).map(lambda t: f'"{t}"'), st.just('"a""b"'))
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(lines=st.lists(st.lists(FIELD, min_size=1, max_size=5), min_size=1, max_size=8))
+def test_skip_long_lines_with_quotes_anywhere(spark, scratch, lines):
+    """Whether a line is kept, against pandas, whatever quotes it holds."""
+    import io
+    import uuid
+
+    rows = ["\t".join([f"r{i}", *fields]) for i, fields in enumerate(lines)]
+    # A first row as wide as the header, else pandas takes an index column.
+    text = "a\tb\tc\nfirst\tx\ty\n" + "\n".join(rows) + "\n"
+    kept = pd.read_csv(io.StringIO(text), sep="\t", on_bad_lines="skip", dtype=str)
+    path = f"{local(scratch)}/{uuid.uuid4().hex}.csv"
+    with open(path, "w", encoding="latin-1") as f:
+        f.write(text)
+    schema = StructType([StructField(c, StringType()) for c in "abc"])
+    got = read_csv_skip_long_lines(spark, path, schema, sep="\t")
+    assert sorted(r["a"] for r in got.collect()) == sorted(kept["a"])
