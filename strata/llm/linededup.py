@@ -113,28 +113,44 @@ def line_minhash(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, n_hash
 def line_sets(lines: pa.Array, k: int = CHARS) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingles of each line and the lines' first positions."""
     hashes, first, last = char_shingles(lines, k)
-    parts = [np.unique(hashes[a:b]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
-    return (np.concatenate(parts) if parts else np.empty(0, U)), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+    n = last - first
+    at = np.concatenate([[0], np.cumsum(n)])
+    out = np.empty(at[-1], U)
+    for a, b, i, j in zip(first.tolist(), last.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+        out[i:j] = hashes[a:b]
+        out[i:j].sort()
+    keep = np.ones(len(out), bool)
+    keep[1:] = out[1:] != out[:-1]
+    keep[at[:-1][n > 0]] = True
+    return out[keep], np.concatenate([[0], np.cumsum(keep)])[at]
 
 
 def _banded(k: int, rows: int, bands: int):
-    """Batches (text) to ``(node, keys)`` of the distinct non-empty lines of
-    each slice."""
+    """Batches (id, text) to ``(id, lines, fresh)``: the hash of every line of
+    a text in order (null: an empty line) and, with a slice's first text, the
+    slice's distinct lines and their band keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0):
-                lines = pc.split_pattern(part.column(0).cast(pa.string()), "\n").flatten()
-                lines = lines.dictionary_encode().dictionary
-                lines = lines.filter(pc.greater(pc.binary_length(lines), 0))
-                if not len(lines):
-                    continue
-                node = np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in lines.to_pylist()), np.uint64, len(lines))
-                sig = line_minhash(*char_shingles(lines, k), rows * bands)
-                key = band_keys(sig, rows, bands)
-                offsets = np.arange(len(lines) + 1, dtype=np.int32) * bands
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node.view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(key.view(np.int64).ravel()))], names=["node", "keys"])
+            for part in slices(batch, 1):
+                texts = pc.fill_null(part.column(1).cast(pa.string()), "")
+                split = pc.split_pattern(texts, "\n")
+                encoded = split.flatten().dictionary_encode()
+                distinct, index = encoded.dictionary, encoded.indices.to_numpy()
+                empty = pc.equal(pc.binary_length(distinct), 0).to_numpy(zero_copy_only=False)
+                node = np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in distinct.to_pylist()), np.uint64,
+                                   len(distinct)).view(np.int64)
+                offsets = split.offsets.to_numpy()
+                lines = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()),
+                                                 pa.array(node[index], mask=empty[index]))
+                full = np.flatnonzero(~empty)
+                sig = line_minhash(*char_shingles(distinct.take(pa.array(full)), k), rows * bands)
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * bands),
+                                                pa.array(band_keys(sig, rows, bands).view(np.int64).ravel()))
+                fresh = pa.StructArray.from_arrays([pa.array(node[full]), keys], ["node", "keys"])
+                at = np.full(part.num_rows + 1, len(full), np.int32)
+                at[0] = 0
+                yield pa.RecordBatch.from_arrays([part.column(0), lines, pa.ListArray.from_arrays(pa.array(at), fresh)],
+                                                 names=["id", "lines", "fresh"])
     return run
 
 
@@ -166,19 +182,22 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     text = text_or_empty(text_col)
     bands = n_bands(percent, BAND_ROWS, miss)
-    banded = store(docs.select(text.alias("text")).mapInArrow(_banded(chars, BAND_ROWS, bands),
-                                                              "node long, keys array<long>"), "line-bands")
-    lines = docs.select(col(id_col).alias("id"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    lines = lines.where("line != ''").withColumn("node", F.xxhash64("line"))
-
-    # Keys that several nodes share. Minimum and maximum are summed up before
-    # the shuffle, so a line in a third of all documents costs a row a task.
-    exploded = banded.select("node", F.posexplode("keys").alias("band", "key"))
-    shared = exploded.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center != last")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    banded = store(docs.select(col(id_col).alias("id"), text.alias("text")).mapInArrow(
+        _banded(chars, BAND_ROWS, bands),
+        f"id {id_type}, lines array<long>, fresh array<struct<node:long,keys:array<long>>>"), "line-bands")
+
+    # Keys that several nodes share. Lines are distinct in every slice of the
+    # texts, so a line in a third of all documents sends a row a slice.
+    exploded = (banded.select(F.explode("fresh").alias("f")).select("f.node", "f.keys")
+                .select("node", F.posexplode("keys").alias("band", "key")))
+    shared = (exploded.select("key", "node").repartition("key").groupBy("key")
+              .agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center != last"))
     shared = broadcast_rows(store(shared.select("key", "center"), "line-keys"))
     members = store(exploded.join(shared, "key").distinct(), "line-members")
     wanted = broadcast_rows(store(members.select("node").distinct(), "line-wanted"))
-    texts = store(lines.select("node", F.col("line").alias("text")).join(wanted, "node").dropDuplicates(["node"]),
+    lines = docs.select(F.explode(F.split(text, "\n", -1)).alias("text")).withColumn("node", F.xxhash64("text"))
+    texts = store(lines.select("node", "text").join(wanted, "node").dropDuplicates(["node"]),
                   "line-texts")
     sized = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     members = store(join_groups(members, store(sized, "line-sizes"), ["key"], "members", members.count()),
@@ -187,7 +206,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     comps = link_components(members, sigs, texts, partial(line_sets, k=chars), percent, BAND_ROWS, bands,
                             least_matches(percent / 100), "line")
 
-    numbered = store(lines.select("id", "line_no", "node", F.monotonically_increasing_id().alias("row")), "line-rows")
+    numbered = (banded.select("id", F.posexplode("lines").alias("line_no", "node")).where("node is not null")
+                .withColumn("row", F.monotonically_increasing_id()))
+    numbered = store(numbered, "line-rows")
     first = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("line_no").alias("l"), F.col("row").alias("r"))
     heads = store(numbered.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min(first).alias("head")), "line-heads")
     placed = store(heads.join(broadcast_rows(comps), "node", "left")
