@@ -26,7 +26,6 @@ from strata.llm.common import (
     text_or_empty,
 )
 from strata.llm.neardup import (
-    N_HASHES,
     band_keys,
     least_matches,
     link_components,
@@ -154,14 +153,14 @@ def _banded(k: int, rows: int, bands: int):
     return run
 
 
-def _signed(k: int):
+def _signed(k: int, n_hashes: int):
     """Batches (node, text) to the size and signature of each line's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 sets, at = line_sets(part.column(1), k)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at)),
-                                                  signature_column(minhash(sets, at, N_HASHES))], names=["node", "n", "sig"])
+                                                  signature_column(minhash(sets, at, n_hashes))], names=["node", "n", "sig"])
     return run
 
 
@@ -202,9 +201,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sized = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     members = store(join_groups(members, store(sized, "line-sizes"), ["key"], "members", members.count()),
                     "line-sized")
-    sigs = store(texts.mapInArrow(_signed(chars), "node long, n long, sig binary"), "line-sigs")
+    n_hashes = BAND_ROWS * bands
+    sigs = store(texts.mapInArrow(_signed(chars, n_hashes), "node long, n long, sig binary"), "line-sigs")
     comps = link_components(members, sigs, texts, partial(line_sets, k=chars), percent, BAND_ROWS, bands,
-                            least_matches(percent / 100), "line")
+                            least_matches(percent / 100, n_hashes=n_hashes), "line", prune_stars=False)
 
     numbered = (banded.select("id", F.posexplode("lines").alias("line_no", "node")).where("node is not null")
                 .withColumn("row", F.monotonically_increasing_id()))

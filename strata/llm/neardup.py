@@ -52,7 +52,7 @@ def banding(threshold: float, miss: float = MISS) -> tuple[int, int]:
     return rows, min(bands, N_HASHES // rows)
 
 
-def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]:
+def least_matches(threshold: float, miss: float = MISS, n_hashes: int = N_HASHES) -> list[tuple[int, int]]:
     """``(compared, matches)``: with fewer matches among the first ``compared``
     values, P(similarity >= threshold) < miss under a uniform prior.
 
@@ -60,7 +60,7 @@ def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]
     tail at t is P(Binomial(n + 1, t) <= m).
     """
     out = []
-    for n in range(BATCH, N_HASHES + 1, BATCH):
+    for n in [*range(BATCH, n_hashes, BATCH), n_hashes]:
         total, m = 0.0, 0
         for m in range(n + 2):
             total += math.comb(n + 1, m) * threshold ** m * (1 - threshold) ** (n + 1 - m)
@@ -99,12 +99,16 @@ def signature_column(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
 
 
-def _signature_rows(column: pa.Array) -> np.ndarray:
-    if not len(column):
-        return np.empty((0, N_HASHES), np.uint16)
-    values = np.frombuffer(column.buffers()[2], np.uint16)
-    first = np.frombuffer(column.buffers()[1], np.int32, count=column.offset + 1)[column.offset] // 2
-    return values[first:first + len(column) * N_HASHES].reshape(len(column), N_HASHES)
+def _signature_rows(*columns: pa.Array) -> np.ndarray:
+    """Signatures stored as binary values, one row each, of all columns in turn."""
+    parts = []
+    for column in columns:
+        if len(column):
+            at = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + 2]
+            width = int(at[1] - at[0]) // 2
+            values = np.frombuffer(column.buffers()[2], np.uint16)[at[0] // 2:]
+            parts.append(values[:len(column) * width].reshape(len(column), width))
+    return np.concatenate(parts) if parts else np.empty((0, N_HASHES), np.uint16)
 
 
 def _sign(passed: int, k: int):
@@ -138,7 +142,7 @@ def _prune_pairs(percent: int, bounds):
         for batch in batches:
             na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             fits = np.flatnonzero(100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
-            sig = np.concatenate([_signature_rows(batch.column(4)), _signature_rows(batch.column(5))])
+            sig = _signature_rows(batch.column(4), batch.column(5))
             keep = fits[survivors(sig, fits, fits + len(na), bounds)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep))],
                                              names=["a", "b"])
@@ -153,7 +157,7 @@ def _block_pairs(percent: int, rows: int, bands: int, bounds, most: int = 50_000
         node, comp, n = t["node"].to_numpy(), t["comp"].to_numpy(), t["n"].to_numpy()
         band, side, cross = t["band"].to_numpy(), t["side"].to_numpy(), t["cross"].to_numpy()
         centre, home = t["center"].to_numpy(), t["home"].to_numpy()
-        sig = np.concatenate([_signature_rows(c) for c in t["sig"].chunks])
+        sig = _signature_rows(*t["sig"].chunks)
         keys = band_keys(sig, rows, bands)
         start = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
         end = np.repeat(start[1:], np.diff(start))
@@ -241,7 +245,7 @@ def _within_homes(make_sets, percent: int, bounds, most: int = 50_000):
         block = t["block"].to_numpy()[order]
         node, comp, n = (t[c].to_numpy()[order] for c in ("node", "comp", "n"))
         cross, side = (t[c].to_numpy()[order] for c in ("cross", "side"))
-        sig = np.concatenate([_signature_rows(c) for c in t["sig"].chunks])[order]
+        sig = _signature_rows(*t["sig"].chunks)[order]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]]).tolist()
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
@@ -269,13 +273,15 @@ def _within_homes(make_sets, percent: int, bounds, most: int = 50_000):
 
 
 def link_components(members: DataFrame, sigs: DataFrame, texts: DataFrame, make_sets, percent: int, n_rows: int,
-                    n_bands: int, bounds: list[tuple[int, int]], label: str) -> DataFrame:
+                    n_bands: int, bounds: list[tuple[int, int]], label: str, prune_stars: bool = True) -> DataFrame:
     """Components ``(node, component)`` of the links among bucket members.
 
     ``members``: ``(key, band, node, center, members)`` of buckets with several
     nodes; ``sigs``: ``(node, n, sig)`` and ``texts``: ``(node, text)`` of those
     nodes; ``make_sets`` turns texts into sorted distinct hashes. Two nodes are
-    linked when 100 * intersection >= percent * union of their sets.
+    linked when 100 * intersection >= percent * union of their sets. Without
+    ``prune_stars`` pairs with a centre are confirmed at once: cheaper where
+    texts are shorter than signatures.
     """
     # Nodes are dealt to chunks of nodes with the same centre, pairs to pairs of
     # chunks, so that a text travels once for many pairs.
@@ -299,10 +305,13 @@ def link_components(members: DataFrame, sigs: DataFrame, texts: DataFrame, make_
 
     # Every member against its buckets' centres.
     stars = members.where("node != center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
-    signed = (stars.join(sigs.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
-              .join(sigs.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b"))
-    likely = store(signed.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_prune_pairs(percent, bounds),
-                                                                             "a long, b long"), f"{label}-stars")
+    if prune_stars:
+        signed = (stars.join(sigs.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
+                  .join(sigs.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b"))
+        likely = store(signed.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_prune_pairs(percent, bounds),
+                                                                                 "a long, b long"), f"{label}-stars")
+    else:
+        likely = store(stars, f"{label}-stars")
     links = confirm(likely, "star")
     comps = connected_components(links, f"{label}-star")
 
