@@ -28,11 +28,17 @@ from strata.llm.words import _A, U, mixed, slices, word_hashes
 
 ORDER = 2
 MU = 200.0
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000   # texts of a block: what a task holds in arrays at once
 START, END = U(0x5D1A3C7F90B24E61), U(0xC2B2AE3D27D4EB4F)
 KEY_BYTES = {1: 8}  # other orders: the low 6 bytes, the bucket says more
 
 
+def _released(table: pa.Table) -> pa.Table:
+    """``table``, after giving freed Arrow memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    return table
+
+
 def _sequence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts, each between START and END, and the texts'
     first positions."""
@@ -106,9 +112,9 @@ def _profile(order: int, buckets: int):
                 if b > a:
                     out.append((block, int(bucket[a]), k, _pack(distinct[a:b], KEY_BYTES.get(k, 6)), counts[a:b].tobytes()))
         cols = list(zip(*out, strict=True))
-        return pa.table({"block": pa.array(cols[0], pa.int64()), "bucket": pa.array(cols[1], pa.int64()),
-                         "gram": pa.array(cols[2], pa.int32()), "keys": pa.array(cols[3], pa.binary()),
-                         "counts": pa.array(cols[4], pa.binary())})
+        return _released(pa.table({"block": pa.array(cols[0], pa.int64()), "bucket": pa.array(cols[1], pa.int64()),
+                                   "gram": pa.array(cols[2], pa.int32()), "keys": pa.array(cols[3], pa.binary()),
+                                   "counts": pa.array(cols[4], pa.binary())}))
     return run
 
 
@@ -138,8 +144,8 @@ def _total(table: pa.Table) -> pa.Table:
     out.append((-1, bucket, 0, b"", v, n))
     cols = list(zip(*out, strict=True))
     types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
-    return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                    names=["block", "bucket", "gram", "counts", "v", "n"])
+    return _released(pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
+                              names=["block", "bucket", "gram", "counts", "v", "n"]))
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,10 +234,10 @@ def _score(order: int, buckets: int, v: int, n: int, mu: float):
         known, base = automaton.known, automaton.arc[0].copy()
         known[at[:-1]], base[at[:-1]] = False, 0.0
         first = at[:-1]
-        return pa.table({
+        return _released(pa.table({
             "id": docs["id"], "train": docs["train"], "n_tokens": pa.array(np.diff(at) - 1),
             "n_known": pa.array(np.add.reduceat(known, first, dtype=np.int64)),
-            "base_score": pa.array(np.add.reduceat(base, first)), "score": pa.array(automaton.traverse())})
+            "base_score": pa.array(np.add.reduceat(base, first)), "score": pa.array(automaton.traverse())}))
     return run
 
 
