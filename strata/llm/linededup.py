@@ -26,6 +26,7 @@ from strata.llm.common import (
     text_or_empty,
 )
 from strata.llm.neardup import (
+    N_HASHES,
     band_keys,
     least_matches,
     link_components,
@@ -201,10 +202,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sized = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     members = store(join_groups(members, store(sized, "line-sizes"), ["key"], "members", members.count()),
                     "line-sized")
-    n_hashes = BAND_ROWS * bands
-    sigs = store(texts.mapInArrow(_signed(chars, n_hashes), "node long, n long, sig binary"), "line-sigs")
+    sigs = store(texts.mapInArrow(_signed(chars, N_HASHES), "node long, n long, sig binary"), "line-sigs")
     comps = link_components(members, sigs, texts, partial(line_sets, k=chars), percent, BAND_ROWS, bands,
-                            least_matches(percent / 100, n_hashes=n_hashes), "line", prune_stars=False)
+                            least_matches(percent / 100), "line", prune_stars=False)
 
     numbered = (banded.select("id", F.posexplode("lines").alias("line_no", "node")).where("node is not null")
                 .withColumn("row", F.monotonically_increasing_id()))
