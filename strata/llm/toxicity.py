@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from strata.llm.common import broadcast_rows, col, store, text_or_empty
 from strata.llm.words import _A, U, mixed, slices, words
 
-LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
-OTHER = len(LETTERS)
+# A term: letters of any script, with their marks and joiners.
+TERM = r"^\p{L}[\p{L}\p{M}\x{200C}\x{200D}]*$"
 TRIMMED = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
-MIN_LENGTH = 4          # letters of a term
-SUPPORT = 0.05          # toxic rows with a term, copies counted once, per toxic row
-MIN_ROWS = 3            # and at least so many
+MIN_LENGTH = 4          # bytes of a term: four ASCII letters, two of most other scripts
+MIN_ROWS = 3            # toxic rows with a term, copies counted once
+FIRST_PART = 8          # frequent words are ruled out by one in so many of the other rows
 HEAD = 5                # first words by which copies of a text are told
 LIFT = 20.0             # times as frequent (per row) as in other rows
 EDIT_LENGTH = 5         # terms from this length on may be misspelled by one edit
@@ -40,13 +40,20 @@ ADDRESSING = ("you", "your", "youre", "you're", "u", "ur")
 OPENING, CLOSING = "\"“„«‘'", "\"”“»’'"
 
 
-def lexicon_automaton(terms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(table, term, edits)`` of the terms' trie intersected with the
-    automaton of one Levenshtein edit (or swap of neighbours).
+def lexicon_automaton(terms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(moves, term, edits, to, default, alphabet)`` of the terms' trie
+    intersected with the automaton of one Levenshtein edit (or swap of
+    neighbours).
 
-    ``table[state, letter]`` is the next state, 0 the dead and 1 the first;
-    ``term`` and ``edits`` give what a state accepts (term -1: nothing).
+    ``alphabet`` holds the code points of the terms, sorted. From ``state``
+    the letter ``alphabet[c]`` leads to ``to[i]`` if ``moves[i]`` is
+    ``state * len(alphabet) + c``, every other character to
+    ``default[state]``; state 0 is dead, 1 the first. ``term`` and ``edits``
+    give what a state accepts (term -1: nothing).
     """
+    alphabet = sorted({letter for word in terms for letter in word})
+    number_of = {letter: c for c, letter in enumerate(alphabet)}
+    other = len(alphabet)
     children: list[dict[int, int]] = [{}]
     ends: list[int] = [-1]
     edits_of: list[int] = [0]  # most edits of any term below
@@ -54,7 +61,7 @@ def lexicon_automaton(terms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndar
         node, allowed = 0, int(len(word) >= EDIT_LENGTH)
         edits_of[0] = max(edits_of[0], allowed)
         for letter in word:
-            c = LETTERS.index(letter)
+            c = number_of[letter]
             if c not in children[node]:
                 children[node][c] = len(children)
                 children.append({})
@@ -90,35 +97,60 @@ def lexicon_automaton(terms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndar
                             out.add((children[child][letter], 1, first))
         return closed(out)
 
+    def letters_of(places):
+        # The letters that may lead elsewhere than any other character.
+        out = set()
+        for node, used, owed in places:
+            if owed >= 0:
+                out.add(owed)
+                continue
+            out.update(children[node])
+            if not used and edits_of[node]:
+                for child in children[node].values():
+                    out.update(children[child])
+        return sorted(out)
+
     first = closed({(0, 0, -1)})
     numbers = {frozenset(): 0, first: 1}
-    queue, table = [first], [[0] * (OTHER + 1)]
+    queue, moves, to, default = [first], [], [], [0]
+
+    def number(places):
+        if places not in numbers:
+            numbers[places] = len(numbers)
+            queue.append(places)
+        return numbers[places]
+
     for places in queue:
-        row = []
-        for letter in range(OTHER + 1):
-            after = read(places, letter)
-            if after not in numbers:
-                numbers[after] = len(numbers)
-                queue.append(after)
-            row.append(numbers[after])
-        table.append(row)
-    term, edits = np.full(len(table), -1), np.zeros(len(table), np.int64)
+        state, rest = len(default), number(read(places, other))
+        default.append(rest)
+        for letter in letters_of(places):
+            after = number(read(places, letter))
+            if after != rest:
+                moves.append(state * len(alphabet) + letter)
+                to.append(after)
+    term, edits = np.full(len(default), -1), np.zeros(len(default), np.int64)
     for places, state in numbers.items():
         best = min(((used, ends[node]) for node, used, owed in places
                     if owed < 0 and ends[node] >= 0 and (not used or len(terms[ends[node]]) >= EDIT_LENGTH)), default=None)
         if best:
             edits[state], term[state] = best
-    return np.array(table, np.int32), term, edits
+    return (np.array(moves, np.int64), term, edits, np.array(to, np.int32), np.array(default, np.int32),
+            np.array([ord(letter) for letter in alphabet], np.int64))
 
 
-_CLASS = np.full(256, OTHER, np.uint8)
-for _i, _c in enumerate(LETTERS):
-    _CLASS[ord(_c)] = _i
+def _code_points(data: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """Code points of the characters whose first bytes are ``lead``."""
+    at = np.flatnonzero(lead)
+    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64)
+    b0, b1, b2, b3 = (padded[at + i] if not i else padded[at + i] & 0x3F for i in range(4))
+    return np.select([b0 < 0x80, b0 < 0xE0, b0 < 0xF0],
+                     [b0, (b0 & 0x1F) << 6 | b1, (b0 & 0x0F) << 12 | b1 << 6 | b2],
+                     (b0 & 0x07) << 18 | b1 << 12 | b2 << 6 | b3)
 
 
 def run_automaton(automaton, cores: pa.Array) -> np.ndarray:
     """The state in which each (lower-case) word ends, 0 for words not accepted."""
-    table, term, _ = automaton
+    moves, term, _, to, default, alphabet = automaton
     cores = cores.cast(pa.binary())
     if not len(cores):
         return np.zeros(0, np.int32)
@@ -126,14 +158,19 @@ def run_automaton(automaton, cores: pa.Array) -> np.ndarray:
     data = np.frombuffer(cores.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
     lead = (data & 0xC0) != 0x80  # one symbol a character
     at = np.concatenate([[0], np.cumsum(lead)])[offsets - offsets[0]]
-    symbols = _CLASS[data[lead]]
+    points = _code_points(data, lead)
+    symbols = np.searchsorted(alphabet, points)
+    symbols[(symbols == len(alphabet)) | (np.append(alphabet, -1)[symbols] != points)] = -1
     length = np.diff(at)
     state = np.ones(len(cores), np.int32)
     alive = np.arange(len(cores))
     step = 0
     while len(alive):
         alive = alive[length[alive] > step]
-        state[alive] = table[state[alive], symbols[at[alive] + step]]
+        now, letter = state[alive], symbols[at[alive] + step]
+        key = np.where(letter >= 0, now * np.int64(len(alphabet)) + letter, -1)
+        i = np.searchsorted(moves, key)
+        state[alive] = np.where(np.append(moves, -2)[i] == key, np.append(to, 0)[i], default[now])
         alive = alive[state[alive] > 0]
         step += 1
     state[term[state] < 0] = 0
@@ -141,13 +178,18 @@ def run_automaton(automaton, cores: pa.Array) -> np.ndarray:
 
 
 def _cores(dictionary: pa.Array) -> pa.Array:
-    return pc.ascii_trim(dictionary, characters=TRIMMED)
+    """Words without punctuation at their ends, lower-case in every script."""
+    cores = pc.ascii_trim(dictionary, characters=TRIMMED)
+    try:
+        return pc.utf8_lower(cores)
+    except pa.ArrowInvalid:  # not UTF-8
+        return pa.array([c.decode("utf-8", "replace").lower() for c in cores.cast(pa.binary()).to_pylist()], cores.type)
 
 
-def _contexts(wanted: list[str] | None):
+def _contexts():
     """Batches (text) to ``(word, context, head)``: the cores that may be
-    terms (or the wanted ones) with hashes of the words on either side and of
-    the text's first words."""
+    terms with hashes of the words on either side and of the text's first
+    words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -157,11 +199,8 @@ def _contexts(wanted: list[str] | None):
                 if not len(encoded):
                     continue
                 cores = _cores(encoded.dictionary)
-                if wanted is None:
-                    fits = pc.and_(pc.match_substring_regex(cores, "^[a-z]+$"),
-                                   pc.greater_equal(pc.binary_length(cores), MIN_LENGTH))
-                else:
-                    fits = pc.is_in(cores, value_set=pa.array(wanted, cores.type))
+                fits = pc.and_(pc.match_substring_regex(cores, TERM),
+                               pc.greater_equal(pc.binary_length(cores), MIN_LENGTH))
                 index = encoded.indices.to_numpy()
                 h = np.fromiter((xxhash.xxh64_intdigest(c) for c in cores.to_pylist()), np.uint64, len(cores))[index]
                 edge = np.zeros(len(index), bool)
@@ -190,36 +229,44 @@ def learn_lexicon(labelled: DataFrame, label: str, text_col: str) -> list[str]:
     A term must be LIFT times as frequent in toxic rows, and so much so that
     by chance (Chernoff's bound) less than a tenth of a word would be.
 
-    Both counts cover every labelled row. A tested word is in at least SUPPORT
-    of the toxic rows, so the words that reach the driver are at most (words
-    per toxic row) / SUPPORT.
+    Both counts cover every labelled row. Words are counted and tested in
+    Spark; only the terms found reach the driver. Uses in a part of the other
+    rows are at most those in all, so a word that fails the first test there
+    fails it for good; the words left are counted in all other rows.
     """
     sizes = {r[0]: r[1] for r in labelled.groupBy(label).count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1:
+    if not n1 or not n0:
         return []
 
-    def uses(flag: int, wanted: list[str] | None) -> DataFrame:
-        found = (labelled.where(F.col(label) == flag).select(text_or_empty(text_col).alias("text"))
-                 .mapInArrow(_contexts(wanted), "word string, context long, head long"))
+    def uses(rows: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+        found = (rows.select(text_or_empty(text_col).alias("text"))
+                 .mapInArrow(_contexts(), "word string, context long, head long"))
+        if wanted is not None:
+            found = found.join(broadcast_rows(wanted.select("word")), "word", "left_semi")
         return found.groupBy("word").agg(F.least(F.count_distinct("context"), F.count_distinct("head")).alias("n"))
 
-    least = max(MIN_ROWS, SUPPORT * n1)
-    toxic = {r["word"]: r["n"] for r in uses(1, None).where(F.col("n") >= least).collect()}
-    if not toxic:
-        return []
-    other = {r["word"]: r["n"] for r in uses(0, sorted(toxic)).collect()}
-
-    def surprise(k: int, rest: int) -> float:
+    def passing(words: DataFrame, others: DataFrame | None, tested: int) -> DataFrame:
+        # The words (word, k) that pass both tests by their uses in ``others``.
+        counts = words if others is None else words.join(others, "word", "left")
+        rest = F.lit(0) if others is None else F.coalesce("n", F.lit(0))
+        k, p = F.col("k"), n1 / (n1 + n0)
+        q = k / (k + rest)
         # -log of the bound on k or more of k + rest uses in toxic rows.
-        p, q = n1 / (n1 + n0), k / (k + rest)
-        if q <= p:
-            return 0.0
-        return (k + rest) * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if rest else 0.0))
-
-    return sorted(w for w, k in toxic.items()
-                  if k / n1 >= LIFT * (other.get(w, 0) + 0.5) / (n0 + 1)
-                  and surprise(k, other.get(w, 0)) >= math.log(10 * len(toxic)))
+        surprise = (k + rest) * (q * F.log(q / p) + F.when(rest > 0, (1 - q) * F.log((1 - q) / (1 - p))).otherwise(0.0))
+        return counts.where((k / n1 >= LIFT * (rest + 0.5) / (n0 + 1)) & (q > p)
+                            & (surprise >= math.log(10 * tested))).select("word", "k")
+
+    toxic = store(uses(labelled.where(F.col(label) == 1)).where(F.col("n") >= MIN_ROWS)
+                  .withColumnRenamed("n", "k"), "tox-words")
+    tested = toxic.count()
+    if not tested:
+        return []
+    other = labelled.where(F.col(label) == 0)
+    left = store(passing(toxic, None, tested), "tox-words-left")
+    part = other.where(F.pmod(F.xxhash64(text_or_empty(text_col)), F.lit(FIRST_PART)) == 0)
+    left = store(passing(left, uses(part, left), tested), "tox-words-rare")
+    return sorted(r["word"] for r in passing(left, uses(other, left), tested).collect())
 
 
 HITS = "hits array<struct<word:string,term:string,exact:boolean,quoted:boolean,addressed:boolean>>, n_words long"
@@ -235,7 +282,7 @@ def _hits(automaton, terms: list[str], id_index: int):
                                ("quoted", pa.bool_()), ("addressed", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, term, edits = automaton
+        _, term, edits, *_ = automaton
         for batch in batches:
             for part in slices(batch, id_index):
                 encoded, at = words(part.column(id_index))

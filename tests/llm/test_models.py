@@ -14,7 +14,7 @@ from strata.llm import pieces
 from strata.llm.ann import search
 from strata.llm.ngram_lm import MU, score_texts
 from strata.llm.pieces import Vocabulary
-from strata.llm.toxicity import lexicon_automaton, run_automaton, score_toxicity
+from strata.llm.toxicity import learn_lexicon, lexicon_automaton, run_automaton, score_toxicity
 from tests.llm.data import DOC_DDL, crc, edge_docs, prose, with_clashes, words
 
 
@@ -169,6 +169,27 @@ def test_toxicity_learns_and_catches_misspellings(spark):
     assert all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_lexicon_holds_rare_terms_of_any_script(spark):
+    # 200 toxic rows; each rare term is in 8 of them (4 %).
+    rare = {3: "snarfle", 5: "прохвост", 7: "Übelkrähe", 11: "混蛋", 13: "बदमाश"}
+    rows = []
+    for i in range(1000):
+        text = prose(i, 30).split()
+        if i % 5 == 0:
+            text[4 + i % 20] = "grumbol" if i // 5 % 25 not in rare else rare[i // 5 % 25] + "!"
+        rows.append((i, " ".join(text), int(i % 5 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    assert learn_lexicon(df, "y", "text") == sorted(["grumbol", *(w.lower() for w in rare.values())])
+
+
+def test_automaton_reads_any_script():
+    terms = ["прохвост", "混蛋", "übelkrähe"]
+    automaton = lexicon_automaton(terms)
+    tried = ["прохвост", "прохост", "прохвотс", "混蛋", "混", "übelkrähe", "ubelkrähe", "ubelkrahe", "прохвостыъ", "", "🙂", "übelkr🙂he"]
+    edits = [int(automaton[2][s]) if s else None for s in run_automaton(automaton, pa.array(tried)).tolist()]
+    assert edits == [0, 1, 1, 0, None, 0, 1, None, None, None, None, 1]
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs, _ = toxic_docs()
     none = spark.createDataFrame([], "doc_id long, toxic int")
