@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +25,10 @@ MAX_TOKENS = 2048
 END_ID = 1
 # Fixed value: how byte-level BPE vocabularies split text before merging.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Its look-ahead uses the regex engine's stack, one place a character: runs of
+# white space (the engine's \s) of this length or more are cut out before.
+LONG_SPACE = 10_000
+SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_SPACE)
 FLUSH_CHARS = 4_000_000
 
 
@@ -42,7 +47,22 @@ def load_encoder(vocabulary: str):
     byte_of = {c: b for b, c in char_of.items()}
     special = {t["content"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("pieces", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encoding = tiktoken.Encoding("pieces", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(text: str) -> list[int]:
+        if len(text) < LONG_SPACE:
+            return encoding.encode_ordinary(text)
+        # SPLIT makes a run of white space one part, but for its last character
+        # if other text follows, which starts the next part.
+        ids, at = [], 0
+        for run in SPACES.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += encoding.encode_ordinary(text[at:run.start()])
+            ids += encoding._encode_single_piece(text[run.start():end])
+            at = end
+        return ids + encoding.encode_ordinary(text[at:])
+
+    return encode
 
 
 PIECES = ("_x_id {id}, start long, length long, doc_tokens long, ids binary, "

@@ -78,6 +78,22 @@ def test_encoder_equals_the_tokenizer():
     assert [encode(t) for t in texts] == [e.ids for e in reference.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_long_white_space_equals_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    reference, encode = Tokenizer.from_file(VOCABULARY), load_encoder(VOCABULARY)
+    n = 12_000
+    texts = [" " * 2_000_000, "a" + "\n" * 2_000_000 + "b", "x" + " " * n + "y " + "\t" * n, "\n" * n + "'s", " " * n + "1",
+             "\u3000 " * n + "z", "a" + " " * n + "\x1c" + " " * n, "é" + "\r\n" * n + "!" + "\xa0" * n, "a" * n + " " * (n - 1)]
+    for text in texts:
+        assert encode(text) == reference.encode(text, add_special_tokens=False).ids, repr(text[:20])
+
+
+def test_packing_long_white_space(spark):
+    out = pack(spark.createDataFrame([(1, "a" + " " * 2_000_000, "en", "s", 1)], DOC_DDL), VOCABULARY).collect()
+    assert sum(p["length"] for p in out) == out[0]["doc_tokens"] == len(load_encoder(VOCABULARY)("a" + " " * 2_000_000)) + 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 200), max_size=20))
 def test_pack_lengths_places_everything(histogram):
