@@ -32,9 +32,11 @@ SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 FLUSH_CHARS = 4_000_000
 
 
-def load_encoder(vocabulary: str):
+def load_encoder(vocabulary: str, added_tokens: bool = False):
     """An encoder (text to ids) for a byte-level BPE vocabulary file whose ids
-    follow the order of its merges; special strings in texts are plain text."""
+    follow the order of its merges. With ``added_tokens``, the file's added
+    tokens are found in texts as the tokenizer does by default; without,
+    special strings in texts are plain text."""
     import tiktoken
 
     with open(vocabulary, encoding="utf-8") as f:
@@ -45,7 +47,13 @@ def load_encoder(vocabulary: str):
     char_of = {b: chr(b) for b in printable}
     char_of |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in char_of)}
     byte_of = {c: b for b, c in char_of.items()}
-    special = {t["content"] for t in spec.get("added_tokens", [])}
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    if added_tokens and any(t[flag] for t in spec.get("added_tokens", []) for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        # Found by rules beyond the string itself.
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(vocabulary)
+        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
     ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
     encoding = tiktoken.Encoding("pieces", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
@@ -62,7 +70,20 @@ def load_encoder(vocabulary: str):
             at = end
         return ids + encoding.encode_ordinary(text[at:])
 
-    return encode
+    if not (added_tokens and special):
+        return encode
+    # The leftmost and longest one, as in the tokenizer.
+    found = re.compile("(" + "|".join(re.escape(t) for t in sorted(special, key=len, reverse=True)) + ")")
+
+    def encode_added(text: str) -> list[int]:
+        parts = found.split(text)
+        ids = encode(parts[0])
+        for token, part in zip(parts[1::2], parts[2::2], strict=True):
+            ids.append(special[token])
+            ids += encode(part)
+        return ids
+
+    return encode_added
 
 
 PIECES = ("_x_id {id}, start long, length long, doc_tokens long, ids binary, "
@@ -75,7 +96,7 @@ def _tokenise(vocabulary: str, max_tokens: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from array import array
 
-        encode = load_encoder(vocabulary)
+        encode = load_encoder(vocabulary, added_tokens=True)
         part = TaskContext.get().partitionId()
         seen = [0] * (max_tokens + 1)
         for batch in batches:
@@ -190,7 +211,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
 
     Edge cases: a null or empty text is the end id alone; null and repeated
     ids are kept, each row packed on its own; a text of any length is cut
-    like others; an empty table gives an empty result; other input columns
+    like others; added tokens of the vocabulary in texts get their ids; an empty table gives an empty result; other input columns
     are ignored.
     """
     spark = docs.sparkSession

@@ -94,6 +94,19 @@ def test_packing_long_white_space(spark):
     assert sum(p["length"] for p in out) == out[0]["doc_tokens"] == len(load_encoder(VOCABULARY)("a" + " " * 2_000_000)) + 1
 
 
+def test_packing_gives_added_tokens_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(VOCABULARY)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"  {end}\n\n {end}'s", f"<|{end}|>", "<|endoftext|", f"{end[:-1]}{end}", f"é{end}é 🙂",
+             " " * 11_000 + end + " " * 11_000, f"{end} " * 3_000, "", "plain  text\n"]
+    rows = pack(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOC_DDL), VOCABULARY).collect()
+    for i, text in enumerate(texts):
+        ids = np.concatenate([np.frombuffer(p["ids"], "<u4") for p in sorted(by(rows, "doc_id")[i], key=lambda p: p["start"])])
+        assert ids.tolist() == [*reference.encode(text, add_special_tokens=False).ids, 1], text[:30]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 200), max_size=20))
 def test_pack_lengths_places_everything(histogram):
