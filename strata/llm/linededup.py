@@ -37,7 +37,7 @@ from strata.llm.words import _A, U, minhash, minhash_factors, minhash_value, mix
 CHARS = 8             # characters of a shingle
 PERCENT = 80          # shared shingles of two linked lines, of all their shingles
 BAND_ROWS = 4
-MISS = 1e-3           # chance that a pair at the threshold shares no band
+MISS = 1e-6           # chance that a pair at the threshold shares no band
 SEED = 42             # of Spark's xxhash64
 
 

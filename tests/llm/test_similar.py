@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from strata.llm.common import connected_components
-from strata.llm.linededup import dedup_lines
+from strata.llm.linededup import BAND_ROWS, PERCENT, dedup_lines, n_bands
 from strata.llm.neardup import banding, least_matches, near_duplicates, survivors
 from strata.llm.words import shingle_sets
 from tests.llm.data import DOC_DDL, components, edge_docs, prose, shingles, with_clashes
@@ -109,5 +109,9 @@ def test_lines_against_all_pairs(spark):
     assert [(r["doc_id"], r["line_no"]) for r in out if r["kept"] and texts[r["doc_id"], r["line_no"]] == line] == [(1, 0)]
 
 
+def test_bands_lose_hardly_a_pair_at_the_threshold():
+    assert (1 - (PERCENT / 100) ** BAND_ROWS) ** n_bands(PERCENT) <= 1e-6
+
+
 def test_lines_empty(spark):
     assert dedup_lines(spark.createDataFrame([], DOC_DDL)).count() == 0
