@@ -3,9 +3,10 @@ counted groups, word rules and distributed connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import scratch_dir
@@ -37,24 +38,30 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it back.
-
-    Cuts lineage: a lost executor costs a reread of the written files. While
-    the write runs, batches for Python hold at most ARROW_BYTES, so that long
-    texts do not add up to large ones.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, label)
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """While a job runs, batches for Python hold at most ARROW_BYTES, so that
+    long texts do not add up to large ones."""
     before = spark.conf.get(ARROW_CONF, None)
     spark.conf.set(ARROW_CONF, str(ARROW_BYTES))
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is None:
             spark.conf.unset(ARROW_CONF)
         else:
             spark.conf.set(ARROW_CONF, before)
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder and read it back.
+
+    Cuts lineage: a lost executor costs a reread of the written files.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    with bounded_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import pieces
@@ -16,8 +16,11 @@ from strata.llm.linededup import dedup_lines
 from strata.llm.neardup import near_duplicates
 from strata.llm.ngram_lm import score_texts
 from strata.llm.packing import pack
+from strata.llm.periodic import periodic_runs
+from strata.llm.resampling import resample
 from strata.llm.secrets import ASSIGN, base_spans, kind_count, scan_secrets, span_string
 from strata.llm.toxicity import score_toxicity
+from strata.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -225,3 +228,57 @@ def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every non-empty line of every document with its component."""
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score towards the benchmark texts, and the rank of the drawn ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample(docs, table(spark, sf_dir, "benchmark").select("text")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+OP12_ORACLE = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND last IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND last IS DISTINCT FROM page_id THEN last END AS refers_to
+FROM p
+"""
+
+
+@query(OP12_ORACLE)
+def op12_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives; the table has no times, so a
+    page's capture time follows from its id."""
+    time = F.timestamp_seconds(F.lit(1_600_000_000) + F.coalesce("page_id", F.lit(0)))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html", time.alias("capture_time"))
+    return archive_pages(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def repeated_words(doc_id: Column, text: Column) -> Column:
+    """The text, for a tenth of the ids with its words from one place on replaced
+    by repetitions of the first few of them."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10).cast("long")
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), "[\\t-\\r ]+"), lambda w: w != "")
+    n = F.size(words).cast("long")
+    a = F.when(n > 0, g % n).otherwise(0)
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("long")
+    unit = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(unit, times)), 1, (n - a).cast("int"))
+    changed = F.array_join(F.concat(F.slice(words, 1, a.cast("int")), tail), " ")
+    return F.when((h % 10 == 0) & (n > 0), changed).otherwise(text)
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs and its words without the repetitions."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", repeated_words(F.col("doc_id"), F.col("text")))
+    return periodic_runs(docs).select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                                      "runs_sha256", "collapsed_sha256")
