@@ -34,6 +34,7 @@ from strata.functions.names import (
 from strata.operators.joins import SALT, broadcast_if_small, merge_chain, salt_hot_keys
 from strata.sinks.writers import write_csv, write_jdbc, write_parquet
 from strata.sources.files import LATIN_1, Family, family_for, read_family
+from strata.sources.parquet import read_parquet
 
 # The name field each family's key is derived from.
 KEY_FIELDS = {"Bancos": "Nome", "Empregados": "employer_name", "Reclamacoes": "Instituição financeira"}
@@ -43,25 +44,35 @@ DELIVERY_ORDER = ("Bancos", "Reclamacoes", "Empregados")
 DELIVERY_DROP = ("Unnamed__14", "_c14")
 
 
-def raw_layer(spark: SparkSession, sources: dict[str, str], out_root: str, fmt: str = "csv",
-              families: dict[str, Family] | None = None, encoding: str = LATIN_1) -> dict[str, DataFrame]:
+def write_raw(spark: SparkSession, sources: dict[str, str], out_root: str, fmt: str = "csv",
+              families: dict[str, Family] | None = None, encoding: str = LATIN_1) -> None:
     """Read each family folder and write it to ``{out_root}/{family}``.
 
     ``families`` says how a family's files are written where that differs from
     ``family_for`` (known separators, encoding detected). The CSV is written
     in ``encoding``; a value or name it cannot hold fails the job.
     """
-    out = {}
     for name, path in sources.items():
         df = read_family(spark, path, (families or {}).get(name) or family_for(name))
-        target = f"{out_root}/{name}"
         if fmt == "csv":
-            write_csv(df, target, sep=";", encoding=encoding)
-            out[name] = spark.read.options(sep=";", header="true", encoding=encoding).csv(target)
+            write_csv(df, f"{out_root}/{name}", sep=";", encoding=encoding)
         else:
-            write_parquet(df, target)
-            out[name] = spark.read.parquet(target)
-    return out
+            write_parquet(df, f"{out_root}/{name}")
+
+
+def read_raw(spark: SparkSession, path: str, fmt: str = "csv", encoding: str = LATIN_1,
+             infer: bool = False) -> DataFrame:
+    """A family's raw output, values with line feeds included."""
+    if fmt == "csv":
+        return read_family(spark, path, Family(sep=";", encoding=encoding), infer=infer)
+    return read_parquet(spark, path)
+
+
+def raw_layer(spark: SparkSession, sources: dict[str, str], out_root: str, fmt: str = "csv",
+              families: dict[str, Family] | None = None, encoding: str = LATIN_1) -> dict[str, DataFrame]:
+    """``write_raw``, then every family as it was written."""
+    write_raw(spark, sources, out_root, fmt, families, encoding)
+    return {name: read_raw(spark, f"{out_root}/{name}", fmt, encoding) for name in sources}
 
 
 def trusted_frame(df: DataFrame, field: str, null_key: str = "keep", as_text: bool = True,
@@ -92,12 +103,7 @@ def trusted_layer(spark: SparkSession, raw_root: str, out_root: str, families: l
     fields = KEY_FIELDS | (key_fields or {})
     out = {}
     for name in families:
-        src = f"{raw_root}/{name}"
-        if fmt == "csv":
-            raw = (spark.read.options(sep=";", header="true", encoding=encoding, inferSchema=str(infer).lower())
-                   .csv(src))
-        else:
-            raw = spark.read.parquet(src)
+        raw = read_raw(spark, f"{raw_root}/{name}", fmt, encoding, infer)
         df = trusted_frame(raw, fields[name], null_key, as_text)
         if bucket_count:
             table = f"{table_prefix}{name}"
@@ -189,7 +195,7 @@ def run_layers(spark: SparkSession, sources: dict[str, str], root: str, fmt: str
                null_key: str = "keep", families: dict[str, Family] | None = None, encoding: str = LATIN_1,
                key_fields: dict[str, str] | None = None, infer: bool = False, **shape) -> DataFrame:
     """raw, trusted, delivery in sequence under ``root``."""
-    raw_layer(spark, sources, f"{root}/raw", fmt, families, encoding)
+    write_raw(spark, sources, f"{root}/raw", fmt, families, encoding)
     trusted_layer(spark, f"{root}/raw", f"{root}/trusted", list(sources), fmt, null_key,
                   key_fields=key_fields, encoding=encoding, infer=infer)
     return delivery_layer(spark, f"{root}/trusted", f"{root}/delivery", **shape)

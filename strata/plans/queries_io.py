@@ -36,6 +36,7 @@ from strata.sources.files import (
     read_family,
     touch,
 )
+from strata.sources.parquet import read_parquet
 
 P = KEY_PATTERN
 
@@ -114,6 +115,49 @@ def csv_infer_reread(spark, sf_dir):
     return read_family(spark, root, Family(sep=";"), infer=True)
 
 
+@register("csv_quoted_newlines", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       o_orderpriority || chr(10) || '"' || o_orderstatus || '";' || chr(10) || chr(10) || ' x' AS note,
+       CASE WHEN o_orderstatus <> 'F' THEN CAST(o_custkey AS VARCHAR) END AS o_custkey,
+       CASE WHEN o_orderstatus = 'F' THEN 'a' || chr(13) || chr(10) || 'b' END AS "two
+lines"
+FROM orders
+""")
+def csv_quoted_newlines(spark, sf_dir):
+    """Values (and a column name) with line feeds, quotes and separators, in two
+    file groups with different headers."""
+    root = scratch_dir(spark, "quoted")
+    o = src.table(spark, sf_dir, "orders").withColumn("note", F.concat(
+        "o_orderpriority", F.lit('\n"'), "o_orderstatus", F.lit('";\n\n x')))
+    write_csv(o.where("o_orderstatus <> 'F'").select("o_orderkey", "note", "o_custkey"), f"{root}/a", encoding="UTF-8")
+    write_csv(o.where("o_orderstatus = 'F'").select(F.lit("a\r\nb").alias("two\nlines"), "note", "o_orderkey"),
+              f"{root}/b", encoding="UTF-8")
+    return read_family(spark, root, Family(sep=";", encoding="UTF-8"))
+
+
+@register("csv_infer_groups", """
+SELECT p_partkey AS code, CAST(CASE WHEN p_size > 25 THEN p_size + 0.5 ELSE p_size END AS DOUBLE) AS size,
+       lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS zip,
+       CASE WHEN p_size > 25 THEN CAST(p_partkey AS BIGINT) * 10000000000 END AS far,
+       p_size > 40 AS big, CASE WHEN p_size <= 25 THEN DATE '2024-02-03' + CAST(p_size AS INTEGER) END AS day
+FROM (SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_size FROM part)
+""")
+def csv_infer_groups(spark, sf_dir):
+    """Types over two file groups: whole numbers in one and fractions in the
+    other are doubles, codes with leading zeros stay text (S5)."""
+    root = scratch_dir(spark, "infer-groups")
+    p = src.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("code"), "p_size", F.lpad(F.col("p_partkey").cast("string"), 6, "0").alias("zip"),
+        (F.col("p_size") > 40).alias("big"))
+    whole = p.where("p_size <= 25").select("code", F.col("p_size").alias("size"), "zip", "big", F.date_add(
+        F.lit("2024-02-03").cast("date"), F.col("p_size").cast("int")).alias("day"))
+    parts = p.where("p_size > 25").select((F.col("code") * 10000000000).alias("far"), (F.col("p_size") + 0.5).alias("size"),
+                                          "big", "zip", "code")
+    write_csv(whole, f"{root}/a", sep=";")
+    write_csv(parts, f"{root}/b", sep=";")
+    return read_family(spark, root, Family(sep=";"), infer=True)
+
+
 # -- S6, K2, K3: Parquet overwrite then append ---------------------------------------
 
 @register("parquet_overwrite_append", "SELECT * FROM orders")
@@ -143,6 +187,33 @@ def parquet_glob_copy(spark, sf_dir):
     return spark.read.parquet(f"{root}/copy")
 
 
+@register("parquet_schema_drift", """
+WITH s AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'A' THEN trunc(l_quantity) ELSE l_quantity / 4 END AS qty,
+         CASE WHEN l_returnflag = 'A' THEN l_linestatus END AS mode,
+         CASE WHEN l_returnflag = 'R' THEN l_discount END AS discount,
+         CASE WHEN l_returnflag = 'N' THEN CAST(l_orderkey AS VARCHAR) ELSE l_returnflag END AS flag FROM lineitem
+)
+SELECT s.*, via FROM s, (VALUES ('paths'), ('glob')) AS v(via)
+""")
+def parquet_schema_drift(spark, sf_dir):
+    """Folders with columns of their own and with types that differ (whole against
+    fraction, number against text), read as a list of paths and through a glob."""
+    root = scratch_dir(spark, "drift")
+    li = src.table(spark, sf_dir, "lineitem")
+    keys, flag = ["l_orderkey", "l_linenumber"], F.col("l_returnflag")
+    write_parquet(li.where(flag == "A").select(*keys, F.col("l_quantity").cast("int").alias("qty"),
+                                               F.col("l_linestatus").alias("mode"), flag.alias("flag")), f"{root}/a")
+    write_parquet(li.where(flag == "R").select(*keys, (F.col("l_quantity") / 4).alias("qty"),
+                                               F.col("l_discount").alias("discount"), flag.alias("flag")), f"{root}/b")
+    write_parquet(li.where(flag == "N").select(*keys, (F.col("l_quantity") / 4).alias("qty"),
+                                               F.col("l_orderkey").alias("flag")), f"{root}/c")
+    by_paths = read_parquet(spark, f"{root}/a", f"{root}/b", f"{root}/c").withColumn("via", F.lit("paths"))
+    name = f"drift_{root.rsplit('-', 1)[-1]}"
+    by_glob = parquet_to_table(spark, f"{root}/*/*.parquet", name).withColumn("via", F.lit("glob"))
+    return by_paths.unionByName(by_glob)
+
+
 # -- K6: count-guarded load ---------------------------------------------------------------
 
 @register("count_guarded_load", src.BANKS_SQL)

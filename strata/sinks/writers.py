@@ -28,7 +28,8 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = LATIN_1,
               header: bool = True, mode: str = "overwrite") -> None:
     """Delimited text (the raw layer's format).
 
-    Nothing is written with replacement characters: a column name or a value
+    Quotes are doubled, blanks at the ends of values are kept. Nothing is
+    written with replacement characters: a column name or a value
     that ``encoding`` cannot hold fails the write, naming the column and the
     value. Values are checked by the tasks that write them.
     """
@@ -39,8 +40,8 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = LATIN_1,
             except UnicodeEncodeError as e:
                 raise ValueError(f"column name {c!r} cannot be written as {encoding}") from e
         df = df.select(*[_encodable(f, encoding) for f in df.schema.fields])
-    (df.write.mode(mode).options(sep=sep, encoding=encoding, header=str(header).lower())
-     .csv(path))
+    (df.write.mode(mode).options(sep=sep, encoding=encoding, header=str(header).lower(), escape='"',
+                                    ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path))
 
 
 def _encodable(f: StructField, encoding: str) -> Column:

@@ -11,6 +11,6 @@ from strata.sources.files import (
     list_files,
     read_csv_skip_long_lines,
     read_family,
-    read_parquet,
     touch,
 )
+from strata.sources.parquet import read_parquet

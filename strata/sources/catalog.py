@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.sources.parquet import read_parquet
+
 
 def parquet_to_table(spark: SparkSession, pattern: str, name: str, how: str = "view") -> DataFrame:
-    """Load Parquet files matching ``pattern`` as a named table.
+    """Load Parquet files matching ``pattern`` as a named table, whatever their
+    schemas (``read_parquet``).
 
     ``how='view'`` registers a temporary view over the files (no copy);
     ``how='table'`` writes a managed table into the session warehouse.
     """
-    df = spark.read.parquet(pattern)
+    df = read_parquet(spark, pattern)
     if how == "view":
         df.createOrReplaceTempView(name)
     elif how == "table":

@@ -1,22 +1,27 @@
-"""Delimited file families, Parquet, and encoding detection.
+"""Delimited file families and encoding detection.
 
 A *family* is a folder tree of delimited files with one separator and one
 encoding. Files of a family may carry different columns (schema drift). One
-job finds the header of every file; files are grouped by header, each group
-is read with one CSV scan (so the plan grows with the number of distinct
-headers, not of files) and the groups are unioned by name, a missing column
-being null.
+job surveys the family: headers, encoding, and whether quotes stand anywhere
+but around whole fields. Files are then grouped by header, each group is read
+with one CSV scan (so the plan grows with the number of distinct headers, not
+of files) and the groups are unioned by name, a missing column being null.
+A family whose quoted fields hold line feeds is read record by record instead
+(``records``), its files still split.
 """
 
 from __future__ import annotations
 
-import re
+import csv
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from strata.sources.records import ASCII_BASED, blank, header_names, irregular, raw_lines, read_records
+from strata.sources.types import infer_types
 
 LATIN_1 = "ISO-8859-1"
 DETECT = "detect"
@@ -79,25 +84,36 @@ def list_files(spark: SparkSession, path: str, extensions: tuple[str, ...] = (".
     return sorted(r["path"] for r in found.collect())
 
 
-def header_groups(spark: SparkSession, path: str, fam: Family) -> list[tuple[str, list[str]]]:
-    """``(header line, files)`` of a folder tree, found in one job.
-
-    A file's header is its first line that is not blank; files without one
-    (empty or blank) are in no group. One row per distinct header reaches the
-    driver, with the file names that the scans are planned with.
-    """
-    _, fs, jpath = _fs_and_path(spark, path)
-    if not fs.exists(jpath):
-        return []
-    lines = (_line_reader(spark, fam.extensions, fam.encoding).csv(path)
-             .select("line", F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("start"),
-                     F.monotonically_increasing_id().alias("n"))
-             .where(F.trim(F.coalesce("line", F.lit(""))) != ""))
+def survey(spark: SparkSession, path: str, fam: Family) -> DataFrame:
+    """One row a file with data: ``path``, ``header`` (bytes of its first line that
+    is not blank), ``utf8`` (every line is valid UTF-8) and ``irregular`` (some
+    line holds quotes other than around whole fields). One scan, reduced on
+    the map side."""
+    if _by_bytes(fam):
+        lines = raw_lines(spark, path, fam.extensions)
+        utf8, odd = F.is_valid_utf8(F.col("value")), irregular(F.col("value"), fam.sep)
+    else:
+        lines = _line_reader(spark, fam.extensions, fam.encoding).csv(path).select(
+            F.col("line").alias("value"), F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("start"))
+        utf8 = odd = F.lit(False)
+    line = F.coalesce("value", F.lit(""))
+    head = F.when(~blank(line, fam.sep), F.substring_index(F.ltrim(line, F.lit("\r")), "\r", 1)).cast("binary")
     # Rows of one split keep their order, splits of one file their start.
-    first = lines.groupBy("file").agg(F.min_by("line", F.struct("start", "n")).alias("header"))
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    return sorted(((r["header"], list(r["files"])) for r in groups), key=lambda g: g[1][0])
+    place = F.when(head.isNotNull(), F.struct("start", "n"))
+    return (lines.withColumn("n", F.monotonically_increasing_id()).groupBy("path")
+            .agg(F.min_by(head, place).alias("header"), F.bool_and(utf8).alias("utf8"),
+                 F.bool_or(odd).alias("irregular")).where("header IS NOT NULL"))
+
+
+def _by_bytes(fam: Family) -> bool:
+    """Whether lines and quotes can be told apart before decoding."""
+    return fam.encoding == DETECT or ASCII_BASED.fullmatch(fam.encoding) is not None
+
+
+def _header_names(line: bytes, fam: Family) -> list[str]:
+    text = bytes(line).decode(fam.encoding if _by_bytes(fam) else "utf-8", "replace")
+    return header_names(next(csv.reader([text], delimiter=fam.sep, quoting=csv.QUOTE_NOTNULL)))
 
 
 def touch(spark: SparkSession, path: str) -> None:
@@ -108,18 +124,13 @@ def touch(spark: SparkSession, path: str) -> None:
 
 # -- readers ---------------------------------------------------------------------
 
-def _reader(spark: SparkSession, fam: Family, infer: bool):
-    r = spark.read.options(sep=fam.sep, header=str(fam.header).lower(), encoding=fam.encoding)
-    if infer:
-        r = r.option("inferSchema", "true")
-    return r.options(**fam.options)
+def _reader(spark: SparkSession, fam: Family):
+    return spark.read.options(sep=fam.sep, header=str(fam.header).lower(), encoding=fam.encoding, escape='"',
+                              **fam.options)
 
 
-def with_encoding(spark: SparkSession, path: str, fam: Family) -> Family:
-    """``fam`` with its encoding detected if that is asked for."""
-    if fam.encoding != DETECT:
-        return fam
-    return replace(fam, encoding=family_encoding(spark, path, extensions=fam.extensions))
+def _text_schema(names: list[str]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names])
 
 
 def read_family(spark: SparkSession, path: str, family: Family | str = DEFAULT_FAMILY,
@@ -127,65 +138,90 @@ def read_family(spark: SparkSession, path: str, family: Family | str = DEFAULT_F
     """Read every ``.csv``/``.tsv`` file below a folder as one DataFrame.
 
     - ``schema`` given: one scan of all files with that schema (positional);
-      an empty file yields no row.
-    - otherwise: files are grouped by header; each group is one scan, all
-      text unless ``infer``; the groups are unioned by name.
+      an empty file yields no row, lines are records.
+    - otherwise: all columns are text, files with different headers are unioned
+      by name; quoted fields may hold line feeds. ``infer`` derives types from
+      all values in one aggregation (``infer_types``).
     """
-    fam = with_encoding(spark, path, family_for(family) if isinstance(family, str) else family)
+    fam = family_for(family) if isinstance(family, str) else family
+    glob = "*{" + ",".join(fam.extensions) + "}"
     if schema is not None:
-        glob = "*{" + ",".join(fam.extensions) + "}"
-        return (_reader(spark, fam, False).options(recursiveFileLookup="true", pathGlobFilter=glob)
+        if fam.encoding == DETECT:
+            fam = replace(fam, encoding=family_encoding(spark, path, extensions=fam.extensions))
+        return (_reader(spark, fam).options(recursiveFileLookup="true", pathGlobFilter=glob)
                 .schema(schema).csv(path))
-    groups = header_groups(spark, path, fam)
-    if not groups:
-        raise FileNotFoundError(f"no {fam.extensions} file with data under {path}")
-    frames = [_reader(spark, fam, infer).csv(files) for _, files in groups]
-    if infer and len(frames) > 1:
-        frames = _text_where_types_differ(frames)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def _text_where_types_differ(frames: list[DataFrame]) -> list[DataFrame]:
-    """A column inferred with different types in different file groups becomes text."""
-    seen: dict[str, set] = {}
-    for df in frames:
-        for f in df.schema.fields:
-            seen.setdefault(f.name, set()).add(f.dataType.simpleString())
-    mixed = {c for c, types in seen.items() if len(types) > 1}
-    if not mixed:
-        return frames
-    return [df.select(*[(F.col(f"`{c}`").cast("string").alias(c) if c in mixed else F.col(f"`{c}`"))
-                        for c in df.columns]) for df in frames]
+    _, fs, jpath = _fs_and_path(spark, path)
+    if not fs.exists(jpath):
+        raise FileNotFoundError(f"no folder {path}")
+    # One row a file, kept on the executors while the few questions about it are asked.
+    found = survey(spark, path, fam).persist()
+    try:
+        total = found.agg(F.bool_and("utf8").alias("utf8"), F.bool_or("irregular").alias("irregular"),
+                          F.count_distinct("header").alias("n"), F.min("header").alias("header")).first()
+        if not total["n"]:
+            raise FileNotFoundError(f"no {fam.extensions} file with data under {path}")
+        if fam.encoding == DETECT:
+            fam = replace(fam, encoding="UTF-8" if total["utf8"] else LATIN_1)
+        if total["irregular"]:
+            df = _by_records(spark, path, fam)
+        elif not fam.header or total["n"] == 1:
+            whole = _reader(spark, fam).options(recursiveFileLookup="true", pathGlobFilter=glob)
+            if fam.header:
+                whole = whole.schema(_text_schema(_header_names(total["header"], fam)))
+            df = whole.csv(path)
+        else:
+            df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                        [_reader(spark, fam).schema(_text_schema(_header_names(header, fam))).csv(files)
+                         for header, files in _header_groups(found)])
+    finally:
+        found.unpersist()
+    return infer_types(df) if infer else df
+
+
+def _header_groups(found: DataFrame) -> list[tuple[bytes, list[str]]]:
+    """``(header line, files)`` of a survey: one row a distinct header reaches the
+    driver, with the file names that the scans are planned with."""
+    groups = found.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("files")).collect()
+    return sorted(((r["header"], list(r["files"])) for r in groups), key=lambda g: g[1][0])
+
+
+def _by_records(spark: SparkSession, path: str, fam: Family) -> DataFrame:
+    """A family read record by record: the headers (first records) say where in a
+    file's records each column is; only distinct headers reach the driver."""
+    lines = raw_lines(spark, path, fam.extensions)
+    rows = read_records(lines, fam.sep, fam.encoding)
+    if not fam.header:
+        width = rows.agg(F.max(F.size("fields"))).first()[0]
+        return rows.select(*[F.get("fields", F.lit(k)).alias(f"_c{k}") for k in range(width)])
+    firsts = read_records(lines, fam.sep, fam.encoding, only_first=True).select("file", "fields")
+    headers = [r["fields"] for r in firsts.groupBy("fields").agg(F.min("file").alias("f")).orderBy("f").collect()]
+    names = {tuple(h): header_names(h) for h in headers}
+    columns = list(dict.fromkeys(n for h in names.values() for n in h))
+    places = spark.createDataFrame([(list(h), [own.index(c) if c in own else -1 for c in columns])
+                                    for h, own in names.items()], "fields array<string>, at array<int>")
+    # One row a file, broadcast: no more than the files that every scan is planned with.
+    files = firsts.join(F.broadcast(places), "fields").select("file", "at")
+    out = rows.where(~F.col("first")).join(F.broadcast(files), "file")
+    return out.select(*[F.when(F.col("at")[k] >= 0, F.get("fields", F.col("at")[k])).alias(c)
+                        for k, c in enumerate(columns)])
 
 
 def read_csv_skip_long_lines(spark: SparkSession, path: str | list[str], schema: StructType,
                              sep: str = "\t", encoding: str = LATIN_1, header: bool = True) -> DataFrame:
-    """CSV read that drops lines with more fields than ``schema``.
-
-    Lines with fewer fields are kept, the missing fields null (the behaviour of
-    skipping only over-long lines). Each line is read once as text (decoded
-    with ``encoding``); its fields are counted from the separators outside
-    quoted sections (so a trailing empty field counts), and kept lines are
-    parsed with ``from_csv``. A quoted section starts with a quote at the
-    start of a field; any other quote is an ordinary character. One scan, all
-    JVM-side, no row leaves its task.
+    """CSV read that drops records with more fields than ``schema``.
+
+    Records with fewer fields are kept, the missing fields null (the behaviour
+    of skipping only over-long lines, with the quoting of pandas). Quoted
+    fields may hold separators, line feeds and doubled quotes; a file is read
+    by as many tasks as it has splits. A value that its column's type cannot
+    hold is null.
     """
-    if len(sep) != 1:
-        raise ValueError("sep must be one character")
-    lines = (spark.read.schema("line string")
-             .options(sep="\u0000", quote="", escape="", header=str(header).lower(), encoding=encoding)
-             .csv(path))
-    at_start = f"(^|{re.escape(sep)})"
-    unquoted = F.regexp_replace(F.col("line"), at_start + '"(?:[^"]|"")*"', "$1")
-    n_sep = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit("")))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = F.from_csv(F.col("line"), ddl, {"sep": sep, "encoding": encoding}).alias("_row")
-    return lines.where(n_sep <= len(schema.fields) - 1).select(parsed).select("_row.*")
-
-
-def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """One or many Parquet files or folders (globs allowed)."""
-    return spark.read.parquet(*paths)
+    rows = read_records(raw_lines(spark, path), sep, encoding)
+    if header:
+        rows = rows.where(~F.col("first"))
+    rows = rows.where(F.size("fields") <= len(schema.fields))
+    return rows.select(*[F.get("fields", F.lit(k)).try_cast(f.dataType).alias(f.name)
+                         for k, f in enumerate(schema.fields)])
 
 
 def detect_encoding(spark: SparkSession, path: str, fallback: str = LATIN_1,
