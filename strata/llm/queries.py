@@ -272,7 +272,8 @@ def repeated_words(doc_id: Column, text: Column) -> Column:
     times = F.ceil((n - a) / p).cast("int")
     tail = F.slice(F.flatten(F.array_repeat(unit, times)), 1, (n - a).cast("int"))
     changed = F.array_join(F.concat(F.slice(words, 1, a.cast("int")), tail), " ")
-    return F.when((h % 10 == 0) & (n > 0), changed).otherwise(text)
+    # Nested, so that the words of other texts are not taken apart.
+    return F.when(h % 10 == 0, F.when(n > 0, changed).otherwise(text)).otherwise(text)
 
 
 @query()
