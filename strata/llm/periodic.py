@@ -208,6 +208,15 @@ def _results(tokens: pa.DictionaryArray, offsets: np.ndarray, runs: list[list[tu
 _NAMES = ["n_words", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
 
 
+def _blanks(texts: pa.Array) -> np.ndarray:
+    """How many blank characters each text holds."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    seen = np.concatenate([[0], np.cumsum((data == 32) | ((data >= 9) & (data <= 13)))])
+    return np.diff(seen[offsets - offsets[0]])
+
+
 def _numbered(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
     tokens, offsets = words(texts, lower=False)
     return tokens, tokens.indices.to_numpy(zero_copy_only=False), offsets
@@ -244,7 +253,8 @@ def _exploded(rows: DataFrame, tile: int) -> DataFrame:
     """Tiles of the documents of more than ``tile`` words, as word numbers."""
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0):
+            # Texts with too few blanks for so many words are passed over.
+            for part in slices(batch.filter(pa.array(_blanks(batch.column(0)) >= tile)), 0):
                 _, ids, offsets = _numbered(part.column(0))
                 ids = ids.astype(np.int32)
                 for t in np.flatnonzero(np.diff(offsets) > tile):

@@ -264,16 +264,19 @@ def repeated_words(doc_id: Column, text: Column) -> Column:
     by repetitions of the first few of them."""
     h = F.crc32(doc_id.cast("string"))
     g = F.floor(h / 10).cast("long")
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = F.when(n > 0, g % n).otherwise(0)
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("long")
+        unit = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+        tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int"))), 1, (n - a).cast("int"))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, 1, a.cast("int")), tail), " "))
+
     words = F.filter(F.split(F.coalesce(text, F.lit("")), "[\\t-\\r ]+"), lambda w: w != "")
-    n = F.size(words).cast("long")
-    a = F.when(n > 0, g % n).otherwise(0)
-    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("long")
-    unit = F.slice(words, (a + 1).cast("int"), p.cast("int"))
-    times = F.ceil((n - a) / p).cast("int")
-    tail = F.slice(F.flatten(F.array_repeat(unit, times)), 1, (n - a).cast("int"))
-    changed = F.array_join(F.concat(F.slice(words, 1, a.cast("int")), tail), " ")
-    # Nested, so that the words of other texts are not taken apart.
-    return F.when(h % 10 == 0, F.when(n > 0, changed).otherwise(text)).otherwise(text)
+    # A list of one item binds the words, so that they are taken apart once.
+    changed = F.transform(F.array(words), repeated)[0]
+    return F.when(h % 10 == 0, F.coalesce(changed, text)).otherwise(text)
 
 
 @query()
