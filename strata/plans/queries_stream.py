@@ -21,20 +21,23 @@ from strata.sinks.writers import write_messages
 from strata.streaming.enrich import (
     MATCHED,
     REJECTED,
+    batch_bytes,
     message_stream,
+    prepare_reference,
     progress_totals,
     read_batches,
+    replay_batch_fn,
+    replay_dead_letters,
     start_enrichment,
     start_queue_enrichment,
     start_stream_static_join,
 )
+from strata.streaming.published import commits, compact, read_published
 
 P = KEY_PATTERN
 EVENT_MESSAGE_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, instituicao string"
-# Messages are written by the tasks that scan the table, so many a file; the
-# stream takes files up to so many bytes a micro-batch.
+# Messages are written by the tasks that scan the table, so many a file.
 RECORDS_PER_FILE = 20_000
-BYTES_PER_BATCH = 4_000_000
 
 
 def _k(expr: str) -> str:
@@ -55,15 +58,18 @@ def _reference(spark, sf_dir):
     return c.select(clean_key(name).alias("campo_limpo"))
 
 
-def run_event_stream(spark, sf_dir, root: str | None = None):
-    """Produce event messages, run the enrichment stream to the end; return its folder."""
+def run_event_stream(spark, sf_dir, root: str | None = None, batches: int = 1):
+    """Produce event messages, run the enrichment stream to the end; return its
+    folder. ``batches``: parts in which the messages arrive, each at least a batch."""
     root = root or scratch_dir(spark, "stream")
-    write_messages(_event_messages(spark, sf_dir), f"{root}/in", RECORDS_PER_FILE)
-    q = start_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=BYTES_PER_BATCH), EVENT_MESSAGE_SCHEMA,
-                         _reference(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", field="instituicao")
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+    events, reference = _event_messages(spark, sf_dir), _reference(spark, sf_dir)
+    for part in range(batches):
+        write_messages(events.where(F.pmod("event_id", F.lit(batches)) == part), f"{root}/in", RECORDS_PER_FILE, "append")
+        q = start_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)),
+                             EVENT_MESSAGE_SCHEMA, reference, f"{root}/out", f"{root}/checkpoint", field="instituicao")
+        q.awaitTermination()
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
     return root
 
 
@@ -111,6 +117,115 @@ def stream_progress(spark, sf_dir):
                       (F.max("batch_id") + 1 == F.count_distinct("batch_id")).alias("batches_gapless"))
 
 
+# -- dead letters and published batches (P18, L5, K13, K14) -----------------------------
+
+# Decorations (ours): bodies that are no messages, by what was done to a message.
+def _broken(body, n):
+    return (F.when(n == 0, F.substring(body, 1, 14)).when(n == 1, F.concat(F.lit("["), body, F.lit("]")))
+            .when(n == 2, F.concat(body, F.lit(" é"))).otherwise(F.lit("")))
+
+
+def _write_event_bodies(spark, sf_dir, path):
+    """The event messages, every eleventh broken in one of four ways."""
+    e = _event_messages(spark, sf_dir)
+    body = F.to_json(F.struct(*e.columns))
+    bodies = e.select(F.when(F.col("event_id") % 11 == 0, _broken(body, F.col("event_id") % 4)).otherwise(body).alias("value"))
+    bodies.write.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+
+
+def _run_broken_stream(spark, sf_dir):
+    root = scratch_dir(spark, "stream-dead")
+    _write_event_bodies(spark, sf_dir, f"{root}/in")
+    q = start_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)),
+                         EVENT_MESSAGE_SCHEMA, _reference(spark, sf_dir), f"{root}/out", f"{root}/checkpoint",
+                         field="instituicao")
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return root
+
+
+# The JSON text of an event message, as Spark writes it (no nulls in these columns).
+_BODY_SQL = """'{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '","value":'
+  || value || ',"instituicao":"' || instituicao || '"}'"""
+_DEAD_SQL = f"""SELECT event_id, event_id % 4 AS n,
+  CASE event_id % 4 WHEN 0 THEN substr('{{"event_id":' || event_id || ',"user_id":' || user_id, 1, 14)
+       WHEN 3 THEN '' END AS body,
+  CASE event_id % 4 WHEN 0 THEN 'malformed JSON' WHEN 3 THEN 'empty body' ELSE 'not a JSON object' END AS reason
+FROM ({_EVENTS_SQL}) WHERE event_id % 11 = 0"""
+
+
+@register("stream_dead_letters", f"""
+WITH ev AS ({_EVENTS_SQL}), ref AS ({_REF_SQL}), o AS (
+  SELECT ev.event_id, d.body, d.reason, CASE WHEN d.event_id IS NOT NULL THEN 'dead'
+         WHEN ref.m IS NOT NULL THEN 'matched' ELSE 'rejected' END AS outcome
+  FROM ev LEFT JOIN ref ON strip_accents(lower(ev.campo_limpo)) = ref.m LEFT JOIN ({_DEAD_SQL}) d ON d.event_id = ev.event_id
+)
+SELECT outcome, coalesce(reason, '') AS reason, CAST(count(*) AS BIGINT) AS messages,
+       (SELECT CAST(count(*) AS BIGINT) FROM events) AS input_rows,
+       CASE WHEN reason = 'empty body' THEN '' WHEN reason = 'malformed JSON' THEN min(body) END AS least_body,
+       CASE WHEN reason = 'not a JSON object' THEN true END AS whole
+FROM o GROUP BY outcome, reason
+""")
+def stream_dead_letters(spark, sf_dir):
+    """Every message by outcome; broken bodies are kept byte by byte: the wrapped
+    and the followed ones hold their whole message."""
+    root = _run_broken_stream(spark, sf_dir)
+    rows = read_published(spark, f"{root}/out")
+    text = F.col("body").cast("string")
+    inner = F.regexp_extract(text, r"^\[?(\{.*\})( é|\])$", 1)
+    whole = F.when(F.col("reason") == "not a JSON object",
+                   F.from_json(inner, EVENT_MESSAGE_SCHEMA)["event_id"].isNotNull())
+    total = progress_totals(spark, f"{root}/out").agg(F.sum("input_rows").alias("input_rows"))
+    by = (rows.withColumn("whole", whole).groupBy("outcome", F.coalesce("reason", F.lit("")).alias("reason"))
+          .agg(F.count(F.lit(1)).alias("messages"), F.bool_and("whole").alias("whole"), F.min(text).alias("least")))
+    # One row: the total of all commits.
+    return by.crossJoin(F.broadcast(total)).select(
+        "outcome", "reason", "messages", "input_rows",
+        F.when(F.col("reason").isin("empty body", "malformed JSON"), F.col("least")).alias("least_body"), "whole")
+
+
+@register("stream_dead_letters_replayed", f"""
+WITH ev AS ({_EVENTS_SQL}), ref AS ({_REF_SQL}), o AS (
+  SELECT ev.event_id, CASE WHEN ev.event_id % 11 = 0 AND ev.event_id % 4 IN (0, 3) THEN 'dead'
+         WHEN ref.m IS NOT NULL THEN 'matched' ELSE 'rejected' END AS outcome
+  FROM ev LEFT JOIN ref ON strip_accents(lower(ev.campo_limpo)) = ref.m
+)
+SELECT outcome, CAST(count(*) AS BIGINT) AS messages,
+       CAST(coalesce(sum(event_id) FILTER (outcome <> 'dead'), 0) AS BIGINT) AS ids
+FROM o GROUP BY outcome
+""")
+def stream_dead_letters_replayed(spark, sf_dir):
+    """Dead letters whose message can be cut out are repaired and replayed, twice
+    over: they count once, the others stay dead."""
+    root = _run_broken_stream(spark, sf_dir)
+    ref = prepare_reference(_reference(spark, sf_dir), f"{root}/replay_reference")
+
+    def repair(letters):
+        text = F.col("body").cast("string")
+        inner = F.regexp_extract(text, r"^\[?(\{.*\})( é|\])$", 1)
+        return letters.withColumn("body", F.when(inner != "", F.encode(inner, "UTF-8")).otherwise(F.col("body")))
+
+    for _ in range(2):
+        replay_dead_letters(spark, f"{root}/out", repair, EVENT_MESSAGE_SCHEMA,
+                            replay_batch_fn(ref, f"{root}/out", "instituicao"))
+    return read_published(spark, f"{root}/out").groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("messages"), F.coalesce(F.sum("event_id"), F.lit(0)).alias("ids"))
+
+
+@register("stream_compacted", f"""
+WITH ev AS ({_EVENTS_SQL}), ref AS ({_REF_SQL})
+SELECT ev.event_id, ev.user_id, ev.event_type, ev.value, ev.instituicao, ref.stored AS campo_limpo, true AS one_commit
+FROM ev JOIN ref ON strip_accents(lower(ev.campo_limpo)) = ref.m
+""")
+def stream_compacted(spark, sf_dir):
+    """The enriched events after their batches' files were replaced by few in one commit."""
+    out = f"{run_event_stream(spark, sf_dir, batches=4)}/out"
+    compact(spark, out)
+    folders = commits(spark, out).agg((F.count_if(F.col("kind") == "compact") == 1).alias("one_commit"))
+    return read_batches(spark, out, outcome=MATCHED).crossJoin(F.broadcast(folders))
+
+
 # -- queue enrichment (L6) -------------------------------------------------------------
 
 COMPLAINT_MESSAGE_SCHEMA = (
@@ -147,7 +262,7 @@ def queue_enrichment(spark, sf_dir):
     root = scratch_dir(spark, "queue")
     write_messages(_complaint_messages(spark, sf_dir), f"{root}/in", RECORDS_PER_FILE)
     banks = trusted_frame(src.banks(spark, sf_dir), "Nome", null_key="empty", as_text=True)
-    q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=BYTES_PER_BATCH),
+    q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)),
                                COMPLAINT_MESSAGE_SCHEMA, banks, f"{root}/out", f"{root}/checkpoint",
                                field="Instituição financeira")
     q.awaitTermination()
@@ -167,7 +282,7 @@ def queue_without_key(spark, sf_dir):
     root = scratch_dir(spark, "queue-no-key")
     c = src.complaints(spark, sf_dir).select(F.col("CNPJ IF").alias("CNPJ"), "l_orderkey", "l_linenumber")
     write_messages(c, f"{root}/in", RECORDS_PER_FILE)
-    q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=BYTES_PER_BATCH),
+    q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)),
                                "CNPJ string, l_orderkey bigint, l_linenumber int", src.banks(spark, sf_dir),
                                f"{root}/out", f"{root}/checkpoint", field="Instituição financeira")
     q.awaitTermination()
@@ -176,6 +291,37 @@ def queue_without_key(spark, sf_dir):
     return read_batches(spark, f"{root}/out/batches")
 
 
+@register("queue_outcomes", f"""
+WITH b AS (SELECT coalesce({_k('"Nome"')}, '') AS k FROM ({src.BANKS_SQL})),
+     c AS (SELECT l_orderkey, {_k("coalesce(\"Instituição financeira\", 'nan')")} AS k FROM ({src.COMPLAINTS_SQL}))
+SELECT CASE WHEN l_orderkey % 13 = 0 THEN 'dead' WHEN b.k IS NOT NULL THEN 'matched' ELSE 'rejected' END AS outcome,
+       CAST(count(*) AS BIGINT) AS row_count, CAST(sum(l_orderkey) FILTER (l_orderkey % 13 <> 0) AS BIGINT) AS ids,
+       (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS input_rows
+FROM c LEFT JOIN (SELECT DISTINCT k FROM b) b ON b.k = c.k GROUP BY 1
+""")
+def queue_outcomes(spark, sf_dir):
+    """Complaint messages of the queue, some of them broken: merged, without a
+    partner, or dead, and none lost (the banks reduced to one row a key)."""
+    root = scratch_dir(spark, "queue-outcomes")
+    c = _complaint_messages(spark, sf_dir)
+    body = F.to_json(F.struct(*[F.col(f"`{n}`") for n in c.columns]))
+    bodies = c.select(F.when(F.col("l_orderkey") % 13 == 0, F.concat(body, F.lit("}"))).otherwise(body).alias("value"))
+    bodies.write.option("maxRecordsPerFile", RECORDS_PER_FILE).text(f"{root}/in")
+    banks = trusted_frame(src.banks(spark, sf_dir), "Nome", null_key="empty", as_text=True)
+    banks = banks.groupBy("campo_limpo").agg(F.max("Segmento").alias("Segmento"))
+    q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)),
+                               COMPLAINT_MESSAGE_SCHEMA, banks, f"{root}/out", f"{root}/checkpoint",
+                               field="Instituição financeira", outcomes=True)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    out = f"{root}/out/batches"
+    total = progress_totals(spark, out).agg(F.sum("input_rows").alias("input_rows"))
+    by = read_published(spark, out).groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count"),
+                                                           F.sum(F.col("l_orderkey").cast("long")).alias("ids"))
+    return by.crossJoin(F.broadcast(total))
+
+
 # -- stream-static join (J6) ---------------------------------------------------------
 
 def _customer_dimension(spark, sf_dir):
@@ -197,10 +343,35 @@ def stream_static_join(spark, sf_dir):
     appended to a Parquet file sink (J6)."""
     root = scratch_dir(spark, "stream-static")
     write_messages(_event_messages(spark, sf_dir), f"{root}/in", RECORDS_PER_FILE)
-    q = start_stream_static_join(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=BYTES_PER_BATCH), EVENT_MESSAGE_SCHEMA,
+    q = start_stream_static_join(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)), EVENT_MESSAGE_SCHEMA,
                                  _customer_dimension(spark, sf_dir), f"{root}/out", f"{root}/checkpoint",
                                  field="instituicao")
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_static_outcomes", f"""
+WITH ev AS (SELECT event_id, {_k('instituicao')} AS campo_limpo FROM ({_EVENTS_SQL})),
+     c AS (SELECT {_k("c_name || " + src.sql_pick(STORED_SUFFIXES, 'c_custkey % 3'))} AS campo_limpo, c_custkey FROM customer)
+SELECT CASE WHEN event_id % 11 = 0 THEN 'dead' WHEN c_custkey IS NULL THEN 'rejected' ELSE 'matched' END AS outcome,
+       CAST(count(DISTINCT event_id) AS BIGINT) AS messages,
+       CAST(sum(CASE WHEN event_id % 11 <> 0 THEN c_custkey END) AS BIGINT) AS customers
+FROM ev LEFT JOIN c USING (campo_limpo) GROUP BY 1
+""")
+def stream_static_outcomes(spark, sf_dir):
+    """The same join with every message kept: matched, rejected or dead."""
+    root = scratch_dir(spark, "stream-static-all")
+    _write_event_bodies(spark, sf_dir, f"{root}/in")
+    q = start_stream_static_join(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)),
+                                 EVENT_MESSAGE_SCHEMA, _customer_dimension(spark, sf_dir), f"{root}/out",
+                                 f"{root}/checkpoint", field="instituicao", outcomes=True)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    rows = spark.read.parquet(f"{root}/out")
+    dead = F.col("outcome") == "dead"
+    return rows.groupBy("outcome").agg(
+        F.when(F.max(dead), F.count(F.lit(1))).otherwise(F.count_distinct("event_id")).alias("messages"),
+        F.sum("c_custkey").alias("customers"))

@@ -4,15 +4,16 @@ A stream of JSON records (one per line in text files here; a Kafka topic on
 a cluster) is parsed against a fixed schema, its name field cleaned to the
 key, and each micro-batch is matched against a reference table:
 
-- matches: rows whose key exists in the table, the key replaced by the stored
-  one (as ``lookup_replace``); rejects: the rest (as ``lookup_rejects``);
-  both come from one left join and one write, partitioned by ``outcome``;
-- each batch writes to ``.../batch_id=N`` with overwrite, so a batch replayed
-  after a failure rewrites the same folder and nothing is duplicated;
+- every message has one outcome: matched (its key exists in the table and is
+  replaced by the stored one, as ``lookup_replace``), rejected (no such key, as
+  ``lookup_rejects``) or dead (the body is no message; its bytes and the reason
+  are kept). All come from one join and one write, partitioned by ``outcome``;
+- each batch is published by one atomic commit (``published``): readers see
+  whole batches only, and a batch replayed after a failure is not written again;
 - the checkpoint records which batches are done; a restart on the same
   checkpoint resumes after the last committed batch;
-- each batch also writes its number of input rows to ``.../_progress``, so
-  totals cover every batch ever run, over restarts.
+- the commits hold the rows of every batch ever run, over restarts;
+- dead letters can be repaired and replayed (``replay_dead_letters``).
 
 The reference table is reduced to one stored key per match key and written
 to shared storage once, before the stream starts; batches read that. It is
@@ -24,21 +25,31 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strata.functions.keys import KEY_COLUMN, with_clean_key
-from strata.functions.messages import nan_text_to_null, parse_messages
+from strata.functions.messages import (
+    BODY_COLUMN,
+    REASON_COLUMN,
+    nan_text_to_null,
+    parse_messages,
+    parse_or_keep,
+)
 from strata.functions.names import cast_all_to_string, drop_columns, drop_suffixed, rename_all, strip_suffix
 from strata.operators.joins import CI_AI, is_small, merge, natural_join, reference_keys
-
-BATCH_COLUMN = "batch_id"
-OUTCOME_COLUMN = "outcome"
-MATCHED, REJECTED = "matched", "rejected"
-PROGRESS = "_progress"
-
+from strata.streaming.published import (
+    BATCH_COLUMN,
+    DEAD,
+    MATCHED,
+    OUTCOME_COLUMN,
+    REJECTED,
+    commits,
+    publish,
+    read_published,
+)
 
 # -- sources ---------------------------------------------------------------------
 
@@ -67,32 +78,30 @@ def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str,
     return r.load()
 
 
-# -- per-batch outputs ------------------------------------------------------------
-
-def batch_path(root: str, batch_id: int) -> str:
-    return f"{root}/{BATCH_COLUMN}={batch_id}"
-
+def batch_bytes(spark: SparkSession) -> int:
+    """Bytes of messages a micro-batch should hold: a full split for every core,
+    so that batches grow with the cluster and not in number."""
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return int(split) * spark.sparkContext.defaultParallelism
 
-def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
-    """Overwrite this batch's folder only (idempotent on replay)."""
-    df.write.mode("overwrite").parquet(batch_path(root, batch_id))
 
+# -- per-batch outputs ------------------------------------------------------------
 
-def write_progress(batch: DataFrame, root: str, batch_id: int) -> None:
-    """Write the batch's number of input rows to ``{root}/_progress``, in this
-    batch's own folder (counting reads the batch's messages, no more)."""
-    rows = batch.count()
-    (batch.sparkSession.range(1).coalesce(1).select(F.lit(rows).cast("long").alias("input_rows"))
-     .write.mode("overwrite").parquet(batch_path(f"{root}/{PROGRESS}", batch_id)))
+def write_batch(df: DataFrame, root: str, batch_id: int, input_rows: int | None = None) -> bool:
+    """Publish a batch's rows (once: a replayed batch is left as it is)."""
+    return publish(df, root, batch_id, input_rows)
 
 
 def read_batches(spark: SparkSession, root: str, keep_batch_id: bool = False,
                  outcome: str | None = None) -> DataFrame:
-    """All batches written so far, as one DataFrame (one outcome, if given:
-    a partition filter, so only that outcome's files are read)."""
-    df = spark.read.parquet(root)
-    if outcome is not None:
-        df = df.where(F.col(OUTCOME_COLUMN) == outcome).drop(OUTCOME_COLUMN)
+    """All batches published so far, as one DataFrame (one outcome, if given, with
+    that outcome's columns; only its folders are read)."""
+    df = read_published(spark, root, outcome)
+    body = (BODY_COLUMN, REASON_COLUMN)
+    if outcome == DEAD:
+        df = df.select(BATCH_COLUMN, *body)
+    elif outcome is not None:
+        df = df.drop(OUTCOME_COLUMN, *body)
     return df if keep_batch_id else df.drop(BATCH_COLUMN)
 
 
@@ -142,36 +151,47 @@ def save_bucketed(df: DataFrame, path: str, column: str, buckets: int | None = N
     return spark.table(name)
 
 
+def _with_reason(df: DataFrame) -> DataFrame:
+    """``df`` with a body and a reason, both null, where it was parsed without."""
+    if REASON_COLUMN in df.columns:
+        return df
+    return df.withColumns({BODY_COLUMN: F.lit(None).cast("binary"), REASON_COLUMN: F.lit(None).cast("string")})
+
+
+def _outcome(hit: Column) -> Column:
+    return (F.when(F.col(REASON_COLUMN).isNotNull(), F.lit(DEAD)).when(hit, F.lit(MATCHED))
+            .otherwise(F.lit(REJECTED)).alias(OUTCOME_COLUMN))
+
+
 def _classify(batch: DataFrame, ref: DataFrame, key: str, collation: str | None) -> DataFrame:
-    """Every batch row once, with ``outcome`` matched or rejected.
+    """Every batch row once, with ``outcome`` matched, rejected or dead.
 
     One left join against the reference (one row per match key, so no row
     fans out); a matched row takes the stored key.
     """
-    match = F.collate(F.col(key), collation) if collation else F.col(key)
+    batch = _with_reason(batch)
+    alive = F.when(F.col(REASON_COLUMN).isNull(), F.col(key))
+    match = F.collate(alive, collation) if collation else alive
     ref_match = F.collate(F.col("_match"), collation) if collation else F.col("_match")
     probe = batch.withColumn("_m", match)
     r = ref.select(ref_match.alias("_m"), "_stored")
     hit = F.col("_stored").isNotNull()
-    cols = [(F.when(hit, F.col("_stored")).otherwise(F.col(key)).alias(key) if c == key else F.col(f"`{c}`"))
+    cols = [(F.when(hit, F.col("_stored")).otherwise(alive).alias(key) if c == key else F.col(f"`{c}`"))
             for c in batch.columns]
-    return (probe.join(r, "_m", "left")
-            .select(*cols, F.when(hit, F.lit(MATCHED)).otherwise(F.lit(REJECTED)).alias(OUTCOME_COLUMN)))
+    return probe.join(r, "_m", "left").select(*cols, _outcome(hit))
 
 
 def enrich_batch_fn(ref: DataFrame, out_root: str, field: str, key: str = KEY_COLUMN,
                     null_key: str = "sentinel", collation: str | None = CI_AI) -> Callable[[DataFrame, int], None]:
-    """``process_batch(df, batch_id)``: clean, look up, write matches and rejects.
+    """``process_batch(df, batch_id)``: clean, look up, publish all outcomes.
 
-    One job per batch: the rows are classified by one join and written once,
-    partitioned by outcome, into the batch's own folder.
+    The rows are classified by one join and written once, partitioned by
+    outcome; their number is taken from what was written.
     """
 
     def process_batch(df: DataFrame, batch_id: int) -> None:
         cleaned = with_clean_key(df, field, key, null_key=null_key)
-        out = _classify(cleaned, ref, key, collation)
-        out.write.mode("overwrite").partitionBy(OUTCOME_COLUMN).parquet(batch_path(out_root, batch_id))
-        write_progress(df, out_root, batch_id)
+        publish(_classify(cleaned, ref, key, collation), out_root, batch_id)
 
     return process_batch
 
@@ -179,23 +199,72 @@ def enrich_batch_fn(ref: DataFrame, out_root: str, field: str, key: str = KEY_CO
 def start_enrichment(spark: SparkSession, source: DataFrame, schema: StructType | str, reference: DataFrame,
                      out_root: str, checkpoint: str, field: str, key: str = KEY_COLUMN,
                      null_key: str = "sentinel", collation: str | None = CI_AI,
-                     available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Parse a message stream and enrich it batch by batch (append mode)."""
+                     available_now: bool = True, processing_time: str | None = None,
+                     strict: bool = False) -> StreamingQuery:
+    """Parse a message stream and enrich it batch by batch (append mode).
+    ``strict``: a field of another type makes a body a dead letter, too."""
     ref = prepare_reference(reference, f"{out_root}/_reference", key, collation)
-    parsed = parse_messages(source, schema)
+    parsed = parse_or_keep(source, schema, strict=strict)
     w = (parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .foreachBatch(enrich_batch_fn(ref, out_root, field, key, null_key, collation)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start()
 
 
+# -- dead letters ------------------------------------------------------------------------
+
+def replay_dead_letters(spark: SparkSession, out_root: str, repair: Callable[[DataFrame], DataFrame],
+                        schema: StructType | str, process: Callable[[DataFrame, int, int], None]) -> list[int]:
+    """Repairs the dead letters of every batch and processes them again.
+
+    ``repair`` gets a batch's dead letters (``body``, ``reason``) and returns
+    them with the bodies it can mend changed; ``process(parsed, batch, revision)``
+    publishes the result as the batch's next revision (``replay_batch_fn``),
+    which takes the place of its dead rows. A revision is published once: a
+    replay that is killed and run again, or run twice, adds nothing twice.
+    Batches whose letters ``repair`` leaves as they are stay as they are.
+    Returns the batches replayed.
+    """
+    last: dict[int, tuple[int, int]] = {}
+    for e in commits(spark, out_root).where("kind = 'batch'").collect():  # one row a batch
+        last[e["batch_id"]] = max(last.get(e["batch_id"], (-1, 0)), (e["revision"], e["counts"].get(DEAD, 0)))
+    dead = read_published(spark, out_root, DEAD).select(BATCH_COLUMN, BODY_COLUMN, REASON_COLUMN)
+    done = []
+    for batch_id, (revision, n) in sorted(last.items()):
+        if not n:
+            continue
+        letters = dead.where(F.col(BATCH_COLUMN) == batch_id).drop(BATCH_COLUMN)
+        mended = repair(letters).select(F.col(BODY_COLUMN).cast("binary").alias(BODY_COLUMN))
+        if letters.select(BODY_COLUMN).exceptAll(mended).isEmpty():
+            continue
+        process(parse_or_keep(mended, schema, BODY_COLUMN), batch_id, revision + 1)
+        done.append(batch_id)
+    return done
+
+
+def replay_batch_fn(ref: DataFrame, out_root: str, field: str, key: str = KEY_COLUMN, null_key: str = "sentinel",
+                    collation: str | None = CI_AI) -> Callable[[DataFrame, int, int], None]:
+    """What ``replay_dead_letters`` does with the repaired messages of a batch of
+    ``start_enrichment`` (``ref``: its prepared reference)."""
+    def process(parsed: DataFrame, batch_id: int, revision: int) -> None:
+        cleaned = with_clean_key(parsed, field, key, null_key=null_key)
+        publish(_classify(cleaned, ref, key, collation), out_root, batch_id, revision=revision)
+
+    return process
+
+
 # -- stream-static join straight to a file sink ---------------------------------------
 
 def start_stream_static_join(spark: SparkSession, source: DataFrame, schema: StructType | str,
                              reference: DataFrame, out_path: str, checkpoint: str, field: str,
                              key: str = KEY_COLUMN, null_key: str = "keep",
-                             available_now: bool = True, reference_path: str | None = None) -> StreamingQuery:
-    """Parsed messages, keyed, inner-joined with a static table, appended to Parquet.
+                             available_now: bool = True, reference_path: str | None = None,
+                             outcomes: bool = False) -> StreamingQuery:
+    """Parsed messages, keyed, joined with a static table, appended to Parquet.
+
+    Only matched rows are written, unless ``outcomes`` asks for all: then
+    messages without a match and bodies that are no message (``body``,
+    ``reason``) are written too, in a folder for each ``outcome``.
 
     The file sink records each committed batch in its own log next to the
     data, so a restart after a failure neither loses nor repeats a batch;
@@ -205,10 +274,17 @@ def start_stream_static_join(spark: SparkSession, source: DataFrame, schema: Str
     the key, so each batch's join shuffles the batch only.
     """
     ref = stored_reference(reference, reference_path or f"{out_path}_reference", key)
-    keyed = with_clean_key(parse_messages(source, schema), field, key, null_key=null_key, drop_null_keys=True)
-    joined = merge(keyed, ref, key, "inner")
+    if outcomes:
+        keyed = with_clean_key(parse_or_keep(source, schema), field, key, null_key=null_key)
+        keyed = keyed.withColumn(key, F.when(F.col(REASON_COLUMN).isNull(), F.col(key)))
+        joined = merge(keyed, ref.withColumn("_hit", F.lit(True)), key, "left")
+        joined = joined.withColumn(OUTCOME_COLUMN, _outcome(F.col("_hit"))).drop("_hit")
+    else:
+        keyed = with_clean_key(parse_messages(source, schema), field, key, null_key=null_key, drop_null_keys=True)
+        joined = merge(keyed, ref, key, "inner")
     w = (joined.writeStream.format("parquet").outputMode("append")
          .option("path", out_path).option("checkpointLocation", checkpoint))
+    w = w.partitionBy(OUTCOME_COLUMN) if outcomes else w
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
@@ -216,30 +292,45 @@ def start_stream_static_join(spark: SparkSession, source: DataFrame, schema: Str
 # -- the queue variant -----------------------------------------------------------------
 
 def queue_batch_fn(reference: DataFrame, out_root: str, field: str, key: str = KEY_COLUMN,
-                   drop: tuple[str, ...] = ("Unnamed__14",)) -> Callable[[DataFrame, int], None]:
+                   drop: tuple[str, ...] = ("Unnamed__14",), outcomes: bool = False) -> Callable[[DataFrame, int], None]:
     """Batch of queue messages: NaN to null, key under the ``text`` policy, merged
     with the reference (on the key, or on all shared columns when the key is
-    missing), ``_y`` and listed columns dropped, ``_x`` stripped, all text."""
+    missing), ``_y`` and listed columns dropped, ``_x`` stripped, all text.
 
+    With ``outcomes`` messages without a partner (rejected) and bodies that are
+    no message (dead) are published with the batch, too.
+    """
     def shape(rows: DataFrame) -> DataFrame:
-        body = with_clean_key(nan_text_to_null(rows), field, key, null_key="text", missing="pass")
-        if key in body.columns and key in reference.columns:
-            merged = merge(reference, body, key, "inner")
-        else:
-            merged = natural_join(reference, body)
-        out = rename_all(merged, "unicode", on_duplicate="number")
+        out = rename_all(rows, "unicode", on_duplicate="number")
         return cast_all_to_string(strip_suffix(drop_columns(drop_suffixed(out, "_y"), drop), "_x"))
 
+    def keyed(rows: DataFrame) -> DataFrame:
+        return with_clean_key(nan_text_to_null(rows), field, key, null_key="text", missing="pass")
+
+    def merged(body: DataFrame, ref: DataFrame, how: str) -> DataFrame:
+        if key in body.columns and key in ref.columns:
+            return merge(ref, body, key, how)
+        return natural_join(ref, body, how)
+
     def process_batch(df: DataFrame, batch_id: int) -> None:
-        write_batch(shape(df), out_root, batch_id)
-        write_progress(df, out_root, batch_id)
+        rows = df.drop(BODY_COLUMN, REASON_COLUMN)
+        if not outcomes:
+            write_batch(shape(merged(keyed(rows), reference, "inner")), out_root, batch_id, df.count())
+            return
+        df = _with_reason(df)
+        rows = keyed(df.where(F.col(REASON_COLUMN).isNull()).drop(BODY_COLUMN, REASON_COLUMN))
+        both = merged(rows, reference.withColumn("hit", F.lit(True)), "right")
+        out = shape(both).withColumn(OUTCOME_COLUMN, F.when(F.col("hit").isNotNull(), MATCHED).otherwise(REJECTED))
+        dead = df.where(F.col(REASON_COLUMN).isNotNull()).select(BODY_COLUMN, REASON_COLUMN,
+                                                                 F.lit(DEAD).alias(OUTCOME_COLUMN))
+        write_batch(out.drop("hit").unionByName(dead, allowMissingColumns=True), out_root, batch_id, df.count())
 
     return process_batch
 
 
 def start_queue_enrichment(spark: SparkSession, source: DataFrame, schema: StructType | str,
                            reference: DataFrame, out_root: str, checkpoint: str, field: str,
-                           key: str = KEY_COLUMN) -> StreamingQuery:
+                           key: str = KEY_COLUMN, outcomes: bool = False) -> StreamingQuery:
     """Parse queue messages and merge each batch with the reference table.
 
     The reference is written once to shared storage before the stream starts,
@@ -248,18 +339,18 @@ def start_queue_enrichment(spark: SparkSession, source: DataFrame, schema: Struc
     batches do not shuffle it again.
     """
     ref = stored_reference(reference, f"{out_root}/_reference", key if key in reference.columns else None)
-    parsed = parse_messages(source, schema)
+    parsed = parse_or_keep(source, schema) if outcomes else parse_messages(source, schema)
     return (parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .foreachBatch(queue_batch_fn(ref, f"{out_root}/batches", field, key))
+            .foreachBatch(queue_batch_fn(ref, f"{out_root}/batches", field, key, outcomes=outcomes))
             .trigger(availableNow=True).start())
 
 
 # -- progress ----------------------------------------------------------------------------
 
 def progress_totals(spark: SparkSession, root: str) -> DataFrame:
-    """``(batch_id, input_rows)`` of every batch that was ever written under
+    """``(batch_id, input_rows)`` of every batch that was ever published under
     ``root``, over all restarts."""
-    return spark.read.schema(f"input_rows long, {BATCH_COLUMN} long").parquet(f"{root}/{PROGRESS}")
+    return commits(spark, root).where("kind = 'batch' AND revision = 0").select(BATCH_COLUMN, "input_rows")
 
 
 def progress_summary(query: StreamingQuery, spark: SparkSession, root: str) -> dict:
