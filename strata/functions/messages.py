@@ -14,7 +14,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
@@ -111,10 +111,14 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def row_message(columns: list[str]) -> Column:
+    """The columns of a row as one JSON object, nulls included."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false", **JSON_TIME_OPTIONS})
+
+
 def to_messages(df: DataFrame, value_col: str = "value", key_col: str | None = None) -> DataFrame:
     """One JSON object per row in ``value_col`` (and an optional message key)."""
-    cols = [F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]),
-                      {"ignoreNullFields": "false", **JSON_TIME_OPTIONS}).alias(value_col)]
+    cols = [row_message(df.columns).alias(value_col)]
     if key_col:
         cols.insert(0, F.col(f"`{key_col}`").cast("string").alias("key"))
     return df.select(*cols)

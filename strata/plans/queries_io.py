@@ -15,6 +15,7 @@ from strata.functions.keys import KEY_PATTERN, KEY_PATTERN_UNESCAPED_DOTS
 from strata.functions.messages import nan_text_to_null, nan_to_null, parse_messages
 from strata.operators.sets import union_by_name
 from strata.plans import tpch_sources as src
+from strata.plans.incremental import load_incremental, read_delivery
 from strata.plans.layers import run_layers
 from strata.plans.models import clean_and_trusted
 from strata.plans.registry import register
@@ -24,6 +25,7 @@ from strata.sinks.writers import (
     load_unless_count,
     text_rows,
     write_csv,
+    write_message_batches,
     write_messages,
     write_parquet,
 )
@@ -298,6 +300,26 @@ def json_messages_roundtrip(spark, sf_dir):
     return parse_messages(spark.read.text(root), EVENT_SCHEMA)
 
 
+@register("message_batches", """
+WITH n AS (SELECT *, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) - 1 AS n FROM orders)
+SELECT n // 10 AS batch_id, CAST(n % 10 AS INTEGER) AS entry_id, o_orderkey, o_orderpriority,
+       CAST(count(*) OVER (PARTITION BY n // 10) AS INTEGER) AS entries
+FROM n
+""")
+def message_batches(spark, sf_dir):
+    """Orders as messages in batches of ten (K12), read back from the batches'
+    lines; the ids do not depend on how the rows are dealt out."""
+    root = scratch_dir(spark, "batches")
+    o = src.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority").repartition(13)
+    write_message_batches(o, root, 10, ["o_orderpriority"])
+    line = F.from_json("value", "batch_id bigint, entries array<struct<entry_id: int, value: string>>").alias("b")
+    rows = spark.read.text(root).select(line).select("b.batch_id", F.size("b.entries").alias("entries"),
+                                                     F.explode("b.entries").alias("e"))
+    return parse_messages(rows.select("batch_id", F.col("e.entry_id").alias("entry_id"), "entries",
+                                      F.col("e.value").alias("value")),
+                          "o_orderkey bigint, o_orderpriority string", keep=["batch_id", "entry_id", "entries"])
+
+
 @register("parse_event_props", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
 """)
@@ -392,11 +414,37 @@ def layers_end_to_end(spark, sf_dir):
     zeros of ``CNPJ`` survive, and blank names join nothing.
     """
     root = scratch_dir(spark, "layers")
-    write_csv(src.banks(spark, sf_dir), f"{root}/in/Bancos", sep="\t", encoding=LATIN_1)
+    _write_families(spark, sf_dir, root)
     write_csv(src.complaints(spark, sf_dir), f"{root}/in/Reclamacoes", sep=";", encoding="UTF-8")
+    sources = {n: f"{root}/in/{n}" for n in ("Bancos", "Reclamacoes", "Empregados")}
+    return run_layers(spark, sources, f"{root}/out", fmt="csv", encoding="UTF-8")
+
+
+def _write_families(spark, sf_dir, root):
+    write_csv(src.banks(spark, sf_dir), f"{root}/in/Bancos", sep="\t", encoding=LATIN_1)
     emp = src.employers(spark, sf_dir).withColumn("Alta liderança", F.concat("Nome", F.lit(DASH)))
     rich = F.col("Geral") >= 5000
     write_csv(emp.where(rich).drop("CNPJ"), f"{root}/in/Empregados", sep="|", encoding="UTF-8")
     write_csv(emp.where(~rich).drop("Segmento"), f"{root}/in/Empregados", sep="|", encoding="UTF-8", mode="append")
+
+
+@register("layers_incremental", _LAYERS_SQL)
+def layers_incremental(spark, sf_dir):
+    """Three loads: some files; files added, replaced and removed; nothing new.
+    The delivery is that of a full run over the files at the end."""
+    root = scratch_dir(spark, "layers-incremental")
+    _write_families(spark, sf_dir, root)
+    c = src.complaints(spark, sf_dir)
+    part = F.pmod("l_orderkey", F.lit(4))
+    folder = f"{root}/in/Reclamacoes"
+    write_csv(c.where(part == 0), f"{folder}/0", sep=";", encoding="UTF-8")
+    write_csv(c.where(part == 1).withColumn("Categoria", F.lit("old")), f"{folder}/1", sep=";", encoding="UTF-8")
+    write_csv(c.where(part == 2).limit(50).withColumn("Tipo", F.lit("gone")), f"{folder}/9", sep=";", encoding="UTF-8")
     sources = {n: f"{root}/in/{n}" for n in ("Bancos", "Reclamacoes", "Empregados")}
-    return run_layers(spark, sources, f"{root}/out", fmt="csv", encoding="UTF-8")
+    load_incremental(spark, sources, f"{root}/out")
+    write_csv(c.where(part == 1), f"{folder}/1", sep=";", encoding="UTF-8")
+    write_csv(c.where(part == 2), f"{folder}/9", sep=";", encoding="UTF-8")
+    write_csv(c.where(part == 3), f"{folder}/3/late", sep=";", encoding="UTF-8")
+    load_incremental(spark, sources, f"{root}/out")
+    load_incremental(spark, sources, f"{root}/out")
+    return read_delivery(spark, f"{root}/out")

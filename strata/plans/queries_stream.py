@@ -18,6 +18,7 @@ from strata.plans.queries_joins import EVENT_SUFFIXES, STORED_SUFFIXES
 from strata.plans.registry import register
 from strata.session import scratch_dir
 from strata.sinks.writers import write_messages
+from strata.streaming.backlog import backlog
 from strata.streaming.enrich import (
     MATCHED,
     REJECTED,
@@ -117,6 +118,29 @@ def stream_progress(spark, sf_dir):
                       (F.max("batch_id") + 1 == F.count_distinct("batch_id")).alias("batches_gapless"))
 
 
+@register("stream_backlog", """
+SELECT CAST(count(*) AS BIGINT) AS messages, true AS files_left,
+       CAST(sum(strlen('{"event_id":' || event_id || ',"event_type":"' || event_type || '"}') + 1) AS BIGINT) AS bytes
+FROM events WHERE event_id % 3 = 2
+""")
+def stream_backlog(spark, sf_dir):
+    """Messages that arrived after a stream stopped, by its checkpoint."""
+    root = scratch_dir(spark, "backlog")
+    events = src.table(spark, sf_dir, "events").select("event_id", "event_type")
+    late = F.col("event_id") % 3 == 2
+    write_messages(events.where(~late), f"{root}/in", RECORDS_PER_FILE)
+    q = start_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)),
+                         "event_id bigint, event_type string", _reference(spark, sf_dir), f"{root}/out",
+                         f"{root}/checkpoint", field="event_type")
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    write_messages(events.where(late), f"{root}/in", RECORDS_PER_FILE, "append")
+    left = backlog(spark, f"{root}/in", f"{root}/checkpoint")
+    return left.agg(F.sum("messages").alias("messages"), (F.count(F.lit(1)) > 0).alias("files_left"),
+                    F.sum("bytes").alias("bytes"))
+
+
 # -- dead letters and published batches (P18, L5, K13, K14) -----------------------------
 
 # Decorations (ours): bodies that are no messages, by what was done to a message.

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
-from strata.functions.messages import nan_to_null, to_messages
+from strata.functions.messages import nan_to_null, row_message, to_messages
 from strata.functions.names import cast_all_to_string, lower_name
+from strata.session import scratch_dir
 from strata.sources.files import LATIN_1
 
 # Spark's error conditions for a table or path that is not there
@@ -172,6 +173,51 @@ def write_messages(df: DataFrame, path: str, records_per_file: int | None = None
     w.text(path)
 
 
+def numbered(df: DataFrame, order_by: list[str] | None = None, column: str = "row_number") -> DataFrame:
+    """Rows numbered 0, 1, 2 ... without gaps in the order of ``order_by`` (then
+    of all other columns), the same whatever the partitions were.
+
+    Two passes and no window over all rows: the rows are sorted by range and
+    stored, each partition's rows are counted, and a row's number is its place
+    in its partition plus the rows of the partitions before (one small row a
+    partition, broadcast).
+    """
+    spark = df.sparkSession
+    first = list(order_by or [])
+    order = [F.col(f"`{c}`") for c in [*first, *[c for c in df.columns if c not in first]]]
+    path = scratch_dir(spark, "numbered")
+    df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    stored = spark.read.parquet(path)
+    # The id's upper bits are the partition, the lower 33 the place in it.
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = stored.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    starts, before = [], 0
+    for p, n in sorted((r["p"], r["n"]) for r in sizes):
+        starts.append((p, before))
+        before += n
+    table = spark.createDataFrame(starts, "_part long, _before long")
+    return (stored.withColumn("_part", part.cast("long")).join(F.broadcast(table), "_part")
+            .select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + place).alias(column)))
+
+
+def message_batches(df: DataFrame, size: int = 10, order_by: list[str] | None = None) -> DataFrame:
+    """Every row as a message of a numbered batch: ``batch_id``, ``entry_id`` (0 to
+    ``size - 1``) and ``value`` (its JSON). All batches are full but the last,
+    and a row has the same ids on every run."""
+    n = F.col("_n")
+    return numbered(df, order_by, "_n").select(
+        F.floor(n / size).cast("long").alias("batch_id"), (n % size).cast("int").alias("entry_id"),
+        row_message(df.columns).alias("value"))
+
+
+def write_message_batches(df: DataFrame, path: str, size: int = 10, order_by: list[str] | None = None,
+                          mode: str = "overwrite") -> None:
+    """One line a batch, as JSON: ``batch_id`` and ``entries`` (``entry_id``, ``value``) in order."""
+    entries = F.sort_array(F.collect_list(F.struct("entry_id", "value")))
+    batches = message_batches(df, size, order_by).groupBy("batch_id").agg(entries.alias("entries"))
+    batches.select(F.to_json(F.struct("batch_id", "entries")).alias("value")).write.mode(mode).text(path)
+
+
 def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str, key_col: str | None = None) -> None:
     """One JSON message per row to a Kafka topic (needs the Kafka connector)."""
     (to_messages(df, key_col=key_col).write.format("kafka")

@@ -16,7 +16,7 @@ import csv
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -84,7 +84,7 @@ def list_files(spark: SparkSession, path: str, extensions: tuple[str, ...] = (".
     return sorted(r["path"] for r in found.collect())
 
 
-def survey(spark: SparkSession, path: str, fam: Family) -> DataFrame:
+def survey(spark: SparkSession, path: str | list[str], fam: Family) -> DataFrame:
     """One row a file with data: ``path``, ``header`` (bytes of its first line that
     is not blank), ``utf8`` (every line is valid UTF-8) and ``irregular`` (some
     line holds quotes other than around whole fields). One scan, reduced on
@@ -133,9 +133,18 @@ def _text_schema(names: list[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def read_family(spark: SparkSession, path: str, family: Family | str = DEFAULT_FAMILY,
-                schema: StructType | str | None = None, infer: bool = False) -> DataFrame:
-    """Read every ``.csv``/``.tsv`` file below a folder as one DataFrame.
+FILE_COLUMN = "_file"
+
+
+def file_id() -> Column:
+    """A file's identity within a scan: a hash of its full name."""
+    return F.xxhash64("_metadata.file_path")
+
+
+def read_family(spark: SparkSession, path: str | list[str], family: Family | str = DEFAULT_FAMILY,
+                schema: StructType | str | None = None, infer: bool = False, with_file: bool = False) -> DataFrame:
+    """Read every ``.csv``/``.tsv`` file below a folder (or of a list of files and
+    folders) as one DataFrame; ``with_file`` adds each row's ``_file`` (``file_id``).
 
     - ``schema`` given: one scan of all files with that schema (positional);
       an empty file yields no row, lines are records.
@@ -150,9 +159,15 @@ def read_family(spark: SparkSession, path: str, family: Family | str = DEFAULT_F
             fam = replace(fam, encoding=family_encoding(spark, path, extensions=fam.extensions))
         return (_reader(spark, fam).options(recursiveFileLookup="true", pathGlobFilter=glob)
                 .schema(schema).csv(path))
-    _, fs, jpath = _fs_and_path(spark, path)
-    if not fs.exists(jpath):
-        raise FileNotFoundError(f"no folder {path}")
+    if isinstance(path, str):
+        _, fs, jpath = _fs_and_path(spark, path)
+        if not fs.exists(jpath):
+            raise FileNotFoundError(f"no folder {path}")
+
+    def scan(reader, paths) -> DataFrame:
+        df = reader.csv(paths)
+        return df.select("*", file_id().alias(FILE_COLUMN)) if with_file else df
+
     # One row a file, kept on the executors while the few questions about it are asked.
     found = survey(spark, path, fam).persist()
     try:
@@ -163,15 +178,15 @@ def read_family(spark: SparkSession, path: str, family: Family | str = DEFAULT_F
         if fam.encoding == DETECT:
             fam = replace(fam, encoding="UTF-8" if total["utf8"] else LATIN_1)
         if total["irregular"]:
-            df = _by_records(spark, path, fam)
+            df = _by_records(spark, path, fam, with_file)
         elif not fam.header or total["n"] == 1:
             whole = _reader(spark, fam).options(recursiveFileLookup="true", pathGlobFilter=glob)
             if fam.header:
                 whole = whole.schema(_text_schema(_header_names(total["header"], fam)))
-            df = whole.csv(path)
+            df = scan(whole, path)
         else:
             df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                        [_reader(spark, fam).schema(_text_schema(_header_names(header, fam))).csv(files)
+                        [scan(_reader(spark, fam).schema(_text_schema(_header_names(header, fam))), files)
                          for header, files in _header_groups(found)])
     finally:
         found.unpersist()
@@ -185,14 +200,15 @@ def _header_groups(found: DataFrame) -> list[tuple[bytes, list[str]]]:
     return sorted(((r["header"], list(r["files"])) for r in groups), key=lambda g: g[1][0])
 
 
-def _by_records(spark: SparkSession, path: str, fam: Family) -> DataFrame:
+def _by_records(spark: SparkSession, path: str | list[str], fam: Family, with_file: bool = False) -> DataFrame:
     """A family read record by record: the headers (first records) say where in a
     file's records each column is; only distinct headers reach the driver."""
     lines = raw_lines(spark, path, fam.extensions)
     rows = read_records(lines, fam.sep, fam.encoding)
+    file = [F.col("file").alias(FILE_COLUMN)] if with_file else []
     if not fam.header:
         width = rows.agg(F.max(F.size("fields"))).first()[0]
-        return rows.select(*[F.get("fields", F.lit(k)).alias(f"_c{k}") for k in range(width)])
+        return rows.select(*[F.get("fields", F.lit(k)).alias(f"_c{k}") for k in range(width)], *file)
     firsts = read_records(lines, fam.sep, fam.encoding, only_first=True).select("file", "fields")
     headers = [r["fields"] for r in firsts.groupBy("fields").agg(F.min("file").alias("f")).orderBy("f").collect()]
     names = {tuple(h): header_names(h) for h in headers}
@@ -203,7 +219,7 @@ def _by_records(spark: SparkSession, path: str, fam: Family) -> DataFrame:
     files = firsts.join(F.broadcast(places), "fields").select("file", "at")
     out = rows.where(~F.col("first")).join(F.broadcast(files), "file")
     return out.select(*[F.when(F.col("at")[k] >= 0, F.get("fields", F.col("at")[k])).alias(c)
-                        for k, c in enumerate(columns)])
+                        for k, c in enumerate(columns)], *file)
 
 
 def read_csv_skip_long_lines(spark: SparkSession, path: str | list[str], schema: StructType,

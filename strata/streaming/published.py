@@ -49,7 +49,7 @@ def _committed(spark: SparkSession, root: str, name: str) -> bool:
     return fs.exists(path)
 
 
-def _commit(spark: SparkSession, root: str, entry: dict) -> bool:
+def commit_file(spark: SparkSession, root: str, entry: dict) -> bool:
     """Publishes ``entry``; False if a commit of that name is there already. The
     file is written under a hidden name and renamed, which never overwrites."""
     jvm, fs, target = _fs(spark, f"{root}/{LOG}/{entry['name']}.json")
@@ -83,6 +83,15 @@ def _entries(spark: SparkSession, root: str) -> list[dict]:
     return sorted((r.asDict() for r in commits(spark, root).collect()), key=lambda e: e["name"])
 
 
+def read_commits(spark: SparkSession, root: str) -> list[dict]:
+    """All commits under ``root`` as they were written: one small file each."""
+    _, fs, path = _fs(spark, f"{root}/{LOG}")
+    if not fs.exists(path):
+        return []
+    lines = spark.read.option("pathGlobFilter", "*.json").text(f"{root}/{LOG}").collect()
+    return [json.loads(r["value"]) for r in lines]
+
+
 # -- writing ----------------------------------------------------------------------------
 
 def publish(df: DataFrame, root: str, batch_id: int, input_rows: int | None = None, revision: int = 0) -> bool:
@@ -104,7 +113,7 @@ def publish(df: DataFrame, root: str, batch_id: int, input_rows: int | None = No
     back = spark.read.schema(out.schema).parquet(f"{root}/{path}")
     outcome = F.col(OUTCOME_COLUMN) if outcomes else F.lit("rows")
     counts = {r["o"]: r["n"] for r in back.groupBy(outcome.alias("o")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    return _commit(spark, root, {
+    return commit_file(spark, root, {
         "name": name, "kind": "batch", "batch_id": batch_id, "revision": revision, "path": path, "covers": [],
         "fields": out.schema.json(), "outcomes": outcomes,
         "input_rows": sum(counts.values()) if input_rows is None else input_rows, "counts": counts})
@@ -201,7 +210,7 @@ def compact(spark: SparkSession, root: str, rows_per_file: int = ROWS_PER_FILE)
     place = [BATCH_COLUMN, F.xxhash64(*[c for c in rows.columns if not c.startswith("_")])]
     writer = rows.repartitionByRange(files, *place).sortWithinPartitions(BATCH_COLUMN).write.mode("error")
     (writer.partitionBy(OUTCOME_COLUMN) if outcomes else writer).parquet(f"{root}/{path}")
-    return _commit(spark, root, {
+    return commit_file(spark, root, {
         "name": name, "kind": "compact", "batch_id": None, "revision": None, "path": path,
         "covers": [e["name"] for e in todo], "fields": schema.json(), "outcomes": outcomes, "input_rows": None,
         "counts": counts})
