@@ -22,6 +22,7 @@ from strata.plans.registry import register
 from strata.session import scratch_dir
 from strata.sinks.writers import (
     copy_query_to_parquet,
+    load_missing,
     load_unless_count,
     text_rows,
     write_csv,
@@ -236,6 +237,24 @@ def count_guarded_load(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@register("count_guarded_resume", f"""
+SELECT *, 'banks' AS load_token FROM ({src.BANKS_SQL}) UNION ALL
+SELECT *, 'earlier' FROM ({src.BANKS_SQL}) WHERE s_suppkey % 5 = 0
+""")
+def count_guarded_resume(spark, sf_dir):
+    """A load that was cut off with a third of its rows in the target is run
+    again, twice: completed, not doubled, whatever another load left there."""
+    target = scratch_dir(spark, "resumed")
+    banks = src.banks(spark, sf_dir)
+    third = banks.where("s_suppkey % 3 = 0").withColumn("load_token", F.lit("banks"))
+    other = banks.where("s_suppkey % 5 = 0").withColumn("load_token", F.lit("earlier"))
+    write_parquet(third.unionByName(other), target)
+    for _ in range(2):
+        load_missing(banks, lambda: spark.read.parquet(target), lambda df: write_parquet(df, target, mode="append"),
+                     "banks", "s_suppkey")
+    return spark.read.parquet(target)
+
+
 # -- L4, K10, P7, P21: SQL models source, clean, trusted -----------------------------------
 
 def _k_sql(expr: str, pattern: str = P) -> str:

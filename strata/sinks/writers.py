@@ -9,6 +9,7 @@ partial output behind.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -159,6 +160,54 @@ def load_unless_count(target_count: Callable[[], int], expected: int, load: Call
     return True
 
 
+TOKEN_COLUMN = "load_token"
+
+
+def load_missing(source: DataFrame, read_target: Callable[[], DataFrame], write: Callable[[DataFrame], None],
+                 token: str, key: str | list[str] | None = None) -> int:
+    """Append to a target the rows of ``source`` that a load named ``token`` has
+    not written there yet; returns how many were missing.
+
+    Rows are written with the load's name in ``load_token``. A load that was
+    cut off is completed by running it again, one that is whole adds nothing,
+    and rows of other loads do not count. With ``key`` (unique in ``source``,
+    else the load fails) only the target's keys are read and compared, nulls
+    being equal; without it whole rows are compared, as often as they occur.
+    ``read_target`` and ``write`` read and append to the target (Parquet,
+    table or database); a target that does not exist counts as empty.
+    """
+    def done() -> DataFrame | None:
+        try:
+            return read_target().where(F.col(TOKEN_COLUMN) == token)
+        except AnalysisException as e:
+            if e.getCondition() not in NOT_FOUND:
+                raise
+            return None
+
+    before = done()
+    keys = [key] if isinstance(key, str) else list(key or [])
+    if keys:
+        twice = source.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        repeated = twice.limit(1).collect()
+        if repeated:
+            raise ValueError(f"load_missing: key {tuple(repeated[0])[:-1]} repeats in the source")
+    rows = source
+    if before is not None and keys:
+        have = before.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
+        same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+        rows = source.join(have, reduce(lambda a, b: a & b, same), "left_anti")
+    elif before is not None:
+        rows = source.exceptAll(before.select(*[F.col(f"`{c}`") for c in source.columns]))
+    # Stored first: what is missing must not be worked out again while the target grows.
+    path = scratch_dir(source.sparkSession, "missing")
+    rows.withColumn(TOKEN_COLUMN, F.lit(token)).write.parquet(path)
+    missing = source.sparkSession.read.parquet(path)
+    n = missing.count()
+    if n:
+        write(missing)
+    return n
+
+
 def write_messages(df: DataFrame, path: str, records_per_file: int | None = None,
                    mode: str = "overwrite") -> None:
     """One JSON object per row, one row per line, as text files.

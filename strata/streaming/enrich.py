@@ -105,6 +105,28 @@ def read_batches(spark: SparkSession, root: str, keep_batch_id: bool = False,
     return df if keep_batch_id else df.drop(BATCH_COLUMN)
 
 
+HASH_COLUMN = "_hash"
+# Fixed value: the setting under which hashes of collated strings follow the collation.
+COLLATED_HASHES = "spark.sql.legacy.collationAwareHashFunctions"
+
+
+def collated_hash(c: Column, collation: str) -> Column:
+    """A number that is the same for all strings that are equal under the collation."""
+    return F.xxhash64(F.collate(c, collation))
+
+
+def enable_collated_hashes(spark: SparkSession, collation: str) -> None:
+    """Makes ``collated_hash`` hold in this session (and streams started in it);
+    fails if it does not. Hashes of other strings are not affected."""
+    spark.conf.set(COLLATED_HASHES, "true")
+    pair = spark.range(1).select(collated_hash(F.lit("\u00c9"), collation).alias("a"),
+                                 collated_hash(F.lit("e"), collation).alias("b"),
+                                 (F.collate(F.lit("\u00c9"), collation) == F.collate(F.lit("e"), collation)).alias("same"))
+    row = pair.first()
+    if row["same"] and row["a"] != row["b"]:
+        raise RuntimeError(f"hashes do not follow collation {collation} in this session")
+
+
 def prepare_reference(table: DataFrame, path: str, key: str = KEY_COLUMN,
                       collation: str | None = CI_AI) -> DataFrame:
     """One stored key per match key, written once to shared storage.
@@ -113,13 +135,22 @@ def prepare_reference(table: DataFrame, path: str, key: str = KEY_COLUMN,
     files carry no collation metadata. It is broadcast when its measured size
     bound is under the broadcast limit.
 
-    Matched on exact keys (``collation=None``), a reference too large to
-    broadcast is saved again as a table bucketed on the match key, with as
-    many buckets as shuffle partitions (so the join keeps its partitioning):
-    each batch's join then shuffles the batch only, never the reference.
+    A reference too large to broadcast is saved again as a table bucketed on
+    the match key or, under a collation, on a stored hash that is equal for
+    equal keys (the join then compares the keys themselves, too). It has as
+    many buckets as shuffle partitions, so each batch's join shuffles the
+    batch only, never the reference.
     """
     ref = reference_keys(table, key, collation).select(F.col("_match").cast("string").alias("_match"), "_stored")
-    return stored_reference(ref, path, "_match" if collation is None else None)
+    ref.write.mode("overwrite").parquet(path)
+    stored = table.sparkSession.read.parquet(path)
+    if is_small(stored):
+        return F.broadcast(stored)
+    if collation is None:
+        return save_bucketed(stored, f"{path}_bucketed", "_match")
+    enable_collated_hashes(table.sparkSession, collation)
+    hashed = stored.withColumn(HASH_COLUMN, collated_hash(F.col("_match"), collation))
+    return save_bucketed(hashed, f"{path}_bucketed", HASH_COLUMN)
 
 
 def stored_reference(df: DataFrame, path: str, bucket_on: str | None = None) -> DataFrame:
@@ -174,11 +205,18 @@ def _classify(batch: DataFrame, ref: DataFrame, key: str, collation: str | None)
     match = F.collate(alive, collation) if collation else alive
     ref_match = F.collate(F.col("_match"), collation) if collation else F.col("_match")
     probe = batch.withColumn("_m", match)
-    r = ref.select(ref_match.alias("_m"), "_stored")
     hit = F.col("_stored").isNotNull()
     cols = [(F.when(hit, F.col("_stored")).otherwise(alive).alias(key) if c == key else F.col(f"`{c}`"))
             for c in batch.columns]
-    return probe.join(r, "_m", "left").select(*cols, _outcome(hit))
+    if HASH_COLUMN in ref.columns:
+        # Buckets are those of the hash alone. Equality of the keys is asked for
+        # as two comparisons, which are no further join key to deal rows by.
+        r = ref.select(F.col(HASH_COLUMN).alias("_h"), ref_match.alias("_r"), "_stored")
+        equal = (F.col("_m") >= F.col("_r")) & (F.col("_m") <= F.col("_r"))
+        joined = probe.withColumn("_p", collated_hash(alive, collation)).join(r, (F.col("_p") == F.col("_h")) & equal, "left")
+    else:
+        joined = probe.join(ref.select(ref_match.alias("_m"), "_stored"), "_m", "left")
+    return joined.select(*cols, _outcome(hit))
 
 
 def enrich_batch_fn(ref: DataFrame, out_root: str, field: str, key: str = KEY_COLUMN,

@@ -13,6 +13,7 @@ from strata.functions.messages import nan_text_to_null, nan_to_null, parse_messa
 from strata.functions.names import lower_name
 from strata.session import to_local_path
 from strata.sinks.writers import (
+    load_missing,
     load_unless_count,
     save_table,
     text_rows,
@@ -239,3 +240,32 @@ def test_skip_long_lines_with_quotes_anywhere(spark, scratch, lines):
     schema = StructType([StructField(c, StringType()) for c in "abc"])
     got = read_csv_skip_long_lines(spark, path, schema, sep="\t")
     assert sorted(r["a"] for r in got.collect()) == sorted(kept["a"])
+
+
+def test_a_load_that_was_cut_off_is_completed(spark, scratch):
+    read = lambda: spark.read.parquet(scratch)
+    append = lambda df: write_parquet(df, scratch, mode="append")
+    df = spark.createDataFrame([(i if i else None, f"v{i % 3}") for i in range(9)], "k int, v string")
+    assert load_missing(df.where("k < 4"), read, append, "a", "k") == 3      # no target yet; cut off
+    assert load_missing(df, read, append, "a", "k") == 6
+    assert load_missing(df, read, append, "a", "k") == 0
+    assert load_missing(df, read, append, "b", "k") == 9                     # another load of the same rows
+    got = sorted((str(r["k"]), r["v"]) for r in read().where("load_token = 'a'").collect())
+    assert got == sorted((str(r["k"]), r["v"]) for r in df.collect())
+    with pytest.raises(ValueError, match="repeats"):
+        load_missing(df.unionAll(df), read, append, "c", "k")
+
+
+def test_a_load_without_key_compares_rows_as_often_as_they_occur(spark, scratch):
+    read = lambda: spark.read.parquet(scratch)
+    append = lambda df: write_parquet(df, scratch, mode="append")
+    df = spark.createDataFrame([(1, None), (1, None), (1, None), (2, "x")], "k int, v string")
+    append(df.limit(2).withColumn("load_token", F.lit("a")))
+    assert load_missing(df, read, append, "a") == 2 and load_missing(df, read, append, "a") == 0
+    assert sorted((r["k"], str(r["v"])) for r in read().collect()) == sorted((r["k"], str(r["v"])) for r in df.collect())
+
+    def broken():
+        raise TimeoutError("no answer")
+
+    with pytest.raises(TimeoutError):
+        load_missing(df, broken, append, "a")

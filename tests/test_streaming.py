@@ -184,3 +184,48 @@ def test_bucketed_reference_one_file_a_bucket_and_one_table(spark, scratch):
         save_bucketed(df, f"{scratch}/bucketed", "campo_limpo", buckets=4)
     files = [f for f in os.listdir(to_local_path(f"{scratch}/bucketed")) if f.startswith("part-")]
     assert len(files) == 4 and len(names() - before) == 1
+
+
+def test_equal_under_the_collation_is_equal_by_hash(spark):
+    """All code points, pairs of them and random strings: one hash a class."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from strata.operators.joins import CI_AI
+    from strata.streaming.enrich import collated_hash, enable_collated_hashes
+
+    enable_collated_hashes(spark, CI_AI)
+    rng = random.Random(4)
+    letters = [*"aAeEéÉßæÆøØıİﬁŁłñÑ", "ss", "ae", "e\u0301", "\u00ad", "\u200d", " ", "ａ", "１", "1", "-", "Σ", "ς", "σ"]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 4))) for _ in range(30_000)]
+    points = spark.range(0x110000).where("id NOT BETWEEN 55296 AND 57343").select(F.col("id").cast("int").alias("p"))
+    one = points.select(F.decode(F.unhex(F.lpad(F.hex("p"), 8, "0")), "UTF-32").alias("s"))
+    wide = one.select(F.concat(F.lit("x"), "s", F.lit("E")).alias("s"))
+    texts = one.union(wide).union(spark.createDataFrame([(w,) for w in words], "s string"))
+    classes = texts.groupBy(F.collate("s", CI_AI).alias("k")).agg(
+        F.count_distinct(collated_hash(F.col("s"), CI_AI)).alias("n"), F.count(F.lit(1)).alias("m"))
+    found = classes.agg(F.max("n"), F.max("m"), F.count(F.lit(1))).first()
+    assert found[0] == 1 and found[1] > 100 and found[2] > 100_000
+
+
+def test_large_collated_reference_is_bucketed_so_batches_shuffle_alone(spark, scratch):
+    from strata.functions.keys import with_clean_key
+    from strata.operators.joins import CI_AI
+    from strata.streaming.enrich import _classify
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        ref = prepare_reference(reference(spark), f"{scratch}/ref")
+        batch = spark.createDataFrame([(1, "ITAU S.A.", 1.0), (2, "Banco acao S.A.", 2.0), (3, "Itaú", 3.0),
+                                       (4, "Nobody", 4.0), (5, None, 5.0), (6, "BANCO ÃÇÃO", 6.0)], SCHEMA)
+        out = _classify(with_clean_key(batch, "inst", null_key="sentinel"), ref, "campo_limpo", CI_AI)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = sorted((r["id"], r["campo_limpo"], r["outcome"]) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert rows == [(1, "ITAU", "matched"), (2, "BANCO AÇÃO", "matched"), (3, "ITAU", "matched"),
+                    (4, "NOBODY", "rejected"), (5, None, "rejected"), (6, "BANCO AÇÃO", "matched")]
