@@ -57,6 +57,7 @@ def main(argv: list[str] | None = None) -> int:
                      help="delivery column to drop if present (repeatable; default the unnamed trailing column)")
     lay.add_argument("--sep", action="append", help="FAMILY=SEPARATOR of the source files (repeatable)")
     lay.add_argument("--encoding", action="append", help="FAMILY=ENCODING of the source files (default: detected)")
+    lay.add_argument("--incremental", action="store_true", help="read only files that are new or changed since the last load")
     lay.add_argument("--raw-encoding", default="ISO-8859-1", help="encoding of the raw CSV layer")
     lay.add_argument("--key-field", action="append", help="FAMILY=COLUMN the key is derived from (repeatable)")
     chk = sub.add_parser("checks", help="data-quality checks on a Parquet table")
@@ -80,6 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     que.add_argument("--out", required=True)
     que.add_argument("--checkpoint", default=None, help="stream checkpoint (default: OUT/_checkpoint)")
     que.add_argument("--files-per-batch", type=int, default=None)
+    que.add_argument("--outcomes", action="store_true", help="keep messages without a partner and broken bodies, too")
     mod = sub.add_parser("models", help="SQL models source -> clean -> trusted over a Parquet source")
     mod.add_argument("--source", required=True, help="Parquet path of the source table")
     mod.add_argument("--field", required=True, help="name column the key is derived from")
@@ -90,10 +92,17 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session(app_name=f"strata-{args.cmd}")
     if args.cmd == "layers":
+        from strata.plans.incremental import load_incremental, read_delivery
         from strata.plans.layers import run_layers
         shape = {"name_rule": args.name_rule}
         if args.drop:
             shape["drop"] = tuple(args.drop)
+        if args.incremental:
+            done = load_incremental(spark, _pairs("--source", args.source), args.root, null_key=args.null_key,
+                                    families=_families(_pairs("--sep", args.sep), _pairs("--encoding", args.encoding)),
+                                    key_fields=_pairs("--key-field", args.key_field), **shape)
+            print(json.dumps(done | {"rows": read_delivery(spark, args.root).count()}))
+            return 0
         out = run_layers(spark, _pairs("--source", args.source), args.root, args.raw_format, args.null_key,
                          families=_families(_pairs("--sep", args.sep), _pairs("--encoding", args.encoding)),
                          encoding=args.raw_encoding, key_fields=_pairs("--key-field", args.key_field), **shape)
@@ -108,11 +117,12 @@ def main(argv: list[str] | None = None) -> int:
         return 0 if all(r["passed"] for r in rows) else 1
     elif args.cmd == "queue":
         from strata.streaming.enrich import message_stream, progress_summary, start_queue_enrichment
+        checkpoint = args.checkpoint or f"{args.out}/_checkpoint"
         q = start_queue_enrichment(spark, message_stream(spark, args.messages, args.files_per_batch), args.schema,
-                                   spark.read.parquet(args.reference), args.out,
-                                   args.checkpoint or f"{args.out}/_checkpoint", field=args.field)
+                                   spark.read.parquet(args.reference), args.out, checkpoint, field=args.field,
+                                   outcomes=args.outcomes)
         q.awaitTermination()
-        print(json.dumps(progress_summary(q, spark, f"{args.out}/batches"), default=str))
+        print(json.dumps(progress_summary(q, spark, f"{args.out}/batches", args.messages, checkpoint), default=str))
     elif args.cmd == "models":
         from strata.functions.keys import KEY_PATTERN, KEY_PATTERN_UNESCAPED_DOTS
         from strata.plans.models import clean_and_trusted
@@ -123,12 +133,12 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"trusted": f"{args.out}/{args.prefix}_trusted", "rows": out.count()}))
     else:
         from strata.streaming.enrich import message_stream, progress_summary, start_enrichment
+        checkpoint = args.checkpoint or f"{args.out}/_checkpoint"
         q = start_enrichment(spark, message_stream(spark, args.messages, args.files_per_batch), args.schema,
-                             spark.read.parquet(args.reference), args.out,
-                             args.checkpoint or f"{args.out}/_checkpoint",
+                             spark.read.parquet(args.reference), args.out, checkpoint,
                              field=args.field, collation=None if args.no_collation else "UNICODE_CI_AI")
         q.awaitTermination()
-        print(json.dumps(progress_summary(q, spark, args.out), default=str))
+        print(json.dumps(progress_summary(q, spark, args.out, args.messages, checkpoint), default=str))
     return 0
 
 

@@ -18,9 +18,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from strata.sources.records import ASCII_BASED, blank, header_names, irregular, raw_lines, read_records
+from strata.session import scratch_dir
+from strata.sources.records import ASCII_BASED, blank, header_names, irregular, open_after, raw_lines, read_records
 from strata.sources.types import infer_types
 
 LATIN_1 = "ISO-8859-1"
@@ -86,9 +87,9 @@ def list_files(spark: SparkSession, path: str, extensions: tuple[str, ...] = (".
 
 def survey(spark: SparkSession, path: str | list[str], fam: Family) -> DataFrame:
     """One row a file with data: ``path``, ``header`` (bytes of its first line that
-    is not blank), ``utf8`` (every line is valid UTF-8) and ``irregular`` (some
-    line holds quotes other than around whole fields). One scan, reduced on
-    the map side."""
+    is not blank), ``utf8`` (every line is valid UTF-8), ``irregular`` (some line
+    holds quotes other than around whole fields) and ``cut`` (a quoted field
+    is open at the end of the header line). One scan, reduced on the map side."""
     if _by_bytes(fam):
         lines = raw_lines(spark, path, fam.extensions)
         utf8, odd = F.is_valid_utf8(F.col("value")), irregular(F.col("value"), fam.sep)
@@ -103,7 +104,8 @@ def survey(spark: SparkSession, path: str | list[str], fam: Family) -> DataFrame
     place = F.when(head.isNotNull(), F.struct("start", "n"))
     return (lines.withColumn("n", F.monotonically_increasing_id()).groupBy("path")
             .agg(F.min_by(head, place).alias("header"), F.bool_and(utf8).alias("utf8"),
-                 F.bool_or(odd).alias("irregular")).where("header IS NOT NULL"))
+                 F.bool_or(odd).alias("irregular")).where("header IS NOT NULL")
+            .withColumn("cut", open_after(F.col("header").cast("string"), fam.sep)))
 
 
 def _by_bytes(fam: Family) -> bool:
@@ -172,13 +174,14 @@ def read_family(spark: SparkSession, path: str | list[str], family: Family | str
     found = survey(spark, path, fam).persist()
     try:
         total = found.agg(F.bool_and("utf8").alias("utf8"), F.bool_or("irregular").alias("irregular"),
-                          F.count_distinct("header").alias("n"), F.min("header").alias("header")).first()
+                          F.count_distinct("header").alias("n"), F.min("header").alias("header"),
+                          F.bool_or("cut").alias("cut")).first()
         if not total["n"]:
             raise FileNotFoundError(f"no {fam.extensions} file with data under {path}")
         if fam.encoding == DETECT:
             fam = replace(fam, encoding="UTF-8" if total["utf8"] else LATIN_1)
         if total["irregular"]:
-            df = _by_records(spark, path, fam, with_file)
+            df = _by_records(spark, path, fam, found, total["cut"], with_file)
         elif not fam.header or total["n"] == 1:
             whole = _reader(spark, fam).options(recursiveFileLookup="true", pathGlobFilter=glob)
             if fam.header:
@@ -200,23 +203,33 @@ def _header_groups(found: DataFrame) -> list[tuple[bytes, list[str]]]:
     return sorted(((r["header"], list(r["files"])) for r in groups), key=lambda g: g[1][0])
 
 
-def _by_records(spark: SparkSession, path: str | list[str], fam: Family, with_file: bool = False) -> DataFrame:
-    """A family read record by record: the headers (first records) say where in a
-    file's records each column is; only distinct headers reach the driver."""
+def _by_records(spark: SparkSession, path: str | list[str], fam: Family, found: DataFrame, cut: bool,
+                with_file: bool = False) -> DataFrame:
+    """A family read record by record: the headers say where in a file's records
+    each column is; only distinct headers reach the driver. Headers are those
+    of the survey, or (``cut``: one of them has a line feed) the first records."""
     lines = raw_lines(spark, path, fam.extensions)
     rows = read_records(lines, fam.sep, fam.encoding)
     file = [F.col("file").alias(FILE_COLUMN)] if with_file else []
     if not fam.header:
         width = rows.agg(F.max(F.size("fields"))).first()[0]
         return rows.select(*[F.get("fields", F.lit(k)).alias(f"_c{k}") for k in range(width)], *file)
-    firsts = read_records(lines, fam.sep, fam.encoding, only_first=True).select("file", "fields")
-    headers = [r["fields"] for r in firsts.groupBy("fields").agg(F.min("file").alias("f")).orderBy("f").collect()]
-    names = {tuple(h): header_names(h) for h in headers}
-    columns = list(dict.fromkeys(n for h in names.values() for n in h))
-    places = spark.createDataFrame([(list(h), [own.index(c) if c in own else -1 for c in columns])
-                                    for h, own in names.items()], "fields array<string>, at array<int>")
-    # One row a file, broadcast: no more than the files that every scan is planned with.
-    files = firsts.join(F.broadcast(places), "fields").select("file", "at")
+    # One row a file, stored: the scan and the list of headers both need it.
+    if cut:
+        headers = read_records(lines, fam.sep, fam.encoding, only_first=True).select("file", "fields")
+    else:
+        headers = found.select(F.xxhash64("path").alias("file"), F.col("header").alias("fields"))
+    target = scratch_dir(spark, "headers")
+    headers.write.parquet(target)
+    headers = spark.read.parquet(target)
+    distinct = [r["fields"] for r in headers.groupBy("fields").agg(F.min("file").alias("f")).orderBy("f").collect()]
+    names = [header_names(h) if cut else _header_names(h, fam) for h in distinct]
+    columns = list(dict.fromkeys(n for own in names for n in own))
+    places = spark.createDataFrame([(h, [own.index(c) if c in own else -1 for c in columns])
+                                    for h, own in zip(distinct, names, strict=True)],
+                                   StructType([headers.schema["fields"], StructField("at", ArrayType(IntegerType()))]))
+    # No more rows than the files that every scan is planned with.
+    files = headers.join(F.broadcast(places), "fields").select("file", "at")
     out = rows.where(~F.col("first")).join(F.broadcast(files), "file")
     return out.select(*[F.when(F.col("at")[k] >= 0, F.get("fields", F.col("at")[k])).alias(c)
                         for k, c in enumerate(columns)], *file)

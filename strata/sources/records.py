@@ -67,6 +67,11 @@ def open_after(line: Column, sep: str) -> Column:
     return F.when(F.contains(line, F.lit('"')), F.rlike(rest, F.lit(at + '"'))).otherwise(False)
 
 
+def stays_open(line: Column, sep: str) -> Column:
+    """Whether a quoted field is open at the end of a line that starts inside one."""
+    return F.when(F.contains(line, F.lit('"')), open_after(F.concat(F.lit('"'), line), sep)).otherwise(True)
+
+
 def irregular(line: Column, sep: str) -> Column:
     """Whether a line holds quotes other than those around whole fields: it is
     part of a longer record, or text stands next to a quote."""
@@ -78,8 +83,7 @@ def irregular(line: Column, sep: str) -> Column:
 
 def blank(line: Column, sep: str) -> Column:
     """Whether a line holds nothing but blanks and tabs that separate nothing."""
-    space = "".join(c for c in " \t" if c != sep)
-    return F.rlike(line, F.lit(f"^[{space}\\r]*$"))
+    return F.trim(line, F.lit("".join(c for c in " \t\r" if c != sep))) == ""
 
 
 def _segments(batch: pa.RecordBatch, names: tuple[str, str] = ("file", "start")) -> Iterator[tuple[int, int, int, int]]:
@@ -133,9 +137,8 @@ def blocks(lines: DataFrame, sep: str) -> DataFrame:
 
     The combination over blocks is a window over one small row a block.
     """
-    quoted = F.concat(F.lit('"'), F.col("value"))
     flags = lines.select("file", "start", open_after(F.col("value"), sep).alias("c"),
-                         open_after(quoted, sep).alias("o"), blank(F.col("value"), sep).alias("b"))
+                         stays_open(F.col("value"), sep).alias("o"), blank(F.col("value"), sep).alias("b"))
     found = flags.mapInArrow(
         _summarise, "file long, start long, if_closed boolean, if_open boolean, through boolean, blank boolean")
     order = Window.partitionBy("file").orderBy("start")
@@ -303,7 +306,7 @@ def read_records(lines: DataFrame, sep: str, encoding: str, only_first: bool = F
         known = (known.join(starts, "file").where(F.col("first") | (F.col("owner") == F.col("head"))).drop("head"))
     text = F.col("value")
     flagged = lines.select(text.cast("binary").alias("value"), *BLOCK, open_after(text, sep).alias("c"),
-                           open_after(F.concat(F.lit('"'), text), sep).alias("o"))
+                           stays_open(text, sep).alias("o"))
     inside = flagged.join(F.broadcast(known), BLOCK).mapInArrow(_inside(sep, encoding, only_first), _SCHEMA)
     edge = known.where("open OR left_open")
     pieces = flagged.join(F.broadcast(edge), BLOCK).mapInArrow(

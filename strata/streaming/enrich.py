@@ -40,6 +40,7 @@ from strata.functions.messages import (
 )
 from strata.functions.names import cast_all_to_string, drop_columns, drop_suffixed, rename_all, strip_suffix
 from strata.operators.joins import CI_AI, is_small, merge, natural_join, reference_keys
+from strata.streaming.backlog import backlog
 from strata.streaming.published import (
     BATCH_COLUMN,
     DEAD,
@@ -391,12 +392,18 @@ def progress_totals(spark: SparkSession, root: str) -> DataFrame:
     return commits(spark, root).where("kind = 'batch' AND revision = 0").select(BATCH_COLUMN, "input_rows")
 
 
-def progress_summary(query: StreamingQuery, spark: SparkSession, root: str) -> dict:
+def progress_summary(query: StreamingQuery, spark: SparkSession, root: str, folder: str | None = None,
+                     checkpoint: str | None = None) -> dict:
     """Batches written and rows read under ``root`` so far (all of them, over
-    restarts), and from the running query its latest batch and backlog."""
+    restarts), and from the running query its latest batch; with the source's
+    ``folder`` and the ``checkpoint`` also the messages and files left."""
     totals = progress_totals(spark, root).agg(F.count(F.lit(1)), F.coalesce(F.sum("input_rows"), F.lit(0))).first()
     last = query.lastProgress or {}
-    return {
+    left = {}
+    if folder and checkpoint:
+        row = backlog(spark, folder, checkpoint).agg(F.coalesce(F.sum("messages"), F.lit(0)), F.count(F.lit(1))).first()
+        left = {"messages_left": int(row[0]), "files_left": int(row[1])}
+    return left | {
         "batches": int(totals[0]),
         "input_rows": int(totals[1]),
         "last_batch_rows": int(last.get("numInputRows", 0)) if last else 0,

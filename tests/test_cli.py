@@ -85,3 +85,19 @@ def test_streams_go_on_after_the_last_batch(spark, scratch, capsys):
         total = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
         ids = sorted(int(r["id"]) for r in spark.read.parquet(batches).collect())
         assert ids == sorted(set(ids)) and len(ids) == total["input_rows"] == (7 if command == "enrich" else 8)
+
+
+def test_incremental_layers_command(spark, scratch, capsys):
+    d = to_local_path(scratch)
+    files = {"Bancos": "Segmento\tNome\nS1\tBANCO X S.A.\n", "Reclamacoes": "Ano;Instituição financeira\n2021;BANCO X\n",
+             "Empregados": "employer_name|Geral\nBanco X|4\n"}
+    for name, text in files.items():
+        os.makedirs(f"{d}/{name}")
+        with open(f"{d}/{name}/a.csv", "w", encoding="utf-8") as f:
+            f.write(text)
+    args = ["layers", "--incremental", "--root", f"{d}/out", *[x for n in files for x in ("--source", f"{n}={d}/{n}")]]
+    said = []
+    for _ in range(2):
+        assert main(args) == 0
+        said.append(json.loads(capsys.readouterr().out.strip().splitlines()[-1]))
+    assert [(r["load"], r["files_read"], r["rows"]) for r in said] == [(1, 3, 1), (1, 0, 1)]
