@@ -30,20 +30,43 @@ def _located(text: Column, pattern: str, matches: Column, values: Column, kind:
     """Matches as ``(start, kind, end, value_start, value)`` in code points.
 
     The texts between the matches (``split``) and the matches themselves
-    cover the text, so running lengths give every position.
+    cover the text, so running lengths give every position. An accumulator
+    that grows is copied at every step, so positions are first found within
+    blocks of about the square root of the number of matches and then moved
+    by the lengths of the blocks before.
     """
     one = F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)).alias("gap"),
                        matches.alias("match"), values.alias("value"))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,value_start:int,value:string>>")
 
+    def moved(start, end, value_start, value):
+        return F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
+                        value_start.alias("value_start"), value.alias("value"))
+
     def step(acc, x):
         start = acc["pos"] + F.length(x["gap"])
         end = start + F.length(x["match"])
-        found = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
-                         (end - F.length(x["value"])).alias("value_start"), x["value"].alias("value"))
+        found = moved(start, end, end - F.length(x["value"]), x["value"])
         return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(found)).alias("out"))
 
-    located = F.aggregate(one, F.struct(F.lit(0).alias("pos"), empty.alias("out")), step, lambda a: a["out"])
+    def block(items):
+        return F.aggregate(items, F.struct(F.lit(0).alias("pos"), empty.alias("out")), step)
+
+    def blocks(items):
+        size = F.ceil(F.sqrt(F.size(items))).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int")),
+                           lambda k: block(F.slice(items, k * size + 1, size)))
+
+    def before(acc, b):
+        return F.struct((acc["pos"] + b["pos"]).alias("pos"), F.concat(acc["at"], F.array(acc["pos"])).alias("at"))
+
+    def together(found):
+        starts = F.aggregate(found, F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("at")), before)["at"]
+        return F.flatten(F.zip_with(found, starts, lambda b, at: F.transform(
+            b["out"], lambda x: moved(x["start"] + at, x["end"] + at, x["value_start"] + at, x["value"]))))
+
+    # Lists of one item bind what is used more than once.
+    located = F.transform(F.transform(F.array(one), blocks), together)[0]
     return F.when(F.size(matches) > 0, located).otherwise(empty)
 
 

@@ -143,3 +143,20 @@ def test_packing_whole_table(spark):
 
 def test_packing_empty(spark):
     assert pack(spark.createDataFrame([], DOC_DDL), VOCABULARY).count() == 0
+
+
+def test_many_matches_in_one_text(spark):
+    """Positions take time in proportion to the matches (but for a square root)."""
+    import time
+
+    from strata.llm.secrets import candidates
+
+    seconds = {}
+    for n in (1, 2, 7, 1000, 32_000, 100_000):
+        text = "é ".join(f"{i:016x}" for i in range(n))
+        df = spark.createDataFrame([(text,)], "t string")
+        began = time.time()
+        found = candidates(df, "t").select("_x_found").first()[0]
+        seconds[n] = time.time() - began
+        assert [(f["start"], f["end"], f["value"]) for f in found] == [(18 * i, 18 * i + 16, f"{i:016x}") for i in range(n)]
+    assert seconds[100_000] < 60
