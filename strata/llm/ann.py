@@ -25,6 +25,7 @@ SHARE = 0.10          # part of a shard that is reranked, best footrule first
 LEAST = 1000          # but at least so many, and on while the answer changes
 SHARD_ROWS = 16_384
 QUERY_ROWS = 4_096
+ABSENT = 2 ** 14      # a rank beyond all others
 
 
 def valid_vectors(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -89,39 +90,49 @@ def _search(n_pivots: int, k: int, asked: int, share: float, least: int):
             def rows(t, name, kind):
                 return np.frombuffer(b"".join(t[name].to_pylist()), kind).reshape(t.num_rows, -1)
 
-            v = np.ascontiguousarray(rows(shard, "v", np.float64)[order].T)
+            v = rows(shard, "v", np.float64)[order]
+            # Rounding of a product, whatever the order of its sums (and more).
+            slack = 1e-9 * np.sqrt((v * v).sum(axis=1).max())
             posted = rows(shard, "posted", np.uint16)[order]
             depth = posted.shape[1]
-            # Inverted files: vectors and ranks by pivot.
-            by = np.argsort(posted.ravel(), kind="stable")
-            vectors, ranks = (by // depth).astype(np.int32), (by % depth).astype(np.int16)
-            first = np.searchsorted(posted.ravel()[by], np.arange(n_pivots + 1))
+            # Inverted files: by pivot, the rank it has for each vector of the
+            # shard. A quarter of the vectors is posted under a pivot, so a
+            # file is a whole row, in which ABSENT marks the others.
+            files = np.full((n_pivots, len(ids)), ABSENT, np.int16)
+            files[posted, np.arange(len(ids))[:, None]] = np.arange(depth, dtype=np.int16)
+            term = np.empty(len(ids), np.int16)
             take = max(least, int(np.ceil(share * len(ids))), k + 1)
             top = depth * asked
             kind = np.int16 if top < 2 ** 15 else np.int32
             for q, qv, own in zip(queries["vec_id"].to_pylist(), rows(queries, "v", np.float64),
                                   rows(queries, "asked", np.uint16)[:, :asked], strict=True):
-                # Footrule with absent pivots at rank `depth`, as gain over that.
-                gain = np.zeros(len(ids), np.int32)
+                # Footrule with absent pivots at rank `depth`, as gain over that:
+                # a posted vector gains at least one, an absent one nothing.
+                gain = np.zeros(len(ids), kind)
                 for rank, pivot in enumerate(own.tolist()):
-                    a, b = first[pivot], first[pivot + 1]
-                    gain[vectors[a:b]] += (depth - rank) - np.abs(ranks[a:b] - rank)
+                    np.subtract(files[pivot], np.int16(rank), out=term)
+                    np.abs(term, out=term)
+                    np.subtract(np.int16(depth - rank), term, out=term)
+                    np.maximum(term, 0, out=term)
+                    gain += term
                 # Best footrule first, ties to the smaller id. Reranking goes on
                 # as long as the last candidates changed the answer.
-                ranked = np.argsort(top - gain.astype(kind), kind="stable")
+                ranked = np.argsort(top - gain, kind="stable")
                 near, score, done = np.empty(0, np.int64), np.empty(0), 0
+                close = slack * np.sqrt((qv * qv).sum())
                 while done < len(ids):
                     upto = take if not done else done + max(least, take) // 2
                     more = ranked[done:upto]
-                    # Component by component: equal vectors get equal scores.
-                    fresh = np.zeros(len(more))
-                    for d in range(len(v)):
-                        fresh += v[d, more] * qv[d]
-                    if done and (fresh < np.partition(score, -(k + 1))[-(k + 1)]).all():
+                    fresh = v[more] @ qv
+                    if done and (fresh < np.partition(score, -(k + 1))[-(k + 1)] - close).all():
                         break
                     near, score, done = np.concatenate([near, more]), np.concatenate([score, fresh]), upto
-                by_id = np.argsort(near)
-                near, score = near[by_id], score[by_id]
+                # Scores of the best are summed component by component, so that
+                # equal vectors get equal scores.
+                if len(score) > k + 1:
+                    near = near[score >= np.partition(score, -(k + 1))[-(k + 1)] - 2 * close]
+                near = np.sort(near)
+                score = np.cumsum(v[near] * qv, axis=1)[:, -1]
                 best = np.argsort(-score, kind="stable")[:k + 1]
                 found = [every[first_member[i]:last_member[i]] for i in near[best].tolist()]
                 score = np.repeat(score[best], [len(x) for x in found])
