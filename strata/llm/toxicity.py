@@ -340,7 +340,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc
     ``keep_text``), ``score`` (0 to 1), ``n_abuse`` and ``n_quoted``.
 
     Only labelled rows for which the condition ``train`` (over ``id_col``)
-    holds are learned from; a score depends on the text alone. A misspelling
+    holds are learned from; a score depends on the text and, where it holds a
+    misspelling, on how frequent words are in the rows scored: a misspelling
     counts if it is no word of its own: it must be rarer in the corpus than
     half its term, and labelled rows must not show it outside toxic rows.
 
