@@ -86,9 +86,9 @@ def blank(line: Column, sep: str) -> Column:
     return F.trim(line, F.lit("".join(c for c in " \t\r" if c != sep))) == ""
 
 
-def _segments(batch: pa.RecordBatch, names: tuple[str, str] = ("file", "start")) -> Iterator[tuple[int, int, int, int]]:
+def _segments(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, int]]:
     """``(file, start, first row, end row)`` of the blocks in a batch, in order."""
-    file, start = (batch.column(batch.schema.names.index(n)).to_numpy() for n in names)
+    file, start = (batch.column(batch.schema.names.index(n)).to_numpy() for n in BLOCK)
     cuts = np.flatnonzero((np.diff(file) != 0) | (np.diff(start) != 0)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(file)], strict=True):
         if b > a:
@@ -307,14 +307,19 @@ def read_records(lines: DataFrame, sep: str, encoding: str, only_first: bool = F
     text = F.col("value")
     flagged = lines.select(text.cast("binary").alias("value"), *BLOCK, open_after(text, sep).alias("c"),
                            stays_open(text, sep).alias("o"))
-    inside = flagged.join(F.broadcast(known), BLOCK).mapInArrow(_inside(sep, encoding, only_first), _SCHEMA)
+    if only_first:
+        whole = flagged.join(F.broadcast(known), BLOCK)
+    else:
+        lost = F.raise_error(F.lit("the two passes saw different splits of a file")).cast("boolean")
+        whole = flagged.join(F.broadcast(known), BLOCK, "left").withColumn("open", F.coalesce("open", lost))
+    inside = whole.mapInArrow(_inside(sep, encoding, only_first), _SCHEMA)
     edge = known.where("open OR left_open")
     pieces = flagged.join(F.broadcast(edge), BLOCK).mapInArrow(
         _pieces, "file long, owner long, start long, first boolean, closed boolean, text binary")
-    whole = pieces.groupBy("file", "owner").agg(F.collect_list(F.struct("start", "text")).alias("parts"),
+    parts = pieces.groupBy("file", "owner").agg(F.collect_list(F.struct("start", "text")).alias("parts"),
                                                 F.bool_or("first").alias("first"), F.bool_or("closed").alias("closed"))
     # Of the blocks that hold first records, other records may be cut off.
-    crossing = (whole.where("first") if only_first else whole).mapInArrow(_assemble(sep, encoding), _SCHEMA)
+    crossing = (parts.where("first") if only_first else parts).mapInArrow(_assemble(sep, encoding), _SCHEMA)
     out = inside.unionByName(crossing)
     return out.where("first") if only_first else out
 
