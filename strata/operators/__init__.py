@@ -23,3 +23,4 @@ from strata.operators.sets import (
     sort_by,
     union_by_name,
 )
+from strata.operators.snapshots import snapshot_diff_by_digest

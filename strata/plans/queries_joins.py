@@ -23,6 +23,7 @@ from strata.operators.joins import (
     natural_join,
     snapshot_diff,
 )
+from strata.operators.snapshots import snapshot_diff_by_digest
 from strata.plans import tpch_sources as src
 from strata.plans.layers import delivery_frame
 from strata.plans.registry import register
@@ -266,7 +267,7 @@ def _snapshots(spark, sf_dir):
     return old, new
 
 
-@register("orders_snapshot_diff", """
+_SNAP_SQL = """
 WITH old AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
              FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
      new AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -285,7 +286,16 @@ SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey,
              AND o.o_orderpriority IS NOT DISTINCT FROM n.o_orderpriority THEN 'identical'
             ELSE 'changed' END AS flagfield
 FROM old o FULL OUTER JOIN new n ON o.o_orderkey = n.o_orderkey
-""")
+"""
+
+
+@register("orders_snapshot_diff", _SNAP_SQL)
 def orders_snapshot_diff(spark, sf_dir):
     old, new = _snapshots(spark, sf_dir)
     return snapshot_diff(old, new, "o_orderkey", _SNAP_COLS)
+
+
+@register("orders_snapshot_digests", _SNAP_SQL)
+def orders_snapshot_digests(spark, sf_dir):
+    old, new = _snapshots(spark, sf_dir)
+    return snapshot_diff_by_digest(old, new, "o_orderkey", _SNAP_COLS)
