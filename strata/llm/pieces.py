@@ -2,13 +2,16 @@
 
 A text is written with a leading ``▁`` and ``▁`` for every space, and cut into
 vocabulary pieces of the largest total score. The search reads characters from
-left to right and keeps back pointers only for the window since the last
-boundary that all surviving paths share; there it commits the ids.
-
-Boundaries that no piece can span (before a ``▁`` that follows another
-character, around characters that no longer piece holds) are shared by all
-paths whatever the text, so the segments between them are searched one by one
-and remembered.
+left to right and keeps back pointers only for a window as long as the longest
+piece, from the last boundary that all surviving paths share; there it commits
+the ids.
+
+At boundaries that no piece can span (before a ``▁`` that follows another
+character, around characters that no longer piece holds) all paths meet
+whatever the text, so ids may be committed there, and what follows depends on
+nothing before: the search goes on from one such boundary to the next, and the
+ids of a stretch that it has met before are remembered. The ids are those of
+one search over the whole text (tested on documents).
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from strata.llm.common import col, extras
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 REMEMBERED = 500_000   # segments a worker remembers (forgotten all at once)
+LONGEST_REMEMBERED = 64
 
 
 class Remembered(dict):
@@ -36,12 +40,11 @@ class Remembered(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, segment: str) -> tuple[int, ...]:
-        v = self.vocabulary
-        if len(segment) > v.window:
-            return tuple(chain.from_iterable(v.search(segment)))
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[segment] = tuple(v.whole(segment))
+        found = tuple(chain.from_iterable(self.vocabulary.search(segment)))
+        if len(segment) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[segment] = found
         return found
 
 
@@ -62,7 +65,6 @@ class Vocabulary:
         self.longest = max(map(len, self.pieces))
         # Every beginning of a piece: (id or -1, score).
         self.table = {p[:k]: (-1, 0.0) for p in self.pieces for k in range(1, len(p))} | self.pieces
-        self.window = 4 * self.longest
         self.surface = [b""] * n
         for i in plain:
             self.surface[i] = names[i].encode()
@@ -83,88 +85,59 @@ class Vocabulary:
             return [piece]
         return [self.byte_id.get(b, self.unknown) for b in text[start:end].encode()] if self.byte_id else [self.unknown]
 
-    def _step(self, text: str, i: int, best: list, start: list, piece: list) -> None:
-        """Extends the best path to ``i`` by every piece that starts there, or
-        by the unknown character if no piece of one character does."""
-        table, score = self.table, best[i]
-        single = False
-        for end in range(i + 1, min(len(best) - 1, i + self.longest) + 1):
-            hit = table.get(text[i:end])
-            if hit is None:
-                break
-            if hit[0] >= 0:
-                if end == i + 1:
-                    single = True
-                total = score + hit[1]
-                if best[end] is None or total > best[end]:
-                    best[end], start[end], piece[end] = total, i, hit[0]
-        if not single:
-            total = score + self.unknown_score
-            if best[i + 1] is None or total > best[i + 1]:
-                best[i + 1], start[i + 1], piece[i + 1] = total, i, -1
-
-    def whole(self, text: str) -> list[int]:
-        """``search`` for a text that fits the window: nothing to commit early."""
-        get, longest, unknown = self.table.get, self.longest, self.unknown_score
-        n = len(text)
-        low = float("-inf")
-        best, start, piece = [0.0] + [low] * n, [0] * (n + 1), [-1] * (n + 1)
-        for i in range(n):
-            score, single = best[i], False
-            for end in range(i + 1, min(n, i + longest) + 1):
-                hit = get(text[i:end])
-                if hit is None:
-                    break
-                if hit[0] >= 0:
-                    single = single or end == i + 1
-                    total = score + hit[1]
-                    if total > best[end]:
-                        best[end], start[end], piece[end] = total, i, hit[0]
-            if not single and score + unknown > best[i + 1]:
-                best[i + 1], start[i + 1], piece[i + 1] = score + unknown, i, -1
-        out: list[int] = []
-        p = n
-        while p:
-            if piece[p] >= 0:
-                out.append(piece[p])
-            else:
-                out.extend(reversed(self._ids(text, start[p], p, -1)))
-            p = start[p]
-        out.reverse()
-        return out
-
     def search(self, text: str) -> Iterator[list[int]]:
         """Committed ids of ``text``, one list a commit. Ties go to the piece
-        that starts earlier, that is, to the longer last piece."""
+        that starts earlier, that is, to the longer last piece.
+
+        The window is as long as the longest piece; only where the surviving
+        paths share no boundary in it, it is doubled.
+        """
+        get, longest, unknown = self.table.get, self.longest, self.unknown_score
+        low = float("-inf")
         done, n = 0, len(text)
         while done < n:
-            # Positions are counted from the last commit; the window grows
-            # only while the surviving paths share no later boundary.
-            size = min(self.window, n - done)
+            # Positions are counted from the last commit. Paths are extended
+            # from all positions before ``size`` and reach up to ``reach``.
+            size, i = min(longest, n - done), 0
             best, start, piece = [0.0], [0], [-1]
-            i = 0
             while True:
-                more = min(size + self.longest, n - done) + 1 - len(best)
-                best, start, piece = best + [None] * more, start + [0] * more, piece + [-1] * more
-                view = text[done:done + len(best) - 1]
+                reach = min(size + longest, n - done)
+                more = reach + 1 - len(best)
+                best, start, piece = best + [low] * more, start + [0] * more, piece + [-1] * more
+                view = text[done:done + reach]
                 while i < size:
-                    self._step(view, i, best, start, piece)
+                    score, single = best[i], False
+                    for end in range(i + 1, min(reach, i + longest) + 1):
+                        hit = get(view[i:end])
+                        if hit is None:
+                            break
+                        if hit[0] >= 0:
+                            single = single or end == i + 1
+                            total = score + hit[1]
+                            if total > best[end]:
+                                best[end], start[end], piece[end] = total, i, hit[0]
+                    # The unknown character, if no piece of one character starts here.
+                    if not single and score + unknown > best[i + 1]:
+                        best[i + 1], start[i + 1], piece[i + 1] = score + unknown, i, -1
                     i += 1
                 if done + size == n:
                     shared = size
                 else:
-                    live = [p for p in range(size, len(best)) if best[p] is not None]
-                    shared = self._meeting(start, live)
+                    shared = self._meeting(start, [p for p in range(size, reach + 1) if best[p] > low])
                 if shared:
                     break
                 size = min(2 * size, n - done)
-            out: list[list[int]] = []
+            out: list[int] = []
             p = shared
             while p:
-                out.append(self._ids(view, start[p], p, piece[p]))
+                if piece[p] >= 0:
+                    out.append(piece[p])
+                else:
+                    out.extend(reversed(self._ids(view, start[p], p, -1)))
                 p = start[p]
+            out.reverse()
             done += shared
-            yield [i for part in reversed(out) for i in part]
+            yield out
 
     @staticmethod
     def _meeting(start: list[int], live: list[int]) -> int:
