@@ -3,8 +3,9 @@
 Terms are learned from labelled rows. The lexicon's trie intersected with a
 Levenshtein automaton gives one table-driven automaton that accepts every term
 and its misspellings; it runs over the distinct words of each batch. Windows
-around the hits tell quotation from abuse, and a small logistic regression
-turns a text's abuse and quotation counts into a score.
+around the hits tell quotation from abuse. A term weighs as much as labelled
+rows that hold it are toxic, and a small logistic regression turns a text's
+abuse and quotation into a score.
 """
 
 from __future__ import annotations
@@ -269,16 +270,17 @@ def learn_lexicon(labelled: DataFrame, label: str, text_col: str) -> list[str]:
     return sorted(r["word"] for r in passing(left, uses(other, left), tested).collect())
 
 
-HITS = "hits array<struct<word:string,term:string,exact:boolean,quoted:boolean,addressed:boolean>>, n_words long"
+# A hit's term is its number in the lexicon.
+HITS = "hits array<struct<word:string,term:int,exact:boolean,quoted:boolean,addressed:boolean>>, n_words long"
 
 
-def _hits(automaton, terms: list[str], id_index: int):
+def _hits(automaton, id_index: int):
     """Batches (passed..., text) to passed columns, hits and word count."""
     def near(flags: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0], np.cumsum(flags)])
         return total[hi] > total[lo]
 
-    kind = pa.list_(pa.struct([("word", pa.string()), ("term", pa.string()), ("exact", pa.bool_()),
+    kind = pa.list_(pa.struct([("word", pa.string()), ("term", pa.int32()), ("exact", pa.bool_()),
                                ("quoted", pa.bool_()), ("addressed", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +306,7 @@ def _hits(automaton, terms: list[str], id_index: int):
                 else:
                     quoted = addressed = np.zeros(0, bool)
                 flat = pa.StructArray.from_arrays(
-                    [cores.take(pa.array(hit)), pa.array(terms, pa.string()).take(pa.array(term[state[hit]])),
+                    [cores.take(pa.array(hit)), pa.array(term[state[hit]], pa.int32()),
                      pa.array(edits[state[hit]] == 0), pa.array(quoted), pa.array(addressed)], fields=list(kind.value_type))
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=part.num_rows))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
@@ -329,7 +331,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, penalty: float
     return w
 
 
-# Constant, any abuse, log(1 + abuse), log(1 + quoted), any address: the
+# Constant, strongest abuse, log(1 + abuse), log(1 + quoted), any address: the
 # weights of what the labels do not show.
 PRIOR = np.array([-2.0, 2.0, 1.0, 0.2, 0.5])
 
@@ -337,7 +339,8 @@ PRIOR = np.array([-2.0, 2.0, 1.0, 0.2, 0.5])
 def score_toxicity(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_col: str = "text",
                    label: str = "toxic", fit_rows: int = FIT_ROWS, keep_text: bool = False) -> DataFrame:
     """One row per input row: its columns without the text (with it if
-    ``keep_text``), ``score`` (0 to 1), ``n_abuse`` and ``n_quoted``.
+    ``keep_text``), ``score`` (0 to 1), ``n_abuse`` (the sum of the weights of
+    the hits that are not quoted) and ``n_quoted`` (the number of those that are).
 
     Only labelled rows for which the condition ``train`` (over ``id_col``)
     holds are learned from; a score depends on the text and, where it holds a
@@ -362,7 +365,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed)
     scanned = docs.select(*[col(c) for c in passed], text_or_empty(text_col).alias("_x_text")).mapInArrow(
-        _hits(automaton, terms, len(passed)), f"{fields}, {HITS}")
+        _hits(automaton, len(passed)), f"{fields}, {HITS}")
     rows = store(scanned, "tox-rows")
 
     # Misspellings that are words of their own. The variants of the terms are
@@ -382,12 +385,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc
     real = F.col("hits")
     if ordinary:
         real = F.filter(real, lambda h: h["exact"] | ~h["word"].isin(ordinary))
-    abuse = F.aggregate(F.filter("real", lambda h: ~h["quoted"]), F.lit(0.0),
-                        lambda a, h: a + F.when(h["exact"], 1.0).otherwise(MISSPELLED))
-    counted = rows.withColumn("real", real).withColumns({
-        "_x_abuse": abuse, "_x_quoted": F.size(F.filter("real", lambda h: h["quoted"])).cast("double"),
+    # A term's weight: the share of toxic rows among the labelled rows that hold
+    # it, as if one other row held it too.
+    rows_of = {r["term"]: (r["df1"], r["df0"]) for r in counts if r["exact"]}
+    shares = [y1 / (y1 + y0 + 1.0) for y1, y0 in (rows_of.get(i, (0, 0)) for i in range(len(terms)))]
+    weights_of = F.array(*[F.lit(w) for w in shares]) if shares else F.array().cast("array<double>")
+    force = F.transform(F.filter("real", lambda h: ~h["quoted"]),
+                        lambda h: F.get(weights_of, h["term"]) * F.when(h["exact"], 1.0).otherwise(MISSPELLED))
+    counted = rows.withColumn("real", real).withColumn("_x_force", force).withColumns({
+        "_x_abuse": F.aggregate("_x_force", F.lit(0.0), lambda a, x: a + x),
+        "_x_strongest": F.coalesce(F.array_max("_x_force"), F.lit(0.0)), "_x_quoted": F.size(F.filter("real", lambda h: h["quoted"])).cast("double"),
         "_x_address": F.exists("real", lambda h: h["addressed"] & ~h["quoted"]).cast("double")})
-    features = [F.lit(1.0), (F.col("_x_abuse") > 0).cast("double"), F.log1p("_x_abuse"), F.log1p("_x_quoted"),
+    features = [F.lit(1.0), F.col("_x_strongest"), F.log1p("_x_abuse"), F.log1p("_x_quoted"),
                 F.col("_x_address")]
     sample = (counted.join(known, id_col).select(*[f.alias(f"f{i}") for i, f in enumerate(features)], "y",
                                                  F.xxhash64(col(id_col)).alias("o"))

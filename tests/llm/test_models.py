@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import pieces
+from strata.llm import pieces, toxicity
 from strata.llm.ann import search
 from strata.llm.ngram_lm import MU, score_texts
 from strata.llm.pieces import Vocabulary
@@ -198,6 +198,22 @@ def test_toxicity_without_labels_or_rows(spark):
     assert score_toxicity(spark.createDataFrame([], DOC_DDL), none, F.lit(True)).count() == 0
 
 
+def test_a_term_weighs_what_labelled_rows_show(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "learn_lexicon", lambda *a: ["blortag", "quenzil"])
+    texts = ["a blortag b"] * 20 + ["a quenzil b"] * 20 + ["a plain b"] * 100
+    toxic = [1] * 20 + [1, 0] * 10 + [0] * 100
+    asked = ["x blortag y", "x quenzil y", "x quenzil quenzil y", "x blortog y", 'he said "blortag" y', "x y"]
+    docs = spark.createDataFrame(list(enumerate(texts + asked)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    out = {r["doc_id"] - len(texts): r for r in toxicity.score_toxicity(docs, labels, F.lit(True)).collect()}
+    # Toxic rows with the term over all rows with it and one more; one edit counts 0.8.
+    abuse = [20 / 21, 10 / 21, 20 / 21, 0.8 * 20 / 21, 0.0, 0.0]
+    assert [out[i]["n_abuse"] for i in range(6)] == pytest.approx(abuse)
+    assert [out[i]["n_quoted"] for i in range(6)] == [0, 0, 0, 0, 1, 0]
+    assert out[0]["score"] > out[3]["score"] > out[1]["score"] > out[5]["score"]
+    assert out[0]["score"] >= 0.3
+
+
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -231,6 +247,22 @@ def test_streaming_search_equals_the_full_search():
     assert len(committed) > 20  # ids are committed on the way
 
 
+def test_whole_documents_are_committed_on_the_way(spark):
+    # One search over each whole text, nothing remembered, gives the same ids;
+    # commits come about once a window, never after the whole text.
+    v = Vocabulary(MODEL)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    texts = [r["text"] for r in docs if r["text"]][:100]
+    commits = 0
+    for text in texts:
+        whole = "▁" + text.replace(" ", "▁")
+        parts = list(v.search(whole))
+        assert [i for part in parts for i in part] == list(v.encode(text))
+        assert len(parts) >= len(whole) // (2 * v.longest)
+        commits += len(parts)
+    assert commits > 10 * len(texts)
+
+
 def test_codec_on_a_table(spark):
     df = with_clashes(spark.createDataFrame(edge_docs(), DOC_DDL))
     coded = pieces.decode(pieces.encode(df, MODEL, ids_col="piece_ids"), MODEL, ids_col="piece_ids")
