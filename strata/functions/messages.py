@@ -62,7 +62,8 @@ def parse_or_keep(df: DataFrame, schema: StructType | str, value_col: str = "val
     options = {"allowNonNumericNumbers": "true", "columnNameOfCorruptRecord": _CORRUPT, **JSON_TIME_OPTIONS}
     text = F.col(value_col).cast("string")
     parsed = F.from_json(text, StructType([*schema.fields, StructField(_CORRUPT, StringType())]), options)
-    bare = F.trim(text, F.lit(" \t\r\n"))
+    # Trimming goes through every character: only where something stands at an end.
+    bare = F.when(text.startswith("{") & text.endswith("}"), text).otherwise(F.trim(text, F.lit(" \t\r\n")))
     broken = F.from_json(text, StructType([StructField(_CORRUPT, StringType())]), options)[_CORRUPT].isNotNull()
     failed = F.col("_msg")[_CORRUPT].isNotNull()
     # The parser stops after one object. Where a brace closes before the end, the

@@ -330,14 +330,23 @@ def start_stream_static_join(spark: SparkSession, source: DataFrame, schema: Str
 
 # -- the queue variant -----------------------------------------------------------------
 
+# Names for a batch's body and reason while it is merged; the body is kept as
+# text, which a cast to text leaves as it is.
+_KEPT = {BODY_COLUMN: "_x_kept_body", REASON_COLUMN: "_x_kept_reason"}
+
+
 def queue_batch_fn(reference: DataFrame, out_root: str, field: str, key: str = KEY_COLUMN,
-                   drop: tuple[str, ...] = ("Unnamed__14",), outcomes: bool = False) -> Callable[[DataFrame, int], None]:
+                   drop: tuple[str, ...] = ("Unnamed__14",), outcomes: bool = False,
+                   parse: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
     """Batch of queue messages: NaN to null, key under the ``text`` policy, merged
     with the reference (on the key, or on all shared columns when the key is
     missing), ``_y`` and listed columns dropped, ``_x`` stripped, all text.
 
     With ``outcomes`` messages without a partner (rejected) and bodies that are
     no message (dead) are published with the batch, too.
+
+    ``parse`` makes messages of a batch of raw bodies: these are counted as they
+    are and parsed once, by the one job that writes every outcome.
     """
     def shape(rows: DataFrame) -> DataFrame:
         out = rename_all(rows, "unicode", on_duplicate="number")
@@ -352,17 +361,21 @@ def queue_batch_fn(reference: DataFrame, out_root: str, field: str, key: str = K
         return natural_join(ref, body, how)
 
     def process_batch(df: DataFrame, batch_id: int) -> None:
-        rows = df.drop(BODY_COLUMN, REASON_COLUMN)
+        batch = parse(df) if parse else df
         if not outcomes:
+            rows = batch.drop(BODY_COLUMN, REASON_COLUMN)
             write_batch(shape(merged(keyed(rows), reference, "inner")), out_root, batch_id, df.count())
             return
-        df = _with_reason(df)
-        rows = keyed(df.where(F.col(REASON_COLUMN).isNull()).drop(BODY_COLUMN, REASON_COLUMN))
-        both = merged(rows, reference.withColumn("hit", F.lit(True)), "right")
-        out = shape(both).withColumn(OUTCOME_COLUMN, F.when(F.col("hit").isNotNull(), MATCHED).otherwise(REJECTED))
-        dead = df.where(F.col(REASON_COLUMN).isNotNull()).select(BODY_COLUMN, REASON_COLUMN,
-                                                                 F.lit(DEAD).alias(OUTCOME_COLUMN))
-        write_batch(out.drop("hit").unionByName(dead, allowMissingColumns=True), out_root, batch_id, df.count())
+        # Dead bodies go through the same join: their columns and key are null and match nothing.
+        batch = _with_reason(batch).withColumn(BODY_COLUMN, F.base64(BODY_COLUMN)).withColumnsRenamed(_KEPT)
+        body, reason = (F.col(c) for c in _KEPT.values())
+        rows = keyed(batch)
+        if key in rows.columns:
+            rows = rows.withColumn(key, F.when(reason.isNull(), F.col(f"`{key}`")))
+        both = shape(merged(rows, reference.withColumn("hit", F.lit(True)), "right"))
+        outcome = (F.when(reason.isNotNull(), DEAD).when(F.col("hit").isNotNull(), MATCHED).otherwise(REJECTED))
+        out = both.withColumns({OUTCOME_COLUMN: outcome, BODY_COLUMN: F.unbase64(body), REASON_COLUMN: reason})
+        write_batch(out.drop("hit", *_KEPT.values()), out_root, batch_id, df.count())
 
     return process_batch
 
@@ -378,9 +391,10 @@ def start_queue_enrichment(spark: SparkSession, source: DataFrame, schema: Struc
     batches do not shuffle it again.
     """
     ref = stored_reference(reference, f"{out_root}/_reference", key if key in reference.columns else None)
-    parsed = parse_or_keep(source, schema) if outcomes else parse_messages(source, schema)
-    return (parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .foreachBatch(queue_batch_fn(ref, f"{out_root}/batches", field, key, outcomes=outcomes))
+    parse = parse_or_keep if outcomes else parse_messages
+    return (source.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+            .foreachBatch(queue_batch_fn(ref, f"{out_root}/batches", field, key, outcomes=outcomes,
+                                         parse=lambda rows: parse(rows, schema)))
             .trigger(availableNow=True).start())
 
 
