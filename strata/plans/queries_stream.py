@@ -39,6 +39,8 @@ P = KEY_PATTERN
 EVENT_MESSAGE_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, instituicao string"
 # Messages are written by the tasks that scan the table, so many a file.
 RECORDS_PER_FILE = 20_000
+# Messages repeat their field names: as plain text they are most of what the queue writes.
+QUEUE_COMPRESSION = "lz4"
 
 
 def _k(expr: str) -> str:
@@ -284,7 +286,7 @@ SELECT b.*, c.* EXCLUDE (campo_limpo) FROM b JOIN c USING (campo_limpo)
 def queue_enrichment(spark, sf_dir):
     """Complaint messages in bounded batches, merged with the banks table."""
     root = scratch_dir(spark, "queue")
-    write_messages(_complaint_messages(spark, sf_dir), f"{root}/in", RECORDS_PER_FILE)
+    write_messages(_complaint_messages(spark, sf_dir), f"{root}/in", RECORDS_PER_FILE, compression=QUEUE_COMPRESSION)
     banks = trusted_frame(src.banks(spark, sf_dir), "Nome", null_key="empty", as_text=True)
     q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)),
                                COMPLAINT_MESSAGE_SCHEMA, banks, f"{root}/out", f"{root}/checkpoint",
@@ -305,7 +307,7 @@ def queue_without_key(spark, sf_dir):
     columns instead of the key (P5)."""
     root = scratch_dir(spark, "queue-no-key")
     c = src.complaints(spark, sf_dir).select(F.col("CNPJ IF").alias("CNPJ"), "l_orderkey", "l_linenumber")
-    write_messages(c, f"{root}/in", RECORDS_PER_FILE)
+    write_messages(c, f"{root}/in", RECORDS_PER_FILE, compression=QUEUE_COMPRESSION)
     q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)),
                                "CNPJ string, l_orderkey bigint, l_linenumber int", src.banks(spark, sf_dir),
                                f"{root}/out", f"{root}/checkpoint", field="Instituição financeira")
@@ -330,7 +332,7 @@ def queue_outcomes(spark, sf_dir):
     c = _complaint_messages(spark, sf_dir)
     body = F.to_json(F.struct(*[F.col(f"`{n}`") for n in c.columns]))
     bodies = c.select(F.when(F.col("l_orderkey") % 13 == 0, F.concat(body, F.lit("}"))).otherwise(body).alias("value"))
-    bodies.write.option("maxRecordsPerFile", RECORDS_PER_FILE).text(f"{root}/in")
+    bodies.write.options(maxRecordsPerFile=RECORDS_PER_FILE, compression=QUEUE_COMPRESSION).text(f"{root}/in")
     banks = trusted_frame(src.banks(spark, sf_dir), "Nome", null_key="empty", as_text=True)
     banks = banks.groupBy("campo_limpo").agg(F.max("Segmento").alias("Segmento"))
     q = start_queue_enrichment(spark, message_stream(spark, f"{root}/in", max_bytes_per_trigger=batch_bytes(spark)),

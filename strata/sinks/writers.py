@@ -209,14 +209,15 @@ def load_missing(source: DataFrame, read_target: Callable[[], DataFrame], write:
 
 
 def write_messages(df: DataFrame, path: str, records_per_file: int | None = None,
-                   mode: str = "overwrite") -> None:
+                   mode: str = "overwrite", compression: str = "none") -> None:
     """One JSON object per row, one row per line, as text files.
 
     ``records_per_file`` caps the messages per file (the queue's batch size);
     the cap applies within each task, so files are written in parallel.
-    Stands in for a message broker where none is present.
+    ``compression`` is that of the files; a compressed one is read by one task,
+    so it goes with a cap. Stands in for a message broker where none is present.
     """
-    w = to_messages(df).write.mode(mode)
+    w = to_messages(df).write.mode(mode).option("compression", compression)
     if records_per_file:
         w = w.option("maxRecordsPerFile", records_per_file)
     w.text(path)
