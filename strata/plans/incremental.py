@@ -158,15 +158,18 @@ def load_incremental(spark: SparkSession, sources: dict[str, str], root: str,
         columns = delivery_frame(live, **shape).columns
         whole = sorted(columns) != sorted(before["columns"])
         touched = set(range(n_buckets)) if whole else {r[0] for r in keys.select(BUCKET_COLUMN).distinct().collect()}
-        some = live if whole else {n: df.join(broadcast_if_small(keys.select(KEY_COLUMN)), KEY_COLUMN, "left_semi")
-                                   for n, df in live.items()}
+        wanted = broadcast_if_small(keys.select(KEY_COLUMN))
+        some = live if whole else {n: df.join(wanted, KEY_COLUMN, "left_semi") for n, df in live.items()}
         out = delivery_frame(some, **shape)
         kept = [] if whole else _bucket_paths(root, before["buckets"], touched)
         if kept:
             rest = spark.read.parquet(*kept)
-            out = out.unionByName(rest.join(broadcast_if_small(keys.select(KEY_COLUMN)), KEY_COLUMN, "left_anti"))
+            out = out.unionByName(rest.join(wanted, KEY_COLUMN, "left_anti"))
         target = f"delivery/{tag}"
-        out.withColumn(BUCKET_COLUMN, _bucket(n_buckets)).write.partitionBy(BUCKET_COLUMN).parquet(f"{root}/{target}")
+        # Dealt by bucket first, or every task would write a file in every bucket;
+        # AQE splits large buckets and puts small ones together.
+        (out.withColumn(BUCKET_COLUMN, _bucket(n_buckets)).hint("rebalance", BUCKET_COLUMN)
+         .write.partitionBy(BUCKET_COLUMN).parquet(f"{root}/{target}"))
         written = spark.read.schema(f"{KEY_COLUMN} string, {BUCKET_COLUMN} int").parquet(f"{root}/{target}")
         held = [r[0] for r in written.select(BUCKET_COLUMN).distinct().collect()]
         state["buckets"] = {b: f for b, f in before["buckets"].items() if int(b) not in touched} | {
