@@ -102,9 +102,13 @@ def survey(spark: SparkSession, path: str | list[str], fam: Family) -> DataFrame
     head = F.when(~blank(line, fam.sep), F.substring_index(F.ltrim(line, F.lit("\r")), "\r", 1)).cast("binary")
     # Rows of one split keep their order, splits of one file their start.
     place = F.when(head.isNotNull(), F.struct("start", "n"))
+    # A set of the two flags (four values at most): with it Spark aggregates in a
+    # hash table of one entry a file; without, it sorts all lines to find headers.
+    flags = F.collect_set(F.struct(utf8.alias("utf8"), odd.alias("odd")))
     return (lines.withColumn("n", F.monotonically_increasing_id()).groupBy("path")
-            .agg(F.min_by(head, place).alias("header"), F.bool_and(utf8).alias("utf8"),
-                 F.bool_or(odd).alias("irregular")).where("header IS NOT NULL")
+            .agg(F.min_by(head, place).alias("header"), flags.alias("flags")).where("header IS NOT NULL")
+            .select("path", "header", F.forall("flags", lambda f: f["utf8"]).alias("utf8"),
+                    F.exists("flags", lambda f: f["odd"]).alias("irregular"))
             .withColumn("cut", open_after(F.col("header").cast("string"), fam.sep)))
 
 
