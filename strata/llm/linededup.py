@@ -39,6 +39,9 @@ PERCENT = 80          # shared shingles of two linked lines, of all their shingl
 BAND_ROWS = 4
 MISS = 1e-6           # chance that a pair at the threshold shares no band
 SEED = 42             # of Spark's xxhash64
+PART_KEYS = 500_000   # keys a partition gets, about
+BLOCK_LINES = 50_000  # lines whose keys are made at once
+PAIR = 16             # bytes of a key and a line's hash
 
 
 def n_bands(percent: int, rows: int = BAND_ROWS, miss: float = MISS) -> int:
@@ -125,32 +128,70 @@ def line_sets(lines: pa.Array, k: int = CHARS) -> tuple[np.ndarray, np.ndarray]:
     return out[keep], np.concatenate([[0], np.cumsum(keep)])[at]
 
 
-def _banded(k: int, rows: int, bands: int):
-    """Batches (id, text) to ``(id, lines, fresh)``: the hash of every line of
-    a text in order (null: an empty line) and, with a slice's first text, the
-    slice's distinct lines and their band keys."""
+def _keyed(k: int, rows: int, bands: int, parts: int):
+    """Batches (text) to ``(part, band, pairs)``: the band keys of a slice's
+    distinct lines with the lines' hashes, a row for each band and each of the
+    ``parts`` its keys are dealt to."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1):
-                texts = pc.fill_null(part.column(1).cast(pa.string()), "")
-                split = pc.split_pattern(texts, "\n")
-                encoded = split.flatten().dictionary_encode()
-                distinct, index = encoded.dictionary, encoded.indices.to_numpy()
-                empty = pc.equal(pc.binary_length(distinct), 0).to_numpy(zero_copy_only=False)
-                node = np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in distinct.to_pylist()), np.uint64,
-                                   len(distinct)).view(np.int64)
-                offsets = split.offsets.to_numpy()
-                lines = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()),
-                                                 pa.array(node[index], mask=empty[index]))
-                full = np.flatnonzero(~empty)
-                sig = line_minhash(*char_shingles(distinct.take(pa.array(full)), k), rows * bands)
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * bands),
-                                                pa.array(band_keys(sig, rows, bands).view(np.int64).ravel()))
-                fresh = pa.StructArray.from_arrays([pa.array(node[full]), keys], ["node", "keys"])
-                at = np.full(part.num_rows + 1, len(full), np.int32)
-                at[0] = 0
-                yield pa.RecordBatch.from_arrays([part.column(0), lines, pa.ListArray.from_arrays(pa.array(at), fresh)],
-                                                 names=["id", "lines", "fresh"])
+            for part in slices(batch, 0):
+                texts = pc.fill_null(part.column(0).cast(pa.string()), "")
+                distinct = pc.split_pattern(texts, "\n").flatten().unique()
+                distinct = distinct.filter(pc.greater(pc.binary_length(distinct), 0))
+                for lo in range(0, len(distinct), BLOCK_LINES):
+                    lines = distinct.take(pa.array(range(lo, min(len(distinct), lo + BLOCK_LINES))))
+                    node = np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in lines.to_pylist()), np.uint64, len(lines))
+                    keys = band_keys(line_minhash(*char_shingles(lines, k), rows * bands), rows, bands).T.ravel()
+                    to = np.repeat(np.arange(bands) * parts, len(node)) + (keys % U(parts)).astype(np.int64)
+                    # Numbers of 16 bits are sorted by radix.
+                    order = np.argsort(to.astype(np.uint16) if bands * parts <= 1 << 16 else to, kind="stable")
+                    pairs = np.column_stack([keys[order], node[order % len(node)]])
+                    start = np.concatenate([[0], np.cumsum(np.bincount(to, minlength=bands * parts))])
+                    filled = np.flatnonzero(np.diff(start))
+                    offsets = (np.append(start[filled], start[-1]) * PAIR).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(filled.astype(np.int32)), pa.array((filled // parts).astype(np.int32)),
+                         pa.Array.from_buffers(pa.binary(), len(filled), [None, pa.py_buffer(offsets), pa.py_buffer(pairs)])],
+                        names=["part", "band", "pairs"])
+    return run
+
+
+def _shared(most: int = PART_KEYS):
+    """Batches (band, pairs) to ``(key, band, node)`` of the keys that several
+    nodes share; a row may come more than once.
+
+    All pairs of a key are in one partition. Between two looks at ``most``
+    pairs one node a key is held, so a key of any number of nodes fits.
+    """
+    def look(keys: np.ndarray, nodes: np.ndarray, bands: np.ndarray, told: np.ndarray):
+        # What is held (key, node, band, told: of a shared key) and what is shared.
+        order = np.argsort(keys)
+        keys, nodes, bands, told = keys[order], nodes[order], bands[order], told[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        shared = ((np.minimum.reduceat(nodes, first) != np.maximum.reduceat(nodes, first))
+                  | np.logical_or.reduceat(told, first))
+        out = np.repeat(shared, np.diff(np.append(first, len(keys))))
+        found = pa.RecordBatch.from_arrays([pa.array(keys[out].view(np.int64)), pa.array(bands[out]),
+                                            pa.array(nodes[out].view(np.int64))], names=["key", "band", "node"])
+        return (keys[first], nodes[first], bands[first], shared), found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, n = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size = pc.binary_length(batch.column(1)).to_numpy() // PAIR
+            _, offsets, data = batch.column(1).buffers()
+            start = int(np.frombuffer(offsets, np.int32)[batch.column(1).offset])
+            pairs = np.frombuffer(data[start:start + int(size.sum()) * PAIR].to_pybytes(), np.uint64).reshape(-1, 2)
+            parts.append((pairs[:, 0], pairs[:, 1], np.repeat(batch.column(0).to_numpy(), size), np.zeros(len(pairs), bool)))
+            n += len(pairs)
+            if n >= most:
+                held, found = look(*(np.concatenate(c) for c in zip(*parts, strict=True)))
+                yield found
+                parts, n = [held], 0
+        if n:
+            yield look(*(np.concatenate(c) for c in zip(*parts, strict=True)))[1]
     return run
 
 
@@ -182,33 +223,34 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     text = text_or_empty(text_col)
     bands = n_bands(percent, BAND_ROWS, miss)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    banded = store(docs.select(col(id_col).alias("id"), text.alias("text")).mapInArrow(
-        _banded(chars, BAND_ROWS, bands),
-        f"id {id_type}, lines array<long>, fresh array<struct<node:long,keys:array<long>>>"), "line-bands")
+    numbered = (docs.select(col(id_col).alias("id"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "text"))
+                .where("text != ''").select("id", "line_no", F.xxhash64("text").alias("node"))
+                .withColumn("row", F.monotonically_increasing_id()))
+    numbered = store(numbered, "line-rows")
+    n_rows = numbered.count()
 
     # Keys that several nodes share. Lines are distinct in every slice of the
-    # texts, so a line in a third of all documents sends a row a slice.
-    exploded = (banded.select(F.explode("fresh").alias("f")).select("f.node", "f.keys")
-                .select("node", F.posexplode("keys").alias("band", "key")))
-    shared = (exploded.select("key", "node").repartition("key").groupBy("key")
-              .agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center != last"))
-    shared = broadcast_rows(store(shared.select("key", "center"), "line-keys"))
-    members = store(exploded.join(shared, "key").distinct(), "line-members")
+    # texts, so a line in a third of all documents sends its keys once a slice.
+    # Keys travel packed, dealt by band and key to partitions of about PART_KEYS.
+    dealt = n_rows * bands // PART_KEYS + 1
+    per_band = -(-dealt // bands)
+    packed = docs.select(text.alias("text")).mapInArrow(_keyed(chars, BAND_ROWS, bands, per_band),
+                                                        "part int, band int, pairs binary")
+    n_tasks = min(dealt, bands) if per_band == 1 else bands * per_band
+    shared = (packed.repartitionById(n_tasks, F.col("part") % n_tasks).select("band", "pairs")
+              .mapInArrow(_shared(), "key long, band int, node long"))
+    members = store(shared.distinct(), "line-members")
     wanted = broadcast_rows(store(members.select("node").distinct(), "line-wanted"))
     lines = docs.select(F.explode(F.split(text, "\n", -1)).alias("text")).withColumn("node", F.xxhash64("text"))
     texts = store(lines.select("node", "text").join(wanted, "node").dropDuplicates(["node"]),
                   "line-texts")
-    sized = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    sized = members.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("members"))
     members = store(join_groups(members, store(sized, "line-sizes"), ["key"], "members", members.count()),
                     "line-sized")
     sigs = store(texts.mapInArrow(_signed(chars, N_HASHES), "node long, n long, sig binary"), "line-sigs")
     comps = link_components(members, sigs, texts, partial(line_sets, k=chars), percent, BAND_ROWS, bands,
                             least_matches(percent / 100), "line", prune_stars=False)
 
-    numbered = (banded.select("id", F.posexplode("lines").alias("line_no", "node")).where("node is not null")
-                .withColumn("row", F.monotonically_increasing_id()))
-    numbered = store(numbered, "line-rows")
     first = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("line_no").alias("l"), F.col("row").alias("r"))
     heads = store(numbered.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min(first).alias("head")), "line-heads")
     placed = store(heads.join(broadcast_rows(comps), "node", "left")
@@ -216,6 +258,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = store(placed.groupBy("component").agg(F.min("head").alias("best"), F.count(F.lit(1)).alias("size")), "line-best")
     answer = store(join_groups(placed.select("node", "component", "rows"), best, ["component"], "size", placed.count())
                    .select("node", "component", "rows", F.col("best.r").alias("best")), "line-answer")
-    return join_groups(numbered, answer, ["node"], "rows", numbered.count()).select(
+    return join_groups(numbered, answer, ["node"], "rows", n_rows).select(
         F.col("id").alias(id_col), F.col("line_no").cast("long").alias("line_no"), F.col("node").alias("line_hash"),
         "component", (F.col("row") == F.col("best")).alias("kept"))

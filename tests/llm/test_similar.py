@@ -115,3 +115,29 @@ def test_bands_lose_hardly_a_pair_at_the_threshold():
 
 def test_lines_empty(spark):
     assert dedup_lines(spark.createDataFrame([], DOC_DDL)).count() == 0
+
+
+def test_line_keys_travel_packed_and_are_all_found(monkeypatch):
+    import collections
+
+    import pyarrow as pa
+
+    from strata.llm import linededup
+
+    monkeypatch.setattr(linededup, "BLOCK_LINES", 300)
+    texts = ["aaa bbb ccc ddd eee\n\nshort\nü中🙂", None, "", "aaa bbb ccc ddd eee\nxyzw"] * 3 + [
+        f"line number {i} of many lines" for i in range(1000)]
+    batch = pa.record_batch([pa.array(texts)], names=["text"])
+    rows = list(linededup._keyed(8, 4, 27, 3)([batch, batch]))
+    nodes = collections.defaultdict(set)
+    for r in rows:
+        for part, band, pairs in zip(*(c.to_pylist() for c in r.columns), strict=True):
+            for key, node in np.frombuffer(pairs, np.uint64).reshape(-1, 2).tolist():
+                assert part == band * 3 + key % 3
+                nodes[key, band].add(node)
+    want = {(key, band, node) for (key, band), of in nodes.items() if len(of) > 1 for node in of}
+    sent = [r.select(["band", "pairs"]) for r in rows]
+    sent = [sent[0].slice(5), sent[0].slice(0, 5), sent[0].slice(0, 0), *sent[1:]]
+    for most in (10 ** 9, 2000):  # looked at once, and again and again
+        out = [r for t in linededup._shared(most)(sent) for r in zip(*(c.to_pylist() for c in t.columns), strict=True)]
+        assert want and {(key % 2 ** 64, band, node % 2 ** 64) for key, band, node in out} == want
