@@ -34,7 +34,7 @@ from strata.llm.common import (
     join_groups,
     store,
 )
-from strata.llm.words import _A, minhash, mixed, set_digests, shingle_sets, slices
+from strata.llm.words import _A, SLICE_BYTES, minhash, mixed, set_digests, shingle_sets, slices
 
 N_HASHES = 256        # MinHash values a signature has
 BATCH = 64            # values compared before the next Bayesian test
@@ -116,7 +116,7 @@ def _sign(passed: int, k: int):
     two set digests and signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, batch.num_columns - 1):
+            for part in slices(batch, batch.num_columns - 1, SLICE_BYTES):
                 sets, at = shingle_sets(part.column(part.num_columns - 1), k)
                 h1, h2 = set_digests(sets, at)
                 columns = [*part.columns[:passed], pa.array(np.diff(at)), pa.array(h1.view(np.int64)),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import broadcast_rows, col, store, text_or_empty
-from strata.llm.words import _A, U, mixed, slices, words
+from strata.llm.words import _A, SLICE_BYTES, U, mixed, slices, words
 
 # A term: letters of any script, with their marks and joiners.
 TERM = r"^\p{L}[\p{L}\p{M}\x{200C}\x{200D}]*$"
@@ -195,7 +195,7 @@ def _contexts():
         import xxhash
 
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, SLICE_BYTES):
                 encoded, at = words(part.column(0))
                 if not len(encoded):
                     continue
@@ -286,7 +286,7 @@ def _hits(automaton, id_index: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, term, edits, *_ = automaton
         for batch in batches:
-            for part in slices(batch, id_index):
+            for part in slices(batch, id_index, SLICE_BYTES):
                 encoded, at = words(part.column(id_index))
                 cores = _cores(encoded.dictionary)
                 state = run_automaton(automaton, cores)

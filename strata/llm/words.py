@@ -12,6 +12,10 @@ import xxhash
 U = np.uint64
 _A, _B = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9)
 
+# Text a Python worker takes apart at once: words, hashes and masks take some
+# fifty times as much memory, and a worker keeps what it once took.
+SLICE_BYTES = 1_000_000
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective mixing of 64-bit values (new array)."""
