@@ -32,7 +32,7 @@ from strata.llm.neardup import (
     link_components,
     signature_column,
 )
-from strata.llm.words import _A, U, minhash, minhash_factors, minhash_value, mixed, slices
+from strata.llm.words import _A, U, minhash_factors, minhash_value, mixed, slices
 
 CHARS = 8             # characters of a shingle
 PERCENT = 80          # shared shingles of two linked lines, of all their shingles
@@ -40,7 +40,11 @@ BAND_ROWS = 4
 MISS = 1e-6           # chance that a pair at the threshold shares no band
 SEED = 42             # of Spark's xxhash64
 PART_KEYS = 500_000   # keys a partition gets, about
-BLOCK_LINES = 50_000  # lines whose keys are made at once
+BLOCK_LINES = 50_000  # lines whose keys are dealt at once
+BLOCK_BYTES = 250_000  # text whose shingles are hashed at once, in the processor's cache
+NONE = 2 ** 32 - 1    # the value of an empty bin
+FILL_COST = 2         # filling a bin by itself, in passes over the line
+FEW_SHINGLES = 1000   # of a line whose bins are filled by themselves
 PAIR = 16             # bytes of a key and a line's hash
 
 
@@ -90,26 +94,52 @@ def char_shingles(lines: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.n
     return hashes, first, last
 
 
-def line_minhash(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, n_hashes: int) -> np.ndarray:
-    """16-bit MinHash values of each line's shingles (zeros for none)."""
-    sig = np.zeros((len(first), n_hashes), np.uint16)
-    full = np.flatnonzero(last > first)
-    full = full[np.argsort(first[full], kind="stable")]
-    low = (hashes >> U(32)).astype(np.uint32)
-    factors = minhash_factors(n_hashes)
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(first[full] // 50_000)) + 1, [len(full)]])
-    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-        if b <= a:
-            continue
-        rows = full[a:b]
-        lo, hi = first[rows[0]], last[rows[-1]]
-        # Starts and ends in turn: what lies between two lines is skipped.
-        edges = np.column_stack([first[rows], last[rows]]).ravel()[:-1] - lo
-        block = low[lo:hi]
-        buf = np.empty_like(block)
-        for j in range(n_hashes):
-            np.multiply(block, factors[j], out=buf)
-            sig[rows, j] = minhash_value(np.minimum.reduceat(buf, edges)[::2])
+def line_minhash(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, rows: int, bins: int, skip: int = 0) -> np.ndarray:
+    """16-bit MinHash values of each line's shingles (zeros for none), ``rows``
+    for each of ``bins`` bins, one bin after the other.
+
+    Each of ``rows`` permutations deals a line's shingles to bins, and a bin's
+    value is its least one; an empty bin's is the least of the whole line under
+    a permutation of that bin's own. Whether a bin holds shingles of two lines
+    or of neither, its values are equal with the probability of the lines'
+    similarity, as under one permutation a value, at one pass a row. ``skip``
+    leaves out as many permutations, so that two calls share none.
+    """
+    n = last - first
+    at = np.concatenate([[0], np.cumsum(n)])
+    low = (hashes[np.repeat(first - at[:-1], n) + np.arange(at[-1])] >> U(32)).astype(np.uint32)
+    factors = minhash_factors(skip + rows + rows * bins)[skip:]
+    dealt, own = factors[:rows], factors[rows:]
+    least = np.full((rows, len(n) * bins), NONE, np.uint32)
+    line = np.repeat(np.arange(len(n)) * bins, n)
+    for j in range(rows):
+        value = low * dealt[j]
+        to = value >> np.uint32(16)
+        to *= np.uint32(bins)
+        to >>= np.uint32(16)
+        np.minimum.at(least[j], line + to, value)
+    least = least.reshape(rows, len(n), bins).transpose(1, 2, 0).reshape(len(n), -1)
+    empty = least == NONE
+    empty[n == 0] = False
+    n_empty = np.count_nonzero(empty, axis=1)
+    # A few empty bins are filled one by one, many by all permutations in turn.
+    few = (n_empty * FILL_COST <= rows * bins) & (n <= FEW_SHINGLES)
+    i, j = np.nonzero(empty & few[:, None])
+    if len(i):
+        start = np.concatenate([[0], np.cumsum(n[i])])
+        values = low[np.repeat(at[i] - start[:-1], n[i]) + np.arange(start[-1])] * np.repeat(own[j], n[i])
+        least[i, j] = np.minimum.reduceat(values, start[:-1])
+    many = np.flatnonzero((n_empty > 0) & ~few)
+    if len(many):
+        start = np.concatenate([[0], np.cumsum(n[many])])
+        block = low[np.repeat(at[many] - start[:-1], n[many]) + np.arange(start[-1])]
+        buf, full = np.empty_like(block), np.empty((rows * bins, len(many)), np.uint32)
+        for j in range(rows * bins):
+            np.multiply(block, own[j], out=buf)
+            np.minimum.reduceat(buf, start[:-1], out=full[j])
+        least[many] = np.where(empty[many], full.T, least[many])
+    sig = minhash_value(least).astype(np.uint16)
+    sig[n == 0] = 0
     return sig
 
 
@@ -128,6 +158,14 @@ def line_sets(lines: pa.Array, k: int = CHARS) -> tuple[np.ndarray, np.ndarray]:
     return out[keep], np.concatenate([[0], np.cumsum(keep)])[at]
 
 
+def line_hashes(lines: pa.Array) -> np.ndarray:
+    """Spark's ``xxhash64`` of each line (no nulls)."""
+    lines = pa.concat_arrays([lines.cast(pa.string())])
+    at = np.frombuffer(lines.buffers()[1], np.int32)[:len(lines) + 1].tolist()
+    data = memoryview(lines.buffers()[2] or b"")
+    return np.fromiter((xxhash.xxh64_intdigest(data[a:b], SEED) for a, b in zip(at, at[1:])), np.uint64, len(lines))
+
+
 def _keyed(k: int, rows: int, bands: int, parts: int):
     """Batches (text) to ``(part, band, pairs)``: the band keys of a slice's
     distinct lines with the lines' hashes, a row for each band and each of the
@@ -139,9 +177,11 @@ def _keyed(k: int, rows: int, bands: int, parts: int):
                 distinct = pc.split_pattern(texts, "\n").flatten().unique()
                 distinct = distinct.filter(pc.greater(pc.binary_length(distinct), 0))
                 for lo in range(0, len(distinct), BLOCK_LINES):
-                    lines = distinct.take(pa.array(range(lo, min(len(distinct), lo + BLOCK_LINES))))
-                    node = np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in lines.to_pylist()), np.uint64, len(lines))
-                    keys = band_keys(line_minhash(*char_shingles(lines, k), rows * bands), rows, bands).T.ravel()
+                    lines = pa.record_batch([distinct.slice(lo, BLOCK_LINES)], names=["text"])
+                    made = [(line_hashes(x.column(0)), line_minhash(*char_shingles(x.column(0), k), rows, bands))
+                            for x in slices(lines, 0, BLOCK_BYTES)]
+                    node = np.concatenate([x[0] for x in made])
+                    keys = band_keys(np.concatenate([x[1] for x in made]), rows, bands).T.ravel()
                     to = np.repeat(np.arange(bands) * parts, len(node)) + (keys % U(parts)).astype(np.int64)
                     # Numbers of 16 bits are sorted by radix.
                     order = np.argsort(to.astype(np.uint16) if bands * parts <= 1 << 16 else to, kind="stable")
@@ -195,14 +235,18 @@ def _shared(most: int = PART_KEYS):
     return run
 
 
-def _signed(k: int, n_hashes: int):
-    """Batches (node, text) to the size and signature of each line's set."""
+def _signed(k: int, rows: int, bands: int, n_hashes: int):
+    """Batches (node, text) to the size and signature of each line's set, the
+    values of the band keys first."""
+    more = max(0, n_hashes // rows - bands)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, BLOCK_BYTES):
                 sets, at = line_sets(part.column(1), k)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at)),
-                                                  signature_column(minhash(sets, at, n_hashes))], names=["node", "n", "sig"])
+                sig = np.concatenate([line_minhash(sets, at[:-1], at[1:], rows, bands),
+                                      line_minhash(sets, at[:-1], at[1:], rows, more, rows + rows * bands)], axis=1)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at)), signature_column(sig)],
+                                                 names=["node", "n", "sig"])
     return run
 
 
@@ -247,7 +291,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sized = members.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("members"))
     members = store(join_groups(members, store(sized, "line-sizes"), ["key"], "members", members.count()),
                     "line-sized")
-    sigs = store(texts.mapInArrow(_signed(chars, N_HASHES), "node long, n long, sig binary"), "line-sigs")
+    sigs = store(texts.mapInArrow(_signed(chars, BAND_ROWS, bands, N_HASHES), "node long, n long, sig binary"), "line-sigs")
     comps = link_components(members, sigs, texts, partial(line_sets, k=chars), percent, BAND_ROWS, bands,
                             least_matches(percent / 100), "line", prune_stars=False)
 

@@ -141,3 +141,83 @@ def test_line_keys_travel_packed_and_are_all_found(monkeypatch):
     for most in (10 ** 9, 2000):  # looked at once, and again and again
         out = [r for t in linededup._shared(most)(sent) for r in zip(*(c.to_pylist() for c in t.columns), strict=True)]
         assert want and {(key % 2 ** 64, band, node % 2 ** 64) for key, band, node in out} == want
+
+
+def binned(lines, rows, bins, skip=0):
+    """Values of ``line_minhash`` by its definition, and its input's hashes."""
+    import pyarrow as pa
+
+    from strata.llm.linededup import line_sets
+    from strata.llm.words import minhash_factors, minhash_value
+
+    sets, at = line_sets(pa.array(lines), 8)
+    factors = minhash_factors(skip + rows + rows * bins)[skip:].astype(np.uint64)
+    want = np.zeros((len(lines), bins * rows), np.uint16)
+    for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
+        low = sets[a:b] >> np.uint64(32)
+        for j in range(rows if b > a else 0):
+            value = low * factors[j] % 2 ** 32
+            for c in range(bins):
+                held = value[(value >> np.uint64(16)) * np.uint64(bins) >> np.uint64(16) == c]
+                least = min(held if len(held) else low * factors[rows + c * rows + j] % 2 ** 32)
+                want[i, c * rows + j] = minhash_value(np.array([least], np.uint32))[0]
+    return want
+
+
+def test_line_values_are_dealt_to_bins_in_a_pass_a_row(monkeypatch):
+    import pyarrow as pa
+
+    from strata.llm import linededup
+
+    lines = ["", "abc", "eight ch", "ü中🙂 ü中🙂 ü中🙂", "z" * 5000, "ab" * 40, prose(41, 8), prose(42, 30), prose(43, 400), ""]
+    passes = []
+
+    class Counted:
+        def __getattr__(self, name):
+            if name == "multiply":
+                passes.append(1)
+            return getattr(np, name)
+
+    monkeypatch.setattr(linededup, "np", Counted())
+    for rows, bins, skip in ((4, 27, 0), (4, 37, 112)):
+        want = binned(lines, rows, bins, skip)
+        got = linededup.line_minhash(*linededup.char_shingles(pa.array(lines), 8), rows, bins, skip)
+        assert got.dtype == np.uint16 and (got == want).all()
+    # A line of many shingles has no empty bin, so that no value needs a pass of its own.
+    passes.clear()
+    linededup.line_minhash(*linededup.char_shingles(pa.array([prose(44, 400)]), 8), 4, 27)
+    assert not passes
+
+
+@pytest.mark.parametrize("n", [3, 9, 30, 90, 270, 900])
+def test_line_bands_meet_at_the_rate_of_the_similarity(n):
+    from strata.llm.linededup import line_minhash
+    from strata.llm.neardup import band_keys
+
+    rng = np.random.default_rng(n)
+    m, other = 100_000 // n + 200, max(1, round(n / 9))
+    a = rng.integers(0, 2 ** 63, (m, n)).astype(np.uint64)
+    b = a.copy()
+    b[:, :other] = rng.integers(0, 2 ** 63, (m, other)).astype(np.uint64)
+    first = np.arange(m) * n
+    bands = n_bands(PERCENT)
+    x, y = (line_minhash(s.ravel(), first, first + n, BAND_ROWS, bands) for s in (a, b))
+    same = (band_keys(x, BAND_ROWS, bands) == band_keys(y, BAND_ROWS, bands)).sum(axis=1)
+    rate = ((n - other) / (n + other)) ** BAND_ROWS
+    # As often as independent values, and no more scattered than those.
+    assert abs(same.mean() / bands - rate) < 5 * (rate * (1 - rate) / bands / m) ** 0.5
+    assert same.var() < 1.15 * bands * rate * (1 - rate)
+
+
+def test_line_signatures_begin_with_the_values_of_the_band_keys():
+    import pyarrow as pa
+
+    from strata.llm import linededup
+    from strata.llm.neardup import N_HASHES
+
+    lines = pa.array([prose(51, 8), "short", prose(52, 90), "tenletters"])
+    node = pa.array(range(4), pa.int64())
+    out = pa.Table.from_batches(linededup._signed(8, 4, 27, N_HASHES)([pa.record_batch([node, lines], names=["node", "text"])]))
+    sig = np.array([np.frombuffer(x, np.uint16) for x in out["sig"].to_pylist()])
+    assert sig.shape == (4, N_HASHES)
+    assert (sig[:, :108] == linededup.line_minhash(*linededup.char_shingles(lines, 8), 4, 27)).all()
