@@ -163,7 +163,7 @@ def line_hashes(lines: pa.Array) -> np.ndarray:
     lines = pa.concat_arrays([lines.cast(pa.string())])
     at = np.frombuffer(lines.buffers()[1], np.int32)[:len(lines) + 1].tolist()
     data = memoryview(lines.buffers()[2] or b"")
-    return np.fromiter((xxhash.xxh64_intdigest(data[a:b], SEED) for a, b in zip(at, at[1:])), np.uint64, len(lines))
+    return np.fromiter((xxhash.xxh64_intdigest(data[a:b], SEED) for a, b in zip(at, at[1:], strict=False)), np.uint64, len(lines))
 
 
 def _keyed(k: int, rows: int, bands: int, parts: int):
@@ -239,6 +239,7 @@ def _signed(k: int, rows: int, bands: int, n_hashes: int):
     """Batches (node, text) to the size and signature of each line's set, the
     values of the band keys first."""
     more = max(0, n_hashes // rows - bands)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1, BLOCK_BYTES):
