@@ -93,8 +93,10 @@ def broadcast_rows(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, total: int) -> DataFrame:
-    """Inner join of stored rows with one row per group (``size``: its rows).
+def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, total: int,
+                how: str = "inner") -> DataFrame:
+    """Join (``how``: inner or left) of stored rows with one row per group
+    (``size``: its rows).
 
     Groups with more than total/HEAVY rows (fewer than HEAVY of them) are
     broadcast, so their rows never meet in one task; the rest is a shuffle
@@ -103,8 +105,9 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: s
     keys = list(keys)
     heavy = F.broadcast(groups.where(F.col(size) * HEAVY > total))
     light = groups.where(F.col(size) * HEAVY <= total)
+    light = broadcast_rows(light) if how == "left" else light
     hot = rows.join(heavy, keys)
-    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys)
+    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys, how)
     return hot.unionByName(rest)
 
 

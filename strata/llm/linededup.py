@@ -103,22 +103,29 @@ def line_minhash(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, rows:
     a permutation of that bin's own. Whether a bin holds shingles of two lines
     or of neither, its values are equal with the probability of the lines'
     similarity, as under one permutation a value, at one pass a row. ``skip``
-    leaves out as many permutations, so that two calls share none.
+    leaves out as many permutations, so that two calls share none. No two lines
+    share a place in ``hashes``.
     """
     n = last - first
-    at = np.concatenate([[0], np.cumsum(n)])
-    low = (hashes[np.repeat(first - at[:-1], n) + np.arange(at[-1])] >> U(32)).astype(np.uint32)
+    low = (hashes >> U(32)).astype(np.uint32)
     factors = minhash_factors(skip + rows + rows * bins)[skip:]
     dealt, own = factors[:rows], factors[rows:]
-    least = np.full((rows, len(n) * bins), NONE, np.uint32)
-    line = np.repeat(np.arange(len(n)) * bins, n)
+    # What lies between lines goes to a line of its own, which is dropped.
+    full = np.flatnonzero(n > 0)
+    full = full[np.argsort(first[full])]
+    owner = np.full(2 * len(full) + 1, len(n) * bins, np.uint32)
+    owner[1::2] = full * bins
+    cuts = np.column_stack([first[full], last[full]]).ravel()
+    line = np.repeat(owner, np.diff(np.concatenate([[0], cuts, [len(low)]])))
+    least = np.full((rows, (len(n) + 1) * bins), NONE, np.uint32)
     for j in range(rows):
         value = low * dealt[j]
         to = value >> np.uint32(16)
         to *= np.uint32(bins)
         to >>= np.uint32(16)
-        np.minimum.at(least[j], line + to, value)
-    least = least.reshape(rows, len(n), bins).transpose(1, 2, 0).reshape(len(n), -1)
+        to += line
+        np.minimum.at(least[j], to.astype(np.intp), value)
+    least = least[:, :len(n) * bins].reshape(rows, len(n), bins).transpose(1, 2, 0).reshape(len(n), -1)
     empty = least == NONE
     empty[n == 0] = False
     n_empty = np.count_nonzero(empty, axis=1)
@@ -127,17 +134,17 @@ def line_minhash(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, rows:
     i, j = np.nonzero(empty & few[:, None])
     if len(i):
         start = np.concatenate([[0], np.cumsum(n[i])])
-        values = low[np.repeat(at[i] - start[:-1], n[i]) + np.arange(start[-1])] * np.repeat(own[j], n[i])
+        values = low[np.repeat(first[i] - start[:-1], n[i]) + np.arange(start[-1])] * np.repeat(own[j], n[i])
         least[i, j] = np.minimum.reduceat(values, start[:-1])
     many = np.flatnonzero((n_empty > 0) & ~few)
     if len(many):
         start = np.concatenate([[0], np.cumsum(n[many])])
-        block = low[np.repeat(at[many] - start[:-1], n[many]) + np.arange(start[-1])]
-        buf, full = np.empty_like(block), np.empty((rows * bins, len(many)), np.uint32)
+        block = low[np.repeat(first[many] - start[:-1], n[many]) + np.arange(start[-1])]
+        buf, whole = np.empty_like(block), np.empty((rows * bins, len(many)), np.uint32)
         for j in range(rows * bins):
             np.multiply(block, own[j], out=buf)
-            np.minimum.reduceat(buf, start[:-1], out=full[j])
-        least[many] = np.where(empty[many], full.T, least[many])
+            np.minimum.reduceat(buf, start[:-1], out=whole[j])
+        least[many] = np.where(empty[many], whole.T, least[many])
     sig = minhash_value(least).astype(np.uint16)
     sig[n == 0] = 0
     return sig
@@ -210,9 +217,13 @@ def _shared(most: int = PART_KEYS):
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         shared = ((np.minimum.reduceat(nodes, first) != np.maximum.reduceat(nodes, first))
                   | np.logical_or.reduceat(told, first))
-        out = np.repeat(shared, np.diff(np.append(first, len(keys))))
-        found = pa.RecordBatch.from_arrays([pa.array(keys[out].view(np.int64)), pa.array(bands[out]),
-                                            pa.array(nodes[out].view(np.int64))], names=["key", "band", "node"])
+        out = np.flatnonzero(np.repeat(shared, np.diff(np.append(first, len(keys)))))
+        out = out[np.lexsort((nodes[out], keys[out]))]
+        key, node = keys[out], nodes[out]
+        new = np.ones(len(out), bool)
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        found = pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), pa.array(bands[out][new]),
+                                            pa.array(node[new].view(np.int64))], names=["key", "band", "node"])
         return (keys[first], nodes[first], bands[first], shared), found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,12 +308,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             least_matches(percent / 100), "line", prune_stars=False)
 
     first = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("line_no").alias("l"), F.col("row").alias("r"))
-    heads = store(numbered.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min(first).alias("head")), "line-heads")
-    placed = store(heads.join(broadcast_rows(comps), "node", "left")
-                   .withColumn("component", F.coalesce("component", "node")), "line-placed")
-    best = store(placed.groupBy("component").agg(F.min("head").alias("best"), F.count(F.lit(1)).alias("size")), "line-best")
-    answer = store(join_groups(placed.select("node", "component", "rows"), best, ["component"], "size", placed.count())
+    # A line that occurs once and is linked with nothing is a component of its
+    # own; only the others are looked up.
+    heads = numbered.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min(first).alias("head"))
+    heads = store(heads.join(broadcast_rows(comps), "node", "left").where("rows > 1 or component is not null")
+                  .withColumn("component", F.coalesce("component", "node")), "line-heads")
+    best = store(heads.groupBy("component").agg(F.min("head").alias("best"), F.count(F.lit(1)).alias("size")), "line-best")
+    answer = store(join_groups(heads.select("node", "component", "rows"), best, ["component"], "size", heads.count())
                    .select("node", "component", "rows", F.col("best.r").alias("best")), "line-answer")
-    return join_groups(numbered, answer, ["node"], "rows", n_rows).select(
+    return join_groups(numbered, answer, ["node"], "rows", n_rows, "left").select(
         F.col("id").alias(id_col), F.col("line_no").cast("long").alias("line_no"), F.col("node").alias("line_hash"),
-        "component", (F.col("row") == F.col("best")).alias("kept"))
+        F.coalesce("component", "node").alias("component"),
+        F.coalesce(F.col("row") == F.col("best"), F.lit(True)).alias("kept"))

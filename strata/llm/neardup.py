@@ -150,8 +150,9 @@ def _prune_pairs(percent: int, bounds):
 
 
 def _block_pairs(percent: int, rows: int, bands: int, bounds, most: int = 50_000):
-    """Blocks of bucket members, sorted by block, to pairs of different homes
-    and components that may be links. A pair is handled in its first common band."""
+    """Blocks of bucket members, sorted by block and side, to pairs of different
+    homes and components that may be links. A pair is handled in its first
+    common band."""
     def pairs_of(t: pa.Table) -> Iterator[pa.RecordBatch]:
         block = t["block"].to_numpy()
         node, comp, n = t["node"].to_numpy(), t["comp"].to_numpy(), t["n"].to_numpy()
@@ -161,17 +162,19 @@ def _block_pairs(percent: int, rows: int, bands: int, bounds, most: int = 50_000
         keys = band_keys(sig, rows, bands)
         start = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
         end = np.repeat(start[1:], np.diff(start))
-        later = end - np.arange(len(block)) - 1
+        # A row's partners: all later rows, or those of the block's other side.
+        right_side = np.repeat(start[1:] - np.add.reduceat(side, start[:-1]), np.diff(start))
+        partner = np.where(cross, np.where(side == 0, right_side, end), np.arange(len(block)) + 1)
+        later = end - partner
         upto = np.concatenate([[0], np.cumsum(later)])
         lo = 0
         while lo < len(block):
             hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + most, side="right")) - 1)
             left = np.repeat(np.arange(lo, hi), later[lo:hi])
-            right = left + 1 + np.arange(len(left)) - (upto[left] - upto[lo])
+            right = partner[left] + np.arange(len(left)) - (upto[left] - upto[lo])
             lo = hi
             ok = comp[left] != comp[right]
             ok &= home[left] != home[right]
-            ok &= ~cross[left] | (side[left] != side[right])
             ok &= 100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])
             # Compared with the centre already.
             ok &= (node[left] != centre[left]) & (node[right] != centre[left])
@@ -272,6 +275,32 @@ def _within_homes(make_sets, percent: int, bounds, most: int = 50_000):
     return run
 
 
+def _in_blocks(rows: DataFrame, of: str) -> DataFrame:
+    """Rows ``(of, node, core, cores, outer)`` once for each block they are in
+    (``at``: block, side, cross).
+
+    Core rows need no comparison with each other: a block holds a chunk of the
+    core and one of the others, or two chunks of the others, each of about
+    BLOCK rows. A row of the core comes once for each chunk of the others.
+    """
+    cores, outer = F.ceil(F.col("cores") / BLOCK), F.ceil(F.col("outer") / BLOCK)
+    mine = F.pmod(F.xxhash64("node"), F.when(F.col("core"), cores).otherwise(outer))
+
+    def place(kind, first, second, side, cross):
+        return F.struct(F.xxhash64(of, F.lit(kind), first, second).alias("block"),
+                        side.cast("int").alias("side"), cross.alias("cross"))
+
+    def upto(n):
+        return F.sequence(F.lit(0).cast("long"), n - 1)
+
+    with_outer = F.transform(upto(outer), lambda p: place(0, F.col("mine"), p, F.lit(0), F.lit(True)))
+    with_core = F.transform(upto(cores), lambda c: place(0, c, F.col("mine"), F.lit(1), F.lit(True)))
+    both_outer = F.transform(upto(outer), lambda p: place(
+        1, F.least(F.col("mine"), p), F.greatest(F.col("mine"), p), F.col("mine") > p, F.col("mine") != p))
+    return rows.withColumn("mine", mine).withColumn(
+        "at", F.explode(F.when(F.col("core"), with_outer).otherwise(F.concat(with_core, both_outer))))
+
+
 def link_components(members: DataFrame, sigs: DataFrame, texts: DataFrame, make_sets, percent: int, n_rows: int,
                     n_bands: int, bounds: list[tuple[int, int]], label: str, prune_stars: bool = True) -> DataFrame:
     """Components ``(node, component)`` of the links among bucket members.
@@ -323,24 +352,7 @@ def link_components(members: DataFrame, sigs: DataFrame, texts: DataFrame, make_
     placed = store(placed.withColumn("core", F.col("comp") == F.coalesce("core", "home")), f"{label}-placed")
     counts = store(placed.groupBy("home").agg(F.count_if("core").alias("cores"), F.count_if(~F.col("core")).alias("outer"),
                                               F.count(F.lit(1)).alias("size")).where("outer > 0"), f"{label}-counts")
-    cores, outer = F.ceil(F.col("cores") / BLOCK), F.ceil(F.col("outer") / BLOCK)
-    mine = F.pmod(F.xxhash64("node"), F.when(F.col("core"), cores).otherwise(outer))
-
-    def place(kind, first, second, side, cross):
-        return F.struct(F.xxhash64("home", F.lit(kind), first, second).alias("block"),
-                        side.cast("int").alias("side"), cross.alias("cross"))
-
-    def upto(n):
-        return F.sequence(F.lit(0).cast("long"), n - 1)
-
-    # Block kinds: a core chunk with an outer chunk, or two outer chunks.
-    with_outer = F.transform(upto(outer), lambda p: place(0, F.col("mine"), p, F.lit(0), F.lit(True)))
-    with_core = F.transform(upto(cores), lambda c: place(0, c, F.col("mine"), F.lit(1), F.lit(True)))
-    both_outer = F.transform(upto(outer), lambda p: place(
-        1, F.least(F.col("mine"), p), F.greatest(F.col("mine"), p), F.col("mine") > p, F.col("mine") != p))
-    blocks = (join_groups(placed, counts, ["home"], "size", placed.count()).withColumn("mine", mine)
-              .withColumn("at", F.explode(F.when(F.col("core"), with_outer).otherwise(F.concat(with_core, both_outer))))
-              .select("at.*", "node", "comp"))
+    blocks = _in_blocks(join_groups(placed, counts, ["home"], "size", placed.count()), "home").select("at.*", "node", "comp")
     blocks = store(blocks, f"{label}-blocks")
     n_groups = blocks.count() // PAIRS_PER_GROUP + 1
     inside = (blocks.join(sigs, "node").join(texts, "node")
@@ -349,19 +361,26 @@ def link_components(members: DataFrame, sigs: DataFrame, texts: DataFrame, make_
     same = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
     comps = connected_components(same.unionByName(store(inside, f"{label}-inside")), f"{label}-homes")
 
-    # Members of one bucket with different homes, in different components.
-    located = members.join(broadcast_rows(homes), "node").join(broadcast_rows(comps), "node", "left")
-    located = store(located.withColumn("comp", F.coalesce("component", "node")).drop("component"), f"{label}-located")
-    open_keys = (located.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-                                            F.min("home").alias("h0"), F.max("home").alias("h1"))
-                 .where("c0 != c1 and h0 != h1").select("key"))
-    parts = F.ceil(F.col("members") / BLOCK)
-    blocks = (located.join(open_keys, "key").withColumn("mine", F.pmod(F.xxhash64("node"), parts))
-              .withColumn("other", F.explode(upto(parts)))
-              .select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"),
-                      "band", "node", "comp", "center", "home", F.col("mine").alias("side"),
-                      (F.col("mine") != F.col("other")).alias("cross")))
-    ready = (blocks.join(sigs, "node").repartition("block").sortWithinPartitions("block")
+    # Members of one bucket with different homes, in different components. The
+    # core of a bucket is its centre's component: one of two such members lies
+    # outside, so only buckets with members outside are looked at.
+    side = broadcast_rows(comps)
+
+    def with_core(rows: DataFrame) -> DataFrame:
+        rows = (rows.join(side, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+                .join(side.select(F.col("node").alias("center"), F.col("component").alias("core")), "center", "left"))
+        return rows.withColumn("core", F.col("comp") == F.coalesce("core", "center"))
+
+    open_keys = store(with_core(members.select("key", "node", "center")).where(~F.col("core")).select("key").distinct(),
+                      f"{label}-open")
+    located = store(with_core(members.drop("members").join(broadcast_rows(open_keys), "key")
+                              .join(broadcast_rows(homes), "node")), f"{label}-located")
+    counts = store(located.groupBy("key").agg(F.count_if("core").alias("cores"), F.count_if(~F.col("core")).alias("outer"),
+                                              F.count(F.lit(1)).alias("size"), F.min("home").alias("h0"), F.max("home").alias("h1"))
+                   .where("h0 != h1").drop("h0", "h1"), f"{label}-open-counts")
+    blocks = _in_blocks(join_groups(located, counts, ["key"], "size", located.count()), "key").select(
+        "at.*", "band", "node", "comp", "center", "home")
+    ready = (blocks.join(sigs, "node").repartition("block").sortWithinPartitions("block", "side")
              .select("block", "band", "node", "comp", "center", "home", "side", "cross", "n", "sig"))
     rest = store(ready.mapInArrow(_block_pairs(percent, n_rows, n_bands, bounds), "a long, b long"), f"{label}-rest")
     more = confirm(rest, "rest")
