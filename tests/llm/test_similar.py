@@ -221,3 +221,97 @@ def test_line_signatures_begin_with_the_values_of_the_band_keys():
     sig = np.array([np.frombuffer(x, np.uint16) for x in out["sig"].to_pylist()])
     assert sig.shape == (4, N_HASHES)
     assert (sig[:, :108] == linededup.line_minhash(*linededup.char_shingles(lines, 8), 4, 27)).all()
+
+
+def test_rows_of_a_bucket_are_dealt_by_core_and_others(spark, monkeypatch):
+    import pyarrow as pa
+
+    from strata.llm import linededup, neardup
+
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(*args):
+        pairs = block_pairs(*args)
+
+        def run(batches):
+            def seen():
+                for b in batches:
+                    made.add(b.num_rows)
+                    yield b
+            return pairs(seen())
+        return run
+
+    block_pairs = neardup._block_pairs
+    monkeypatch.setattr(neardup, "_block_pairs", counted)
+    one, two = prose(61, 60), prose(62, 60)
+    nodes = [*range(10, 130), 5, 200, 201]
+    lines = [f"{one} {n}" if 10 <= n < 130 else f"{two} {n}" for n in nodes]
+    buckets = {1: (10, [*range(10, 130), 200, 201]), 2: (5, [5, 200, 201])}
+    members = spark.createDataFrame([(k, 0, n, c, len(of)) for k, (c, of) in buckets.items() for n in of],
+                                    "key long, band int, node long, center long, members long")
+    texts = spark.createDataFrame(list(zip(nodes, lines, strict=True)), "node long, text string")
+    signed = linededup._signed(8, 4, 27, neardup.N_HASHES)([pa.record_batch([pa.array(nodes), pa.array(lines)], names=["node", "text"])])
+    sigs = spark.createDataFrame([tuple(r.values()) for b in signed for r in b.to_pylist()], "node long, n long, sig binary")
+    out = neardup.link_components(members, sigs, texts, linededup.line_sets, 80, 4, 27, least_matches(0.8), "t",
+                                  prune_stars=False).collect()
+    assert {r["node"]: r["component"] for r in out} == {n: 10 if 10 <= n < 130 else 5 for n in nodes}
+    # 120 rows of the core and two others: not each of 122 in 31 chunks.
+    assert made.value == 120 + 2 * (30 + 1)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_block_pairs_compare_all_of_both_sides(seed):
+    import pyarrow as pa
+
+    from strata.llm import neardup
+
+    rng = np.random.default_rng(seed)
+    m = 90
+    block = np.sort(rng.integers(0, 8, m))
+    cross = block % 2 == 0
+    side = np.where(cross, rng.integers(0, 2, m), 0)
+    order = np.lexsort((side, block))
+    block, cross, side = block[order], cross[order], side[order]
+    comp, home, node = rng.integers(0, 4, m), rng.integers(0, 4, m), np.arange(m)
+    sig = np.ones((m, neardup.N_HASHES), np.uint16)
+    batch = pa.record_batch(
+        [pa.array(block), pa.array(np.zeros(m, np.int32)), pa.array(node), pa.array(comp), pa.array(np.full(m, -1)),
+         pa.array(home), pa.array(side.astype(np.int32)), pa.array(cross), pa.array(np.full(m, 5)), neardup.signature_column(sig)],
+        names=["block", "band", "node", "comp", "center", "home", "side", "cross", "n", "sig"])
+    run = neardup._block_pairs(80, 4, 27, least_matches(0.8), 50)
+    got = [p for t in run([batch.slice(0, 40), batch.slice(40)]) for p in zip(*(c.to_pylist() for c in t.columns), strict=True)]
+    want = {(i, j) for i in range(m) for j in range(i + 1, m) if block[i] == block[j] and comp[i] != comp[j]
+            and home[i] != home[j] and (not cross[i] or side[i] != side[j])}
+    assert want and len(got) == len(set(got)) and set(got) == want
+
+
+def test_only_repeated_or_linked_lines_are_looked_up(spark, monkeypatch):
+    from strata.llm import linededup
+
+    seen = {}
+
+    def counted(df, label):
+        out = store(df, label)
+        seen[label] = out.count()
+        return out
+
+    store = linededup.store
+    monkeypatch.setattr(linededup, "store", counted)
+    line = prose(71, 40)
+    docs = [(i, prose(1000 + i, 12)) for i in range(60)] + [(100, "twice\n" + line), (101, line + "!"), (102, "twice")]
+    out = linededup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert seen["line-answer"] == 3
+    assert len(out) == 64 and {(r["doc_id"], r["line_no"]) for r in out if not r["kept"]} == {(101, 0), (102, 0)}
+    assert all(r["component"] == r["line_hash"] for r in out if r["doc_id"] < 60)
+
+
+def test_a_look_at_shared_keys_tells_a_row_once():
+    import pyarrow as pa
+
+    from strata.llm import linededup
+
+    batch = pa.record_batch([pa.array(["a very common line of text\na very common line of text!\nother"])], names=["text"])
+    sent = [r.select(["band", "pairs"]) for r in linededup._keyed(8, 4, 27, 1)([batch] * 30)]
+    rows = [r for t in linededup._shared()(sent) for r in zip(*(c.to_pylist() for c in t.columns), strict=True)]
+    assert rows and len(rows) == len(set(rows))
